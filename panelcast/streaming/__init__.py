@@ -1,0 +1,6 @@
+"""Streaming.
+
+The forecasting workflow is a batch job: each run re-reads the weekly tables
+and runs once. There is no watermark, state store or late-data rule to
+reproduce, so this package holds no operators.
+"""
