@@ -115,3 +115,231 @@ def _flagship_sql() -> str:
 def q_flagship(spark: SparkSession, sf: str) -> DataFrame:
     long = _sn_oof_long(spark, sf)
     return round_doubles(EV.metric_levels(long, ["data_source", "model_name"]))
+
+
+# ---------------------------------------------------------------------------
+# Sources and normalisation (SRC-*, COL-*)
+# ---------------------------------------------------------------------------
+@register("src_01_source_weekly_range", TV.with_views(
+    f"SELECT * FROM ({SQL_TARGET_A}) WHERE yearweek >= 199601 AND yearweek <= 200052", "panel_a"))
+def q_src_01(spark, sf):
+    t = TV.Tables(spark, sf)
+    return SC.normalize_target(SC.load_source_weekly(TV.panel_a(t), TV.SRC_A, 199601, 200052, check_empty=False))
+
+
+SQL_SOURCE_TOTAL_A = f"""SELECT data_source, yearweek, county, min(CAST(total_count AS DOUBLE)) AS source_total_count
+                        FROM source_total WHERE data_source = '{TV.SRC_A}' GROUP BY data_source, yearweek, county"""
+
+
+def source_total_a(spark, sf):
+    return SC.load_source_total(TV.source_total(TV.Tables(spark, sf)), TV.SRC_A)
+
+
+@register("src_03_source_total", TV.with_views(SQL_SOURCE_TOTAL_A, "source_total"))
+def q_src_03(spark, sf):
+    return source_total_a(spark, sf)
+
+
+@register("src_12_load_profile", TV.with_views(
+    f"""SELECT data_source, count(*) AS rows, min(yearweek) AS min_yearweek, max(yearweek) AS max_yearweek
+        FROM ({SQL_TARGET_A} UNION ALL {SQL_TARGET_B}) GROUP BY data_source""", "panel_a", "panel_b"))
+def q_src_12(spark, sf):
+    return SC.load_profile(target_a(spark, sf).unionByName(target_b(spark, sf)))
+
+
+@register("col_05_unpivot_wide", TV.with_views(
+    f"""SELECT yearweek, county, 'EV' AS disease, '{TV.SRC_A}' AS data_source, ev_total AS count FROM panel_a_wide
+        UNION ALL SELECT yearweek, county, 'ILI', '{TV.SRC_A}', ili_total FROM panel_a_wide
+        UNION ALL SELECT yearweek, county, 'DI', '{TV.SRC_A}', di_total FROM panel_a_wide""", "panel_a_wide"))
+def q_col_05(spark, sf):
+    t = TV.Tables(spark, sf)
+    return SC.normalize_target(SC.load_source_weekly(TV.panel_a_wide(t), TV.SRC_A, check_empty=False))
+
+
+SQL_WEATHER = "SELECT yearweek, city AS county, airtemperature_avg, rain_days FROM weather_weekly"
+
+
+def weather(spark, sf):
+    return SC.load_weather(TV.weather_weekly(TV.Tables(spark, sf)))
+
+
+@register("col_06_weather_normalized", TV.with_views(
+    f"SELECT yearweek, county, round(airtemperature_avg, 6) AS airtemperature_avg, rain_days FROM ({SQL_WEATHER})",
+    "weather_weekly"))
+def q_col_06(spark, sf):
+    return round_doubles(weather(spark, sf))
+
+
+def calendar(spark, sf):
+    from panelcast.sources.calendar import calendar_features
+
+    t = TV.Tables(spark, sf)
+    return calendar_features(TV.dim_holiday(t), TV.dim_weekdate(t), TV.TEST_COVID_YEARS)
+
+
+@register("agg_01_calendar_rollup", TV.with_views("SELECT * FROM dim_calendar", "dim_calendar"))
+def q_agg_01(spark, sf):
+    return calendar(spark, sf)
+
+
+BASE = TV.TEST_BASE_DATE
+HORIZON = C.DEFAULT_FORECAST_PERIOD
+SQL_FW = f"""SELECT yearweek, CAST(row_number() OVER (ORDER BY yearweek) AS INTEGER) AS lead_week
+             FROM (SELECT DISTINCT yearweek FROM dim_weekdate
+                   WHERE date BETWEEN DATE '{BASE}' AND DATE '{BASE}' + INTERVAL {7 * (HORIZON - 1)} DAY
+                   ORDER BY yearweek LIMIT {HORIZON})"""
+SQL_CUT = f"SELECT min(yearweek) AS train_cut_week FROM dim_weekdate WHERE date = DATE '{BASE}' - INTERVAL 7 DAY"
+
+
+@register("src_09_forecast_weeks", TV.with_views(f"SELECT * FROM ({SQL_FW})", "dim_weekdate"))
+def q_src_09(spark, sf):
+    from pyspark.sql import Window
+
+    from panelcast.sources.calendar import forecast_weeks_df
+
+    fw = forecast_weeks_df(TV.dim_weekdate(TV.Tables(spark, sf)), HORIZON, BASE)
+    return fw.withColumn("lead_week", F.row_number().over(Window.orderBy("yearweek")))
+
+
+@register("src_08_latest_closed_week", TV.with_views(SQL_CUT, "dim_weekdate"))
+def q_src_08(spark, sf):
+    from panelcast.sources.calendar import latest_closed_week_df
+
+    return latest_closed_week_df(TV.dim_weekdate(TV.Tables(spark, sf)), BASE)
+
+
+# ---------------------------------------------------------------------------
+# Feature table (PAN-1) and task preparation (PAN-2..5)
+# ---------------------------------------------------------------------------
+def forecast_weeks(spark, sf) -> list[int]:
+    from panelcast.sources.calendar import forecast_yearweeks
+
+    return forecast_yearweeks(TV.dim_weekdate(TV.Tables(spark, sf)), HORIZON, BASE)
+
+
+def train_cut(spark, sf) -> int:
+    from panelcast.sources.calendar import latest_closed_yearweek
+
+    return latest_closed_yearweek(TV.dim_weekdate(TV.Tables(spark, sf)), BASE)
+
+
+def feature_a(spark, sf) -> DataFrame:
+    from panelcast.operators.panel import build_feature_table
+
+    return build_feature_table(target_a(spark, sf), source_total_a(spark, sf), weather(spark, sf),
+                               calendar(spark, sf), forecast_weeks(spark, sf))
+
+
+SQL_FEATURE_A = {
+    "tgt": SQL_TARGET_A,
+    "st": SQL_SOURCE_TOTAL_A,
+    "wx": SQL_WEATHER,
+    "fw": SQL_FW,
+    "hist": """SELECT t.yearweek, t.county, t.disease, t.data_source, t.count, st.source_total_count,
+                      CASE WHEN st.source_total_count > 0 THEN t.count / st.source_total_count END AS disease_rate,
+                      false AS is_future
+               FROM tgt t LEFT JOIN st USING (data_source, yearweek, county)""",
+    "fut": """SELECT fw.yearweek, c.county, c.disease, c.data_source, CAST(NULL AS DOUBLE) AS count,
+                     st.source_total_count, CAST(NULL AS DOUBLE) AS disease_rate, true AS is_future
+              FROM (SELECT DISTINCT county, disease, data_source FROM tgt) c CROSS JOIN fw
+                   LEFT JOIN st USING (data_source, yearweek, county)""",
+    "ft": """SELECT * FROM (SELECT * FROM hist UNION ALL SELECT * FROM fut) p
+             LEFT JOIN wx USING (yearweek, county) LEFT JOIN dim_calendar USING (yearweek)""",
+}
+FT_VIEWS = ("panel_a", "source_total", "weather_weekly", "dim_weekdate", "dim_calendar")
+FT_DOUBLES = ["count", "source_total_count", "disease_rate", "airtemperature_avg"]
+
+
+def _ft_sql(body: str, extra: dict | None = None) -> str:
+    d = dict(SQL_FEATURE_A)
+    d.update(extra or {})
+    return TV.with_views(body, *FT_VIEWS, extra=d)
+
+
+def _round_cols(cols, prefix="") -> str:
+    return ", ".join(f"round({prefix}{c}, 6) AS {c}" for c in cols)
+
+
+FT_BODY = f"SELECT * REPLACE ({_round_cols(FT_DOUBLES)}) FROM ft"
+
+
+@register("pan_01_feature_table", _ft_sql(FT_BODY))
+def q_pan_01(spark, sf):
+    return round_doubles(feature_a(spark, sf))
+
+
+@register("agg_12_missing_total_rows", _ft_sql(
+    "SELECT count(*) FILTER (WHERE NOT is_future AND source_total_count IS NULL) AS missing_total_rows FROM ft"))
+def q_agg_12(spark, sf):
+    from panelcast.operators.panel import missing_total_rows
+
+    return missing_total_rows(feature_a(spark, sf))
+
+
+SQL_LOCMAP = """SELECT county_key, min(new_name) AS new_name, min(branch_t) AS branch_t FROM (
+                  SELECT replace(replace(replace(trim(old_name), '臺', '台'), ' ', ''), '　', '') AS county_key,
+                         trim(new_name) AS new_name, trim(branch_t) AS branch_t FROM dim_location WHERE branch_t IS NOT NULL
+                  UNION
+                  SELECT replace(replace(replace(trim(new_name), '臺', '台'), ' ', ''), '　', ''),
+                         trim(new_name), trim(branch_t) FROM dim_location WHERE branch_t IS NOT NULL)
+                GROUP BY county_key"""
+
+
+def location_map(spark, sf):
+    from panelcast.operators.locations import build_location_map
+
+    return build_location_map(TV.dim_location(TV.Tables(spark, sf)))
+
+
+@register("pan_02_location_map", TV.with_views(SQL_LOCMAP, "dim_location"))
+def q_pan_02(spark, sf):
+    return location_map(spark, sf)
+
+
+def _collapse_sql(src: str, county_expr: str, drop_weather: bool = False) -> str:
+    wcols = [] if drop_weather else ["round(avg(airtemperature_avg), 6) AS airtemperature_avg",
+                                     "round(avg(CAST(rain_days AS DOUBLE)), 6) AS rain_days"]
+    cal = [f"round(avg(CAST({c} AS DOUBLE)), 6) AS {c}" for c in ("cnt", "voc", "eve", "ev_period", "di_period", "covid")]
+    return f"""SELECT data_source, disease, county, yearweek, is_future,
+                      round(sum(count), 6) AS count, round(sum(source_total_count), 6) AS source_total_count,
+                      round(CASE WHEN sum(count) IS NOT NULL AND sum(source_total_count) > 0
+                                 THEN sum(count) / sum(source_total_count) END, 6) AS disease_rate,
+                      {', '.join(wcols + cal)}
+               FROM (SELECT * REPLACE ({county_expr} AS county) FROM {src})
+               GROUP BY data_source, disease, county, yearweek, is_future"""
+
+
+@register("pan_03_ev_branch_collapse", _ft_sql(
+    _collapse_sql("ft f JOIN lm ON lm.county_key = replace(replace(replace(trim(f.county), '臺', '台'), ' ', ''), '　', '') "
+                  f"WHERE f.disease = '{TV.TEST_EV_DISEASE}'", "lm.branch_t"),
+    {"lm": SQL_LOCMAP}).replace("WITH panel_a AS", "WITH dim_location AS (" + TV.SQL_VIEWS["dim_location"] + "),\npanel_a AS", 1))
+def q_pan_03(spark, sf):
+    from panelcast.operators.panel import prepare_task
+
+    out, _ = prepare_task(feature_a(spark, sf), TV.SRC_A, "nhi_ev_branch", location_map(spark, sf),
+                          ev_disease=TV.TEST_EV_DISEASE, source_kind="nhi", check_empty=False)
+    return round_doubles(out)
+
+
+_OFFSHORE_SQL = ", ".join(f"'{c}'" for c in TV.TEST_OFFSHORE)
+
+
+@register("pan_04_offshore_collapse", _ft_sql(_collapse_sql(
+    f"ft WHERE disease <> '{TV.TEST_EV_DISEASE}'",
+    f"CASE WHEN trim(county) IN ({_OFFSHORE_SQL}) THEN '{C.OFFSHORE_LABEL}' ELSE trim(county) END")))
+def q_pan_04(spark, sf):
+    from panelcast.operators.panel import prepare_task
+
+    out, _ = prepare_task(feature_a(spark, sf), TV.SRC_A, "nhi_non_ev_county", ev_disease=TV.TEST_EV_DISEASE,
+                          offshore=TV.TEST_OFFSHORE, source_kind="nhi", check_empty=False)
+    return round_doubles(out)
+
+
+@register("pan_05_national_collapse", _ft_sql(_collapse_sql(
+    f"ft WHERE disease = '{TV.TEST_EV_DISEASE}'", f"'{C.NATIONAL_LABEL}'", drop_weather=True)))
+def q_pan_05(spark, sf):
+    from panelcast.operators.panel import prepare_task
+
+    out, _ = prepare_task(feature_a(spark, sf), TV.SRC_A, "rods_ev_national", ev_disease=TV.TEST_EV_DISEASE,
+                          source_kind="rods", check_empty=False)
+    return round_doubles(out)

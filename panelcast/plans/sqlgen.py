@@ -120,3 +120,33 @@ def seasonal_naive_sql(train_src: str, target_src: str, group: str, out_col: str
 
 def ctes(d: dict) -> str:
     return ",\n".join(f"{k} AS ({v})" for k, v in d.items())
+
+
+def future_feature_ctes(hist_src: str, measure: str, prefix: str, feature_set: str, horizon: int, name: str) -> dict:
+    """WIN-10 in DuckDB: compacted history + carried rows, trailing frames, steps 1..horizon (CTE ``name``)."""
+    cfg = C.FEATURE_SETS[feature_set]
+    seq, ext = f"{name}_seq", f"{name}_ext"
+    w = f"PARTITION BY {KEY} ORDER BY _pos"
+    cols = ["_pos - _n + 1 AS lead_week"]
+    for k in cfg["lags"]:
+        cols.append(f"_v AS {prefix}lag_{k}" if k == 1 else f"lag(_v, {k - 1}) OVER ({w}) AS {prefix}lag_{k}")
+    for win in cfg["rolling_windows"]:
+        fr = f"({w} ROWS BETWEEN {win - 1} PRECEDING AND CURRENT ROW)"
+        cols.append(f"avg(_v) OVER {fr} AS {prefix}roll{win}_mean")
+        cols.append(f"coalesce(stddev_samp(_v) OVER {fr}, 0.0) AS {prefix}roll{win}_std")
+    if measure == "count":
+        for k in cfg["diff_lags"]:
+            cols.append(f"_v - lag(_v, {k}) OVER ({w}) AS diff_{k}")
+        for k in cfg["growth_lags"]:
+            c = f"lag(_v, {k}) OVER ({w})"
+            cols.append(f"CASE WHEN {c} <> 0 THEN (_v - {c}) / {c} END AS growth_{k}")
+    return {
+        seq: f"""SELECT {KEY}, CAST({measure} AS DOUBLE) AS _v,
+                        row_number() OVER (PARTITION BY {KEY} ORDER BY yearweek) AS _pos,
+                        count(*) OVER (PARTITION BY {KEY}) AS _n
+                 FROM {hist_src} WHERE {measure} IS NOT NULL""",
+        ext: f"""SELECT {KEY}, _v, _pos, _n FROM {seq}
+                 UNION ALL
+                 SELECT {KEY}, _v, _n + r.s AS _pos, _n FROM {seq}, range(1, {horizon}) r(s) WHERE _pos = _n""",
+        name: f"""SELECT * EXCLUDE (_pos, _n) FROM (SELECT {KEY}, _pos, _n, {', '.join(cols)} FROM {ext}) WHERE _pos >= _n""",
+    }
