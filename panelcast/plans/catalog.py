@@ -343,3 +343,138 @@ def q_pan_05(spark, sf):
     out, _ = prepare_task(feature_a(spark, sf), TV.SRC_A, "rods_ev_national", ev_disease=TV.TEST_EV_DISEASE,
                           source_kind="rods", check_empty=False)
     return round_doubles(out)
+
+
+# ---------------------------------------------------------------------------
+# Row filters (FIL-*) and window features (WIN-*)
+# ---------------------------------------------------------------------------
+def history_a(spark, sf, recent_weeks=None) -> DataFrame:
+    """FIL-3 (+ FIL-5): training rows of the feature table up to the training cut."""
+    from panelcast.operators.panel import apply_recent_weeks, training_rows
+
+    return apply_recent_weeks(training_rows(feature_a(spark, sf), train_cut(spark, sf)), recent_weeks)
+
+
+SQL_HIST = {"cut": SQL_CUT,
+            "th": "SELECT * FROM ft WHERE NOT is_future AND count IS NOT NULL AND yearweek <= (SELECT train_cut_week FROM cut)"}
+
+
+def _ft_rounded(src: str, extra_doubles=()) -> str:
+    return f"SELECT * REPLACE ({_round_cols([*FT_DOUBLES, *extra_doubles])}) FROM {src}"
+
+
+@register("fil_03_training_rows", _ft_sql(_ft_rounded("th"), SQL_HIST))
+def q_fil_03(spark, sf):
+    return round_doubles(history_a(spark, sf))
+
+
+@register("fil_05_recent_weeks", _ft_sql(_ft_rounded("thr"), {
+    **SQL_HIST,
+    "thr": "SELECT * FROM th WHERE yearweek >= (SELECT min(yearweek) FROM (SELECT DISTINCT yearweek FROM th ORDER BY yearweek DESC LIMIT 156))"}))
+def q_fil_05(spark, sf):
+    return round_doubles(history_a(spark, sf, 156))
+
+
+_CY = TV.TEST_COVID_YEARS
+
+
+@register("fil_06_covid_exclude", _ft_sql(_ft_rounded(f"(SELECT * FROM ft WHERE NOT (yearweek // 100 BETWEEN {_CY[0]} AND {_CY[1]}) OR is_future)")))
+def q_fil_06(spark, sf):
+    from panelcast.operators.panel import apply_covid_policy
+
+    return round_doubles(apply_covid_policy(feature_a(spark, sf), "exclude", _CY))
+
+
+@register("col_13_covid_flag", _ft_sql(
+    f"SELECT *, CAST(yearweek // 100 BETWEEN {_CY[0]} AND {_CY[1]} AS INTEGER) AS covid_period FROM ({_ft_rounded('ft')})"))
+def q_col_13(spark, sf):
+    from panelcast.operators.panel import apply_covid_policy
+
+    return round_doubles(apply_covid_policy(feature_a(spark, sf), "flag", _CY))
+
+
+def _win_sql(feature_set: str) -> str:
+    names = Q.feature_names(feature_set)
+    body = f"SELECT * REPLACE ({_round_cols([*FT_DOUBLES, *names])}) FROM (SELECT *, {', '.join(Q.feature_exprs(feature_set))} FROM th)"
+    return _ft_sql(body, SQL_HIST)
+
+
+@register("win_01_07_lag_rolling_medium", _win_sql("medium"))
+def q_win_medium(spark, sf):
+    return round_doubles(FE.lag_rolling_features(history_a(spark, sf), "medium"))
+
+
+@register("win_01_07_lag_rolling_full", _win_sql("full"))
+def q_win_full(spark, sf):
+    return round_doubles(FE.lag_rolling_features(history_a(spark, sf), "full"))
+
+
+SQL_FUTURE = {
+    "fr": f"""SELECT *, CAST(row_number() OVER (PARTITION BY {Q.KEY} ORDER BY yearweek) AS INTEGER) AS lead_week
+              FROM ft WHERE is_future AND yearweek IN (SELECT yearweek FROM fw)""",
+    "frk": f"""SELECT * EXCLUDE (_n) FROM (SELECT *, count(*) OVER (PARTITION BY {Q.KEY}) AS _n FROM fr WHERE lead_week <= {HORIZON})
+               WHERE _n = {HORIZON}""",
+}
+
+
+def future_a(spark, sf) -> DataFrame:
+    """FIL-4 + FIL-10 + WIN-9: complete-horizon future rows with lead_week."""
+    from panelcast.operators.panel import complete_horizon, future_rows
+
+    kept, _ = complete_horizon(future_rows(feature_a(spark, sf), forecast_weeks(spark, sf)), HORIZON)
+    return kept
+
+
+@register("fil_10_complete_horizon", _ft_sql(_ft_rounded("frk"), SQL_FUTURE))
+def q_fil_10(spark, sf):
+    return round_doubles(future_a(spark, sf))
+
+
+def _future_sql(feature_set: str) -> str:
+    d = {**SQL_HIST, **SQL_FUTURE}
+    names = []
+    for m, p, nm in (("count", "", "cf"), ("source_total_count", "source_total_count_", "tf"), ("disease_rate", "disease_rate_", "rf")):
+        d.update(Q.future_feature_ctes("th", m, p, feature_set, HORIZON, nm))
+    names = Q.feature_names(feature_set)
+    body = f"""SELECT * REPLACE ({_round_cols([*FT_DOUBLES, *names])}) FROM
+               (SELECT * FROM frk JOIN cf USING ({Q.KEY}, lead_week) LEFT JOIN tf USING ({Q.KEY}, lead_week)
+                              LEFT JOIN rf USING ({Q.KEY}, lead_week))"""
+    return _ft_sql(body, d)
+
+
+@register("win_10_future_features", _future_sql("medium"))
+def q_win_10(spark, sf):
+    return round_doubles(FE.future_features(history_a(spark, sf), future_a(spark, sf), "medium", HORIZON))
+
+
+@register("win_10_future_features_full", _future_sql("full"))
+def q_win_10_full(spark, sf):
+    return round_doubles(FE.future_features(history_a(spark, sf), future_a(spark, sf), "full", HORIZON))
+
+
+def _sn_forecast_sql() -> str:
+    d = {**SQL_HIST, **SQL_FUTURE}
+    d["trn"] = f"""SELECT * FROM (SELECT *, lag(count, 1) OVER (PARTITION BY {Q.KEY} ORDER BY yearweek) AS _l1 FROM th)
+                   WHERE _l1 IS NOT NULL AND count IS NOT NULL"""
+    d["tg"] = f"SELECT {Q.KEY}, yearweek, lead_week AS h FROM frk"
+    d.update(Q.seasonal_naive_sql("trn", "tg", Q.KEY))
+    return _ft_sql(f"SELECT {Q.KEY}, yearweek, round(seasonal_naive, 6) AS seasonal_naive FROM sn_pred", d)
+
+
+def train_a(spark, sf, feature_set="base") -> DataFrame:
+    """Training rows with window features; rows without lag_1 or count dropped (FIL-7)."""
+    f = FE.lag_rolling_features(history_a(spark, sf), feature_set)
+    return f.where(F.col("lag_1").isNotNull() & F.col("count").isNotNull())
+
+
+@register("win_12_seasonal_naive_forecast", _sn_forecast_sql())
+def q_win_12(spark, sf):
+    return round_doubles(OO.final_seasonal_naive(train_a(spark, sf), future_a(spark, sf)))
+
+
+@register("win_08_directional_hit", TV.with_views(
+    f"SELECT {Q.KEY}, yearweek, y_true, round(y_pred, 6) AS y_pred, model_name, _hit AS hit FROM hit", "panel_a",
+    extra={**_sql_sn_oof_long(), "hit": Q.hit_cte("long", ["model_name"])}))
+def q_win_08(spark, sf):
+    out = EV.with_hit(_sn_oof_long(spark, sf), ["model_name"])
+    return round_doubles(out.withColumnRenamed("_hit", "hit"))
