@@ -478,3 +478,117 @@ def q_win_12(spark, sf):
 def q_win_08(spark, sf):
     out = EV.with_hit(_sn_oof_long(spark, sf), ["model_name"])
     return round_doubles(out.withColumnRenamed("_hit", "hit"))
+
+
+# ---------------------------------------------------------------------------
+# Prediction matrix, combiners, metric table and reports
+# ---------------------------------------------------------------------------
+BASE_MODELS = ["seasonal_naive", "lag_1", "roll4_mean"]  # seasonal naive + two features standing in as base predictions
+OOF_SPLITS, OOF_MIN_TRAIN = 2, 104
+META_METHOD = "weighted_average"
+CTX = {"model_task": "default", "model_scope": "county", "prediction_type": "oof"}
+
+
+def oof_matrix_a(spark, sf) -> DataFrame:
+    """CV-1 + CV-5 + JOI-15: validation rows of each fold with one column per base prediction."""
+    train = train_a(spark, sf)
+    folds = SP.fold_table(spark, SP.rolling_splits(SP.distinct_weeks(train), OOF_SPLITS, OOF_MIN_TRAIN))
+    sn = OO.local_oof_seasonal_naive(train, folds)
+    va = SP.assign_folds(train, folds, "valid").select(*C.KEY_COLS, "yearweek", F.col("count").alias("y_true"), "lag_1", "roll4_mean")
+    return va.join(sn, [*C.KEY_COLS, "yearweek"], "left")
+
+
+def _sql_oof_matrix() -> dict:
+    d = {**SQL_HIST}
+    d["trn"] = f"""SELECT * FROM (SELECT *, lag(count, 1) OVER (PARTITION BY {Q.KEY} ORDER BY yearweek) AS lag_1,
+                                    avg(count) OVER (PARTITION BY {Q.KEY} ORDER BY yearweek ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS roll4_mean
+                             FROM th) WHERE lag_1 IS NOT NULL AND count IS NOT NULL"""
+    d.update(Q.rolling_fold_ctes("trn", OOF_SPLITS, OOF_MIN_TRAIN, "folds"))
+    d["trv"] = f"SELECT t.data_source, t.disease, t.county, f.fold, t.yearweek, t.count FROM trn t JOIN folds f USING (yearweek) WHERE f.role = 'train'"
+    d["va"] = f"""SELECT t.data_source, t.disease, t.county, f.fold, t.yearweek,
+                         row_number() OVER (PARTITION BY t.data_source, t.disease, t.county, f.fold ORDER BY t.yearweek) AS h
+                  FROM trn t JOIN folds f USING (yearweek) WHERE f.role = 'valid'"""
+    d.update(Q.seasonal_naive_sql("trv", "va", "data_source, disease, county, fold"))
+    d["mx"] = f"""SELECT t.data_source, t.disease, t.county, t.yearweek, t.count AS y_true, t.lag_1, t.roll4_mean, s.seasonal_naive
+                  FROM trn t JOIN folds f ON f.yearweek = t.yearweek AND f.role = 'valid'
+                  LEFT JOIN sn_pred s ON s.data_source = t.data_source AND s.disease = t.disease AND s.county = t.county
+                                      AND s.yearweek = t.yearweek"""
+    return d
+
+
+@register("joi_15_prediction_matrix", _ft_sql(
+    f"SELECT * REPLACE (round(seasonal_naive, 6) AS seasonal_naive, round(roll4_mean, 6) AS roll4_mean) FROM mx", _sql_oof_matrix()))
+def q_joi_15(spark, sf):
+    return round_doubles(oof_matrix_a(spark, sf))
+
+
+def _base_long_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT {Q.KEY}, yearweek, y_true, {m} AS y_pred, '{m}' AS model_name FROM mx WHERE {m} IS NOT NULL" for m in BASE_MODELS
+    )
+
+
+def base_metrics_a(spark, sf, meta_eval_type: str) -> DataFrame:
+    long = EV.to_long(oof_matrix_a(spark, sf), [*C.KEY_COLS, "yearweek", "y_true"], BASE_MODELS)
+    long = EV.with_context(long, {**CTX, "model_layer": "base", "meta_model": META_METHOD, "meta_eval_type": meta_eval_type})
+    return EV.metric_levels(long, METRIC_GROUP)
+
+
+METRIC_GROUP = ["data_source", "model_task", "model_scope", "model_layer", "model_name", "prediction_type", "meta_model", "meta_eval_type"]
+
+
+def _ctx_sql(layer: str, name: str | None = None, eval_type: str = "rolling_meta_oof") -> str:
+    nm = f"'{name}' AS model_name, " if name else ""
+    return (f"'{CTX['model_task']}' AS model_task, '{CTX['model_scope']}' AS model_scope, '{layer}' AS model_layer, {nm}"
+            f"'{CTX['prediction_type']}' AS prediction_type, '{META_METHOD}' AS meta_model, '{eval_type}' AS meta_eval_type")
+
+
+def _sql_metric_table() -> dict:
+    d = _sql_oof_matrix()
+    d["blong"] = f"SELECT *, {_ctx_sql('base')} FROM ({_base_long_sql()})"
+    d["bhit"] = Q.hit_cte("blong", ["model_name"])
+    d["bmet"] = Q.metric_select(METRIC_GROUP, "bhit")
+    # meta OOF of the rule-based combiner (CV-6 + COM-3)
+    d["sv"] = "SELECT * FROM mx WHERE y_true IS NOT NULL AND " + " AND ".join(f"{m} IS NOT NULL" for m in BASE_MODELS)
+    d.update(Q.rolling_fold_ctes("sv", 2, 12, "mfolds"))
+    melt = lambda src: " UNION ALL ".join(
+        f"SELECT f.fold, s.data_source, s.disease, s.county, s.yearweek, s.y_true, s.{m} AS y_pred, '{m}' AS model_name, {i} AS _model_pos "
+        f"FROM sv s JOIN mfolds f ON f.yearweek = s.yearweek AND f.role = '{src}'" for i, m in enumerate(BASE_MODELS))
+    d["mfit"] = melt("train")
+    d.update(Q.rule_weight_ctes("mfit", META_METHOD, C.DEFAULT_ENSEMBLE_TOPK, "mw"))
+    d["mval"] = melt("valid")
+    d["mpred"] = f"""SELECT v.data_source, v.disease, v.county, v.yearweek, greatest(sum(v.y_pred * w.weight), 0.0) AS y_pred
+                     FROM mval v JOIN mw w ON w.fold = v.fold AND w.model_name = v.model_name
+                     GROUP BY v.fold, v.data_source, v.disease, v.county, v.yearweek"""
+    d["clong"] = f"""SELECT s.data_source, s.disease, s.county, s.yearweek, s.y_true, p.y_pred,
+                            {_ctx_sql('ensemble', C.combiner_model_name(META_METHOD))}
+                     FROM sv s LEFT JOIN mpred p USING ({Q.KEY}, yearweek)"""
+    d["chit"] = Q.hit_cte("clong", ["model_name"])
+    d["cmet"] = Q.metric_select(METRIC_GROUP, "chit")
+    d["metric"] = "SELECT * FROM bmet UNION ALL SELECT * FROM cmet"
+    return d
+
+
+def combiner_metrics_a(spark, sf):
+    from panelcast.operators.combine import complete_cases, meta_oof_rule
+
+    mx = oof_matrix_a(spark, sf)
+    ids = [*C.KEY_COLS, "yearweek"]
+    pred, eval_type = meta_oof_rule(mx, BASE_MODELS, META_METHOD, ids, OOF_SPLITS)
+    sv = complete_cases(mx, BASE_MODELS).select(*ids, "y_true")
+    long = sv.join(pred, ids, "left")
+    long = EV.with_context(long, {**CTX, "model_layer": C.combiner_layer(META_METHOD),
+                                  "model_name": C.combiner_model_name(META_METHOD), "meta_model": META_METHOD,
+                                  "meta_eval_type": eval_type})
+    return EV.metric_levels(long, METRIC_GROUP), eval_type
+
+
+def metric_table_a(spark, sf) -> DataFrame:
+    """SET-2: base and combiner metric rows of one task."""
+    comb, eval_type = combiner_metrics_a(spark, sf)
+    return base_metrics_a(spark, sf, eval_type).unionByName(comb)
+
+
+@register("agg_05_metric_table", _ft_sql("SELECT * FROM metric", _sql_metric_table()))
+def q_agg_05(spark, sf):
+    return round_doubles(metric_table_a(spark, sf))

@@ -150,3 +150,44 @@ def future_feature_ctes(hist_src: str, measure: str, prefix: str, feature_set: s
                  SELECT {KEY}, _v, _n + r.s AS _pos, _n FROM {seq}, range(1, {horizon}) r(s) WHERE _pos = _n""",
         name: f"""SELECT * EXCLUDE (_pos, _n) FROM (SELECT {KEY}, _pos, _n, {', '.join(cols)} FROM {ext}) WHERE _pos >= _n""",
     }
+
+
+def rolling_fold_ctes(src: str, n_splits: int, min_train: int, name: str) -> dict:
+    """CV-1 in DuckDB: expanding folds over the distinct weeks of ``src`` -> CTE ``name``(fold, yearweek, role).
+
+    Covers the fold-count shrink for short histories; the 80/20 fallback is not needed by the fixtures.
+    """
+    k, mt = n_splits, min_train
+    shrink_k = "greatest(2, least(3, n // 26))"
+    return {
+        f"{name}_w": f"""SELECT yearweek, row_number() OVER (ORDER BY yearweek) AS wr, count(*) OVER () AS n
+                         FROM (SELECT DISTINCT yearweek FROM {src})""",
+        f"{name}_p": f"""SELECT n, CASE WHEN n < {mt + k} THEN {shrink_k} ELSE {k} END AS k,
+                                CASE WHEN n < {mt + k} THEN greatest(52, n - 8 * {shrink_k}) ELSE {mt} END AS mt
+                         FROM (SELECT max(n) AS n FROM {name}_w)""",
+        f"{name}_f": f"""SELECT r.i AS fold, n - (k - r.i) * (n // (k + 1)) AS tr_end, n - (k - r.i - 1) * (n // (k + 1)) AS va_end
+                         FROM {name}_p, range(0, 10) r(i) WHERE r.i < k AND n - (k - r.i) * (n // (k + 1)) >= mt""",
+        name: f"""SELECT f.fold, w.yearweek, CASE WHEN w.wr <= f.tr_end THEN 'train' ELSE 'valid' END AS role
+                  FROM {name}_f f JOIN {name}_w w ON w.wr <= f.va_end""",
+    }
+
+
+def rule_weight_ctes(long_fit: str, method: str, topk: int, name: str) -> dict:
+    """COM-2..4 in DuckDB over ``long_fit``(fold, model_name, _model_pos, y_true, y_pred) -> ``name``(fold, model_name, weight)."""
+    per = f"""SELECT fold, model_name, _model_pos,
+                     CASE WHEN sum(abs(y_true)) = 0 THEN CAST('inf' AS DOUBLE)
+                          ELSE sum(abs(y_pred - y_true)) / sum(abs(y_true)) END AS wape
+              FROM {long_fit} GROUP BY fold, model_name, _model_pos"""
+    if method == "simple_average":
+        w = f"SELECT fold, model_name, 1.0 / count(*) OVER (PARTITION BY fold) AS weight FROM {name}_per"
+    elif method == "weighted_average":
+        w = f"""SELECT fold, model_name,
+                       CASE WHEN sum(inv) OVER (PARTITION BY fold) > 0 THEN inv / sum(inv) OVER (PARTITION BY fold)
+                            ELSE 1.0 / count(*) OVER (PARTITION BY fold) END AS weight
+                FROM (SELECT *, CASE WHEN isinf(wape) THEN 0.0 ELSE 1.0 / greatest(wape, 1e-6) END AS inv FROM {name}_per)"""
+    else:
+        w = f"""SELECT fold, model_name,
+                       CASE WHEN rk <= least({topk}, nm) THEN 1.0 / least({topk}, nm) ELSE 0.0 END AS weight
+                FROM (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY wape, _model_pos) AS rk,
+                             count(*) OVER (PARTITION BY fold) AS nm FROM {name}_per)"""
+    return {f"{name}_per": per, name: w}
