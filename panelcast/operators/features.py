@@ -172,8 +172,10 @@ def directional_hit(df: DataFrame, key_cols, time_col: str = "yearweek", y_true:
                     y_pred: str = "y_pred", out: str = "_hit") -> DataFrame:
     """WIN-8: 1.0 when the step-to-step direction of truth and prediction agree, NULL on a series' first row."""
     w = Window.partitionBy(*key_cols).orderBy(time_col)
-    td = F.col(y_true) - F.lag(y_true, 1).over(w)
-    pdiff = F.col(y_pred) - F.lag(y_pred, 1).over(w)
+    # step differences below 1e-9 count as flat, so summation-order noise in a
+    # combined prediction cannot flip a direction
+    td = F.round(F.col(y_true) - F.lag(y_true, 1).over(w), 9)
+    pdiff = F.round(F.col(y_pred) - F.lag(y_pred, 1).over(w), 9)
     hit = F.when(td.isNotNull() & pdiff.isNotNull(), (F.signum(td) == F.signum(pdiff)).cast("double"))
     return df.withColumn(out, hit)
 

@@ -592,3 +592,93 @@ def metric_table_a(spark, sf) -> DataFrame:
 @register("agg_05_metric_table", _ft_sql("SELECT * FROM metric", _sql_metric_table()))
 def q_agg_05(spark, sf):
     return round_doubles(metric_table_a(spark, sf))
+
+
+def metric_rounded(spark, sf) -> DataFrame:
+    return round_doubles(metric_table_a(spark, sf))
+
+
+_MM_SQL = ("concat_ws('/', CASE WHEN model_task NOT IN ('', 'nan', 'None', 'NaN', '<NA>', 'default') THEN model_task END, "
+           "CASE WHEN model_layer NOT IN ('', 'nan', 'None', 'NaN', '<NA>') THEN model_layer END, "
+           "coalesce(CASE WHEN model_name NOT IN ('', 'nan', 'None', 'NaN', '<NA>') THEN model_name END, 'unknown'))")
+_COMPACT = f"data_source, {_MM_SQL} AS model_method, metric_level, {', '.join(Q.METRICS)}, disease, county"
+
+
+def _metric_sql(body: str, extra: dict | None = None) -> str:
+    d = _sql_metric_table()
+    d.update(extra or {})
+    return _ft_sql(body, d)
+
+
+@register("rep_05_leaderboard", _metric_sql(f"SELECT {_COMPACT} FROM metric WHERE metric_level = 'overall'"))
+def q_rep_05(spark, sf):
+    from panelcast.operators.reports import leaderboard
+
+    return leaderboard(metric_rounded(spark, sf))
+
+
+@register("rep_06_breakdown_top200", _metric_sql(
+    f"""SELECT * FROM (SELECT {_COMPACT} FROM metric
+                       WHERE metric_level IN ('by_disease', 'by_county', 'by_disease_county', 'by_lead_week'))
+        ORDER BY WAPE DESC NULLS LAST, model_method, metric_level, disease, county LIMIT 200"""))
+def q_rep_06(spark, sf):
+    from panelcast.operators.reports import breakdown
+
+    return breakdown(metric_rounded(spark, sf), 200)
+
+
+_BEST_SQL = """SELECT data_source, model_task, model_scope, model_name AS best_base_model, WAPE AS best_base_wape
+               FROM (SELECT *, row_number() OVER (PARTITION BY data_source, model_task, model_scope ORDER BY WAPE, model_name) AS rk
+                     FROM metric WHERE metric_level = 'overall' AND model_layer = 'base' AND WAPE IS NOT NULL) WHERE rk = 1"""
+
+
+@register("agg_13_best_base_model", _metric_sql("SELECT * FROM best", {"best": _BEST_SQL}))
+def q_agg_13(spark, sf):
+    from panelcast.operators.reports import best_base
+
+    return best_base(metric_rounded(spark, sf))
+
+
+@register("rep_07_meta_model_comparison", _metric_sql(
+    """SELECT c.data_source, c.model_task, c.model_scope, c.model_layer, c.meta_model, c.meta_eval_type, c.model_name,
+              c.n_obs, c.WAPE, c.MAE, c.RMSE, c.Bias, b.best_base_model, b.best_base_wape,
+              c.WAPE - b.best_base_wape AS wape_vs_best_base, coalesce(c.WAPE - b.best_base_wape < 0, false) AS stacking_wins
+       FROM metric c LEFT JOIN best b ON b.data_source IS NOT DISTINCT FROM c.data_source
+            AND b.model_task IS NOT DISTINCT FROM c.model_task AND b.model_scope IS NOT DISTINCT FROM c.model_scope
+       WHERE c.metric_level = 'overall' AND c.model_layer IN ('stacking', 'ensemble')""", {"best": _BEST_SQL}))
+def q_rep_07(spark, sf):
+    from panelcast.operators.reports import meta_model_comparison
+
+    return meta_model_comparison(metric_rounded(spark, sf))
+
+
+@register("rep_01_final_model_choice", _metric_sql(
+    f"""SELECT coalesce(b.data_source, s.data_source) AS data_source, coalesce(b.model_task, s.model_task) AS model_task,
+               CASE WHEN s.meta_eval_type = 'rolling_meta_oof' AND s.WAPE IS NOT NULL AND (b.best_base_wape IS NULL OR s.WAPE < b.best_base_wape)
+                    THEN s.model_name WHEN b.best_base_model IS NOT NULL THEN b.best_base_model ELSE '{C.combiner_model_name(META_METHOD)}' END AS final_model_name,
+               CASE WHEN s.meta_eval_type = 'rolling_meta_oof' AND s.WAPE IS NOT NULL AND (b.best_base_wape IS NULL OR s.WAPE < b.best_base_wape)
+                    THEN s.model_layer WHEN b.best_base_model IS NOT NULL THEN 'base' ELSE '{C.combiner_layer(META_METHOD)}' END AS final_model_layer,
+               CASE WHEN s.meta_eval_type = 'rolling_meta_oof' AND s.WAPE IS NOT NULL AND (b.best_base_wape IS NULL OR s.WAPE < b.best_base_wape)
+                    THEN s.WAPE WHEN b.best_base_model IS NOT NULL THEN b.best_base_wape END AS selected_wape
+        FROM best b FULL JOIN (SELECT * FROM metric WHERE metric_level = 'overall' AND model_name = '{C.combiner_model_name(META_METHOD)}') s
+             USING (data_source, model_task)""", {"best": _BEST_SQL}))
+def q_rep_01(spark, sf):
+    m = metric_rounded(spark, sf)
+    eval_type = m.where(F.col("model_layer") != "base").select("meta_eval_type").first()[0]
+    return EV.select_final_model(m, META_METHOD, eval_type)
+
+
+RUN_SETTINGS = {"task": "forecast", "run_mode": "fast", "sources": TV.SRC_A, "forecast_period": HORIZON,
+                "feature_set": "base", "meta_model": META_METHOD, "covid_policy": "include"}
+
+
+@register("agg_15_run_summary", _metric_sql(
+    f"""SELECT {', '.join(f"'{v}' AS {k}" if isinstance(v, str) else f'{v} AS {k}' for k, v in RUN_SETTINGS.items())},
+               count(*) AS metric_rows, count(*) FILTER (WHERE metric_level = 'overall') AS leaderboard_rows,
+               arg_min({_MM_SQL}, (WAPE IS NULL, WAPE, {_MM_SQL})) FILTER (WHERE metric_level = 'overall') AS best_model_by_wape,
+               min(WAPE) FILTER (WHERE metric_level = 'overall') AS best_wape
+        FROM metric"""))
+def q_agg_15(spark, sf):
+    from panelcast.operators.reports import run_summary
+
+    return run_summary(metric_rounded(spark, sf), RUN_SETTINGS)

@@ -21,8 +21,8 @@ def hit_cte(src: str, group_cols: list[str]) -> str:
     part = ", ".join([*group_cols, "data_source", "disease", "county"])
     return f"""
         SELECT *, CASE WHEN _td IS NOT NULL AND _pd IS NOT NULL THEN CAST(sign(_td) = sign(_pd) AS DOUBLE) END AS _hit
-        FROM (SELECT *, y_true - lag(y_true) OVER (PARTITION BY {part} ORDER BY yearweek) AS _td,
-                        y_pred - lag(y_pred) OVER (PARTITION BY {part} ORDER BY yearweek) AS _pd
+        FROM (SELECT *, round(y_true - lag(y_true) OVER (PARTITION BY {part} ORDER BY yearweek), 9) AS _td,
+                        round(y_pred - lag(y_pred) OVER (PARTITION BY {part} ORDER BY yearweek), 9) AS _pd
               FROM {src})"""
 
 
