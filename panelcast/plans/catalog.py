@@ -44,14 +44,43 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 # ---------------------------------------------------------------------------
 # shared fixture builders
 # ---------------------------------------------------------------------------
+_MEMO: dict = {}
+
+
+def materialized(spark: SparkSession, sf: str, name: str, build):
+    """Build once per session and scale factor; DataFrames are checkpointed into ``spark.checkpoint.dir``.
+
+    The weekly panels are small aggregates of the large fact tables: they are
+    computed once, written to the shared checkpoint folder (lineage cut, so a
+    lost executor does not trigger a rescan of the facts) and reused by every
+    downstream query.
+    """
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MEMO:
+        value = build()
+        if isinstance(value, DataFrame):
+            from panelcast.session import ensure_checkpoint_dir
+
+            ensure_checkpoint_dir(spark)
+            value = value.checkpoint(eager=True)
+        _MEMO[key] = value
+    return _MEMO[key]
+
+
 def target_a(spark: SparkSession, sf: str) -> DataFrame:
-    t = TV.Tables(spark, sf)
-    return SC.normalize_target(SC.load_source_weekly(TV.panel_a(t), TV.SRC_A, check_empty=False))
+    def build():
+        t = TV.Tables(spark, sf)
+        return SC.normalize_target(SC.load_source_weekly(TV.panel_a(t), TV.SRC_A, check_empty=False))
+
+    return materialized(spark, sf, "target_a", build)
 
 
 def target_b(spark: SparkSession, sf: str) -> DataFrame:
-    t = TV.Tables(spark, sf)
-    return SC.normalize_target(SC.load_source_weekly(TV.panel_b(t), TV.SRC_B, check_empty=False))
+    def build():
+        t = TV.Tables(spark, sf)
+        return SC.normalize_target(SC.load_source_weekly(TV.panel_b(t), TV.SRC_B, check_empty=False))
+
+    return materialized(spark, sf, "target_b", build)
 
 
 SQL_TARGET_A = f"SELECT yearweek, county, disease, '{TV.SRC_A}' AS data_source, count FROM panel_a"
@@ -132,7 +161,8 @@ SQL_SOURCE_TOTAL_A = f"""SELECT data_source, yearweek, county, min(CAST(total_co
 
 
 def source_total_a(spark, sf):
-    return SC.load_source_total(TV.source_total(TV.Tables(spark, sf)), TV.SRC_A)
+    return materialized(spark, sf, "source_total_a",
+                        lambda: SC.load_source_total(TV.source_total(TV.Tables(spark, sf)), TV.SRC_A))
 
 
 @register("src_03_source_total", TV.with_views(SQL_SOURCE_TOTAL_A, "source_total"))
@@ -160,7 +190,7 @@ SQL_WEATHER = "SELECT yearweek, city AS county, airtemperature_avg, rain_days FR
 
 
 def weather(spark, sf):
-    return SC.load_weather(TV.weather_weekly(TV.Tables(spark, sf)))
+    return materialized(spark, sf, "weather", lambda: SC.load_weather(TV.weather_weekly(TV.Tables(spark, sf))))
 
 
 @register("col_06_weather_normalized", TV.with_views(
@@ -174,7 +204,12 @@ def calendar(spark, sf):
     from panelcast.sources.calendar import calendar_features
 
     t = TV.Tables(spark, sf)
-    return calendar_features(TV.dim_holiday(t), TV.dim_weekdate(t), TV.TEST_COVID_YEARS)
+    return materialized(spark, sf, "calendar",
+                        lambda: calendar_features(TV.dim_holiday(t), weekdate(spark, sf), TV.TEST_COVID_YEARS))
+
+
+def weekdate(spark, sf):
+    return materialized(spark, sf, "weekdate", lambda: TV.dim_weekdate(TV.Tables(spark, sf)))
 
 
 @register("agg_01_calendar_rollup", TV.with_views("SELECT * FROM dim_calendar", "dim_calendar"))
@@ -214,13 +249,13 @@ def q_src_08(spark, sf):
 def forecast_weeks(spark, sf) -> list[int]:
     from panelcast.sources.calendar import forecast_yearweeks
 
-    return forecast_yearweeks(TV.dim_weekdate(TV.Tables(spark, sf)), HORIZON, BASE)
+    return materialized(spark, sf, "forecast_weeks", lambda: forecast_yearweeks(weekdate(spark, sf), HORIZON, BASE))
 
 
 def train_cut(spark, sf) -> int:
     from panelcast.sources.calendar import latest_closed_yearweek
 
-    return latest_closed_yearweek(TV.dim_weekdate(TV.Tables(spark, sf)), BASE)
+    return materialized(spark, sf, "train_cut", lambda: latest_closed_yearweek(weekdate(spark, sf), BASE))
 
 
 def feature_a(spark, sf) -> DataFrame:
@@ -490,12 +525,18 @@ CTX = {"model_task": "default", "model_scope": "county", "prediction_type": "oof
 
 
 def oof_matrix_a(spark, sf) -> DataFrame:
-    """CV-1 + CV-5 + JOI-15: validation rows of each fold with one column per base prediction."""
-    train = train_a(spark, sf)
-    folds = SP.fold_table(spark, SP.rolling_splits(SP.distinct_weeks(train), OOF_SPLITS, OOF_MIN_TRAIN))
-    sn = OO.local_oof_seasonal_naive(train, folds)
-    va = SP.assign_folds(train, folds, "valid").select(*C.KEY_COLS, "yearweek", F.col("count").alias("y_true"), "lag_1", "roll4_mean")
-    return va.join(sn, [*C.KEY_COLS, "yearweek"], "left")
+    """CV-1 + CV-5 + JOI-15: validation rows of each fold with one column per base prediction.
+
+    Materialised once: the base metrics and the meta OOF both read it.
+    """
+    def build():
+        train = train_a(spark, sf)
+        folds = SP.fold_table(spark, SP.rolling_splits(SP.distinct_weeks(train), OOF_SPLITS, OOF_MIN_TRAIN))
+        sn = OO.local_oof_seasonal_naive(train, folds)
+        va = SP.assign_folds(train, folds, "valid").select(*C.KEY_COLS, "yearweek", F.col("count").alias("y_true"), "lag_1", "roll4_mean")
+        return va.join(sn, [*C.KEY_COLS, "yearweek"], "left")
+
+    return materialized(spark, sf, "oof_matrix_a", build)
 
 
 def _sql_oof_matrix() -> dict:
