@@ -33,9 +33,15 @@ def model_method(df: DataFrame) -> F.Column:
     return F.concat_ws("/", F.when(task != "default", task), layer, name)
 
 
-def rounded_count(col: str = "forecast_count") -> F.Column:
-    """SCA-8: round half to even, clip at 0, integer (missing stays missing)."""
-    return F.greatest(F.rint(F.col(col)), F.lit(0.0)).cast("long")
+def rounded_count(col: str = "forecast_count", missing_as_zero: bool = False) -> F.Column:
+    """SCA-8: round half to even, clip at 0, integer.
+
+    Forecast outputs treat a missing value as 0; the compact projection (COL-16) keeps it missing.
+    """
+    c = F.col(col)
+    if missing_as_zero:
+        return F.greatest(F.rint(F.coalesce(c, F.lit(0.0))), F.lit(0.0)).cast("long")
+    return F.when(c.isNotNull(), F.greatest(F.rint(c), F.lit(0.0)).cast("long"))
 
 
 def compact_metrics(df: DataFrame) -> DataFrame:
