@@ -34,3 +34,54 @@ def final_seasonal_naive(train: DataFrame, future: DataFrame, key_cols=C.KEY_COL
     targets = future.select(*key_cols, "yearweek", F.col("lead_week").alias("h"))
     pred = seasonal_naive(train.select(*key_cols, "yearweek", "count"), targets, key_cols, "count", out_col=out_col)
     return pred.select(*key_cols, "yearweek", out_col)
+
+
+def global_oof(train: DataFrame, folds: DataFrame, specs, numeric, categorical, id_cols, y: str = "count",
+               grid_search: bool = False, grid_splits: int = 3) -> DataFrame:
+    """CV-4: for every global model and fold, fit on the fold's training rows and predict its validation rows.
+
+    A loop of distributed fits (models x folds, both small); the output is long:
+    id_cols + model_name + y_pred. ``train`` should be materialised by the caller.
+    """
+    from panelcast.operators.models import fit_with_constant_guard, fit_with_grid_search
+
+    n_folds = folds.agg(F.max("fold")).first()[0]
+    parts = []
+    for spec in specs:
+        if spec.scope != "global_panel" or not spec.enabled:
+            continue
+        for i in range(0 if n_folds is None else n_folds + 1):
+            f = folds.where(F.col("fold") == i)
+            tr = assign_folds(train, f, "train").drop("fold")
+            va = assign_folds(train, f, "valid").drop("fold")
+            if grid_search:
+                model, _ = fit_with_grid_search(spec, tr, numeric, categorical, y, grid_splits)
+            else:
+                model = fit_with_constant_guard(spec, tr, numeric, categorical, y)
+            pred = model.predict(va, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred")
+            parts.append(pred)
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def final_global_predictions(train: DataFrame, future: DataFrame, specs, numeric, categorical, id_cols,
+                             y: str = "count") -> DataFrame | None:
+    """MOD-10 for global models: refit on all training rows, predict the future rows (long output)."""
+    from panelcast.operators.models import fit_with_constant_guard
+
+    parts = []
+    for spec in specs:
+        if spec.scope != "global_panel" or not spec.enabled:
+            continue
+        model = fit_with_constant_guard(spec, train, numeric, categorical, y)
+        parts.append(model.predict(future, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred"))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
