@@ -723,3 +723,39 @@ def q_agg_15(spark, sf):
     from panelcast.operators.reports import run_summary
 
     return run_summary(metric_rounded(spark, sf), RUN_SETTINGS)
+
+
+# ---------------------------------------------------------------------------
+# End-to-end runs (PAN-7, CV-8): Spark ML models, rows-only check
+# ---------------------------------------------------------------------------
+def task_inputs(spark, sf):
+    from panelcast.plans.forecast import TaskInputs
+
+    return TaskInputs(target_a(spark, sf), source_total_a(spark, sf), weather(spark, sf), calendar(spark, sf),
+                      weekdate(spark, sf), location_map(spark, sf))
+
+
+def run_options(**kw):
+    from panelcast.plans.forecast import RunOptions
+
+    base = dict(run_mode="smoke", max_iter=5, meta_model="ridge", ev_disease=TV.TEST_EV_DISEASE,
+                offshore=TV.TEST_OFFSHORE, source_kind="nhi", covid_years=TV.TEST_COVID_YEARS)
+    base.update(kw)
+    return RunOptions(**base)
+
+
+@register("pan_07_forecast_run")
+def q_pan_07(spark, sf):
+    from panelcast.plans.forecast import run_forecast
+
+    out = run_forecast(task_inputs(spark, sf), TV.SRC_A, "nhi_non_ev_county", BASE, run_options())
+    return out["forecast"]
+
+
+@register("cv_08_holdout_run")
+def q_cv_08(spark, sf):
+    from panelcast.plans.forecast import run_holdout
+
+    out = run_holdout(task_inputs(spark, sf), TV.SRC_A, "nhi_ev_branch", BASE, train_cut(spark, sf), 8,
+                      run_options(meta_model="weighted_average"))
+    return out["metric"]
