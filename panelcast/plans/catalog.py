@@ -36,7 +36,8 @@ def register(name: str, sql: str | None = None):
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+        (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        else F.col(f.name)
         for f in df.schema.fields
     ])
 
@@ -292,7 +293,7 @@ def _ft_sql(body: str, extra: dict | None = None) -> str:
 
 
 def _round_cols(cols, prefix="") -> str:
-    return ", ".join(f"round({prefix}{c}, 6) AS {c}" for c in cols)
+    return ", ".join(f"round({prefix}{c}, 6) + 0.0 AS {c}" for c in cols)
 
 
 FT_BODY = f"SELECT * REPLACE ({_round_cols(FT_DOUBLES)}) FROM ft"
@@ -578,13 +579,13 @@ def base_metrics_a(spark, sf, meta_eval_type: str) -> DataFrame:
 METRIC_GROUP = ["data_source", "model_task", "model_scope", "model_layer", "model_name", "prediction_type", "meta_model", "meta_eval_type"]
 
 
-def _ctx_sql(layer: str, name: str | None = None, eval_type: str = "rolling_meta_oof") -> str:
+def _ctx_sql(layer: str, name: str | None = None, eval_type: str = "rolling_meta_oof", method: str = META_METHOD) -> str:
     nm = f"'{name}' AS model_name, " if name else ""
     return (f"'{CTX['model_task']}' AS model_task, '{CTX['model_scope']}' AS model_scope, '{layer}' AS model_layer, {nm}"
-            f"'{CTX['prediction_type']}' AS prediction_type, '{META_METHOD}' AS meta_model, '{eval_type}' AS meta_eval_type")
+            f"'{CTX['prediction_type']}' AS prediction_type, '{method}' AS meta_model, '{eval_type}' AS meta_eval_type")
 
 
-def _sql_metric_table() -> dict:
+def _sql_metric_table(method: str = META_METHOD) -> dict:
     d = _sql_oof_matrix()
     d["blong"] = f"SELECT *, {_ctx_sql('base')} FROM ({_base_long_sql()})"
     d["bhit"] = Q.hit_cte("blong", ["model_name"])
@@ -596,13 +597,13 @@ def _sql_metric_table() -> dict:
         f"SELECT f.fold, s.data_source, s.disease, s.county, s.yearweek, s.y_true, s.{m} AS y_pred, '{m}' AS model_name, {i} AS _model_pos "
         f"FROM sv s JOIN mfolds f ON f.yearweek = s.yearweek AND f.role = '{src}'" for i, m in enumerate(BASE_MODELS))
     d["mfit"] = melt("train")
-    d.update(Q.rule_weight_ctes("mfit", META_METHOD, C.DEFAULT_ENSEMBLE_TOPK, "mw"))
+    d.update(Q.rule_weight_ctes("mfit", method, C.DEFAULT_ENSEMBLE_TOPK, "mw"))
     d["mval"] = melt("valid")
     d["mpred"] = f"""SELECT v.data_source, v.disease, v.county, v.yearweek, greatest(sum(v.y_pred * w.weight), 0.0) AS y_pred
                      FROM mval v JOIN mw w ON w.fold = v.fold AND w.model_name = v.model_name
                      GROUP BY v.fold, v.data_source, v.disease, v.county, v.yearweek"""
     d["clong"] = f"""SELECT s.data_source, s.disease, s.county, s.yearweek, s.y_true, p.y_pred,
-                            {_ctx_sql('ensemble', C.combiner_model_name(META_METHOD))}
+                            {_ctx_sql('ensemble', C.combiner_model_name(method), method=method)}
                      FROM sv s LEFT JOIN mpred p USING ({Q.KEY}, yearweek)"""
     d["chit"] = Q.hit_cte("clong", ["model_name"])
     d["cmet"] = Q.metric_select(METRIC_GROUP, "chit")
@@ -610,16 +611,16 @@ def _sql_metric_table() -> dict:
     return d
 
 
-def combiner_metrics_a(spark, sf):
+def combiner_metrics_a(spark, sf, method: str = META_METHOD):
     from panelcast.operators.combine import complete_cases, meta_oof_rule
 
     mx = oof_matrix_a(spark, sf)
     ids = [*C.KEY_COLS, "yearweek"]
-    pred, eval_type = meta_oof_rule(mx, BASE_MODELS, META_METHOD, ids, OOF_SPLITS)
+    pred, eval_type = meta_oof_rule(mx, BASE_MODELS, method, ids, OOF_SPLITS)
     sv = complete_cases(mx, BASE_MODELS).select(*ids, "y_true")
     long = sv.join(pred, ids, "left")
-    long = EV.with_context(long, {**CTX, "model_layer": C.combiner_layer(META_METHOD),
-                                  "model_name": C.combiner_model_name(META_METHOD), "meta_model": META_METHOD,
+    long = EV.with_context(long, {**CTX, "model_layer": C.combiner_layer(method),
+                                  "model_name": C.combiner_model_name(method), "meta_model": method,
                                   "meta_eval_type": eval_type})
     return EV.metric_levels(long, METRIC_GROUP), eval_type
 
@@ -759,3 +760,114 @@ def q_cv_08(spark, sf):
     out = run_holdout(task_inputs(spark, sf), TV.SRC_A, "nhi_ev_branch", BASE, train_cut(spark, sf), 8,
                       run_options(meta_model="weighted_average"))
     return out["metric"]
+
+
+# ---------------------------------------------------------------------------
+# Combiner variants, weights and WAPE definitions (COM-2, COM-4, COM-12, AGG-7, AGG-8)
+# ---------------------------------------------------------------------------
+@register("com_02_simple_average_oof_metrics", _ft_sql("SELECT * FROM cmet", _sql_metric_table("simple_average")))
+def q_com_02(spark, sf):
+    return round_doubles(combiner_metrics_a(spark, sf, "simple_average")[0])
+
+
+@register("com_04_topk_average_oof_metrics", _ft_sql("SELECT * FROM cmet", _sql_metric_table("topk_average")))
+def q_com_04(spark, sf):
+    return round_doubles(combiner_metrics_a(spark, sf, "topk_average")[0])
+
+
+def _sql_full_fit_weights(method: str) -> str:
+    d = _sql_metric_table(method)
+    d["afit"] = " UNION ALL ".join(
+        f"SELECT 0 AS fold, y_true, {m} AS y_pred, '{m}' AS model_name, {i} AS _model_pos FROM sv" for i, m in enumerate(BASE_MODELS))
+    d.update(Q.rule_weight_ctes("afit", method, C.DEFAULT_ENSEMBLE_TOPK, "aw"))
+    return _ft_sql(f"SELECT '{method}' AS meta_model, model_name AS base_model, round(weight, 6) AS weight FROM aw", d)
+
+
+def _weights(spark, sf, method):
+    from panelcast.operators.combine import extract_weights
+    from panelcast.operators.stacking import fit_combiner
+
+    meta = fit_combiner(oof_matrix_a(spark, sf), BASE_MODELS, method)
+    return round_doubles(extract_weights(meta.model, method))
+
+
+@register("com_12_weighted_average_weights", _sql_full_fit_weights("weighted_average"))
+def q_com_12_w(spark, sf):
+    return _weights(spark, sf, "weighted_average")
+
+
+@register("com_12_topk_average_weights", _sql_full_fit_weights("topk_average"))
+def q_com_12_t(spark, sf):
+    return _weights(spark, sf, "topk_average")
+
+
+@register("agg_07_08_wape_variants", _ft_sql(
+    """SELECT model_name,
+              round(CASE WHEN sum(abs(y_true)) = 0 THEN 0.0 ELSE sum(abs(y_pred - y_true)) / sum(abs(y_true)) END, 6) AS wape_tuning,
+              round(CASE WHEN sum(abs(y_true)) = 0 THEN CAST('inf' AS DOUBLE) ELSE sum(abs(y_pred - y_true)) / sum(abs(y_true)) END, 6) AS wape_weighting
+       FROM blong GROUP BY model_name""", _sql_metric_table()))
+def q_agg_07(spark, sf):
+    from panelcast.functions.metrics import wape_tuning, wape_weighting
+
+    long = EV.to_long(oof_matrix_a(spark, sf), [*C.KEY_COLS, "yearweek", "y_true"], BASE_MODELS)
+    return round_doubles(long.groupBy("model_name").agg(wape_tuning().alias("wape_tuning"), wape_weighting().alias("wape_weighting")))
+
+
+# ---------------------------------------------------------------------------
+# Feature profile, medians, constant-target test, feature-table summary (AGG-9, AGG-11, AGG-14, AGG-17)
+# ---------------------------------------------------------------------------
+# distinct counts of rolling std values depend on float rounding of the engine, so they stay out of the check
+PROFILE_COLS = ["lag_1", "lag_2", "lag_4", "lag_8", "roll4_mean", "roll8_mean",
+                "source_total_count_lag_1", "disease_rate_lag_1", "airtemperature_avg", "rain_days", "cnt", "voc"]
+
+
+def _sql_train_base() -> dict:
+    d = {**SQL_HIST}
+    d["trb"] = f"""SELECT * FROM (SELECT *, {', '.join(Q.feature_exprs('base'))} FROM th)
+                   WHERE lag_1 IS NOT NULL AND count IS NOT NULL"""
+    return d
+
+
+_DTYPES = {"rain_days": "bigint", "cnt": "double", "voc": "double"}
+
+
+@register("agg_09_feature_profile", _ft_sql(" UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, '{_DTYPES.get(c, "double")}' AS dtype,
+               round(avg(CASE WHEN {c} IS NULL OR isnan(CAST({c} AS DOUBLE)) THEN 1.0 ELSE 0.0 END), 6) AS missing_rate,
+               round(avg(CASE WHEN coalesce(CAST({c} AS DOUBLE), 0.0) = 0 THEN 1.0 ELSE 0.0 END), 6) AS zero_rate,
+               count(DISTINCT CAST({c} AS DOUBLE)) AS n_unique, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+               round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, round(min(CAST({c} AS DOUBLE)), 6) AS min,
+               round(max(CAST({c} AS DOUBLE)), 6) AS max
+        FROM (SELECT * REPLACE (CAST(cnt AS DOUBLE) AS cnt, CAST(voc AS DOUBLE) AS voc) FROM trb)""" for c in PROFILE_COLS), _sql_train_base()))
+def q_agg_09(spark, sf):
+    from panelcast.operators.selection import profile_features
+
+    tr = train_a(spark, sf).withColumn("cnt", F.col("cnt").cast("double")).withColumn("voc", F.col("voc").cast("double"))
+    return round_doubles(profile_features(tr, PROFILE_COLS))
+
+
+@register("agg_11_feature_medians", _ft_sql(
+    "SELECT " + ", ".join(f"round(median({c}), 6) AS {c}" for c in PROFILE_COLS[:6]) + " FROM trb", _sql_train_base()))
+def q_agg_11(spark, sf):
+    tr = train_a(spark, sf)
+    return round_doubles(tr.agg(*[F.median(c).alias(c) for c in PROFILE_COLS[:6]]))
+
+
+@register("agg_14_constant_series", _ft_sql(
+    f"SELECT {Q.KEY}, count(DISTINCT count) <= 1 AS is_constant, count(DISTINCT count) AS n_distinct FROM th GROUP BY ALL",
+    SQL_HIST))
+def q_agg_14(spark, sf):
+    h = history_a(spark, sf)
+    return h.groupBy(*C.KEY_COLS).agg((F.count_distinct("count") <= 1).alias("is_constant"),
+                                      F.count_distinct("count").alias("n_distinct"))
+
+
+@register("agg_17_feature_table_summary", _ft_sql(
+    """SELECT data_source, count(DISTINCT disease) AS n_diseases, count(DISTINCT county) AS county_count,
+              array_to_string(list_slice(list_sort(list(DISTINCT county)), 1, 30), ',') AS counties
+       FROM ft GROUP BY data_source"""))
+def q_agg_17(spark, sf):
+    ft = feature_a(spark, sf)
+    return ft.groupBy("data_source").agg(
+        F.count_distinct("disease").alias("n_diseases"), F.count_distinct("county").alias("county_count"),
+        F.array_join(F.slice(F.array_sort(F.collect_set("county")), 1, 30), ",").alias("counties"))

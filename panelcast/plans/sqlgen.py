@@ -14,7 +14,7 @@ METRICS = ["MAE", "RMSE", "MAPE", "sMAPE", "WAPE", "Bias", "Pearson", "HitRate",
 
 
 def r6(expr: str) -> str:
-    return f"round({expr}, 6)"
+    return f"(round({expr}, 6) + 0.0)"
 
 
 def hit_cte(src: str, group_cols: list[str]) -> str:
