@@ -871,3 +871,212 @@ def q_agg_17(spark, sf):
     return ft.groupBy("data_source").agg(
         F.count_distinct("disease").alias("n_diseases"), F.count_distinct("county").alias("county_count"),
         F.array_join(F.slice(F.array_sort(F.collect_set("county")), 1, 30), ",").alias("counties"))
+
+
+# ---------------------------------------------------------------------------
+# Seasonal-naive holdout back-test (FIL-8, FIL-9, WIN-11, JOI-10, JOI-14, AGG-6, REP-8..10, COL-16)
+# ---------------------------------------------------------------------------
+HOLDOUT_N = 8
+
+
+def naive_holdout_a(spark, sf):
+    """Hold out the last 8 weeks up to the training cut; seasonal naive predicts them from the rest."""
+    from panelcast.operators.panel import complete_horizon
+    from panelcast.plans.forecast import holdout_weeks
+
+    def build():
+        hist = history_a(spark, sf)
+        hw = holdout_weeks(hist, train_cut(spark, sf), HOLDOUT_N)
+        base_train = hist.where(~F.col("yearweek").isin(*hw))
+        raw = hist.where(F.col("yearweek").isin(*hw))
+        hidden = raw.withColumn("count", F.lit(None).cast("double")).withColumn("disease_rate", F.lit(None).cast("double"))
+        kept, _ = complete_horizon(hidden, HOLDOUT_N)
+        train = FE.lag_rolling_features(base_train, "base").where(F.col("lag_1").isNotNull() & F.col("count").isNotNull())
+        pred = OO.final_seasonal_naive(train, kept, out_col="y_pred")
+        lead = F.create_map(*[x for i, w in enumerate(hw) for x in (F.lit(w), F.lit(i + 1))])
+        actual = raw.select(*C.KEY_COLS, "yearweek", F.col("count").alias("y_true"))
+        long = pred.join(actual, [*C.KEY_COLS, "yearweek"], "left").select(
+            *C.KEY_COLS, "yearweek", lead[F.col("yearweek")].alias("lead_week"), "y_true", "y_pred",
+            F.lit("seasonal_naive").alias("model_name"), F.lit("holdout").alias("prediction_type"))
+        return long, base_train, kept, raw, hw
+
+    return materialized(spark, sf, "naive_holdout", build)
+
+
+def _sql_naive_holdout() -> dict:
+    d = {**SQL_HIST}
+    d["hw"] = f"""SELECT yearweek, CAST(row_number() OVER (ORDER BY yearweek) AS INTEGER) AS lead_week
+                  FROM (SELECT DISTINCT yearweek FROM th ORDER BY yearweek DESC LIMIT {HOLDOUT_N})"""
+    d["bt"] = "SELECT * FROM th WHERE yearweek NOT IN (SELECT yearweek FROM hw)"
+    d["hr"] = "SELECT * FROM th WHERE yearweek IN (SELECT yearweek FROM hw)"
+    d["hk"] = f"""SELECT * EXCLUDE (_n) FROM (
+                    SELECT * REPLACE (CAST(NULL AS DOUBLE) AS count, CAST(NULL AS DOUBLE) AS disease_rate),
+                           CAST(row_number() OVER (PARTITION BY {Q.KEY} ORDER BY yearweek) AS INTEGER) AS h,
+                           count(*) OVER (PARTITION BY {Q.KEY}) AS _n
+                    FROM hr) WHERE _n = {HOLDOUT_N} AND h <= {HOLDOUT_N}"""
+    d["trn"] = f"""SELECT * FROM (SELECT *, lag(count, 1) OVER (PARTITION BY {Q.KEY} ORDER BY yearweek) AS _l1 FROM bt)
+                   WHERE _l1 IS NOT NULL AND count IS NOT NULL"""
+    d["hkt"] = f"SELECT {Q.KEY}, yearweek, h FROM hk"
+    d.update(Q.seasonal_naive_sql("trn", "hkt", Q.KEY))
+    d["hlong"] = f"""SELECT p.data_source, p.disease, p.county, p.yearweek, w.lead_week, r.count AS y_true,
+                            p.seasonal_naive AS y_pred, 'seasonal_naive' AS model_name, 'holdout' AS prediction_type
+                     FROM sn_pred p JOIN hw w USING (yearweek)
+                     LEFT JOIN hr r USING ({Q.KEY}, yearweek)"""
+    d["hhit"] = Q.hit_cte("hlong", ["model_name"])
+    d["hmet"] = Q.metric_select(["data_source", "model_name", "prediction_type"], "hhit", by_lead_week=True)
+    return d
+
+
+def naive_holdout_metric(spark, sf):
+    long = naive_holdout_a(spark, sf)[0]
+    return round_doubles(EV.metric_levels(long, ["data_source", "model_name", "prediction_type"], by_lead_week=True))
+
+
+@register("fil_08_holdout_weeks", _ft_sql("SELECT * FROM hw", _sql_naive_holdout()))
+def q_fil_08(spark, sf):
+    hw = naive_holdout_a(spark, sf)[4]
+    lead = F.create_map(*[x for i, w in enumerate(hw) for x in (F.lit(w), F.lit(i + 1))])
+    return history_a(spark, sf).select("yearweek").where(F.col("yearweek").isin(*hw)).distinct().select(
+        "yearweek", lead[F.col("yearweek")].alias("lead_week"))
+
+
+@register("fil_09_holdout_train_split", _ft_sql(
+    "SELECT 'train' AS part, count(*) AS n_rows, min(yearweek) AS min_week, max(yearweek) AS max_week FROM bt "
+    "UNION ALL SELECT 'holdout', count(*), min(yearweek), max(yearweek) FROM hr", _sql_naive_holdout()))
+def q_fil_09(spark, sf):
+    _, bt, _, raw, _ = naive_holdout_a(spark, sf)
+
+    def prof(df, name):
+        return df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n_rows"), F.min("yearweek").alias("min_week"),
+                      F.max("yearweek").alias("max_week"))
+
+    return prof(bt, "train").unionByName(prof(raw, "holdout"))
+
+
+def _holdout_feature_sql() -> str:
+    d = _sql_naive_holdout()
+    for m, p, nm in (("count", "", "cf"), ("source_total_count", "source_total_count_", "tf"), ("disease_rate", "disease_rate_", "rf")):
+        d.update(Q.future_feature_ctes("bt", m, p, "base", HOLDOUT_N, nm))
+    d["hkl"] = "SELECT * EXCLUDE (h), h AS lead_week FROM hk"
+    names = Q.feature_names("base")
+    body = f"""SELECT * REPLACE ({_round_cols([*FT_DOUBLES, *names])}) FROM
+               (SELECT x.*, r.count AS actual_count FROM
+                  (SELECT * FROM hkl JOIN cf USING ({Q.KEY}, lead_week) LEFT JOIN tf USING ({Q.KEY}, lead_week)
+                                   LEFT JOIN rf USING ({Q.KEY}, lead_week)) x
+                LEFT JOIN hr r USING ({Q.KEY}, yearweek))"""
+    return _ft_sql(body, d)
+
+
+@register("win_11_holdout_features", _holdout_feature_sql())
+def q_win_11(spark, sf):
+    _, bt, kept, raw, _ = naive_holdout_a(spark, sf)
+    feats = FE.future_features(bt, kept, "base", HOLDOUT_N)
+    actual = raw.select(*C.KEY_COLS, "yearweek", F.col("count").alias("actual_count"))
+    return round_doubles(feats.join(actual, [*C.KEY_COLS, "yearweek"], "left"))
+
+
+@register("agg_06_holdout_metric_levels", _ft_sql("SELECT * FROM hmet", _sql_naive_holdout()))
+def q_agg_06(spark, sf):
+    return naive_holdout_metric(spark, sf)
+
+
+@register("rep_08_lead_week_summary", _ft_sql(
+    """SELECT data_source, model_name, lead_week, n_obs, WAPE, MAE, RMSE, Pearson, HitRate, Bias
+       FROM hmet WHERE metric_level = 'by_lead_week'""", _sql_naive_holdout()))
+def q_rep_08(spark, sf):
+    from panelcast.operators.reports import lead_week_summary
+
+    return lead_week_summary(naive_holdout_metric(spark, sf))
+
+
+@register("rep_10_holdout_leaderboard", _ft_sql("SELECT * FROM hmet WHERE metric_level = 'overall'", _sql_naive_holdout()))
+def q_rep_10(spark, sf):
+    from panelcast.operators.reports import holdout_leaderboard
+
+    return holdout_leaderboard(naive_holdout_metric(spark, sf))
+
+
+PLOT_WEEKS = 26
+
+
+@register("rep_09_chart_series", _ft_sql(
+    f"""SELECT coalesce(a.data_source, p.data_source) AS data_source, coalesce(a.disease, p.disease) AS disease,
+               coalesce(a.county, p.county) AS county, coalesce(a.yearweek, p.yearweek) AS yearweek,
+               a.actual_count, round(p.forecast_count, 6) AS forecast_count,
+               translate(concat_ws('_', coalesce(a.data_source, p.data_source), coalesce(a.disease, p.disease),
+                                   coalesce(a.county, p.county)), '/ ', '__') AS series_name,
+               coalesce(a.yearweek, p.yearweek) >= (SELECT min(yearweek) FROM hw) AS in_holdout
+        FROM (SELECT {Q.KEY}, yearweek, count AS actual_count FROM th
+              WHERE yearweek >= (SELECT min(yearweek) FROM (SELECT DISTINCT yearweek FROM th ORDER BY yearweek DESC LIMIT {PLOT_WEEKS}))) a
+        FULL JOIN (SELECT {Q.KEY}, yearweek, y_pred AS forecast_count FROM hlong
+                   WHERE ({Q.KEY}) IN (SELECT ({Q.KEY}) FROM th
+                        WHERE yearweek >= (SELECT min(yearweek) FROM (SELECT DISTINCT yearweek FROM th ORDER BY yearweek DESC LIMIT {PLOT_WEEKS})))) p
+        USING ({Q.KEY}, yearweek)""", _sql_naive_holdout()))
+def q_rep_09(spark, sf):
+    from panelcast.operators.reports import chart_series
+
+    long, _, _, _, hw = naive_holdout_a(spark, sf)
+    pred = long.select(*C.KEY_COLS, "yearweek", F.col("y_pred").alias("forecast_count"))
+    return round_doubles(chart_series(history_a(spark, sf), pred, PLOT_WEEKS, C.KEY_COLS, hw[0]))
+
+
+@register("col_16_compact_predictions", _ft_sql(
+    """SELECT data_source, 'base/seasonal_naive' AS model_method, disease, county, yearweek, lead_week,
+              y_true AS actual_count, round(y_pred, 6) AS forecast_count,
+              CAST(greatest(round_even(y_pred, 0), 0) AS BIGINT) AS forecast_count_rounded
+       FROM hlong""", _sql_naive_holdout()))
+def q_col_16(spark, sf):
+    from panelcast.operators.reports import compact_predictions
+
+    long = naive_holdout_a(spark, sf)[0]
+    df = long.select(*C.KEY_COLS, "yearweek", "lead_week", F.col("y_true").alias("actual_count"),
+                     F.col("y_pred").alias("forecast_count"), F.lit("default").alias("model_task"),
+                     F.lit("base").alias("model_layer"), F.col("model_name"))
+    return round_doubles(compact_predictions(df))
+
+
+@register("set_06_base_predictions_long", _ft_sql(
+    " UNION ALL ".join(f"SELECT {Q.KEY}, yearweek, '{m}' AS base_model, round({m}, 6) + 0.0 AS y_pred FROM mx" for m in BASE_MODELS),
+    _sql_oof_matrix()))
+def q_set_06(spark, sf):
+    long = EV.to_long(oof_matrix_a(spark, sf), [*C.KEY_COLS, "yearweek"], BASE_MODELS, name_col="base_model", drop_missing=False)
+    return round_doubles(long)
+
+
+# ---------------------------------------------------------------------------
+# Location dimension (SRC-6, SET-5, AGG-3)
+# ---------------------------------------------------------------------------
+_LOC_EXPANDED = """SELECT DISTINCT replace(replace(replace(trim(old_name), '臺', '台'), ' ', ''), '　', '') AS county_key,
+                          trim(new_name) AS new_name, trim(branch_t) AS branch_t FROM dim_location WHERE branch_t IS NOT NULL
+                   UNION
+                   SELECT replace(replace(replace(trim(new_name), '臺', '台'), ' ', ''), '　', ''), trim(new_name), trim(branch_t)
+                   FROM dim_location WHERE branch_t IS NOT NULL"""
+
+
+def _expanded_locations(spark, sf):
+    from panelcast.operators.locations import location_key, strip_ws
+
+    d = TV.dim_location(TV.Tables(spark, sf)).select("old_name", "new_name", "branch_t").where(F.col("branch_t").isNotNull()).distinct()
+    new = F.coalesce(strip_ws(F.col("new_name")), F.lit("None"))
+    return (d.select(location_key("old_name").alias("county_key"), new.alias("new_name"), strip_ws("branch_t").alias("branch_t"))
+            .unionByName(d.select(location_key("new_name").alias("county_key"), new.alias("new_name"), strip_ws("branch_t").alias("branch_t")))
+            .distinct())
+
+
+@register("set_05_location_expansion", TV.with_views(_LOC_EXPANDED, "dim_location"))
+def q_set_05(spark, sf):
+    return _expanded_locations(spark, sf)
+
+
+@register("agg_03_location_conflicts", TV.with_views(
+    f"SELECT county_key, count(DISTINCT branch_t) AS n_branch FROM ({_LOC_EXPANDED}) GROUP BY county_key HAVING count(DISTINCT branch_t) > 1",
+    "dim_location"))
+def q_agg_03(spark, sf):
+    e = _expanded_locations(spark, sf)
+    return e.groupBy("county_key").agg(F.count_distinct("branch_t").alias("n_branch")).where(F.col("n_branch") > 1)
+
+
+@register("src_06_location_scan", TV.with_views(
+    "SELECT DISTINCT old_name, new_name, branch_t FROM dim_location WHERE branch_t IS NOT NULL", "dim_location"))
+def q_src_06(spark, sf):
+    return TV.dim_location(TV.Tables(spark, sf)).select("old_name", "new_name", "branch_t").where(F.col("branch_t").isNotNull()).distinct()

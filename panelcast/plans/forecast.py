@@ -196,7 +196,7 @@ def run_holdout(inputs: TaskInputs, data_source: str, model_task: str, base_date
     opts = opts or RunOptions()
     weeks = forecast_yearweeks(inputs.weekdate, opts.forecast_period, base_date)
     cfg, feature, removed, exog = prepare(inputs, data_source, model_task, opts, weeks)
-    hist = _persist(feature.where((~F.col("is_future")) & F.col("count").isNotNull()))
+    hist = _persist(feature.where((~F.col("is_future")) & F.col("count").isNotNull() & (F.col("yearweek") <= int(end_week))))
     hw = holdout_weeks(hist, end_week, n_holdout)
     lead = F.create_map(*[x for i, w in enumerate(hw) for x in (F.lit(w), F.lit(i + 1))])
     base_train = _persist(PN.apply_recent_weeks(hist.where(~F.col("yearweek").isin(*hw)), cfg.recent_weeks))
