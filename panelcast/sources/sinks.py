@@ -63,8 +63,11 @@ def replace_partition(spark: SparkSession, df: DataFrame, target: str, keys: dic
         c = F.col(k) == F.lit(v)
         cond = c if cond is None else cond & c
     if df.isEmpty() and not _is_path(target):
-        spec = ", ".join(f"{k} = :{k}" for k in keys)
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({spec})", args=keys)
+        def lit(v):
+            return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
+
+        spec = ", ".join(f"{k} = {lit(v)}" for k, v in keys.items())
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({spec})")
         return
     if df.isEmpty():
         # delete only on a path: the remaining rows are checkpointed (lineage cut from the target), then the
