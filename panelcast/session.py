@@ -28,6 +28,7 @@ def build_session(master: str | None = None, app: str = "panelcast", shuffle_par
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.parquet.aggregatePushdown", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

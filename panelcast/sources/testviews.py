@@ -23,6 +23,8 @@ TEST_COVID_YEARS = (1998, 1999)
 TEST_BASE_DATE = dt.date(2001, 7, 2)
 TEST_OFFSHORE = ("NATION_2", "NATION_7", "NATION_12")
 SRC_A = "src_a"
+# dimensions that grow with the data are broadcast only below this many rows
+BROADCAST_MAX_ROWS = 2_000_000
 SRC_B = "src_b"
 
 
@@ -39,16 +41,25 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a dimension that grows with the data only after checking its row count.
+
+    Beyond the bound the join stays a shuffle join (AQE may still switch it at
+    run time from measured sizes, and splits skewed partitions).
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def panel_a(t: Tables) -> DataFrame:
     """Weekly line counts per (ship week, supplier nation, return flag)."""
     li = t.lineitem.select(
         "l_suppkey", yearweek_of("l_shipdate").alias("yearweek"), F.col("l_returnflag").alias("disease")
     )
-    # nation has 25 rows by definition: broadcast; supplier is left to the planner (AQE broadcasts it when small)
+    # nation has 25 rows by definition: broadcast; the supplier map grows with the data: size-checked
     sup = t.supplier.select("s_suppkey", "s_nationkey").join(
         F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("s_nationkey") == F.col("n_nationkey")
     )
-    j = li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+    j = li.join(broadcast_if_small(sup), F.col("l_suppkey") == F.col("s_suppkey"))
     return j.groupBy("yearweek", F.col("n_name").alias("county"), "disease").agg(
         F.count(F.lit(1)).cast("double").alias("count")
     )
@@ -62,7 +73,7 @@ def panel_b(t: Tables) -> DataFrame:
         .join(t.region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     cust = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-    j = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    j = o.join(broadcast_if_small(cust), F.col("o_custkey") == F.col("c_custkey"))
     return j.groupBy("yearweek", F.col("r_name").alias("county"), "disease").agg(
         F.count(F.lit(1)).cast("double").alias("count")
     )
@@ -88,7 +99,7 @@ def weather_weekly(t: Tables) -> DataFrame:
     cust = t.customer.select("c_custkey", "c_nationkey").join(
         F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    j = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    j = o.join(broadcast_if_small(cust), F.col("o_custkey") == F.col("c_custkey"))
     return j.groupBy("yearweek", F.col("n_name").alias("city")).agg(
         F.avg("o_totalprice").alias("airtemperature_avg"), F.count(F.lit(1)).alias("rain_days")
     )
@@ -96,11 +107,10 @@ def weather_weekly(t: Tables) -> DataFrame:
 
 def dim_weekdate(t: Tables) -> DataFrame:
     """Every date from January 1 of the first data year to December 31 of the year after the last."""
-    bounds = (
-        t.orders.select(F.to_date("o_orderdate").alias("d"))
-        .unionByName(t.lineitem.select(F.to_date("l_shipdate").alias("d")))
-        .agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    )
+    # min/max straight on the scanned columns, so parquet footers can answer them
+    per_table = t.orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).unionByName(
+        t.lineitem.agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi")))
+    bounds = per_table.agg(F.to_date(F.min("lo")).alias("lo"), F.to_date(F.max("hi")).alias("hi"))
     start = F.make_date(F.year("lo"), F.lit(1), F.lit(1))
     end = F.make_date(F.year("hi") + 1, F.lit(12), F.lit(31))
     days = bounds.select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("date"))
