@@ -74,6 +74,19 @@ def correlation_matrix(df: DataFrame, cols) -> np.ndarray:
     return Correlation.corr(vec, "_f", "pearson").first()[0].toArray()
 
 
+def pair_correlations(df: DataFrame, cols) -> DataFrame:
+    """AGG-10 as a table: (feature_a, feature_b, corr) for every pair, NULL when a side is constant.
+
+    One aggregate of population covariances and standard deviations (no
+    division error on constant columns).
+    """
+    cols = list(cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    row = df.agg(*[F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)).alias(f"{a}|{b}") for a, b in pairs]).first()
+    spark = df.sparkSession
+    return spark.createDataFrame([(a, b, row[f"{a}|{b}"]) for a, b in pairs], "feature_a string, feature_b string, corr double")
+
+
 def filter_numeric_features(train: DataFrame, numeric_cols, missing_threshold: float = 0.90,
                             corr_threshold: float = 0.98) -> SelectionResult:
     """SEL-2: missing-rate and distinct filters, mandatory features kept, zero-variance and near-duplicate removal."""

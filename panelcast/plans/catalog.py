@@ -1080,3 +1080,47 @@ def q_agg_03(spark, sf):
     "SELECT DISTINCT old_name, new_name, branch_t FROM dim_location WHERE branch_t IS NOT NULL", "dim_location"))
 def q_src_06(spark, sf):
     return TV.dim_location(TV.Tables(spark, sf)).select("old_name", "new_name", "branch_t").where(F.col("branch_t").isNotNull()).distinct()
+
+
+# ---------------------------------------------------------------------------
+# Named-parameter query, correlations, seasonality (SRC-10, AGG-10, SCA-2, SCA-3)
+# ---------------------------------------------------------------------------
+@register("src_10_named_parameter_query", TV.with_views(
+    f"""SELECT county, disease, count(*) AS weeks, sum(count) AS total FROM ({SQL_TARGET_A})
+        WHERE yearweek BETWEEN 199801 AND 199952 GROUP BY county, disease""", "panel_a"))
+def q_src_10(spark, sf):
+    return SC.read_sql(spark, """SELECT county, disease, count(*) AS weeks, sum(count) AS total FROM {panel}
+                                 WHERE yearweek BETWEEN :lo AND :hi GROUP BY county, disease""",
+                       {"lo": 199801, "hi": 199952}, panel=target_a(spark, sf))
+
+
+CORR_COLS = ["lag_1", "lag_2", "lag_4", "roll4_mean", "roll8_mean"]
+
+
+@register("agg_10_feature_correlations", _ft_sql(" UNION ALL ".join(
+    f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b,
+               round(CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0
+                          THEN covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) END, 6) AS corr FROM imp"""
+    for i, a in enumerate(CORR_COLS) for b in CORR_COLS[i + 1:]), {
+        **_sql_train_base(),
+        "med": "SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in CORR_COLS) + " FROM trb",
+        "imp": "SELECT " + ", ".join(f"coalesce({c}, (SELECT m_{c} FROM med)) AS {c}" for c in CORR_COLS) + " FROM trb"}))
+def q_agg_10(spark, sf):
+    from panelcast.operators.selection import column_medians, impute, pair_correlations
+
+    tr = train_a(spark, sf).select(*CORR_COLS)
+    return round_doubles(pair_correlations(impute(tr, column_medians(tr, CORR_COLS)), CORR_COLS))
+
+
+@register("sca_02_week_seasonality", _ft_sql(
+    f"""SELECT {Q.KEY}, yearweek, CAST(yearweek // 100 AS INTEGER) AS year, CAST(yearweek % 100 AS INTEGER) AS week,
+               round(sin(2 * pi() * (yearweek % 100) / 52), 6) + 0.0 AS week_sin,
+               round(cos(2 * pi() * (yearweek % 100) / 52), 6) + 0.0 AS week_cos,
+               round(lag(count, 1) OVER (PARTITION BY {Q.KEY} ORDER BY yearweek), 6) AS lag_1
+        FROM th""", SQL_HIST))
+def q_sca_02(spark, sf):
+    h = history_a(spark, sf).select(*C.KEY_COLS, "yearweek", "count",
+                                    (F.col("yearweek") / 100).cast("int").alias("year"),
+                                    (F.col("yearweek") % 100).cast("int").alias("week"))
+    f = FE.lag_rolling_features(h, "base")
+    return round_doubles(f.select(*C.KEY_COLS, "yearweek", "year", "week", "week_sin", "week_cos", "lag_1"))

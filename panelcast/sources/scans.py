@@ -21,9 +21,12 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
-def read_sql(spark: SparkSession, sql: str, params: dict | None = None) -> DataFrame:
-    """SRC-10: named-parameter query (``:name`` markers); a missing parameter is an error."""
-    return spark.sql(sql, args=params or {})
+def read_sql(spark: SparkSession, sql: str, params: dict | None = None, **frames: DataFrame) -> DataFrame:
+    """SRC-10: named-parameter query (``:name`` markers, a missing parameter is an error).
+
+    DataFrames passed as keywords are referenced as ``{name}`` in the text.
+    """
+    return spark.sql(sql, args=params or {}, **frames)
 
 
 def pick_col(df: DataFrame, candidates, required: bool = True) -> str | None:
