@@ -245,3 +245,13 @@ def run_holdout(inputs: TaskInputs, data_source: str, model_task: str, base_date
     base_pred = base_pred.withColumn("forecast_count_rounded", F.greatest(F.rint("forecast_count"), F.lit(0.0)).cast("long"))
     return {"predictions": predictions, "base_predictions": base_pred, "metric": metric,
             "used_features": sel.report, "holdout_weeks": hw, "actual_history": hist}
+
+
+def run_all(inputs_by_source: dict, base_date: dt.date, opts: RunOptions | None = None) -> dict[str, DataFrame]:
+    """PAN-6 + SET-2: every task of every source, outputs concatenated by name (missing columns become NULL)."""
+    out: dict[str, DataFrame] = {}
+    for task in C.expand_model_tasks(list(inputs_by_source)):
+        res = run_forecast(inputs_by_source[task["data_source"]], task["data_source"], task["model_task"], base_date, opts)
+        for k, df in res.items():
+            out[k] = df if k not in out else out[k].unionByName(df, allowMissingColumns=True)
+    return out
