@@ -145,3 +145,18 @@ def chart_series(actual: DataFrame, prediction: DataFrame, plot_weeks: int, key_
     name = F.translate(F.concat_ws("_", *[F.col(c).cast("string") for c in key_cols]), "/ ", "__")
     return j.select(*key_cols, "yearweek", "actual_count", "forecast_count", name.alias("series_name"),
                     (F.col("yearweek") >= F.lit(int(holdout_start_week))).alias("in_holdout"))
+
+
+OUTPUT_ORDER = {
+    # SRT-1 / SRT-4: sink ordering of the output frames
+    "feature_table": ["data_source", "disease", "county", "yearweek", "is_future"],
+    "predictions": ["data_source", "model_task", "disease", "county", "yearweek"],
+    "base_predictions": ["data_source", "model_task", "base_model", "disease", "county", "yearweek"],
+    "metrics": ["data_source", "model_task", "model_name", "metric_level", "disease", "county", "lead_week"],
+    "features": ["data_source", "model_task", "feature_type", "feature"],
+}
+
+
+def sorted_for_output(df: DataFrame, kind: str) -> DataFrame:
+    """Order a frame for writing (only at the sink; never inside the pipeline)."""
+    return df.orderBy(*[c for c in OUTPUT_ORDER[kind] if c in df.columns])

@@ -128,6 +128,29 @@ def evaluate(matrix: DataFrame, names, meta_model: str, n_splits: int, context:
     return metric, eval_type, meta, used
 
 
+def feature_report(numeric_report: DataFrame, categorical, data_source: str, model_task: str) -> DataFrame:
+    """REP-4 + SET-9: numeric profile/selection rows plus one row per categorical feature."""
+    num = numeric_report.select("*", F.lit("numeric").alias("feature_type"))
+    spark = numeric_report.sparkSession
+    cat = spark.createDataFrame([(c,) for c in categorical] or [("",)], "feature string")
+    if not categorical:
+        cat = cat.limit(0)
+    cat = cat.select("feature", F.lit("categorical").alias("feature_type"), F.lit("string").alias("dtype"),
+                     F.lit(True).alias("selected"), F.lit("categorical").alias("selection_stage"))
+    out = num.unionByName(cat, allowMissingColumns=True)
+    return out.select("*", F.lit(data_source).alias("data_source"), F.lit(model_task).alias("model_task"))
+
+
+def compare_meta_models(matrix: DataFrame, names, methods, n_splits: int, context: dict) -> DataFrame:
+    """CV-7: metric rows of several combiners over the same base OOF (the base OOF is computed once)."""
+    out = None
+    for m in methods:
+        metric, *_ = evaluate(matrix, names, m, n_splits, context)
+        comb = metric.where(F.col("model_layer") != "base")
+        out = comb if out is None else out.unionByName(comb)
+    return out
+
+
 def run_forecast(inputs: TaskInputs, data_source: str, model_task: str, base_date: dt.date,
                  opts: RunOptions | None = None) -> dict[str, DataFrame]:
     """PAN-7: one task end to end; returns forecast, base_prediction, metric and feature_report frames."""
@@ -176,8 +199,7 @@ def run_forecast(inputs: TaskInputs, data_source: str, model_task: str, base_dat
         F.greatest(F.rint(F.coalesce("_p", F.lit(0.0))), F.lit(0.0)).cast("long").alias("forecast_count"),
         F.lit(model_task).alias("model_task"), F.lit(meta_info["model_scope"]).alias("model_scope"),
     )
-    report = sel.report.select("*", F.lit("numeric").alias("feature_type"), F.lit(data_source).alias("data_source"),
-                               F.lit(model_task).alias("model_task"))
+    report = feature_report(sel.report, categorical, data_source, model_task)
     return {"forecast": forecast, "base_prediction": base_pred, "metric": metric, "feature_report": report,
             "rejected_series": rejected}
 
