@@ -55,13 +55,27 @@ def fit_preprocess(train: DataFrame, numeric_cols, categorical_cols) -> Preproce
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
 
     numeric, categorical = list(numeric_cols), list(categorical_cols)
-    med_row = train.agg(*[F.median(finite(F.col(c).cast("double"))).alias(c) for c in numeric]).first() if numeric else {}
-    medians = {c: (med_row[c] if med_row[c] is not None else 0.0) for c in numeric}
-    filled = [F.coalesce(finite(F.col(c).cast("double")), F.lit(medians[c])) for c in numeric]
-    stats = train.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(filled)],
-                      *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(filled)]).first() if numeric else {}
-    means = {c: float(stats[f"m{i}"] or 0.0) for i, c in enumerate(numeric)}
-    scales = {c: (float(stats[f"s{i}"]) if stats[f"s{i}"] else 1.0) for i, c in enumerate(numeric)}
+    medians, means, scales = {}, {}, {}
+    if numeric:
+        # one pass: medians plus moments of the present values; the moments of the
+        # imputed column follow from them (missing values sit at the median)
+        xs = [finite(F.col(c).cast("double")) for c in numeric]
+        row = train.agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.median(x).alias(f"q{i}") for i, x in enumerate(xs)],
+            *[F.count(x).alias(f"k{i}") for i, x in enumerate(xs)],
+            *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
+            *[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(xs)],
+        ).first()
+        n = row["_n"] or 1
+        for i, c in enumerate(numeric):
+            med = row[f"q{i}"] if row[f"q{i}"] is not None else 0.0
+            k, m, v = row[f"k{i}"], row[f"m{i}"] or 0.0, row[f"v{i}"] or 0.0
+            mean = (k * m + (n - k) * med) / n
+            # total variance = within present values + between present mean / median groups
+            var = (k * (v + (m - mean) ** 2) + (n - k) * (med - mean) ** 2) / n
+            medians[c], means[c] = med, mean
+            scales[c] = math.sqrt(var) if var > 1e-24 else 1.0
     modes, cat_model = {}, None
     if categorical:
         for c in categorical:
