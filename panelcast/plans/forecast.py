@@ -108,11 +108,24 @@ def final_base(train: DataFrame, future: DataFrame, specs, numeric, categorical,
     return future.select(*ID, "lead_week").join(wide, ID, "left")
 
 
+def impute_predictions(df: DataFrame, model_cols) -> DataFrame:
+    """MOD-11: a missing base prediction takes its column's median over the batch, then 0."""
+    from panelcast.functions.metrics import finite
+
+    med = df.agg(*[F.median(finite(c)).alias(c) for c in model_cols]).first()
+    return df.select(*[F.coalesce(finite(c), F.lit(med[c]), F.lit(0.0)).alias(c) if c in model_cols else F.col(c)
+                       for c in df.columns])
+
+
 def evaluate(matrix: DataFrame, names, meta_model: str, n_splits: int, context: dict):
     """Base and combiner metric rows (AGG-5) from the OOF matrix; returns (metric, eval_type, meta, used models)."""
     from panelcast.operators.combine import complete_cases, drop_empty_models
 
     used = drop_empty_models(matrix, names)
+    if len(used) < 2:
+        raise RuntimeError(f"Need at least 2 base model predictions for stacking, got {len(used)}")
+    if complete_cases(matrix, used).isEmpty():
+        raise RuntimeError("OOF prediction is empty")
     base_long = EV.to_long(matrix, [*ID, "y_true"], used)
     base_long = EV.with_context(base_long, {**context, "model_layer": "base"})
     group = [*context.keys(), "model_layer", "model_name"]
@@ -177,7 +190,8 @@ def run_forecast(inputs: TaskInputs, data_source: str, model_task: str, base_dat
     matrix, names = fit_oof(train, cfg, specs, numeric, categorical, opts)
     metric, eval_type, meta, used = evaluate(matrix, names, opts.meta_model, cfg.n_splits, context)
     metric = _persist(metric)
-    fb = _persist(final_base(train, future, specs, numeric, categorical, names))
+    fb = final_base(train, future, specs, numeric, categorical, names).select(*ID, "lead_week", *used)
+    fb = _persist(impute_predictions(fb, used))
     stacked_future = ST.predict_combiner(meta, fb, ID).withColumnRenamed("y_pred", "_stack")
     choice = EV.select_final_model(metric, opts.meta_model, eval_type).first()
     final_name, final_layer = choice["final_model_name"], choice["final_model_layer"]
@@ -241,7 +255,8 @@ def run_holdout(inputs: TaskInputs, data_source: str, model_task: str, base_date
     used = drop_empty_models(matrix, names)
     meta = ST.fit_combiner(matrix, used, opts.meta_model)
     fb = final_base(train, hf.withColumn("lead_week", F.col("_step")), specs, numeric, categorical, names)
-    fb = _persist(fb.drop("lead_week").join(hf.select(*ID, "lead_week"), ID))
+    fb = fb.drop("lead_week").join(hf.select(*ID, "lead_week"), ID).select(*ID, "lead_week", *used)
+    fb = _persist(impute_predictions(fb, used))
     pred = ST.predict_combiner(meta, fb, ID)
     out = fb.select(*ID, "lead_week").join(pred, ID).join(actual, ID, "left")
     predictions = out.select(
