@@ -78,9 +78,13 @@ def fit_preprocess(train: DataFrame, numeric_cols, categorical_cols) -> Preproce
             scales[c] = math.sqrt(var) if var > 1e-24 else 1.0
     modes, cat_model = {}, None
     if categorical:
+        nulls = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in categorical]).first()
         for c in categorical:
-            top = train.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), F.col(c)).first()
-            modes[c] = str(top[0]) if top else ""
+            modes[c] = ""
+            if nulls[c]:
+                # most frequent level (ties by value) fills missing categories
+                top = train.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), F.col(c)).first()
+                modes[c] = str(top[0]) if top else ""
         filled_cat = train.select(*[F.coalesce(F.col(c).cast("string"), F.lit(modes[c])).alias(c) for c in categorical])
         idx = StringIndexer(inputCols=categorical, outputCols=[f"_ix_{c}" for c in categorical], handleInvalid="keep")
         ohe = OneHotEncoder(inputCols=[f"_ix_{c}" for c in categorical], outputCols=[f"_oh_{c}" for c in categorical],
@@ -159,8 +163,8 @@ def fit_linear(train: DataFrame, numeric, categorical, y: str = "count", alpha:
 
     data = train.where(F.col(y).isNotNull()).withColumn("_y", F.col(y).cast("double"))
     pre = fit_preprocess(data, numeric, categorical)
-    x = pre.transform(data)
-    n, sd = _label_stats(data, "_y")
+    x = pre.transform(data).select("_features", "_y").persist()
+    n, sd = _label_stats(x, "_y")
     if loss == "huber":
         lr = LinearRegression(loss="huber", epsilon=epsilon, regParam=alpha / max(n, 1), elasticNetParam=0.0,
                               standardization=False, labelCol="_y", featuresCol="_features")
@@ -171,7 +175,9 @@ def fit_linear(train: DataFrame, numeric, categorical, y: str = "count", alpha:
         lam = alpha * l1_ratio + alpha * (1 - l1_ratio) * sd
         lr = LinearRegression(regParam=lam, elasticNetParam=(alpha * l1_ratio / lam) if lam > 0 else 0.0,
                               standardization=False, maxIter=200, tol=1e-9, labelCol="_y", featuresCol="_features")
-    return SparkModel(pre, lr.fit(x))
+    model = lr.fit(x)
+    x.unpersist()
+    return SparkModel(pre, model)
 
 
 GBT_PRESETS = {
@@ -200,7 +206,10 @@ def fit_gbt(train: DataFrame, numeric, categorical, y: str = "count", preset: st
                        maxDepth=int(max_depth or depth), stepSize=float(step_size or step),
                        subsamplingRate=float(subsample or sub), featureSubsetStrategy=feat,
                        minInstancesPerNode=int(min_instances or 1), seed=seed)
-    return SparkModel(pre, gbt.fit(pre.transform(data)))
+    x = pre.transform(data).select("_features", "_y").persist()
+    model = gbt.fit(x)
+    x.unpersist()
+    return SparkModel(pre, model)
 
 
 def fit_poisson_boost(train: DataFrame, numeric, categorical, y: str = "count", preset: str = "lightgbm_poisson",
