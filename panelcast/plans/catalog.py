@@ -758,7 +758,7 @@ def q_cv_08(spark, sf):
     from panelcast.plans.forecast import run_holdout
 
     out = run_holdout(task_inputs(spark, sf), TV.SRC_A, "nhi_ev_branch", BASE, train_cut(spark, sf), 8,
-                      run_options(meta_model="weighted_average"))
+                      run_options(meta_model="weighted_average", feature_select="lgbm_topk", top_k=12))
     return out["metric"]
 
 

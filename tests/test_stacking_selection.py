@@ -70,3 +70,18 @@ def test_task_expansion():
     assert [t["model_task"] for t in tasks] == ["nhi_ev_branch", "nhi_non_ev_county", "rods_ev_national", "rods_non_ev", "default"]
     assert C.task_metadata("nhi_ev_branch")["model_scope"] == "branch"
     assert C.combiner_model_name("topk_average") == "ensemble_topk_average"
+
+
+def test_importance_topk(spark):
+    from panelcast.operators.selection import importance_topk
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(120):
+        a, b, c = rng.normal(size=3)
+        rows.append((float(a), float(b), float(c), float(5 * a + 0.1 * rng.normal())))
+    df = spark.createDataFrame(rows, "signal double, noise1 double, noise2 double, count double")
+    res = importance_topk(df, ["signal", "noise1", "noise2"], top_k=1, max_iter=5)
+    assert res.numeric_cols == ["signal"]
+    rep = {r.feature: (r.selected, r.importance) for r in res.report.collect()}
+    assert rep["signal"][0] and rep["signal"][1] > rep["noise1"][1]
