@@ -286,10 +286,10 @@ FT_VIEWS = ("panel_a", "source_total", "weather_weekly", "dim_weekdate", "dim_ca
 FT_DOUBLES = ["count", "source_total_count", "disease_rate", "airtemperature_avg"]
 
 
-def _ft_sql(body: str, extra: dict | None = None) -> str:
+def _ft_sql(body: str, extra: dict | None = None, views=()) -> str:
     d = dict(SQL_FEATURE_A)
     d.update(extra or {})
-    return TV.with_views(body, *FT_VIEWS, extra=d)
+    return TV.with_views(body, *FT_VIEWS, *views, extra=d)
 
 
 def _round_cols(cols, prefix="") -> str:
@@ -324,7 +324,7 @@ SQL_LOCMAP = """SELECT county_key, min(new_name) AS new_name, min(branch_t) AS b
 def location_map(spark, sf):
     from panelcast.operators.locations import build_location_map
 
-    return build_location_map(TV.dim_location(TV.Tables(spark, sf)))
+    return materialized(spark, sf, "location_map", lambda: build_location_map(TV.dim_location(TV.Tables(spark, sf))))
 
 
 @register("pan_02_location_map", TV.with_views(SQL_LOCMAP, "dim_location"))
@@ -348,7 +348,7 @@ def _collapse_sql(src: str, county_expr: str, drop_weather: bool = False) -> str
 @register("pan_03_ev_branch_collapse", _ft_sql(
     _collapse_sql("ft f JOIN lm ON lm.county_key = replace(replace(replace(trim(f.county), '臺', '台'), ' ', ''), '　', '') "
                   f"WHERE f.disease = '{TV.TEST_EV_DISEASE}'", "lm.branch_t"),
-    {"lm": SQL_LOCMAP}).replace("WITH panel_a AS", "WITH dim_location AS (" + TV.SQL_VIEWS["dim_location"] + "),\npanel_a AS", 1))
+    {"lm": SQL_LOCMAP}, views=("dim_location",)))
 def q_pan_03(spark, sf):
     from panelcast.operators.panel import prepare_task
 

@@ -139,7 +139,10 @@ def dim_holiday(t: Tables) -> DataFrame:
 
 
 def dim_location(t: Tables) -> DataFrame:
-    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    """Place -> region for every place that occurs in the source panel (nation x region, limited to the data)."""
+    places = panel_a(t).select(F.col("county").alias("n_name")).distinct()
+    geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+    return places.join(F.broadcast(geo), "n_name").select(
         F.col("n_name").alias("old_name"), F.col("n_name").alias("new_name"), F.col("r_name").alias("branch_t")
     )
 
@@ -196,7 +199,8 @@ SQL_VIEWS = {
         WHERE ly IS NOT NULL OR md = '10-10' OR day(date) = 1""",
     "dim_location": """
         SELECT n.n_name AS old_name, n.n_name AS new_name, r.r_name AS branch_t
-        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+        WHERE n.n_name IN (SELECT county FROM panel_a)""",
     "dim_calendar": f"""
         SELECT yearweek, CAST(7 - sum(lv) AS INTEGER) AS cnt, CAST(max(voc) AS INTEGER) AS voc,
                CAST(sum(eve) AS INTEGER) AS eve, CAST(max(evp) AS INTEGER) AS ev_period,
@@ -217,6 +221,7 @@ _VIEW_DEPS = {
     "source_total": ["panel_a"],
     "dim_holiday": ["dim_weekdate"],
     "dim_calendar": ["dim_holiday", "dim_weekdate"],
+    "dim_location": ["panel_a"],
 }
 
 
