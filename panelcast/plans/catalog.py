@@ -60,10 +60,9 @@ def materialized(spark: SparkSession, sf: str, name: str, build):
     if key not in _MEMO:
         value = build()
         if isinstance(value, DataFrame):
-            from panelcast.session import ensure_checkpoint_dir
+            from panelcast.session import reliable_checkpoint
 
-            ensure_checkpoint_dir(spark)
-            value = value.checkpoint(eager=True)
+            value = reliable_checkpoint(value)
         _MEMO[key] = value
     return _MEMO[key]
 
@@ -162,8 +161,12 @@ SQL_SOURCE_TOTAL_A = f"""SELECT data_source, yearweek, county, min(CAST(total_co
 
 
 def source_total_a(spark, sf):
-    return materialized(spark, sf, "source_total_a",
-                        lambda: SC.load_source_total(TV.source_total(TV.Tables(spark, sf)), TV.SRC_A))
+    # the totals table is panel_a summed over categories: derive it from the materialised panel
+    def build():
+        panel = target_a(spark, sf).select("yearweek", "county", "disease", "count")
+        return SC.load_source_total(TV.source_total_from(panel), TV.SRC_A)
+
+    return materialized(spark, sf, "source_total_a", build)
 
 
 @register("src_03_source_total", TV.with_views(SQL_SOURCE_TOTAL_A, "source_total"))

@@ -23,7 +23,7 @@ from panelcast.operators import splits as SP
 from panelcast.operators import stacking as ST
 from panelcast.operators.models import resolve_allowed_registry
 from panelcast.operators.selection import select_features
-from panelcast.session import ensure_checkpoint_dir
+from panelcast.session import reliable_checkpoint
 from panelcast.sources.calendar import forecast_yearweeks, latest_closed_yearweek
 
 ID = [*C.KEY_COLS, "yearweek"]
@@ -61,8 +61,7 @@ class RunOptions:
 
 
 def _persist(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return reliable_checkpoint(df)
 
 
 def prepare(inputs: TaskInputs, data_source: str, model_task: str, opts: RunOptions, weeks: list[int]):

@@ -44,3 +44,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def reliable_checkpoint(df):
+    """Cut the lineage of ``df`` with a reliable checkpoint in ``spark.checkpoint.dir``.
+
+    The frame is cached while the checkpoint is written, so the plan runs once
+    (a plain eager checkpoint computes it a second time to write the files).
+    """
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

@@ -90,8 +90,11 @@ def panel_a_wide(t: Tables) -> DataFrame:
 
 
 def source_total(t: Tables) -> DataFrame:
-    p = panel_a(t)
-    return p.groupBy(F.lit(SRC_A).alias("data_source"), "yearweek", "county").agg(F.sum("count").alias("total_count"))
+    return source_total_from(panel_a(t))
+
+
+def source_total_from(panel: DataFrame) -> DataFrame:
+    return panel.groupBy(F.lit(SRC_A).alias("data_source"), "yearweek", "county").agg(F.sum("count").alias("total_count"))
 
 
 def weather_weekly(t: Tables) -> DataFrame:
