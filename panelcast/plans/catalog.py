@@ -1127,3 +1127,10 @@ def q_sca_02(spark, sf):
                                     (F.col("yearweek") % 100).cast("int").alias("week"))
     f = FE.lag_rolling_features(h, "base")
     return round_doubles(f.select(*C.KEY_COLS, "yearweek", "year", "week", "week_sin", "week_cos", "lag_1"))
+
+
+@register("win_01_07_lag_rolling_medium_src_b", TV.with_views(
+    f"""SELECT * REPLACE ({_round_cols(Q.feature_names('medium', ('count',)))})
+        FROM (SELECT *, {', '.join(Q.feature_exprs('medium', ('count',)))} FROM ({SQL_TARGET_B}))""", "panel_b"))
+def q_win_src_b(spark, sf):
+    return round_doubles(FE.lag_rolling_features(target_b(spark, sf), "medium"))
