@@ -37,29 +37,35 @@ def final_seasonal_naive(train: DataFrame, future: DataFrame, key_cols=C.KEY_COL
 
 
 def global_oof(train: DataFrame, folds: DataFrame, specs, numeric, categorical, id_cols, y: str = "count",
-               grid_search: bool = False, grid_splits: int = 3) -> DataFrame:
+               grid_search: bool = False, grid_splits: int = 3, parallelism: int = 4) -> DataFrame:
     """CV-4: for every global model and fold, fit on the fold's training rows and predict its validation rows.
 
-    A loop of distributed fits (models x folds, both small); the output is long:
-    id_cols + model_name + y_pred. ``train`` should be materialised by the caller.
+    The (model, fold) fits are independent distributed jobs; like Spark ML's
+    tuning classes, up to ``parallelism`` of them are submitted concurrently
+    from driver threads. The output is long: id_cols + model_name + y_pred.
+    ``train`` should be materialised by the caller.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from panelcast.operators.models import fit_with_constant_guard, fit_with_grid_search
 
     n_folds = folds.agg(F.max("fold")).first()[0]
-    parts = []
-    for spec in specs:
-        if spec.scope != "global_panel" or not spec.enabled:
-            continue
-        for i in range(0 if n_folds is None else n_folds + 1):
-            f = folds.where(F.col("fold") == i)
-            tr = assign_folds(train, f, "train").drop("fold")
-            va = assign_folds(train, f, "valid").drop("fold")
-            if grid_search:
-                model, _ = fit_with_grid_search(spec, tr, numeric, categorical, y, grid_splits)
-            else:
-                model = fit_with_constant_guard(spec, tr, numeric, categorical, y)
-            pred = model.predict(va, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred")
-            parts.append(pred)
+    tasks = [(spec, i) for spec in specs if spec.scope == "global_panel" and spec.enabled
+             for i in range(0 if n_folds is None else n_folds + 1)]
+
+    def run(task):
+        spec, i = task
+        f = folds.where(F.col("fold") == i)
+        tr = assign_folds(train, f, "train").drop("fold")
+        va = assign_folds(train, f, "valid").drop("fold")
+        if grid_search:
+            model, _ = fit_with_grid_search(spec, tr, numeric, categorical, y, grid_splits)
+        else:
+            model = fit_with_constant_guard(spec, tr, numeric, categorical, y)
+        return model.predict(va, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(run, tasks))
     if not parts:
         return None
     out = parts[0]
@@ -73,12 +79,16 @@ def final_global_predictions(train: DataFrame, future: DataFrame, specs, numeric
     """MOD-10 for global models: refit on all training rows, predict the future rows (long output)."""
     from panelcast.operators.models import fit_with_constant_guard
 
-    parts = []
-    for spec in specs:
-        if spec.scope != "global_panel" or not spec.enabled:
-            continue
+    from concurrent.futures import ThreadPoolExecutor
+
+    todo = [s for s in specs if s.scope == "global_panel" and s.enabled]
+
+    def run(spec):
         model = fit_with_constant_guard(spec, train, numeric, categorical, y)
-        parts.append(model.predict(future, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred"))
+        return model.predict(future, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred")
+
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        parts = list(pool.map(run, todo))
     if not parts:
         return None
     out = parts[0]
