@@ -107,3 +107,23 @@ def write_outputs(frames: dict, out_dir: str, fmt: str = "parquet") -> dict:
             w.parquet(path)
         paths[name] = path
     return paths
+
+
+def write_panel(df: DataFrame, target: str, mode: str = "overwrite") -> None:
+    """Store a weekly panel partitioned by ``data_source`` (dynamic overwrite of the sources present)."""
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("data_source")
+    if _is_path(target):
+        w.parquet(target)
+    else:
+        w.saveAsTable(target)
+
+
+def read_panel(spark: SparkSession, target: str, data_source: str, start_week=None, end_week=None) -> DataFrame:
+    """Read one source of a stored panel: the source filter prunes partitions, the week range is pushed to the scan."""
+    df = spark.read.parquet(target) if _is_path(target) else spark.table(target)
+    df = df.where(F.col("data_source") == data_source)
+    if start_week is not None:
+        df = df.where(F.col("yearweek") >= int(start_week))
+    if end_week is not None:
+        df = df.where(F.col("yearweek") <= int(end_week))
+    return df

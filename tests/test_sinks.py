@@ -17,3 +17,16 @@ def test_append_replace_and_outputs(spark):
     assert sorted(r.data_source for r in spark.read.parquet(target).collect()) == ["s2"]
     paths = write_outputs({"leaderboard": a}, f"{d}/out", fmt="csv")
     assert spark.read.option("header", True).csv(paths["leaderboard"]).count() == 2
+
+
+def test_panel_store_prunes_by_source(spark):
+    from panelcast.sources.sinks import read_panel, write_panel
+
+    d = tempfile.mkdtemp(prefix="pc-panel-")
+    rows = [("a", 202001, "X", 1.0), ("a", 202002, "X", 2.0), ("b", 202001, "Y", 3.0)]
+    df = spark.createDataFrame(rows, "data_source string, yearweek int, county string, count double")
+    write_panel(df, f"{d}/panel")
+    got = read_panel(spark, f"{d}/panel", "a", start_week=202002)
+    assert [(r.data_source, r.yearweek) for r in got.collect()] == [("a", 202002)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data_source" in plan or "PartitionFilters" in plan
