@@ -262,6 +262,11 @@ def train_cut(spark, sf) -> int:
     return materialized(spark, sf, "train_cut", lambda: latest_closed_yearweek(weekdate(spark, sf), BASE))
 
 
+def feature_store_a(spark, sf) -> DataFrame:
+    """The feature table as downstream stages read it: built once per session and checkpointed."""
+    return materialized(spark, sf, "feature_a", lambda: feature_a(spark, sf))
+
+
 def feature_a(spark, sf) -> DataFrame:
     from panelcast.operators.panel import build_feature_table
 
@@ -391,7 +396,7 @@ def history_a(spark, sf, recent_weeks=None) -> DataFrame:
     """FIL-3 (+ FIL-5): training rows of the feature table up to the training cut."""
     from panelcast.operators.panel import apply_recent_weeks, training_rows
 
-    return apply_recent_weeks(training_rows(feature_a(spark, sf), train_cut(spark, sf)), recent_weeks)
+    return apply_recent_weeks(training_rows(feature_store_a(spark, sf), train_cut(spark, sf)), recent_weeks)
 
 
 SQL_HIST = {"cut": SQL_CUT,
@@ -460,7 +465,7 @@ def future_a(spark, sf) -> DataFrame:
     """FIL-4 + FIL-10 + WIN-9: complete-horizon future rows with lead_week."""
     from panelcast.operators.panel import complete_horizon, future_rows
 
-    kept, _ = complete_horizon(future_rows(feature_a(spark, sf), forecast_weeks(spark, sf)), HORIZON)
+    kept, _ = complete_horizon(future_rows(feature_store_a(spark, sf), forecast_weeks(spark, sf)), HORIZON)
     return kept
 
 
