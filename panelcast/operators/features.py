@@ -40,29 +40,49 @@ def season_columns(df: DataFrame) -> list[F.Column]:
 
 
 def lag_rolling_features(df: DataFrame, feature_set: str, key_cols=C.KEY_COLS, time_col: str = "yearweek") -> DataFrame:
-    """WIN-1..7: lags, shifted rolling mean/std, diff and growth on count; lags and rolls on total and rate."""
+    """WIN-1..7: lags, shifted rolling mean/std, diff and growth on count; lags and rolls on total and rate.
+
+    Rolling statistics over the previous w rows come from running sums
+    (count, sum, sum of squares of the present values up to the previous row)
+    and their values w rows back, so every window length costs O(1) per row
+    instead of re-aggregating a sliding frame. NULLs are skipped exactly like
+    a frame aggregate: the mean needs one value, the sample std two.
+    """
     cfg = _cfg(feature_set)
     w = Window.partitionBy(*key_cols).orderBy(time_col)
+    prior = w.rowsBetween(Window.unboundedPreceding, -1)
+    measures = [(m, p) for m, p in MEASURES if m in df.columns]
+    names = feature_names(df, feature_set)
+    keep = [c for c in df.columns if c not in names]
+    running = []
+    for i, (measure, _) in enumerate(measures):
+        m = F.col(measure).cast("double")
+        running += [
+            F.coalesce(F.count(m).over(prior), F.lit(0)).alias(f"_c{i}"),
+            F.coalesce(F.sum(m).over(prior), F.lit(0.0)).alias(f"_s{i}"),
+            F.coalesce(F.sum(m * m).over(prior), F.lit(0.0)).alias(f"_q{i}"),
+        ]
+    base = df.select(*keep, *running)
     exprs = list(season_columns(df))
-    for measure, prefix in MEASURES:
-        if measure not in df.columns:
-            continue
+    for i, (measure, prefix) in enumerate(measures):
         m = F.col(measure)
         for k in cfg["lags"]:
             exprs.append(F.lag(m, k).over(w).alias(f"{prefix}lag_{k}"))
+        c, s, q = F.col(f"_c{i}"), F.col(f"_s{i}"), F.col(f"_q{i}")
         for win in cfg["rolling_windows"]:
-            frame = w.rowsBetween(-win, -1)
-            exprs.append(F.avg(m).over(frame).alias(f"{prefix}roll{win}_mean"))
-            exprs.append(F.stddev_samp(m).over(frame).alias(f"{prefix}roll{win}_std"))
+            n = c - F.coalesce(F.lag(c, win).over(w), F.lit(0))
+            sm = s - F.coalesce(F.lag(s, win).over(w), F.lit(0.0))
+            sq = q - F.coalesce(F.lag(q, win).over(w), F.lit(0.0))
+            var = F.greatest((sq - sm * sm / n) / (n - 1), F.lit(0.0))
+            exprs.append(F.when(n >= 1, sm / n).alias(f"{prefix}roll{win}_mean"))
+            exprs.append(F.when(n >= 2, F.sqrt(var)).alias(f"{prefix}roll{win}_std"))
         if measure == "count":
             last = F.lag(m, 1).over(w)
             for k in cfg["diff_lags"]:
                 exprs.append((last - F.lag(m, k + 1).over(w)).alias(f"diff_{k}"))
             for k in cfg["growth_lags"]:
                 exprs.append(_ratio_change(last, F.lag(m, k + 1).over(w)).alias(f"growth_{k}"))
-    names = feature_names(df, feature_set)
-    keep = [c for c in df.columns if c not in names]
-    return df.select(*keep, *exprs)
+    return base.select(*keep, *exprs)
 
 
 def feature_names(df: DataFrame, feature_set: str) -> list[str]:
