@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.sources.calendar import date_spine, yearweek_of
+from panelcast.sources.calendar import yearweek_of
 
 # Fixture parameters (FIXTURES.md): the EV role is return flag 'A', the COVID
 # years are 1998-1999, the base date is fixed, and three nations of one region
