@@ -128,13 +128,15 @@ def meta_oof(matrix: DataFrame, model_cols, method: str, id_cols, n_splits: int,
     except RuntimeError:
         splits = []
     parts = []
-    for tr_w, va_w in splits:
-        tr = valid.where(F.col("yearweek").isin(*tr_w))
-        va = valid.where(F.col("yearweek").isin(*va_w))
+    folds = SP.fold_table(matrix.sparkSession, splits) if splits else None
+    for i in range(len(splits)):
+        f = folds.where(F.col("fold") == i)
+        tr = SP.assign_folds(valid, f, "train").drop("fold")
+        va = SP.assign_folds(valid, f, "valid").drop("fold")
         try:
             parts.append(predict_combiner(fit_combiner(tr, model_cols, m, y, topk), va, id_cols))
         except (RuntimeError, ValueError):
-            continue
+            continue  # a failed fold stays without prediction
     if parts:
         out = parts[0]
         for p in parts[1:]:
