@@ -24,6 +24,8 @@ HEADLINE = [
     "agg_05_metric_table",
     "rep_05_leaderboard",
     "pan_03_ev_branch_collapse",
+    "agg_06_holdout_metric_levels",
+    "agg_09_feature_profile",
 ]
 
 
