@@ -60,3 +60,27 @@ def test_constant_guard_and_registry(spark):
     assert set(nat) == {"seasonal_naive", "ridge", "xgboost_poisson", "lightgbm_poisson", "catboost_poisson"}
     with pytest.raises(RuntimeError):
         resolve_allowed_registry("default", ["seasonal_naive"])
+
+
+def _elastic_net_cd(Z, y, alpha, l1, iters=5000):
+    """Plain coordinate descent for 1/(2n)|y - b - Zw|^2 + alpha*l1*|w|_1 + alpha*(1-l1)/2*|w|^2."""
+    n, k = Z.shape
+    yc = y - y.mean()
+    w = np.zeros(k)
+    for _ in range(iters):
+        for j in range(k):
+            r = yc - Z @ w + Z[:, j] * w[j]
+            rho = Z[:, j] @ r / n
+            w[j] = np.sign(rho) * max(abs(rho) - alpha * l1, 0.0) / (Z[:, j] @ Z[:, j] / n + alpha * (1 - l1))
+    return y.mean() + Z @ w
+
+
+@pytest.mark.parametrize("alpha,l1", [(0.02, 0.15), (0.3, 1.0), (0.5, 0.5)])
+def test_elastic_net_matches_coordinate_descent(spark, alpha, l1):
+    df, x1, x2, y = _data(spark)
+    X = np.column_stack([x1, x2])
+    Z = (X - X.mean(0)) / X.std(0)
+    exp = _elastic_net_cd(Z, y, alpha, l1)
+    m = fit_linear(df, ["x1", "x2"], [], "count", alpha=alpha, l1_ratio=l1)
+    got = [r.y_pred for r in m.predict(df).orderBy("yearweek").collect()]
+    assert got == pytest.approx(list(exp), abs=1e-4)
