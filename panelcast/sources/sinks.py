@@ -127,3 +127,10 @@ def read_panel(spark: SparkSession, target: str, data_source: str, start_week=No
     if end_week is not None:
         df = df.where(F.col("yearweek") <= int(end_week))
     return df
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """SNK-4: project a frame onto an output table schema (casts; absent columns become NULL)."""
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ])

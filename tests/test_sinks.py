@@ -30,3 +30,15 @@ def test_panel_store_prunes_by_source(spark):
     assert [(r.data_source, r.yearweek) for r in got.collect()] == [("a", 202002)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(data_source" in plan or "PartitionFilters" in plan
+
+
+def test_conform_to_output_schema(spark):
+    from panelcast.sources.sinks import FORECAST_SCHEMA, conform
+
+    df = spark.createDataFrame([("s", "A", "X", 202101, 1, 2.6, "ridge")],
+                               "data_source string, disease string, county string, yearweek int, lead_week int, "
+                               "forecast_count double, model_name string")
+    out = conform(df, FORECAST_SCHEMA)
+    assert out.schema == FORECAST_SCHEMA
+    r = out.first()
+    assert r.forecast_count == 2.6 and r.model_task is None
