@@ -291,3 +291,40 @@ def run_all(inputs_by_source: dict, base_date: dt.date, opts: RunOptions | None
         for k, df in res.items():
             out[k] = df if k not in out else out[k].unionByName(df, allowMissingColumns=True)
     return out
+
+
+def run_holdout_all(inputs_by_source: dict, base_date: dt.date, end_week: int, n_holdout: int = 8,
+                    opts: RunOptions | None = None) -> dict[str, DataFrame]:
+    """CV-8 over every task of every source; outputs concatenated by name (SET-2)."""
+    out: dict[str, DataFrame] = {}
+    for task in C.expand_model_tasks(list(inputs_by_source)):
+        res = run_holdout(inputs_by_source[task["data_source"]], task["data_source"], task["model_task"], base_date,
+                          end_week, n_holdout, opts)
+        for k, df in res.items():
+            if not isinstance(df, DataFrame):
+                continue
+            out[k] = df if k not in out else out[k].unionByName(df, allowMissingColumns=True)
+    return out
+
+
+def publish_reports(outputs: dict[str, DataFrame], out_dir: str, settings: dict, fmt: str = "parquet",
+                    top_n: int = 200) -> dict[str, str]:
+    """SNK-5 / SNK-6: derive the report frames from a run's outputs and write them (sorted at the sink)."""
+    from panelcast.operators import reports as RP
+    from panelcast.sources.sinks import write_outputs
+
+    metric = outputs["metric"]
+    frames = {
+        "metric": RP.sorted_for_output(metric, "metrics"),
+        "leaderboard": RP.leaderboard(metric),
+        "breakdown": RP.breakdown(metric, top_n),
+        "meta_model_comparison": RP.meta_model_comparison(metric),
+        "lead_week_summary": RP.lead_week_summary(metric),
+        "run_summary": RP.run_summary(metric, settings),
+    }
+    for name, kind in (("forecast", "predictions"), ("predictions", "predictions"),
+                       ("base_prediction", "base_predictions"), ("base_predictions", "base_predictions"),
+                       ("feature_report", "features"), ("used_features", "features")):
+        if name in outputs and isinstance(outputs[name], DataFrame):
+            frames[name] = RP.sorted_for_output(outputs[name], kind)
+    return write_outputs(frames, out_dir, fmt)

@@ -81,3 +81,23 @@ def test_compare_meta_models(spark):
                               {"data_source": "s", "model_task": "default", "model_scope": "county", "prediction_type": "oof"})
     names = {r.model_name for r in out.where("metric_level = 'overall'").collect()}
     assert names == {"ensemble_simple_average", "stacking_ridge"}
+
+
+def test_publish_reports(spark):
+    import tempfile
+
+    from panelcast.plans.forecast import publish_reports
+
+    rows = [("s", "default", "county", "base", "m1", "overall", "ALL", "ALL", None, 10, 0.5),
+            ("s", "default", "county", "ensemble", "ensemble_simple_average", "overall", "ALL", "ALL", None, 10, 0.4),
+            ("s", "default", "county", "base", "m1", "by_lead_week", "ALL", "ALL", 1, 5, 0.6)]
+    metric = spark.createDataFrame(rows, "data_source string, model_task string, model_scope string, model_layer string, "
+                                         "model_name string, metric_level string, disease string, county string, "
+                                         "lead_week int, n_obs long, WAPE double")
+    d = tempfile.mkdtemp(prefix="pc-rep-")
+    paths = publish_reports({"metric": metric}, d, {"task": "forecast"}, fmt="csv")
+    assert set(paths) == {"metric", "leaderboard", "breakdown", "meta_model_comparison", "lead_week_summary", "run_summary"}
+    summary = spark.read.option("header", True).csv(paths["run_summary"]).first()
+    assert summary.best_model_by_wape == "ensemble/ensemble_simple_average"
+    comp = spark.read.option("header", True).csv(paths["meta_model_comparison"]).first()
+    assert comp.best_base_model == "m1" and comp.stacking_wins == "true"
