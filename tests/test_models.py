@@ -84,3 +84,37 @@ def test_elastic_net_matches_coordinate_descent(spark, alpha, l1):
     m = fit_linear(df, ["x1", "x2"], [], "count", alpha=alpha, l1_ratio=l1)
     got = [r.y_pred for r in m.predict(df).orderBy("yearweek").collect()]
     assert got == pytest.approx(list(exp), abs=1e-4)
+
+
+def _huber_fit(Z, y, alpha, eps=1.35, iters=20000, lr=0.05):
+    """Minimise sum(s + H(r/s) s) + alpha |w|^2 over (w, b, s > 0) by gradient descent (convex in (w, b, s))."""
+    n, k = Z.shape
+    w, b, s = np.zeros(k), float(np.median(y)), 1.0
+    for _ in range(iters):
+        r = y - b - Z @ w
+        z = r / s
+        inner = np.abs(z) <= eps
+        dz = np.where(inner, 2 * z, 2 * eps * np.sign(z))  # dH/dz
+        gw = -(dz @ Z) + 2 * alpha * w
+        gb = -dz.sum()
+        # d/ds [s + H(r/s) s] = 1 + H(z) - z H'(z)
+        hz = np.where(inner, z * z, 2 * eps * np.abs(z) - eps * eps)
+        gs = np.sum(1 + hz - z * dz)
+        w -= lr * gw / n
+        b -= lr * gb / n
+        s = max(s - lr * gs / n, 1e-6)
+    return b + Z @ w
+
+
+def test_huber_matches_direct_minimisation(spark):
+    df, x1, x2, y = _data(spark, n=80, seed=9)
+    y = y.copy()
+    y[::10] += 15.0  # outliers
+    rows = [(float(a), float(b), float(c), "k", 200001 + i) for i, (a, b, c) in enumerate(zip(x1, x2, y))]
+    df = spark.createDataFrame(rows, "x1 double, x2 double, count double, grp string, yearweek int")
+    X = np.column_stack([x1, x2])
+    Z = (X - X.mean(0)) / X.std(0)
+    exp = _huber_fit(Z, y, alpha=1.0)
+    m = fit_linear(df, ["x1", "x2"], [], "count", alpha=1.0, loss="huber", epsilon=1.35)
+    got = [r.y_pred for r in m.predict(df).orderBy("yearweek").collect()]
+    assert got == pytest.approx(list(exp), abs=2e-2)
