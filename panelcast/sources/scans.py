@@ -167,3 +167,10 @@ def load_profile(df: DataFrame, label_cols=("data_source",)) -> DataFrame:
         F.min("yearweek").alias("min_yearweek"),
         F.max("yearweek").alias("max_yearweek"),
     )
+
+
+def load_source(spark: SparkSession, registry: C.SourceRegistry, data_source: str, start_week=None, end_week=None,
+                check_empty: bool = True) -> DataFrame:
+    """SRC-1 + SRC-11: resolve the source's table in the registry (unknown source -> error), scan, normalise."""
+    table = registry.table_for(data_source)
+    return normalize_target(load_source_weekly(read_table(spark, table), data_source, start_week, end_week, check_empty))

@@ -101,3 +101,20 @@ def test_publish_reports(spark):
     assert summary.best_model_by_wape == "ensemble/ensemble_simple_average"
     comp = spark.read.option("header", True).csv(paths["meta_model_comparison"]).first()
     assert comp.best_base_model == "m1" and comp.stacking_wins == "true"
+
+
+def test_registry_source_load(spark):
+    import tempfile
+
+    from panelcast.sources.scans import load_source
+
+    d = tempfile.mkdtemp(prefix="pc-src-")
+    spark.createDataFrame([(202001, "X", "EV", 3), (202105, "X", "EV", 4)],
+                          "yearweek int, county string, disease string, count int").write.parquet(f"{d}/src.parquet")
+    reg = C.SourceRegistry(sources={"nhi_er": f"{d}/src.parquet"})
+    got = load_source(spark, reg, "nhi_er", start_week=202101).collect()
+    assert [(r.yearweek, r.data_source, r["count"]) for r in got] == [(202105, "nhi_er", 4.0)]
+    with pytest.raises(ValueError):
+        load_source(spark, reg, "rods")
+    with pytest.raises(RuntimeError):
+        load_source(spark, reg, "nhi_er", start_week=203001)
