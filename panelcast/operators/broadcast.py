@@ -1,0 +1,15 @@
+"""Size-checked broadcast for dimensions whose size is not fixed by construction."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# dimensions that can grow with the data are broadcast only below this many rows
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking its row count; beyond the bound the join stays a
+    shuffle join (AQE may still switch it from measured sizes, and splits skewed partitions)."""
+    return F.broadcast(df) if df.count() <= max_rows else df

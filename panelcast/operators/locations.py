@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast import config as C
+from panelcast.operators.broadcast import broadcast_if_small
 
 
 def strip_ws(col) -> F.Column:
@@ -60,11 +61,11 @@ def map_county_to_branch(df: DataFrame, location_map: DataFrame, check: bool = T
     if "county" not in df.columns:
         raise RuntimeError("EV branch mapping requires county column")
     keyed = df.withColumn("county_key", location_key("county"))
-    # the map has one row per place name: bounded, broadcast it
-    m = F.broadcast(location_map.select("county_key", "branch_t"))
+    # one row per place name: broadcast after a size check
+    m = broadcast_if_small(location_map.select("county_key", "branch_t"))
     if check:
         unmapped = keyed.join(m, "county_key", "left_anti").where(F.col("county").isNotNull())
-        missing = [r[0] for r in unmapped.select(F.col("county").cast("string")).distinct().orderBy(1).limit(1000).collect()]
+        missing = [r[0] for r in unmapped.select(F.col("county").cast("string")).distinct().orderBy(1).collect()]
         if missing:
             raise RuntimeError(f"Some EV counties cannot map to dim_location.branch_t: {missing}")
     out = keyed.join(m, "county_key", "left")

@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.operators.broadcast import broadcast_if_small
 from panelcast.sources.calendar import yearweek_of
 
 # Fixture parameters (FIXTURES.md): the EV role is return flag 'A', the COVID
@@ -23,8 +24,6 @@ TEST_COVID_YEARS = (1998, 1999)
 TEST_BASE_DATE = dt.date(2001, 7, 2)
 TEST_OFFSHORE = ("NATION_2", "NATION_7", "NATION_12")
 SRC_A = "src_a"
-# dimensions that grow with the data are broadcast only below this many rows
-BROADCAST_MAX_ROWS = 2_000_000
 SRC_B = "src_b"
 
 
@@ -41,15 +40,6 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast a dimension that grows with the data only after checking its row count.
-
-    Beyond the bound the join stays a shuffle join (AQE may still switch it at
-    run time from measured sizes, and splits skewed partitions).
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def panel_a(t: Tables) -> DataFrame:
     """Weekly line counts per (ship week, supplier nation, return flag)."""
     li = t.lineitem.select(
