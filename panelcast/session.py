@@ -38,11 +38,14 @@ def build_session(master: str | None = None, app: str = "panelcast", shuffle_par
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="panelcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
 
 
