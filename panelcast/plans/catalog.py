@@ -340,14 +340,15 @@ def q_pan_02(spark, sf):
     return location_map(spark, sf)
 
 
-def _collapse_sql(src: str, county_expr: str, drop_weather: bool = False) -> str:
-    wcols = [] if drop_weather else ["round(avg(airtemperature_avg), 6) AS airtemperature_avg",
-                                     "round(avg(CAST(rain_days AS DOUBLE)), 6) AS rain_days"]
-    cal = [f"round(avg(CAST({c} AS DOUBLE)), 6) AS {c}" for c in ("cnt", "voc", "eve", "ev_period", "di_period", "covid")]
+def _collapse_sql(src: str, county_expr: str, drop_weather: bool = False, rounded: bool = True) -> str:
+    r = (lambda e: f"round({e}, 6)") if rounded else (lambda e: e)
+    wcols = [] if drop_weather else [f"{r('avg(airtemperature_avg)')} AS airtemperature_avg",
+                                     f"{r('avg(CAST(rain_days AS DOUBLE))')} AS rain_days"]
+    cal = [f"{r(f'avg(CAST({c} AS DOUBLE))')} AS {c}" for c in ("cnt", "voc", "eve", "ev_period", "di_period", "covid")]
+    rate = "CASE WHEN sum(count) IS NOT NULL AND sum(source_total_count) > 0 THEN sum(count) / sum(source_total_count) END"
     return f"""SELECT data_source, disease, county, yearweek, is_future,
-                      round(sum(count), 6) AS count, round(sum(source_total_count), 6) AS source_total_count,
-                      round(CASE WHEN sum(count) IS NOT NULL AND sum(source_total_count) > 0
-                                 THEN sum(count) / sum(source_total_count) END, 6) AS disease_rate,
+                      {r('sum(count)')} AS count, {r('sum(source_total_count)')} AS source_total_count,
+                      {r(rate)} AS disease_rate,
                       {', '.join(wcols + cal)}
                FROM (SELECT * REPLACE ({county_expr} AS county) FROM {src})
                GROUP BY data_source, disease, county, yearweek, is_future"""
@@ -1140,3 +1141,22 @@ def q_sca_02(spark, sf):
         FROM (SELECT *, {', '.join(Q.feature_exprs('medium', ('count',)))} FROM ({SQL_TARGET_B}))""", "panel_b"))
 def q_win_src_b(spark, sf):
     return round_doubles(FE.lag_rolling_features(target_b(spark, sf), "medium"))
+
+
+
+@register("win_01_07_features_on_offshore_panel", _ft_sql(
+    f"""SELECT * REPLACE ({_round_cols(['count', 'source_total_count', 'disease_rate', 'airtemperature_avg', 'rain_days',
+                                         'cnt', 'voc', 'eve', 'ev_period', 'di_period', 'covid', *Q.feature_names('base')])})
+        FROM (SELECT *, {', '.join(Q.feature_exprs('base'))} FROM off_hist)""", {
+        "cut": SQL_CUT,
+        "off": _collapse_sql(f"ft WHERE disease <> '{TV.TEST_EV_DISEASE}'",
+                             f"CASE WHEN trim(county) IN ({_OFFSHORE_SQL}) THEN '{C.OFFSHORE_LABEL}' ELSE trim(county) END",
+                             rounded=False),
+        "off_hist": "SELECT * FROM off WHERE NOT is_future AND count IS NOT NULL AND yearweek <= (SELECT train_cut_week FROM cut)"}))
+def q_win_offshore(spark, sf):
+    """PAN-4 then FIL-3 then WIN-1..7: features of the task panel after the offshore collapse."""
+    from panelcast.operators.panel import prepare_task, training_rows
+
+    panel, _ = prepare_task(feature_store_a(spark, sf), TV.SRC_A, "nhi_non_ev_county", ev_disease=TV.TEST_EV_DISEASE,
+                            offshore=TV.TEST_OFFSHORE, source_kind="nhi", check_empty=False)
+    return round_doubles(FE.lag_rolling_features(training_rows(panel, train_cut(spark, sf)), "base"))
