@@ -1110,7 +1110,7 @@ CORR_COLS = ["lag_1", "lag_2", "lag_4", "roll4_mean", "roll8_mean"]
 @register("agg_10_feature_correlations", _ft_sql(" UNION ALL ".join(
     f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b,
                round(CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0
-                          THEN covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) END, 6) AS corr FROM imp"""
+                          THEN covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) END, 6) + 0.0 AS corr FROM imp"""
     for i, a in enumerate(CORR_COLS) for b in CORR_COLS[i + 1:]), {
         **_sql_train_base(),
         "med": "SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in CORR_COLS) + " FROM trb",
