@@ -889,13 +889,21 @@ def q_agg_17(spark, sf):
 HOLDOUT_N = 8
 
 
-def naive_holdout_a(spark, sf):
-    """Hold out the last 8 weeks up to the training cut; seasonal naive predicts them from the rest."""
-    from panelcast.operators.panel import complete_horizon
+def naive_holdout_a(spark, sf, panel: str = "county"):
+    """Hold out the last 8 weeks up to the training cut; seasonal naive predicts them from the rest.
+
+    ``panel`` = ``county`` uses the source panel as is, ``branch`` the EV rows collapsed to branches (PAN-3).
+    """
+    from panelcast.operators.panel import complete_horizon, prepare_task, training_rows
     from panelcast.plans.forecast import holdout_weeks
 
     def build():
-        hist = history_a(spark, sf)
+        if panel == "branch":
+            ev, _ = prepare_task(feature_store_a(spark, sf), TV.SRC_A, "nhi_ev_branch", location_map(spark, sf),
+                                 ev_disease=TV.TEST_EV_DISEASE, source_kind="nhi", check_empty=False)
+            hist = training_rows(ev, train_cut(spark, sf))
+        else:
+            hist = history_a(spark, sf)
         hw = holdout_weeks(hist, train_cut(spark, sf), HOLDOUT_N)
         base_train = hist.where(~F.col("yearweek").isin(*hw))
         raw = hist.where(F.col("yearweek").isin(*hw))
@@ -910,11 +918,21 @@ def naive_holdout_a(spark, sf):
             F.lit("seasonal_naive").alias("model_name"), F.lit("holdout").alias("prediction_type"))
         return long, base_train, kept, raw, hw
 
-    return materialized(spark, sf, "naive_holdout", build)
+    return materialized(spark, sf, f"naive_holdout_{panel}", build)
 
 
-def _sql_naive_holdout() -> dict:
-    d = {**SQL_HIST}
+_BRANCH_KEY = "replace(replace(replace(trim(f.county), '臺', '台'), ' ', ''), '　', '')"
+SQL_BRANCH_HIST = {
+    "cut": SQL_CUT,
+    "lm": SQL_LOCMAP,
+    "br": _collapse_sql(f"ft f JOIN lm ON lm.county_key = {_BRANCH_KEY} WHERE f.disease = '{TV.TEST_EV_DISEASE}'",
+                        "lm.branch_t", rounded=False),
+    "th": "SELECT * FROM br WHERE NOT is_future AND count IS NOT NULL AND yearweek <= (SELECT train_cut_week FROM cut)",
+}
+
+
+def _sql_naive_holdout(hist: dict | None = None) -> dict:
+    d = dict(hist or SQL_HIST)
     d["hw"] = f"""SELECT yearweek, CAST(row_number() OVER (ORDER BY yearweek) AS INTEGER) AS lead_week
                   FROM (SELECT DISTINCT yearweek FROM th ORDER BY yearweek DESC LIMIT {HOLDOUT_N})"""
     d["bt"] = "SELECT * FROM th WHERE yearweek NOT IN (SELECT yearweek FROM hw)"
@@ -1160,3 +1178,12 @@ def q_win_offshore(spark, sf):
     panel, _ = prepare_task(feature_store_a(spark, sf), TV.SRC_A, "nhi_non_ev_county", ev_disease=TV.TEST_EV_DISEASE,
                             offshore=TV.TEST_OFFSHORE, source_kind="nhi", check_empty=False)
     return round_doubles(FE.lag_rolling_features(training_rows(panel, train_cut(spark, sf)), "base"))
+
+
+
+@register("agg_06_branch_holdout_metric_levels", _ft_sql("SELECT * FROM hmet", _sql_naive_holdout(SQL_BRANCH_HIST),
+                                                         views=("dim_location",)))
+def q_agg_06_branch(spark, sf):
+    """PAN-3 then CV-8 with the seasonal naive: back-test metrics of the branch-level EV panel."""
+    long = naive_holdout_a(spark, sf, "branch")[0]
+    return round_doubles(EV.metric_levels(long, ["data_source", "model_name", "prediction_type"], by_lead_week=True))
