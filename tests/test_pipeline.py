@@ -31,3 +31,20 @@ def test_forecast_run_invariants(spark):
     base = out["base_prediction"]
     assert base.count() == len(rows) * base.select("base_model").distinct().count()
     assert out["feature_report"].where(F.col("selected")).count() > 0
+
+
+def test_holdout_run_invariants(spark):
+    from panelcast.plans.forecast import run_holdout
+
+    out = run_holdout(K.task_inputs(spark, SF), TV.SRC_A, "nhi_ev_branch", TV.TEST_BASE_DATE, K.train_cut(spark, SF), 8,
+                      K.run_options(meta_model="weighted_average"))
+    pred = out["predictions"].collect()
+    assert pred
+    assert {r.lead_week for r in pred} <= set(range(1, 9))
+    assert all(r.actual_count is not None and r.forecast_count >= 0 for r in pred)
+    hw = out["holdout_weeks"]
+    assert len(hw) == 8 and {r.yearweek for r in pred} <= set(hw)
+    levels = {r.metric_level for r in out["metric"].select("metric_level").distinct().collect()}
+    assert "by_lead_week" in levels and "overall" in levels
+    names = {r.model_name for r in out["metric"].where("metric_level = 'overall'").collect()}
+    assert "ensemble_weighted_average" in names and "seasonal_naive" in names
