@@ -63,26 +63,34 @@ def lag_rolling_features(df: DataFrame, feature_set: str, key_cols=C.KEY_COLS, t
             F.coalesce(F.sum(m * m).over(prior), F.lit(0.0)).alias(f"_q{i}"),
         ]
     base = df.select(*keep, *running)
-    exprs = list(season_columns(df))
+    # second pass: plain lags, and the running sums as they stood w rows back
+    lagged, finals = list(season_columns(df)), []
     for i, (measure, prefix) in enumerate(measures):
         m = F.col(measure)
         for k in cfg["lags"]:
-            exprs.append(F.lag(m, k).over(w).alias(f"{prefix}lag_{k}"))
-        c, s, q = F.col(f"_c{i}"), F.col(f"_s{i}"), F.col(f"_q{i}")
+            lagged.append(F.lag(m, k).over(w).alias(f"{prefix}lag_{k}"))
         for win in cfg["rolling_windows"]:
-            n = c - F.coalesce(F.lag(c, win).over(w), F.lit(0))
-            sm = s - F.coalesce(F.lag(s, win).over(w), F.lit(0.0))
-            sq = q - F.coalesce(F.lag(q, win).over(w), F.lit(0.0))
-            var = F.greatest((sq - sm * sm / n) / (n - 1), F.lit(0.0))
-            exprs.append(F.when(n >= 1, sm / n).alias(f"{prefix}roll{win}_mean"))
-            exprs.append(F.when(n >= 2, F.sqrt(var)).alias(f"{prefix}roll{win}_std"))
+            for part, zero in (("c", F.lit(0)), ("s", F.lit(0.0)), ("q", F.lit(0.0))):
+                name = f"_{part}{i}_{win}"
+                lagged.append(F.coalesce(F.lag(f"_{part}{i}", win).over(w), zero).alias(name))
+            n = F.col(f"_c{i}") - F.col(f"_c{i}_{win}")
+            sm = F.col(f"_s{i}") - F.col(f"_s{i}_{win}")
+            sq = F.col(f"_q{i}") - F.col(f"_q{i}_{win}")
+            var = F.greatest(F.try_divide(sq - F.try_divide(sm * sm, n), n - 1), F.lit(0.0))
+            finals.append(F.when(n >= 1, F.try_divide(sm, n)).alias(f"{prefix}roll{win}_mean"))
+            finals.append(F.when(n >= 2, F.sqrt(var)).alias(f"{prefix}roll{win}_std"))
         if measure == "count":
             last = F.lag(m, 1).over(w)
             for k in cfg["diff_lags"]:
-                exprs.append((last - F.lag(m, k + 1).over(w)).alias(f"diff_{k}"))
+                lagged.append((last - F.lag(m, k + 1).over(w)).alias(f"diff_{k}"))
             for k in cfg["growth_lags"]:
-                exprs.append(_ratio_change(last, F.lag(m, k + 1).over(w)).alias(f"growth_{k}"))
-    return base.select(*keep, *exprs)
+                lagged.append(_ratio_change(last, F.lag(m, k + 1).over(w)).alias(f"growth_{k}"))
+    running_names = [f"_{p}{i}" for i in range(len(measures)) for p in ("c", "s", "q")]
+    stage = base.select(*keep, *running_names, *lagged)
+    final_by_name = dict(zip([f"{p}roll{win}_{kind}" for _, p in measures for win in cfg["rolling_windows"]
+                              for kind in ("mean", "std")], finals))
+    ordered = [final_by_name.get(c, F.col(c)) for c in names if c in final_by_name or c in stage.columns]
+    return stage.select(*keep, *ordered)
 
 
 def feature_names(df: DataFrame, feature_set: str) -> list[str]:
