@@ -6,24 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import op6_chat, op8_bpe
+from panelcast.llm import op2_merkle, op6_chat, op7_simhash, op8_bpe
 from panelcast.llm.common import table
 
 
+def op2_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return op2_merkle.edited_pairs(table(spark, sf, "documents"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     rows = op6_chat.with_hostile(table(spark, sf, "conversations"))
     return op6_chat.digests(op6_chat.format_conversations(rows))
 
 
+def op7_simhash_pivots(spark: SparkSession, sf: str) -> DataFrame:
+    return op7_simhash.link(table(spark, sf, "documents"), shingle=3, max_distance=3)
+
+
 def op8_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return op8_bpe.round_trip(table(spark, sf, "documents"), op8_bpe.codec())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_merkle_fingerprints": op2_merkle_fingerprints,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_simhash_pivots": op7_simhash_pivots,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_merkle_fingerprints": op2_merkle.ORACLE,
     "op6_chat_formatting": op6_chat.ORACLE,
 }

@@ -68,3 +68,20 @@ def texts(col: pa.Array) -> Iterator[bytes]:
     data = memoryview(raw)
     for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
         yield bytes(data[a:b])
+
+
+def with_column(df: DataFrame, name: str, kind: str, values, *reads: str) -> DataFrame:
+    """``df`` with one more column, made in an Arrow pass from the columns it ``reads``; all others pass through.
+
+    ``values`` takes the read columns of a batch and returns an Arrow array. A
+    column of the same name is replaced.
+    """
+    kept = df.drop(name)
+    at = [kept.columns.index(c) for c in reads]
+
+    def run(batches):
+        for batch in batches:
+            made = values(*(batch.column(i) for i in at))
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
+
+    return kept.mapInArrow(run, kept.withColumn(name, F.lit(None).cast(kind)).schema)
