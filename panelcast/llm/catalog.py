@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import op2_merkle, op6_chat, op7_simhash, op8_bpe
+from panelcast.llm import op1_quality, op2_merkle, op6_chat, op7_simhash, op8_bpe, op9_language
 from panelcast.llm.common import table
 
 
+def op1_quality_crf(spark: SparkSession, sf: str) -> DataFrame:
+    return op1_quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op2_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return op2_merkle.edited_pairs(table(spark, sf, "documents"))
 
@@ -27,11 +31,18 @@ def op8_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return op8_bpe.round_trip(table(spark, sf, "documents"), op8_bpe.codec())
 
 
+def op9_language_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return op9_language.identify(docs, op9_language.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_crf": op1_quality_crf,
     "op2_merkle_fingerprints": op2_merkle_fingerprints,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_simhash_pivots": op7_simhash_pivots,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_language_centroids": op9_language_centroids,
 }
 
 ORACLES: dict[str, str] = {
