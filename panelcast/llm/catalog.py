@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import op1_quality, op2_merkle, op6_chat, op7_simhash, op8_bpe, op9_language
+from panelcast.llm import op1_quality, op2_merkle, op5_debruijn, op6_chat, op7_simhash, op8_bpe, op9_language, op10_lpf
 from panelcast.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return op2_merkle.edited_pairs(table(spark, sf, "documents"))
 
 
+def op5_debruijn_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return op5_debruijn.digests(op5_debruijn.cut(table(spark, sf, "documents"), length=35))
+
+
 def op6_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     rows = op6_chat.with_hostile(table(spark, sf, "conversations"))
     return op6_chat.digests(op6_chat.format_conversations(rows))
@@ -36,13 +40,19 @@ def op9_language_centroids(spark: SparkSession, sf: str) -> DataFrame:
     return op9_language.identify(docs, op9_language.learn(docs))
 
 
+def op10_suffix_lpf(spark: SparkSession, sf: str) -> DataFrame:
+    return op10_lpf.digests(op10_lpf.cut(table(spark, sf, "documents"), length=200))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_crf": op1_quality_crf,
     "op2_merkle_fingerprints": op2_merkle_fingerprints,
+    "op5_debruijn_dedup": op5_debruijn_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_simhash_pivots": op7_simhash_pivots,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_language_centroids": op9_language_centroids,
+    "op10_suffix_lpf": op10_suffix_lpf,
 }
 
 ORACLES: dict[str, str] = {
