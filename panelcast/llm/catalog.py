@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import op1_quality, op2_merkle, op5_debruijn, op6_chat, op7_simhash, op8_bpe, op9_language, op10_lpf
+from panelcast.llm import op1_quality, op2_merkle, op3_licences, op4_decontaminate, op5_debruijn, op6_chat, op7_simhash, op8_bpe, op9_language, op10_lpf
 from panelcast.llm.common import table
 
 
@@ -18,6 +18,15 @@ def op2_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return op2_merkle.edited_pairs(table(spark, sf, "documents"))
 
 
+def op3_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return op3_licences.scan(docs, op3_licences.learn(docs))
+
+
+def op4_decontaminate_myers(spark: SparkSession, sf: str) -> DataFrame:
+    return op4_decontaminate.find(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op5_debruijn_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return op5_debruijn.digests(op5_debruijn.cut(table(spark, sf, "documents"), length=35))
 
@@ -47,6 +56,8 @@ def op10_suffix_lpf(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_crf": op1_quality_crf,
     "op2_merkle_fingerprints": op2_merkle_fingerprints,
+    "op3_licence_scan": op3_licence_scan,
+    "op4_decontaminate_myers": op4_decontaminate_myers,
     "op5_debruijn_dedup": op5_debruijn_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_simhash_pivots": op7_simhash_pivots,

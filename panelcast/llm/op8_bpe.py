@@ -169,26 +169,28 @@ def codec(vocab_path: str | None = None, pattern: str | None = None) -> Codec:
 
 
 def encode(df: DataFrame, codec_: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``ids``: the token ids of the text as packed little-endian unsigned 32-bit integers."""
+    """``doc_id`` and ``ids``: the token ids of the text as an array of integers."""
     shared = df.sparkSession.sparkContext.broadcast(codec_)
 
     def run(batches):
         c = shared.value
         for batch in batches:
-            ids = [b"".join(c.encode(t)) for t in (x.as_py() for x in batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            ids = [b"".join(c.encode(x.as_py())) for x in batch.column("text")]
+            at = np.cumsum([0, *(len(x) // 4 for x in ids)])
+            made = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), made], ["doc_id", "ids"])
 
-    return text_frame(df, id_col, text_col).mapInArrow(run, _schema(df, id_col, "ids binary"))
+    return text_frame(df, id_col, text_col).mapInArrow(run, _schema(df, id_col, "ids array<int>"))
 
 
 def decode(encoded: DataFrame, codec_: Codec) -> DataFrame:
-    """``doc_id`` and ``decoded``: the bytes that packed ``ids`` stand for."""
+    """``doc_id`` and ``decoded``: the bytes that ``ids`` stand for (a null array: none)."""
     shared = encoded.sparkSession.sparkContext.broadcast(codec_)
 
     def run(batches):
         c = shared.value
         for batch in batches:
-            out = [c.decode(x.as_py() or b"") for x in batch.column("ids")]
+            out = [c.decode(x.values.to_numpy().astype("<u4").tobytes()) if x.is_valid else b"" for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, _schema(encoded, "doc_id", "decoded binary"))
