@@ -42,55 +42,32 @@ def season_columns(df: DataFrame) -> list[F.Column]:
 def lag_rolling_features(df: DataFrame, feature_set: str, key_cols=C.KEY_COLS, time_col: str = "yearweek") -> DataFrame:
     """WIN-1..7: lags, shifted rolling mean/std, diff and growth on count; lags and rolls on total and rate.
 
-    Rolling statistics over the previous w rows come from running sums
-    (count, sum, sum of squares of the present values up to the previous row)
-    and their values w rows back, so every window length costs O(1) per row
-    instead of re-aggregating a sliding frame. NULLs are skipped exactly like
-    a frame aggregate: the mean needs one value, the sample std two.
+    Rolling statistics are frame aggregates over the w rows before the current
+    one; NULLs are skipped, the mean needs one value, the sample std two. All
+    expressions share one partitioning and order, so Spark plans one exchange
+    and one sort for them.
     """
     cfg = _cfg(feature_set)
     w = Window.partitionBy(*key_cols).orderBy(time_col)
-    prior = w.rowsBetween(Window.unboundedPreceding, -1)
-    measures = [(m, p) for m, p in MEASURES if m in df.columns]
     names = feature_names(df, feature_set)
-    keep = [c for c in df.columns if c not in names]
-    running = []
-    for i, (measure, _) in enumerate(measures):
-        m = F.col(measure).cast("double")
-        running += [
-            F.coalesce(F.count(m).over(prior), F.lit(0)).alias(f"_c{i}"),
-            F.coalesce(F.sum(m).over(prior), F.lit(0.0)).alias(f"_s{i}"),
-            F.coalesce(F.sum(m * m).over(prior), F.lit(0.0)).alias(f"_q{i}"),
-        ]
-    base = df.select(*keep, *running)
-    # second pass: plain lags, and the running sums as they stood w rows back
-    lagged, finals = list(season_columns(df)), []
-    for i, (measure, prefix) in enumerate(measures):
+    made = dict(zip(("week_sin", "week_cos"), season_columns(df)))
+    for measure, prefix in MEASURES:
+        if measure not in df.columns:
+            continue
         m = F.col(measure)
         for k in cfg["lags"]:
-            lagged.append(F.lag(m, k).over(w).alias(f"{prefix}lag_{k}"))
+            made[f"{prefix}lag_{k}"] = F.lag(m, k).over(w)
         for win in cfg["rolling_windows"]:
-            for part, zero in (("c", F.lit(0)), ("s", F.lit(0.0)), ("q", F.lit(0.0))):
-                name = f"_{part}{i}_{win}"
-                lagged.append(F.coalesce(F.lag(f"_{part}{i}", win).over(w), zero).alias(name))
-            n = F.col(f"_c{i}") - F.col(f"_c{i}_{win}")
-            sm = F.col(f"_s{i}") - F.col(f"_s{i}_{win}")
-            sq = F.col(f"_q{i}") - F.col(f"_q{i}_{win}")
-            var = F.greatest(F.try_divide(sq - F.try_divide(sm * sm, n), n - 1), F.lit(0.0))
-            finals.append(F.when(n >= 1, F.try_divide(sm, n)).alias(f"{prefix}roll{win}_mean"))
-            finals.append(F.when(n >= 2, F.sqrt(var)).alias(f"{prefix}roll{win}_std"))
+            frame = w.rowsBetween(-win, -1)
+            made[f"{prefix}roll{win}_mean"] = F.avg(m.cast("double")).over(frame)
+            made[f"{prefix}roll{win}_std"] = F.stddev_samp(m.cast("double")).over(frame)
         if measure == "count":
             last = F.lag(m, 1).over(w)
             for k in cfg["diff_lags"]:
-                lagged.append((last - F.lag(m, k + 1).over(w)).alias(f"diff_{k}"))
+                made[f"diff_{k}"] = last - F.lag(m, k + 1).over(w)
             for k in cfg["growth_lags"]:
-                lagged.append(_ratio_change(last, F.lag(m, k + 1).over(w)).alias(f"growth_{k}"))
-    running_names = [f"_{p}{i}" for i in range(len(measures)) for p in ("c", "s", "q")]
-    stage = base.select(*keep, *running_names, *lagged)
-    final_by_name = dict(zip([f"{p}roll{win}_{kind}" for _, p in measures for win in cfg["rolling_windows"]
-                              for kind in ("mean", "std")], finals))
-    ordered = [final_by_name.get(c, F.col(c)) for c in names if c in final_by_name or c in stage.columns]
-    return stage.select(*keep, *ordered)
+                made[f"growth_{k}"] = _ratio_change(last, F.lag(m, k + 1).over(w))
+    return df.select(*[c for c in df.columns if c not in names], *[made[n].alias(n) for n in names])
 
 
 def feature_names(df: DataFrame, feature_set: str) -> list[str]:
@@ -200,10 +177,8 @@ def directional_hit(df: DataFrame, key_cols, time_col: str = "yearweek", y_true:
                     y_pred: str = "y_pred", out: str = "_hit") -> DataFrame:
     """WIN-8: 1.0 when the step-to-step direction of truth and prediction agree, NULL on a series' first row."""
     w = Window.partitionBy(*key_cols).orderBy(time_col)
-    # step differences below 1e-9 count as flat, so summation-order noise in a
-    # combined prediction cannot flip a direction
-    td = F.round(F.col(y_true) - F.lag(y_true, 1).over(w), 9)
-    pdiff = F.round(F.col(y_pred) - F.lag(y_pred, 1).over(w), 9)
+    td = F.col(y_true) - F.lag(y_true, 1).over(w)
+    pdiff = F.col(y_pred) - F.lag(y_pred, 1).over(w)
     hit = F.when(td.isNotNull() & pdiff.isNotNull(), (F.signum(td) == F.signum(pdiff)).cast("double"))
     return df.withColumn(out, hit)
 

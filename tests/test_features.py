@@ -134,3 +134,19 @@ def test_seasonal_naive_matches_loop(spark, n):
         return
     exp = _naive_loop(y, steps)
     assert [v for _, v in got] == pytest.approx(exp)
+
+
+def test_rolling_statistics_keep_their_digits(spark):
+    """Large offsets and constant series: frame aggregates lose nothing to cancellation."""
+    import numpy as np
+
+    values = [1e8 + (i * 37 % 11) for i in range(40)]
+    rows = [("s", "d", "x", 202001 + i, v, v, v) for i, v in enumerate(values)]
+    rows += [("s", "d", "y", 202001 + i, 0.1, 0.1, 0.1) for i in range(40)]
+    df = spark.createDataFrame(rows, "data_source string, disease string, county string, yearweek int, count double, "
+                                     "source_total_count double, disease_rate double")
+    out = lag_rolling_features(df, "base").orderBy("county", "yearweek").collect()
+    for i in range(5, 40):
+        assert abs(out[i]["roll4_std"] - np.std(values[i - 4 : i], ddof=1)) < 1e-6
+        assert abs(out[i]["roll4_mean"] - np.mean(values[i - 4 : i])) < 1e-6
+    assert {r["roll4_std"] for r in out[42:]} == {0.0}
