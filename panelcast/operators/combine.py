@@ -1,8 +1,8 @@
 """Rule-based combiners over base-model predictions (COM-2..5, COM-12, COM-13, AGG-8, AGG-11, AGG-16, SRT-6, CV-6, FIL-12, FIL-13).
 
-Predictions travel in long form ``(group..., id..., model_name, y_pred)``.
-Weights are a tiny frame (groups x models, where a group is e.g. a fold) that
-is broadcast into the join; applying them is one aggregation per row id.
+Weights are a tiny frame (groups x models, where a group is e.g. a fold),
+fitted on the long form ``(group..., id..., model_name, y_pred)``; applying them
+is one expression over the wide prediction matrix.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast import config as C
+from panelcast.functions.medians import exact_medians
 from panelcast.functions.metrics import finite, wape_weighting
 from panelcast.operators import splits as SP
 
@@ -47,7 +48,7 @@ def rule_weights(long_fit: DataFrame, method: str, topk: int | None = None, grou
     """
     method = str(method).lower().strip()
     if method not in C.RULE_BASED_METHODS:
-        raise ValueError(f"Unknown rule-based ensemble method={method}. Allowed: {sorted(C.RULE_BASED_METHODS)}")
+        raise ValueError(f"{method!r} is not a rule-based combiner; choose one of {sorted(C.RULE_BASED_METHODS)}")
     g = list(group_cols)
     per = long_fit.groupBy(*g, "model_name", "_model_pos").agg(wape_weighting("y_true", "y_pred").alias("wape"))
     wg = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
@@ -67,18 +68,43 @@ def rule_weights(long_fit: DataFrame, method: str, topk: int | None = None, grou
     return per.select(*g, "model_name", "_model_pos", "wape", weight.alias("weight"))
 
 
-def apply_weights(long_pred: DataFrame, weights: DataFrame, id_cols, group_cols=()) -> DataFrame:
-    """COM-5 (+ AGG-11, MOD-11, SCA-9): weighted sum per row; a missing prediction takes its
-    column's median over the predicted batch, then 0; the result is clipped at 0."""
+def apply_weights(matrix: DataFrame, weights: DataFrame, model_cols, id_cols, group_cols=()) -> DataFrame:
+    """COM-5 (+ AGG-11, MOD-11, SCA-9): weighted sum per row, in model order; a missing prediction takes its
+    column's median over the predicted batch (of its group), then 0; the result is clipped at 0.
+
+    The weights (one per group and model, bounded by folds x models) become
+    literals of one expression over the wide matrix: no melt, join or shuffle.
+    """
     g = list(group_cols)
-    med = long_pred.groupBy(*g, "model_name").agg(F.median("y_pred").alias("_med"))
-    # weights and medians have one row per (group, model): bounded by folds x models
-    j = long_pred.join(F.broadcast(weights.select(*g, "model_name", "weight")), [*g, "model_name"]).join(
-        F.broadcast(med), [*g, "model_name"]
-    )
-    filled = F.coalesce(F.col("y_pred"), F.col("_med"), F.lit(0.0))
-    out = j.groupBy(*g, *id_cols).agg(F.sum(filled * F.col("weight")).alias("y_pred"))
-    return out.withColumn("y_pred", F.greatest(F.col("y_pred"), F.lit(0.0)))
+    rows = weights.select(*g, "model_name", "weight").collect()
+    cols = [c for c in model_cols if any(r["model_name"] == c for r in rows)]
+    groups = sorted({tuple(r[k] for k in g) for r in rows})
+    some = matrix.select(*g, *id_cols, *[finite(c).cast("double").alias(c) for c in cols])
+    gaps = some.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    missing = [c for c in cols if gaps[c]]
+
+    def per_group(value):
+        """One literal per group; the only one without groups."""
+        out = F.lit(None).cast("double")
+        for key in groups:
+            hit = F.lit(True)
+            for k, v in zip(g, key):
+                hit = hit & (F.col(k) == F.lit(v))
+            out = F.when(hit, F.lit(value(key)).cast("double")).otherwise(out)
+        return out
+
+    medians = {}
+    for key in groups if missing else []:
+        part = some
+        for k, v in zip(g, key):
+            part = part.where(F.col(k) == F.lit(v))
+        medians[key] = exact_medians(part, missing)
+    given = {(tuple(r[k] for k in g), r["model_name"]): r["weight"] for r in rows}
+    total = F.lit(0.0)
+    for c in cols:
+        filled = F.coalesce(F.col(c), per_group(lambda key, c=c: medians[key][c]), F.lit(0.0)) if c in missing else F.col(c)
+        total = total + filled * per_group(lambda key, c=c: given.get((key, c), 0.0))
+    return some.select(*g, *id_cols, F.greatest(total, F.lit(0.0)).alias("y_pred")).where(F.col("y_pred").isNotNull())
 
 
 def fit_predict_rule(matrix_fit: DataFrame, matrix_pred: DataFrame, model_cols, method: str, id_cols,
@@ -87,8 +113,7 @@ def fit_predict_rule(matrix_fit: DataFrame, matrix_pred: DataFrame, model_cols,
     fit = complete_cases(matrix_fit, model_cols, y)
     long_fit = melt(fit, [*group_cols, y], model_cols).withColumnRenamed(y, "y_true")
     w = rule_weights(long_fit, method, topk, group_cols)
-    long_pred = melt(matrix_pred, [*group_cols, *id_cols], model_cols)
-    return w, apply_weights(long_pred, w, id_cols, group_cols)
+    return w, apply_weights(matrix_pred, w, model_cols, id_cols, group_cols)
 
 
 def meta_oof_rule(matrix: DataFrame, model_cols, method: str, id_cols, n_splits: int, y: str = "y_true",

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast import config as C
+from panelcast.functions.medians import exact_medians
 from panelcast.functions.metrics import finite
 
 
@@ -51,10 +52,7 @@ def profile_features(df: DataFrame, numeric_cols) -> DataFrame:
 
 def column_medians(df: DataFrame, cols) -> dict:
     """AGG-11: exact medians (NaN and inf ignored); a column with no values gets None."""
-    if not cols:
-        return {}
-    row = df.agg(*[F.median(finite(c)).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    return exact_medians(df, cols)
 
 
 def impute(df: DataFrame, medians: dict) -> DataFrame:
@@ -120,7 +118,7 @@ def filter_numeric_features(train: DataFrame, numeric_cols, missing_threshold: f
 
 
 def importance_topk(train: DataFrame, numeric_cols, target_col: str = "count", top_k: int = 60,
-                    max_iter: int = 20, seed: int = C.SEED) -> SelectionResult:
+                    max_iter: int = 250, seed: int = C.SEED) -> SelectionResult:
     """SEL-3: filter, then a small boosted-tree model's importances; top k ∪ mandatory (ties by name)."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor

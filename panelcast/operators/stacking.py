@@ -10,10 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast import config as C
+from panelcast.functions.medians import exact_medians
 from panelcast.functions.metrics import finite
 from panelcast.operators import combine as CB
 from panelcast.operators import splits as SP
@@ -47,8 +48,8 @@ def _nnls_gram(A: np.ndarray, b: np.ndarray, iters: int = 20000, tol: float = 1e
             delta = max(delta, abs(new - w[j]))
             w[j] = new
         if delta < tol:
-            break
-    return w
+            return w
+    raise RuntimeError(f"non-negative least squares did not settle in {iters} sweeps")
 
 
 def fit_nnls(train: DataFrame, cols, y: str = "y_true") -> NNLSModel:
@@ -108,9 +109,8 @@ def predict_combiner(meta: MetaModel, matrix: DataFrame, id_cols) -> DataFrame:
         if c not in matrix.columns:
             matrix = matrix.withColumn(c, F.lit(None).cast("double"))
     if isinstance(meta.model, DataFrame):
-        long = CB.melt(matrix, id_cols, meta.cols)
-        return CB.apply_weights(long, meta.model, id_cols)
-    med = matrix.agg(*[F.median(finite(c)).alias(c) for c in meta.cols]).first()
+        return CB.apply_weights(matrix, meta.model, meta.cols, id_cols)
+    med = exact_medians(matrix, meta.cols)
     filled = matrix.select(*id_cols, *[F.coalesce(finite(c), F.lit(med[c]), F.lit(0.0)).alias(c) for c in meta.cols])
     out = meta.model.predict(filled, "y_pred")
     return out.select(*id_cols, F.greatest(F.col("y_pred"), F.lit(0.0)).alias("y_pred"))
@@ -127,7 +127,7 @@ def meta_oof(matrix: DataFrame, model_cols, method: str, id_cols, n_splits: int,
         splits = SP.rolling_splits(SP.distinct_weeks(valid), max(2, min(n_splits, 5)), 12)
     except RuntimeError:
         splits = []
-    parts = []
+    parts, failed = [], []
     folds = SP.fold_table(matrix.sparkSession, splits) if splits else None
     for i in range(len(splits)):
         f = folds.where(F.col("fold") == i)
@@ -136,18 +136,29 @@ def meta_oof(matrix: DataFrame, model_cols, method: str, id_cols, n_splits: int,
         try:
             parts.append(predict_combiner(fit_combiner(tr, model_cols, m, y, topk), va, id_cols))
         except (RuntimeError, ValueError):
-            continue  # a failed fold stays without prediction
+            failed.append(i)  # stays without prediction; the evaluation's name says so
     if parts:
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
-        return out, "rolling_meta_oof"
+        missing = f" without folds {', '.join(map(str, failed))}" if failed else ""
+        return out, "rolling_meta_oof" + missing
     meta = fit_combiner(valid, model_cols, m, y, topk)
     return predict_combiner(meta, valid, id_cols), "insample_meta"
 
 
 def combiner_weights(meta: MetaModel) -> DataFrame | None:
-    """COM-12: (meta_model, base_model, weight) for rule-based combiners and linear stacking models."""
+    """COM-12: (meta_model, base_model, weight): a rule's weights, or the coefficients of a regression combiner
+    (on standardised predictions, non-negative ones on the predictions as they are); None for a constant."""
     if isinstance(meta.model, DataFrame):
         return CB.extract_weights(meta.model, meta.method)
-    return None
+    if isinstance(meta.model, NNLSModel):
+        coef = [float(w) for w in meta.model.coef]
+    elif hasattr(meta.model, "model"):
+        coef = [float(w) for w in meta.model.model.coefficients.toArray()]
+    else:
+        return None
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame(
+        [(meta.method, c, w) for c, w in zip(meta.cols, coef)], "meta_model string, base_model string, weight double"
+    )

@@ -84,3 +84,19 @@ def test_labels_and_rounding(spark):
     assert [r[0] for r in df.select(model_method(df)).collect()] == ["base/ridge", "nhi_ev_branch/x", "ensemble/unknown"]
     v = spark.createDataFrame([(2.5,), (3.5,), (-1.2,), (None,)], "forecast_count double")
     assert [r[0] for r in v.select(rounded_count()).collect()] == [2, 4, 0, None]
+
+
+def test_exact_medians_as_numpy(spark):
+    import numpy as np
+
+    from panelcast.functions.medians import exact_medians
+
+    rng = np.random.default_rng(3)
+    rows = [(float(rng.integers(0, 40)), float(rng.normal()), None if i % 3 else float(i), None, float("nan") if i % 2 else 1.5)
+            for i in range(501)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(5)
+    got = exact_medians(df, ["a", "b", "c", "d", "e"])
+    for k, c in enumerate("abc"):
+        assert got[c] == float(np.median([r[k] for r in rows if r[k] is not None]))
+    assert got["d"] is None and got["e"] == 1.5
+    assert exact_medians(df.limit(0), ["a"]) == {"a": None}
