@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast import config as C
+from panelcast.functions.medians import exact_medians
 from panelcast.functions.metrics import finite
+from panelcast.session import reliable_checkpoint
 
 
 # ---------------------------------------------------------------------------
@@ -57,19 +59,19 @@ def fit_preprocess(train: DataFrame, numeric_cols, categorical_cols) -> Preproce
     numeric, categorical = list(numeric_cols), list(categorical_cols)
     medians, means, scales = {}, {}, {}
     if numeric:
-        # one pass: medians plus moments of the present values; the moments of the
+        # exact medians, and one pass for the moments of the present values; those of the
         # imputed column follow from them (missing values sit at the median)
         xs = [finite(F.col(c).cast("double")) for c in numeric]
         row = train.agg(
             F.count(F.lit(1)).alias("_n"),
-            *[F.median(x).alias(f"q{i}") for i, x in enumerate(xs)],
             *[F.count(x).alias(f"k{i}") for i, x in enumerate(xs)],
             *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
             *[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(xs)],
         ).first()
         n = row["_n"] or 1
+        found = exact_medians(train, numeric)
         for i, c in enumerate(numeric):
-            med = row[f"q{i}"] if row[f"q{i}"] is not None else 0.0
+            med = found[c] if found[c] is not None else 0.0
             k, m, v = row[f"k{i}"], row[f"m{i}"] or 0.0, row[f"v{i}"] or 0.0
             mean = (k * m + (n - k) * med) / n
             # total variance = within present values + between present mean / median groups
@@ -120,6 +122,10 @@ class ConstantModel:
         return df.withColumn(out, F.lit(float(self.value)))
 
 
+#: Trees that one plan holds at most; a longer ensemble is cut by checkpoints.
+PLAN_TREES = 50
+
+
 @dataclass
 class PoissonBoostModel:
     pre: Preprocessor
@@ -129,18 +135,29 @@ class PoissonBoostModel:
 
     def predict(self, df: DataFrame, out: str = "y_pred") -> DataFrame:
         x = self.pre.transform(df).withColumn("_F", F.lit(self.f0))
-        for i, t in enumerate(self.trees):
+        for i, t in enumerate(self.trees, 1):
             t.setFeaturesCol("_features").setPredictionCol("_t")
             x = t.transform(x).withColumn("_F", F.col("_F") + F.lit(self.step) * F.col("_t")).drop("_t")
+            if i % PLAN_TREES == 0 and i < len(self.trees):
+                x = reliable_checkpoint(x)
         return x.select(*df.columns, F.exp("_F").alias(out))
 
 
+def constant_targets(train: DataFrame, y: str, group_cols=()) -> DataFrame:
+    """AGG-14: per group whether the target has at most one distinct value, and that value (0 without any).
+
+    Smallest equal to largest says so in one pre-aggregated pass.
+    """
+    v = finite(F.col(y).cast("double"))
+    same = F.coalesce(F.min(v) == F.max(v), F.lit(True))
+    return train.groupBy(*group_cols).agg(
+        same.alias("is_constant"), F.when(same, F.coalesce(F.max(v), F.lit(0.0))).alias("value"))
+
+
 def constant_target(train: DataFrame, y: str) -> float | None:
     """AGG-14: the constant value when the target has at most one distinct non-null value, else None."""
-    r = train.agg(F.count_distinct(finite(y)).alias("n"), F.first(finite(y), ignorenulls=True).alias("v")).first()
-    if r["n"] <= 1:
-        return float(r["v"]) if r["v"] is not None else 0.0
-    return None
+    r = constant_targets(train, y).first()
+    return r["value"] if r["is_constant"] else None
 
 
 # ---------------------------------------------------------------------------
@@ -152,17 +169,18 @@ def _label_stats(train: DataFrame, y: str):
 
 
 def fit_linear(train: DataFrame, numeric, categorical, y: str = "count", alpha: float = 1.0, l1_ratio: float = 0.0,
-               loss: str = "squaredError", epsilon: float = 1.35) -> SparkModel:
+               loss: str = "squaredError", epsilon: float = 1.35, pre: Preprocessor | None = None) -> SparkModel:
     """MOD-2 / MOD-3 (and the stacking estimators): penalised least squares on the preprocessed features.
 
     The penalty is rescaled so Spark's objective (which scales the L2 part by
     the label's std) matches ``||y - Xw||^2 / (2n) + a*l1*|w| + a*(1-l1)/2*|w|^2``
-    for elastic net and ``||y - Xw||^2 + a*|w|^2`` for ridge.
+    for elastic net and ``||y - Xw||^2 + a*|w|^2`` for ridge. The solver is Spark's choice: one pass for
+    the normal equations while the features allow it, iterations beyond.
     """
     from pyspark.ml.regression import LinearRegression
 
     data = train.where(F.col(y).isNotNull()).withColumn("_y", F.col(y).cast("double"))
-    pre = fit_preprocess(data, numeric, categorical)
+    pre = pre or fit_preprocess(data, numeric, categorical)
     x = pre.transform(data).select("_features", "_y").persist()
     n, sd = _label_stats(x, "_y")
     if loss == "huber":
@@ -170,11 +188,11 @@ def fit_linear(train: DataFrame, numeric, categorical, y: str = "count", alpha:
                               standardization=False, labelCol="_y", featuresCol="_features")
     elif l1_ratio == 0.0:
         lr = LinearRegression(regParam=alpha * sd / max(n, 1), elasticNetParam=0.0, standardization=False,
-                              solver="normal", labelCol="_y", featuresCol="_features")
+                              solver="auto", maxIter=500, tol=1e-10, labelCol="_y", featuresCol="_features")
     else:
         lam = alpha * l1_ratio + alpha * (1 - l1_ratio) * sd
         lr = LinearRegression(regParam=lam, elasticNetParam=(alpha * l1_ratio / lam) if lam > 0 else 0.0,
-                              standardization=False, maxIter=200, tol=1e-9, labelCol="_y", featuresCol="_features")
+                              standardization=False, solver="auto", maxIter=500, tol=1e-9, labelCol="_y", featuresCol="_features")
     model = lr.fit(x)
     x.unpersist()
     return SparkModel(pre, model)
@@ -195,13 +213,13 @@ POISSON_PRESETS = {
 
 def fit_gbt(train: DataFrame, numeric, categorical, y: str = "count", preset: str = "lightgbm",
             max_iter: int | None = None, seed: int = C.SEED, max_depth: int | None = None, step_size: float | None = None,
-            subsample: float | None = None, min_instances: int | None = None) -> SparkModel:
+            subsample: float | None = None, min_instances: int | None = None, pre: Preprocessor | None = None) -> SparkModel:
     """MOD-4: gradient-boosted trees with squared loss (three presets; grid parameters override them)."""
     from pyspark.ml.regression import GBTRegressor
 
     it, depth, step, sub, feat = GBT_PRESETS[preset]
     data = train.where(F.col(y).isNotNull()).withColumn("_y", F.col(y).cast("double"))
-    pre = fit_preprocess(data, numeric, categorical)
+    pre = pre or fit_preprocess(data, numeric, categorical)
     gbt = GBTRegressor(labelCol="_y", featuresCol="_features", maxIter=int(max_iter or it),
                        maxDepth=int(max_depth or depth), stepSize=float(step_size or step),
                        subsamplingRate=float(subsample or sub), featureSubsetStrategy=feat,
@@ -213,7 +231,8 @@ def fit_gbt(train: DataFrame, numeric, categorical, y: str = "count", preset: st
 
 
 def fit_poisson_boost(train: DataFrame, numeric, categorical, y: str = "count", preset: str = "lightgbm_poisson",
-                      max_iter: int | None = None, checkpoint_every: int = 10, seed: int = C.SEED) -> PoissonBoostModel:
+                      max_iter: int | None = None, checkpoint_every: int = 10, seed: int = C.SEED,
+                      pre: Preprocessor | None = None) -> PoissonBoostModel:
     """MOD-5: Newton boosting for the Poisson log-likelihood with Spark regression trees.
 
     F0 = log(mean y); each step fits a weighted tree to (y - mu) / mu with
@@ -226,7 +245,7 @@ def fit_poisson_boost(train: DataFrame, numeric, categorical, y: str = "count",
     it, depth, step = POISSON_PRESETS[preset]
     it = int(max_iter or it)
     data = train.where(F.col(y).isNotNull()).withColumn("_y", F.greatest(F.col(y).cast("double"), F.lit(0.0)))
-    pre = fit_preprocess(data, numeric, categorical)
+    pre = pre or fit_preprocess(data, numeric, categorical)
     mean_y = data.agg(F.avg("_y")).first()[0] or 0.0
     f0 = math.log(max(mean_y, 1e-9))
     work = pre.transform(data).select("_features", "_y").withColumn("_F", F.lit(f0))
@@ -240,7 +259,7 @@ def fit_poisson_boost(train: DataFrame, numeric, categorical, y: str = "count",
         tree.setPredictionCol("_t")
         work = tree.transform(work).withColumn("_F", F.col("_F") + F.lit(step) * F.col("_t")).drop("_t")
         if checkpoint_every and (i + 1) % checkpoint_every == 0:
-            work = work.checkpoint(eager=True)
+            work = reliable_checkpoint(work)
     return PoissonBoostModel(pre, f0, step, trees)
 
 
@@ -255,25 +274,21 @@ class ModelSpec:
     enabled: bool = True
 
 
-def build_registry(model_task: str = "default", max_iter: int | None = None) -> list[ModelSpec]:
-    """MOD-8: the model pool of a task; ``max_iter`` caps boosting iterations for quick runs."""
+def build_registry(model_task: str = "default") -> list[ModelSpec]:
+    """MOD-8: the model pool of a task; iteration counts come from the presets and the grid alone."""
     ev = model_task in C.EV_TASKS
 
     def gbt(preset):
-        def fit(tr, num, cat, y="count", **kw):
-            kw.setdefault("max_iter", max_iter)
-            return fit_gbt(tr, num, cat, y, preset, **kw)
-
-        return fit
+        return lambda tr, num, cat, y="count", **kw: fit_gbt(tr, num, cat, y, preset, **kw)
 
     def pois(preset):
-        return lambda tr, num, cat, y="count", **kw: fit_poisson_boost(tr, num, cat, y, preset, max_iter=max_iter)
+        return lambda tr, num, cat, y="count", **kw: fit_poisson_boost(tr, num, cat, y, preset, **kw)
 
     reg = [
         ModelSpec("seasonal_naive", "naive", None),
-        ModelSpec("ridge", "global_panel", lambda tr, num, cat, y="count", alpha=1.0, **kw: fit_linear(tr, num, cat, y, alpha)),
+        ModelSpec("ridge", "global_panel", lambda tr, num, cat, y="count", alpha=1.0, **kw: fit_linear(tr, num, cat, y, alpha, **kw)),
         ModelSpec("elasticnet", "global_panel",
-                  lambda tr, num, cat, y="count", alpha=0.02, l1_ratio=0.15, **kw: fit_linear(tr, num, cat, y, alpha, l1_ratio),
+                  lambda tr, num, cat, y="count", alpha=0.02, l1_ratio=0.15, **kw: fit_linear(tr, num, cat, y, alpha, l1_ratio, **kw),
                   enabled=not ev),
         ModelSpec("xgboost", "global_panel", gbt("xgboost")),
         ModelSpec("lightgbm", "global_panel", gbt("lightgbm")),
@@ -287,15 +302,15 @@ def build_registry(model_task: str = "default", max_iter: int | None = None) ->
     return reg
 
 
-def resolve_allowed_registry(model_task: str, model_names, max_iter: int | None = None) -> list[ModelSpec]:
+def resolve_allowed_registry(model_task: str, model_names) -> list[ModelSpec]:
     """MOD-9: run-mode models ∩ registry; EV tasks drop ridge and add the Poisson models; fewer than 2 is an error."""
     allowed = set(model_names) - {"keras_mlp", "sarimax"}
     if model_task in C.EV_TASKS:
         allowed.discard("ridge")
         allowed |= {"xgboost_poisson", "lightgbm_poisson", "catboost_poisson"}
-    reg = [s for s in build_registry(model_task, max_iter) if s.name in allowed and s.enabled]
+    reg = [s for s in build_registry(model_task) if s.name in allowed and s.enabled]
     if len(reg) < 2:
-        raise RuntimeError(f"Need at least 2 models after registry filtering, got {len(reg)} for model_task={model_task}")
+        raise RuntimeError(f"task {model_task} is left with {len(reg)} usable models; two are the least")
     return reg
 
 

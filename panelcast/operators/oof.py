@@ -47,25 +47,32 @@ def global_oof(train: DataFrame, folds: DataFrame, specs, numeric, categorical,
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from panelcast.operators.models import fit_with_constant_guard, fit_with_grid_search
+    from panelcast.operators.models import ConstantModel, constant_target, fit_preprocess, fit_with_grid_search
 
     n_folds = folds.agg(F.max("fold")).first()[0]
-    tasks = [(spec, i) for spec in specs if spec.scope == "global_panel" and spec.enabled
-             for i in range(0 if n_folds is None else n_folds + 1)]
+    todo = [s for s in specs if s.scope == "global_panel" and s.enabled]
+    sides = {}
+    for i in range(0 if n_folds is None or not todo else n_folds + 1):
+        f = folds.where(F.col("fold") == i)
+        tr = assign_folds(train, f, "train").drop("fold")
+        # what all models of a fold share is computed once: constant or not, and the preprocessing
+        const = constant_target(tr, y)
+        pre = None if grid_search or const is not None else fit_preprocess(tr.where(F.col(y).isNotNull()), numeric, categorical)
+        sides[i] = tr, assign_folds(train, f, "valid").drop("fold"), const, pre
 
     def run(task):
         spec, i = task
-        f = folds.where(F.col("fold") == i)
-        tr = assign_folds(train, f, "train").drop("fold")
-        va = assign_folds(train, f, "valid").drop("fold")
-        if grid_search:
+        tr, va, const, pre = sides[i]
+        if const is not None:
+            model = ConstantModel(const)
+        elif grid_search:
             model, _ = fit_with_grid_search(spec, tr, numeric, categorical, y, grid_splits)
         else:
-            model = fit_with_constant_guard(spec, tr, numeric, categorical, y)
+            model = spec.fit(tr, numeric, categorical, y, pre=pre)
         return model.predict(va, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(run, tasks))
+        parts = list(pool.map(run, [(spec, i) for spec in todo for i in sides]))
     if not parts:
         return None
     out = parts[0]
@@ -77,14 +84,16 @@ def global_oof(train: DataFrame, folds: DataFrame, specs, numeric, categorical,
 def final_global_predictions(train: DataFrame, future: DataFrame, specs, numeric, categorical, id_cols,
                              y: str = "count") -> DataFrame | None:
     """MOD-10 for global models: refit on all training rows, predict the future rows (long output)."""
-    from panelcast.operators.models import fit_with_constant_guard
-
     from concurrent.futures import ThreadPoolExecutor
 
+    from panelcast.operators.models import ConstantModel, constant_target, fit_preprocess
+
     todo = [s for s in specs if s.scope == "global_panel" and s.enabled]
+    const = constant_target(train, y) if todo else None
+    pre = fit_preprocess(train.where(F.col(y).isNotNull()), numeric, categorical) if todo and const is None else None
 
     def run(spec):
-        model = fit_with_constant_guard(spec, train, numeric, categorical, y)
+        model = ConstantModel(const) if const is not None else spec.fit(train, numeric, categorical, y, pre=pre)
         return model.predict(future, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred")
 
     with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
