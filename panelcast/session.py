@@ -37,12 +37,15 @@ def build_session(master: str | None = None, app: str = "panelcast", shuffle_par
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    """The cluster's shared ``spark.checkpoint.dir``. Where it is unset a scratch folder serves a local master (tests);
+    on a cluster that is an error, as executors share no local folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="panelcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     sc.setCheckpointDir(current)

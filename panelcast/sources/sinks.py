@@ -5,10 +5,14 @@ Tables are catalog tables or parquet paths. Nothing is collected to the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.session import reliable_checkpoint
+
 # SNK-4: schemas of the three output tables (the metric table is the metric frame itself)
 FORECAST_SCHEMA = T.StructType([
     T.StructField("data_source", T.StringType()), T.StructField("disease", T.StringType()),
@@ -46,43 +50,59 @@ def append(df: DataFrame, target: str, partition_by=None) -> bool:
 
 
 def replace_partition(spark: SparkSession, df: DataFrame, target: str, keys: dict, partition_by) -> None:
-    """SNK-2: remove the rows matching ``keys`` and write ``df`` in their place (an empty frame only removes).
+    """SNK-2: remove every row that matches ``keys``, keep all others, insert all rows of ``df`` (none: only remove).
 
-    The table is partitioned by ``partition_by`` (which must contain the key
-    columns), and dynamic partition overwrite rewrites only the touched
-    partitions. An empty key set is an error.
+    The table is partitioned by ``partition_by``, which must contain the key
+    columns, so the matching rows are whole partitions. The new rows are written
+    next to the table first and only then take the place of the old partitions:
+    an interrupted run leaves the old rows or the staged new ones, and running it
+    again finishes it. An empty key set is an error.
     """
     if not keys:
         raise ValueError("replace_partition needs at least one key")
     missing = set(keys) - set(partition_by)
     if missing:
         raise ValueError(f"keys {sorted(missing)} are not partition columns")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    cond = None
-    for k, v in keys.items():
-        c = F.col(k) == F.lit(v)
-        cond = c if cond is None else cond & c
-    if df.isEmpty() and not _is_path(target):
+    if not _is_path(target):
+        rows = reliable_checkpoint(df)  # it may read the table itself
+
         def lit(v):
             return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
 
         spec = ", ".join(f"{k} = {lit(v)}" for k, v in keys.items())
         spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({spec})")
+        if not rows.isEmpty():
+            rows.select(*spark.table(target).columns).write.insertInto(target)
         return
-    if df.isEmpty():
-        # delete only on a path: the remaining rows are checkpointed (lineage cut from the target), then the
-        # table is rewritten statically so the keyed partitions disappear
-        existing = spark.read.parquet(target) if _is_path(target) else spark.table(target)
-        keep = existing.where(~cond).checkpoint(eager=True)
-        w = keep.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
-        (w.parquet(target) if _is_path(target) else w.saveAsTable(target))
-        return
-    out = df.where(cond)
-    w = out.write.mode("overwrite").partitionBy(*partition_by)
-    if _is_path(target):
-        w.parquet(target)
-    else:
-        w.insertInto(target, overwrite=True)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(target)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    staged = hadoop.Path(f"{target.rstrip('/')}/_replace-{uuid.uuid4().hex}")
+    df.write.partitionBy(*partition_by).parquet(staged.toString())
+    folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    wanted = {k: folder(k, str(v)) for k, v in keys.items()}
+
+    def leaves(path, depth=0):
+        if depth == len(partition_by):
+            yield path
+            return
+        column = partition_by[depth]
+        for status in fs.listStatus(path):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith(f"{column}=") and wanted.get(column, name) == name:
+                yield from leaves(status.getPath(), depth + 1)
+
+    for path in list(leaves(root)):
+        fs.delete(path, True)
+    files = fs.listFiles(staged, True)
+    while files.hasNext():
+        path = files.next().getPath()
+        if path.getName().startswith("part-"):
+            inside = path.toUri().getPath()[len(staged.toUri().getPath()) + 1 :]
+            to = hadoop.Path(root, inside)
+            fs.mkdirs(to.getParent())
+            fs.rename(path, to)
+    fs.delete(staged, True)
 
 
 def execute(spark: SparkSession, statement: str, params: dict | None = None) -> None:
@@ -109,26 +129,6 @@ def write_outputs(frames: dict, out_dir: str, fmt: str = "parquet") -> dict:
     return paths
 
 
-def write_panel(df: DataFrame, target: str, mode: str = "overwrite") -> None:
-    """Store a weekly panel partitioned by ``data_source`` (dynamic overwrite of the sources present)."""
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("data_source")
-    if _is_path(target):
-        w.parquet(target)
-    else:
-        w.saveAsTable(target)
-
-
-def read_panel(spark: SparkSession, target: str, data_source: str, start_week=None, end_week=None) -> DataFrame:
-    """Read one source of a stored panel: the source filter prunes partitions, the week range is pushed to the scan."""
-    df = spark.read.parquet(target) if _is_path(target) else spark.table(target)
-    df = df.where(F.col("data_source") == data_source)
-    if start_week is not None:
-        df = df.where(F.col("yearweek") >= int(start_week))
-    if end_week is not None:
-        df = df.where(F.col("yearweek") <= int(end_week))
-    return df
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """SNK-4: project a frame onto an output table schema (casts; absent columns become NULL)."""
     return df.select(*[

@@ -1,5 +1,7 @@
 import tempfile
 
+import pytest
+
 from panelcast.sources.sinks import append, replace_partition, write_outputs
 
 
@@ -19,17 +21,30 @@ def test_append_replace_and_outputs(spark):
     assert spark.read.option("header", True).csv(paths["leaderboard"]).count() == 2
 
 
-def test_panel_store_prunes_by_source(spark):
-    from panelcast.sources.sinks import read_panel, write_panel
-
-    d = tempfile.mkdtemp(prefix="pc-panel-")
-    rows = [("a", 202001, "X", 1.0), ("a", 202002, "X", 2.0), ("b", 202001, "Y", 3.0)]
-    df = spark.createDataFrame(rows, "data_source string, yearweek int, county string, count double")
-    write_panel(df, f"{d}/panel")
-    got = read_panel(spark, f"{d}/panel", "a", start_week=202002)
-    assert [(r.data_source, r.yearweek) for r in got.collect()] == [("a", 202002)]
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(data_source" in plan or "PartitionFilters" in plan
+def test_replace_keeps_all_other_rows(spark):
+    d = tempfile.mkdtemp(prefix="pc-sink-")
+    target, parts = f"{d}/metric", ["data_source", "task"]
+    old = spark.createDataFrame(
+        [("s1", "t1", 1.0), ("s1", "t2", 2.0), ("s2", "t1", 3.0), (None, "t1", 4.0), ("s 3/x", "t1", 5.0)],
+        "data_source string, task string, v double")
+    append(old, target, parts)
+    new = spark.createDataFrame([("s1", "t1", 10.0), ("s2", "t9", 20.0)], old.schema)
+    replace_partition(spark, new, target, {"data_source": "s1"}, parts)
+    rows = lambda: sorted(((r.data_source, r.task, r.v) for r in spark.read.parquet(target).collect()), key=str)
+    assert rows() == sorted([("s1", "t1", 10.0), ("s2", "t1", 3.0), ("s2", "t9", 20.0), (None, "t1", 4.0), ("s 3/x", "t1", 5.0)], key=str)
+    replace_partition(spark, new.limit(0), target, {"data_source": "s 3/x", "task": "t1"}, parts)
+    replace_partition(spark, new.limit(0), target, {"task": "t9"}, parts)
+    assert rows() == sorted([("s1", "t1", 10.0), ("s2", "t1", 3.0), (None, "t1", 4.0)], key=str)
+
+
+def test_interrupted_replace_leaves_the_old_rows(spark):
+    d = tempfile.mkdtemp(prefix="pc-sink-")
+    target = f"{d}/metric"
+    append(spark.createDataFrame([("s1", 1.0)], "data_source string, v double"), target, ["data_source"])
+    broken = spark.range(1).selectExpr("'s1' AS data_source", "CAST(raise_error('lost') AS double) AS v")
+    with pytest.raises(Exception, match="lost"):
+        replace_partition(spark, broken, target, {"data_source": "s1"}, ["data_source"])
+    assert [r.v for r in spark.read.parquet(target).collect()] == [1.0]
 
 
 def test_conform_to_output_schema(spark):
