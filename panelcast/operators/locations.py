@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast import config as C
-from panelcast.operators.broadcast import broadcast_if_small
 
 
 def strip_ws(col) -> F.Column:
@@ -27,12 +26,13 @@ def location_key(col) -> F.Column:
 def build_location_map(dim_location: DataFrame) -> DataFrame:
     """PAN-2: (county_key, new_name, branch_t), one row per key; a key with two branches is an error.
 
-    The location dimension is bounded by the number of places, so the conflict
-    check may collect the offending keys.
+    An empty dimension is an error. Errors give the number of conflicts and a few names.
     """
     missing = {"old_name", "new_name", "branch_t"} - set(dim_location.columns)
     if missing:
         raise RuntimeError(f"dim_location missing columns: {sorted(missing)}")
+    if dim_location.isEmpty():
+        raise RuntimeError("the location table has no rows")
     base = dim_location.select("old_name", "new_name", "branch_t").where(F.col("branch_t").isNotNull()).distinct()
     new_clean = F.coalesce(strip_ws(F.col("new_name").cast("string")), F.lit("None"))
     branch = strip_ws(F.col("branch_t").cast("string"))
@@ -49,9 +49,10 @@ def build_location_map(dim_location: DataFrame) -> DataFrame:
     conflicts = (
         expanded.groupBy("county_key").agg(F.countDistinct("branch_t").alias("n_branch")).where(F.col("n_branch") > 1)
     )
-    bad = [r[0] for r in conflicts.orderBy("county_key").collect()]
+    bad = conflicts.count()
     if bad:
-        raise RuntimeError(f"dim_location has duplicated county_key mapping to multiple branch_t: {bad}")
+        some = [r[0] for r in conflicts.orderBy("county_key").limit(5).collect()]
+        raise RuntimeError(f"{bad} places belong to more than one branch, first of them {some}")
     picked = expanded.groupBy("county_key").agg(F.min(F.struct("branch_t", "new_name")).alias("_m"))
     return picked.select("county_key", F.col("_m.new_name").alias("new_name"), F.col("_m.branch_t").alias("branch_t"))
 
@@ -59,15 +60,16 @@ def build_location_map(dim_location: DataFrame) -> DataFrame:
 def map_county_to_branch(df: DataFrame, location_map: DataFrame, check: bool = True) -> DataFrame:
     """JOI-7 / JOI-8: county -> branch label; unmapped names are an error (listed)."""
     if "county" not in df.columns:
-        raise RuntimeError("EV branch mapping requires county column")
+        raise RuntimeError("branches are looked up by county, which the table lacks")
     keyed = df.withColumn("county_key", location_key("county"))
-    # one row per place name: broadcast after a size check
-    m = broadcast_if_small(location_map.select("county_key", "branch_t"))
+    m = location_map.select("county_key", "branch_t")
     if check:
         unmapped = keyed.join(m, "county_key", "left_anti").where(F.col("county").isNotNull())
-        missing = [r[0] for r in unmapped.select(F.col("county").cast("string")).distinct().orderBy(1).collect()]
+        names = unmapped.select(F.col("county").cast("string")).distinct()
+        missing = names.count()
         if missing:
-            raise RuntimeError(f"Some EV counties cannot map to dim_location.branch_t: {missing}")
+            some = [r[0] for r in names.orderBy(1).limit(5).collect()]
+            raise RuntimeError(f"{missing} places have no branch, first of them {some}")
     out = keyed.join(m, "county_key", "left")
     return out.withColumn("county", F.col("branch_t").cast("string")).drop("county_key", "branch_t")
 

@@ -160,3 +160,20 @@ OUTPUT_ORDER = {
 def sorted_for_output(df: DataFrame, kind: str) -> DataFrame:
     """Order a frame for writing (only at the sink; never inside the pipeline)."""
     return df.orderBy(*[c for c in OUTPUT_ORDER[kind] if c in df.columns])
+
+
+def feature_table_summary(feature: DataFrame, max_places: int = 30) -> DataFrame:
+    """AGG-17: diseases and places of each source, and the names of the first ``max_places`` places.
+
+    Distinct (source, place) pairs come first, so a source's names are ranked from one row per place.
+    """
+    from pyspark.sql import Window
+
+    counts = feature.groupBy("data_source").agg(
+        F.count_distinct("disease").alias("n_diseases"), F.count_distinct("county").alias("county_count"))
+    places = feature.select("data_source", "county").where(F.col("county").isNotNull()).distinct()
+    ranked = places.withColumn("_r", F.row_number().over(Window.partitionBy("data_source").orderBy("county")))
+    names = ranked.where(F.col("_r") <= max_places).groupBy("data_source").agg(
+        F.array_join(F.array_sort(F.collect_list("county")), ",").alias("counties"))
+    return counts.join(names, "data_source", "left").select(
+        "data_source", "n_diseases", "county_count", F.coalesce("counties", F.lit("")).alias("counties"))

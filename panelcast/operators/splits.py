@@ -27,7 +27,7 @@ def expanding_splits(n: int, k: int) -> list[tuple[range, range]]:
 def _cut_split(weeks: list[int]) -> list[tuple[list[int], list[int]]]:
     cut = int(len(weeks) * 0.8)
     if cut <= 0 or cut >= len(weeks):
-        raise RuntimeError("Cannot create fallback train/validation split")
+        raise RuntimeError("too few weeks even for one split")
     return [(weeks[:cut], weeks[cut:])]
 
 
@@ -41,7 +41,7 @@ def rolling_splits(weeks, n_splits: int, min_train_weeks: int) -> list[tuple[lis
     weeks = sorted({int(w) for w in weeks})
     n = len(weeks)
     if n < 12:
-        raise RuntimeError(f"Not enough training weeks for rolling validation: {n}")
+        raise RuntimeError(f"{n} weeks are too few for rolling validation")
     if n_splits <= 1:
         return _cut_split(weeks)
     if n < min_train_weeks + n_splits:

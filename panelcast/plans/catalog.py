@@ -608,7 +608,12 @@ def _sql_metric_table(method: str = META_METHOD) -> dict:
     d["mfit"] = melt("train")
     d.update(Q.rule_weight_ctes("mfit", method, C.DEFAULT_ENSEMBLE_TOPK, "mw"))
     d["mval"] = melt("valid")
-    d["mpred"] = f"""SELECT v.data_source, v.disease, v.county, v.yearweek, greatest(sum(v.y_pred * w.weight), 0.0) AS y_pred
+    term = lambda i, m: (f"max(CASE WHEN v._model_pos = {i} THEN v.y_pred END) * "
+                         f"max(CASE WHEN v._model_pos = {i} THEN w.weight END)")
+    total = "0.0::DOUBLE"
+    for i, m in enumerate(BASE_MODELS):
+        total = f"({total} + {term(i, m)})"
+    d["mpred"] = f"""SELECT v.data_source, v.disease, v.county, v.yearweek, greatest({total}, 0.0) AS y_pred
                      FROM mval v JOIN mw w ON w.fold = v.fold AND w.model_name = v.model_name
                      GROUP BY v.fold, v.data_source, v.disease, v.county, v.yearweek"""
     d["clong"] = f"""SELECT s.data_source, s.disease, s.county, s.yearweek, s.y_true, p.y_pred,
@@ -749,7 +754,9 @@ def task_inputs(spark, sf):
 def run_options(**kw):
     from panelcast.plans.forecast import RunOptions
 
-    base = dict(run_mode="smoke", max_iter=5, meta_model="ridge", ev_disease=TV.TEST_EV_DISEASE,
+    # all weeks of the panel; the pool is the models whose fit takes seconds
+    base = dict(run_mode="smoke", recent_weeks=0, models=("seasonal_naive", "ridge", "elasticnet"), meta_model="ridge",
+                ev_disease=TV.TEST_EV_DISEASE,
                 offshore=TV.TEST_OFFSHORE, source_kind="nhi", covid_years=TV.TEST_COVID_YEARS)
     base.update(kw)
     return RunOptions(**base)
@@ -767,8 +774,8 @@ def q_pan_07(spark, sf):
 def q_cv_08(spark, sf):
     from panelcast.plans.forecast import run_holdout
 
-    out = run_holdout(task_inputs(spark, sf), TV.SRC_A, "nhi_ev_branch", BASE, train_cut(spark, sf), 8,
-                      run_options(meta_model="weighted_average", feature_select="lgbm_topk", top_k=12))
+    out = run_holdout(task_inputs(spark, sf), TV.SRC_A, "nhi_non_ev_county", BASE, train_cut(spark, sf), 8,
+                      run_options(meta_model="weighted_average"))
     return out["metric"]
 
 
@@ -859,17 +866,21 @@ def q_agg_09(spark, sf):
 @register("agg_11_feature_medians", _ft_sql(
     "SELECT " + ", ".join(f"round(median({c}), 6) AS {c}" for c in PROFILE_COLS[:6]) + " FROM trb", _sql_train_base()))
 def q_agg_11(spark, sf):
-    tr = train_a(spark, sf)
-    return round_doubles(tr.agg(*[F.median(c).alias(c) for c in PROFILE_COLS[:6]]))
+    from panelcast.operators.selection import column_medians
+
+    med = column_medians(train_a(spark, sf), PROFILE_COLS[:6])
+    row = spark.createDataFrame([tuple(med[c] for c in PROFILE_COLS[:6])], ", ".join(f"{c} double" for c in PROFILE_COLS[:6]))
+    return round_doubles(row)
 
 
 @register("agg_14_constant_series", _ft_sql(
-    f"SELECT {Q.KEY}, count(DISTINCT count) <= 1 AS is_constant, count(DISTINCT count) AS n_distinct FROM th GROUP BY ALL",
+    f"""SELECT {Q.KEY}, count(DISTINCT count) <= 1 AS is_constant,
+               CASE WHEN count(DISTINCT count) <= 1 THEN round(coalesce(max(count), 0.0), 6) END AS value FROM th GROUP BY ALL""",
     SQL_HIST))
 def q_agg_14(spark, sf):
-    h = history_a(spark, sf)
-    return h.groupBy(*C.KEY_COLS).agg((F.count_distinct("count") <= 1).alias("is_constant"),
-                                      F.count_distinct("count").alias("n_distinct"))
+    from panelcast.operators.models import constant_targets
+
+    return round_doubles(constant_targets(history_a(spark, sf), "count", C.KEY_COLS))
 
 
 @register("agg_17_feature_table_summary", _ft_sql(
@@ -877,10 +888,9 @@ def q_agg_14(spark, sf):
               array_to_string(list_slice(list_sort(list(DISTINCT county)), 1, 30), ',') AS counties
        FROM ft GROUP BY data_source"""))
 def q_agg_17(spark, sf):
-    ft = feature_a(spark, sf)
-    return ft.groupBy("data_source").agg(
-        F.count_distinct("disease").alias("n_diseases"), F.count_distinct("county").alias("county_count"),
-        F.array_join(F.slice(F.array_sort(F.collect_set("county")), 1, 30), ",").alias("counties"))
+    from panelcast.operators.reports import feature_table_summary
+
+    return feature_table_summary(feature_a(spark, sf))
 
 
 # ---------------------------------------------------------------------------

@@ -52,7 +52,9 @@ class RunOptions:
     feature_set: str | None = None
     feature_select: str | None = None
     top_k: int | None = None
-    max_iter: int | None = None  # caps boosting iterations (quick runs)
+    models: tuple | None = None  # the pool to choose from instead of the run mode's
+    compare: tuple = ()  # further combiners to score on the same base predictions (CV-7)
+    topk: int | None = None  # models that a top-k average takes
     enable_grid_search: bool = False
     grid_cv_splits: int = 3
     ev_disease: str = C.EV_DISEASE
@@ -76,7 +78,7 @@ def prepare(inputs: TaskInputs, data_source: str, model_task: str, opts: RunOpti
 
 def fit_oof(train: DataFrame, cfg, specs, numeric, categorical, opts: RunOptions):
     """Base OOF prediction matrix (global models + seasonal naive), wide, one column per model."""
-    folds = SP.fold_table(train.sparkSession, SP.rolling_splits(SP.distinct_weeks(train), cfg.n_splits, cfg.min_train_weeks))
+    folds = SP.fold_table(train.sparkSession, SP.rolling_splits(SP.distinct_weeks(train), cfg.folds.n_splits, cfg.folds.min_train_weeks))
     feats = categorical + numeric
     glob = OO.global_oof(train.select(*ID, "count", *[c for c in feats if c not in ID]), folds, specs, numeric,
                          categorical, ID, grid_search=opts.enable_grid_search, grid_splits=opts.grid_cv_splits)
@@ -109,35 +111,60 @@ def final_base(train: DataFrame, future: DataFrame, specs, numeric, categorical,
 
 def impute_predictions(df: DataFrame, model_cols) -> DataFrame:
     """MOD-11: a missing base prediction takes its column's median over the batch, then 0."""
+    from panelcast.functions.medians import exact_medians
     from panelcast.functions.metrics import finite
 
-    med = df.agg(*[F.median(finite(c)).alias(c) for c in model_cols]).first()
+    med = exact_medians(df, model_cols)
     return df.select(*[F.coalesce(finite(c), F.lit(med[c]), F.lit(0.0)).alias(c) if c in model_cols else F.col(c)
                        for c in df.columns])
 
 
-def evaluate(matrix: DataFrame, names, meta_model: str, n_splits: int, context: dict):
-    """Base and combiner metric rows (AGG-5) from the OOF matrix; returns (metric, eval_type, meta, used models)."""
+def usable_models(matrix: DataFrame, names) -> list[str]:
+    """The models with predictions; fewer than two, or no row that all of them predict, is an error."""
     from panelcast.operators.combine import complete_cases, drop_empty_models
 
     used = drop_empty_models(matrix, names)
     if len(used) < 2:
-        raise RuntimeError(f"Need at least 2 base model predictions for stacking, got {len(used)}")
+        raise RuntimeError(f"a combiner takes two base models at least; {len(used)} made predictions")
     if complete_cases(matrix, used).isEmpty():
-        raise RuntimeError("OOF prediction is empty")
-    base_long = EV.to_long(matrix, [*ID, "y_true"], used)
-    base_long = EV.with_context(base_long, {**context, "model_layer": "base"})
-    group = [*context.keys(), "model_layer", "model_name"]
-    base_metric = EV.metric_levels(base_long, group)
-    stacked, eval_type = ST.meta_oof(matrix, used, meta_model, ID, n_splits)
+        raise RuntimeError("no row has a prediction of every base model")
+    return used
+
+
+def combiner_metric(matrix: DataFrame, used, meta_model: str, n_splits: int, context: dict, topk: int | None = None):
+    """Metric rows of one combiner over the base predictions, and how it was evaluated."""
+    from panelcast.operators.combine import complete_cases
+
+    stacked, eval_type = ST.meta_oof(matrix, used, meta_model, ID, n_splits, topk=topk)
     sv = complete_cases(matrix, used).select(*ID, "y_true")
-    comb_long = EV.with_context(sv.join(stacked, ID, "left"), {
+    long = EV.with_context(sv.join(stacked, ID, "left"), {
         **context, "model_layer": C.combiner_layer(meta_model), "model_name": C.combiner_model_name(meta_model)})
-    comb_metric = EV.metric_levels(comb_long, group)
-    metric = base_metric.unionByName(comb_metric).withColumn("meta_model", F.lit(meta_model)) \
-        .withColumn("meta_eval_type", F.lit(eval_type))
-    meta = ST.fit_combiner(matrix, used, meta_model)
-    return metric, eval_type, meta, used
+    metric = EV.metric_levels(long, [*context.keys(), "model_layer", "model_name"])
+    return metric.withColumn("meta_model", F.lit(meta_model)).withColumn("meta_eval_type", F.lit(eval_type)), eval_type
+
+
+def evaluate(matrix: DataFrame, names, meta_model: str, n_splits: int, context: dict, topk: int | None = None):
+    """Base and combiner metric rows (AGG-5) from the OOF matrix; returns (metric, eval_type, meta, used models)."""
+    used = usable_models(matrix, names)
+    base_long = EV.to_long(matrix, [*ID, "y_true"], used)
+    base_long = EV.with_context(base_long, {**context, "model_layer": "base"})
+    base_metric = EV.metric_levels(base_long, [*context.keys(), "model_layer", "model_name"])
+    comb_metric, eval_type = combiner_metric(matrix, used, meta_model, n_splits, context, topk)
+    metric = base_metric.withColumn("meta_model", F.lit(meta_model)).withColumn("meta_eval_type", F.lit(eval_type)) \
+        .unionByName(comb_metric)
+    return metric, eval_type, ST.fit_combiner(matrix, used, meta_model, topk=topk), used
+
+
+def run_settings(opts: RunOptions, cfg) -> dict:
+    """COL-18: the settings of a run, as they stand on its output rows."""
+    return {"run_mode": opts.run_mode, "feature_set": cfg.features.name, "feature_select": cfg.features.select,
+            "top_k": cfg.features.top_k, "covid_policy": opts.covid_policy, "enable_grid_search": opts.enable_grid_search}
+
+
+def with_settings(df: DataFrame, settings: dict, **more) -> DataFrame:
+    """Setting columns on every row (a null ``top_k`` stays an integer column)."""
+    kinds = {"top_k": "int", "enable_grid_search": "boolean", "holdout_weeks": "int", "holdout_start": "int", "holdout_end": "int"}
+    return df.withColumns({k: F.lit(v).cast(kinds.get(k, "string")) for k, v in {**settings, **more}.items()})
 
 
 def feature_report(numeric_report: DataFrame, categorical, data_source: str, model_task: str) -> DataFrame:
@@ -153,12 +180,12 @@ def feature_report(numeric_report: DataFrame, categorical, data_source: str, mod
     return out.select("*", F.lit(data_source).alias("data_source"), F.lit(model_task).alias("model_task"))
 
 
-def compare_meta_models(matrix: DataFrame, names, methods, n_splits: int, context: dict) -> DataFrame:
-    """CV-7: metric rows of several combiners over the same base OOF (the base OOF is computed once)."""
+def compare_meta_models(matrix: DataFrame, names, methods, n_splits: int, context: dict, topk: int | None = None) -> DataFrame:
+    """CV-7: metric rows of several combiners over the same base predictions; no base metric or final fit is repeated."""
+    used = usable_models(matrix, names)
     out = None
     for m in methods:
-        metric, *_ = evaluate(matrix, names, m, n_splits, context)
-        comb = metric.where(F.col("model_layer") != "base")
+        comb, _ = combiner_metric(matrix, used, m, n_splits, context, topk)
         out = comb if out is None else out.unionByName(comb)
     return out
 
@@ -172,23 +199,25 @@ def run_forecast(inputs: TaskInputs, data_source: str, model_task: str, base_dat
     cfg, feature, removed, exog = prepare(inputs, data_source, model_task, opts, weeks)
     base_train = _persist(PN.apply_recent_weeks(PN.training_rows(feature, cut), cfg.recent_weeks))
     if base_train.isEmpty():
-        raise RuntimeError(f"No training data available for source={data_source} before yearweek={cut}")
+        raise RuntimeError(f"source {data_source} has no rows to train on up to week {cut}")
     kept, rejected = PN.complete_horizon(PN.future_rows(feature, weeks), opts.forecast_period)
-    train = FE.lag_rolling_features(base_train, cfg.feature_set).where(F.col("lag_1").isNotNull() & F.col("count").isNotNull())
+    train = FE.lag_rolling_features(base_train, cfg.features.name).where(F.col("lag_1").isNotNull() & F.col("count").isNotNull())
     train = _persist(train)
-    future = _persist(FE.future_features(base_train, kept, cfg.feature_set, opts.forecast_period))
+    future = _persist(FE.future_features(base_train, kept, cfg.features.name, opts.forecast_period))
     _, numeric_all, categorical = FE.feature_columns(train, exog)
-    sel = select_features(train, numeric_all, cfg.feature_select, cfg.top_k, **({"max_iter": opts.max_iter} if opts.max_iter and cfg.feature_select == "lgbm_topk" else {}))
+    sel = select_features(train, numeric_all, cfg.features.select, cfg.features.top_k)
     numeric = sel.numeric_cols
     if not numeric:
-        raise RuntimeError("No numeric features selected")
-    specs = resolve_allowed_registry(model_task, cfg.model_names, opts.max_iter)
+        raise RuntimeError("feature selection left no numeric feature")
+    specs = resolve_allowed_registry(model_task, opts.models or cfg.models)
     meta_info = C.task_metadata(model_task)
     context = {"data_source": data_source, "model_task": model_task, "model_scope": meta_info["model_scope"],
                "prediction_type": "oof"}
     matrix, names = fit_oof(train, cfg, specs, numeric, categorical, opts)
-    metric, eval_type, meta, used = evaluate(matrix, names, opts.meta_model, cfg.n_splits, context)
-    metric = _persist(metric)
+    settings = run_settings(opts, cfg)
+    metric, eval_type, meta, used = evaluate(matrix, names, opts.meta_model, cfg.folds.n_splits, context, opts.topk)
+    metric = _persist(with_settings(metric, settings))
+    compared = compare_meta_models(matrix, names, opts.compare, cfg.folds.n_splits, context, opts.topk) if opts.compare else None
     fb = final_base(train, future, specs, numeric, categorical, names).select(*ID, "lead_week", *used)
     fb = _persist(impute_predictions(fb, used))
     stacked_future = ST.predict_combiner(meta, fb, ID).withColumnRenamed("y_pred", "_stack")
@@ -202,26 +231,33 @@ def run_forecast(inputs: TaskInputs, data_source: str, model_task: str, base_dat
         F.greatest(F.rint(F.coalesce(pred, F.lit(0.0))), F.lit(0.0)).cast("long").alias("forecast_count_rounded"),
         F.lit(final_name).alias("model_name"), F.lit(final_layer).alias("model_layer"),
         F.lit(model_task).alias("model_task"), F.lit(meta_info["model_scope"]).alias("model_scope"), *flags,
-        F.lit(bool(removed)).alias("weather_removed"), F.lit(opts.run_mode).alias("run_mode"),
-        F.lit(cfg.feature_set).alias("feature_set"), F.lit(cfg.feature_select).alias("feature_select"),
-        F.lit(opts.covid_policy).alias("covid_policy"),
+        F.lit(bool(removed)).alias("weather_removed"),
     )
+    forecast = with_settings(forecast, settings)
     base_long = EV.to_long(fb, [*ID, "lead_week"], used, name_col="base_model", value_col="_p", drop_missing=False)
     base_pred = base_long.select(
         *ID, "lead_week", "base_model",
         F.greatest(F.rint(F.coalesce("_p", F.lit(0.0))), F.lit(0.0)).cast("long").alias("forecast_count"),
-        F.lit(model_task).alias("model_task"), F.lit(meta_info["model_scope"]).alias("model_scope"),
+        F.lit(model_task).alias("model_task"), F.lit(meta_info["model_scope"]).alias("model_scope"), *flags,
+        F.lit(bool(removed)).alias("weather_removed"),
     )
+    base_pred = with_settings(base_pred, {k: settings[k] for k in ("run_mode", "feature_set")})
     report = feature_report(sel.report, categorical, data_source, model_task)
-    return {"forecast": forecast, "base_prediction": base_pred, "metric": metric, "feature_report": report,
-            "rejected_series": rejected}
+    out = {"forecast": forecast, "base_prediction": base_pred, "metric": metric, "feature_report": report,
+           "rejected_series": rejected}
+    weights = ST.combiner_weights(meta)
+    if weights is not None:
+        out["combiner_weights"] = weights
+    if compared is not None:
+        out["combiner_comparison"] = with_settings(compared, settings)
+    return out
 
 
 def holdout_weeks(hist: DataFrame, end_week: int, n: int) -> list[int]:
     """FIL-8: the last n distinct weeks up to end_week; not more weeks than that is an error."""
     weeks = SP.distinct_weeks(hist.where(F.col("yearweek") <= int(end_week)))
     if len(weeks) <= n:
-        raise RuntimeError(f"Not enough actual weeks. available={len(weeks)}, holdout_weeks={n}")
+        raise RuntimeError(f"{n} weeks cannot be held out of {len(weeks)}")
     return weeks[-n:]
 
 
@@ -236,23 +272,23 @@ def run_holdout(inputs: TaskInputs, data_source: str, model_task: str, base_date
     lead = F.create_map(*[x for i, w in enumerate(hw) for x in (F.lit(w), F.lit(i + 1))])
     base_train = _persist(PN.apply_recent_weeks(hist.where(~F.col("yearweek").isin(*hw)), cfg.recent_weeks))
     raw = hist.where(F.col("yearweek").isin(*hw))
-    kept, _ = PN.complete_horizon(raw.withColumn("count", F.lit(None).cast("double"))
+    kept, rejected = PN.complete_horizon(raw.withColumn("count", F.lit(None).cast("double"))
                                   .withColumn("disease_rate", F.lit(None).cast("double")), n_holdout)
     actual = raw.select(*ID, F.col("count").alias("actual_count"))
-    train = _persist(FE.lag_rolling_features(base_train, cfg.feature_set)
+    train = _persist(FE.lag_rolling_features(base_train, cfg.features.name)
                      .where(F.col("lag_1").isNotNull() & F.col("count").isNotNull()))
-    hf = FE.future_features(base_train, kept, cfg.feature_set, n_holdout)
+    hf = FE.future_features(base_train, kept, cfg.features.name, n_holdout)
     hf = _persist(hf.withColumnRenamed("lead_week", "_step").withColumn("lead_week", lead[F.col("yearweek")]))
     _, numeric_all, categorical = FE.feature_columns(train, exog)
-    sel = select_features(train, numeric_all, cfg.feature_select, cfg.top_k, **({"max_iter": opts.max_iter} if opts.max_iter and cfg.feature_select == "lgbm_topk" else {}))
+    sel = select_features(train, numeric_all, cfg.features.select, cfg.features.top_k)
     numeric = sel.numeric_cols
-    specs = resolve_allowed_registry(model_task, cfg.model_names, opts.max_iter)
+    specs = resolve_allowed_registry(model_task, opts.models or cfg.models)
     meta_info = C.task_metadata(model_task)
     matrix, names = fit_oof(train, cfg, specs, numeric, categorical, opts)
     from panelcast.operators.combine import drop_empty_models
 
     used = drop_empty_models(matrix, names)
-    meta = ST.fit_combiner(matrix, used, opts.meta_model)
+    meta = ST.fit_combiner(matrix, used, opts.meta_model, topk=opts.topk)
     fb = final_base(train, hf.withColumn("lead_week", F.col("_step")), specs, numeric, categorical, names)
     fb = fb.drop("lead_week").join(hf.select(*ID, "lead_week"), ID).select(*ID, "lead_week", *used)
     fb = _persist(impute_predictions(fb, used))
@@ -279,8 +315,12 @@ def run_holdout(inputs: TaskInputs, data_source: str, model_task: str, base_date
     base_pred = EV.to_long(fb.join(actual, ID, "left"), [*ID, "lead_week", "actual_count"], used,
                            name_col="base_model", value_col="forecast_count")
     base_pred = base_pred.withColumn("forecast_count_rounded", F.greatest(F.rint("forecast_count"), F.lit(0.0)).cast("long"))
-    return {"predictions": predictions, "base_predictions": base_pred, "metric": metric,
-            "used_features": sel.report, "holdout_weeks": hw, "actual_history": hist}
+    settings = run_settings(opts, cfg)
+    metric = with_settings(metric, settings, meta_eval_type="holdout_backtest", holdout_weeks=n_holdout,
+                           holdout_start=hw[0], holdout_end=hw[-1])
+    return {"predictions": with_settings(predictions, settings), "base_predictions": with_settings(base_pred, settings),
+            "metric": metric, "used_features": sel.report, "holdout_weeks": hw, "actual_history": hist,
+            "rejected_series": rejected}
 
 
 def run_all(inputs_by_source: dict, base_date: dt.date, opts: RunOptions | None = None) -> dict[str, DataFrame]:

@@ -23,12 +23,6 @@ def yearweek_of(col) -> F.Column:
     return (F.extract(F.lit("YEAROFWEEK"), d) * 100 + F.weekofyear(d)).cast("int")
 
 
-def date_spine(spark, start: F.Column, end: F.Column) -> DataFrame:
-    """SRC-5 helper: one row per date in [start, end], with its yearweek."""
-    days = spark.range(1).select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("date"))
-    return days.select("date", yearweek_of("date").alias("yearweek"))
-
-
 def normalize_weekdate(weekdate: DataFrame) -> DataFrame:
     d = pick_col(weekdate, ["date", "DATE"])
     yw = pick_col(weekdate, ["yearweek", "YEARWEEK"])
@@ -53,7 +47,7 @@ def latest_closed_week_df(weekdate: DataFrame, base_date: dt.date) -> DataFrame:
 def latest_closed_yearweek(weekdate: DataFrame, base_date: dt.date) -> int:
     rows = latest_closed_week_df(weekdate, base_date).collect()
     if not rows:
-        raise RuntimeError("Cannot resolve latest closed yearweek from dim_weekdate")
+        raise RuntimeError("the calendar holds no week that has ended")
     return int(rows[0][0])
 
 
@@ -68,7 +62,7 @@ def forecast_yearweeks(weekdate: DataFrame, forecast_period: int, base_date: dt.
     """SRC-9: N forecast weeks (a list bounded by the horizon); fewer than N is an error."""
     weeks = [int(r[0]) for r in forecast_weeks_df(weekdate, forecast_period, base_date).collect()]
     if len(weeks) < forecast_period:
-        raise RuntimeError(f"dim_weekdate returned only {len(weeks)} forecast weeks, expected {forecast_period}")
+        raise RuntimeError(f"the calendar holds {len(weeks)} of the {forecast_period} weeks to forecast")
     return weeks[:forecast_period]
 
 

@@ -40,14 +40,14 @@ def pick_col(df: DataFrame, candidates, required: bool = True) -> str | None:
         if c.lower() in lower:
             return lower[c.lower()]
     if required:
-        raise KeyError(f"Cannot find any column in {list(candidates)}. Existing columns: {cols}")
+        raise KeyError(f"none of the columns {list(candidates)} is there; the table has {cols}")
     return None
 
 
 def safe_yearweek(df: DataFrame) -> DataFrame:
     """COL-2: yearweek must exist; cast to INT (ANSI cast: bad text is an error)."""
     if "yearweek" not in df.columns:
-        raise KeyError(f"Missing yearweek column. Existing columns: {df.columns}")
+        raise KeyError(f"no yearweek column among {df.columns}")
     return df.withColumn("yearweek", F.col("yearweek").cast("int"))
 
 
@@ -72,7 +72,7 @@ def load_source_weekly(df: DataFrame, data_source: str, start_week=None, end_wee
     """SRC-1: source scan with an optional week range and a literal ``data_source``."""
     out = week_range_filter(safe_yearweek(df), start_week, end_week)
     if check_empty and out.isEmpty():
-        raise RuntimeError(f"No source data found: source={data_source}, start_week={start_week}, end_week={end_week}")
+        raise RuntimeError(f"source {data_source} has no rows between weeks {start_week} and {end_week}")
     return out.withColumn("data_source", F.lit(data_source))
 
 
@@ -133,8 +133,8 @@ def normalize_target(df: DataFrame) -> DataFrame:
     wide = {lower[k]: v for k, v in C.WIDE_DISEASE_COLUMNS.items() if k in lower}
     if not wide:
         raise KeyError(
-            f"Cannot find target count column. Expected long-table columns={C.COUNT_COL_CANDIDATES} "
-            f"or wide disease columns={list(C.WIDE_DISEASE_COLUMNS)}. Existing columns: {df.columns}"
+            f"neither a count column ({C.COUNT_COL_CANDIDATES}) nor a column per disease "
+            f"({list(C.WIDE_DISEASE_COLUMNS)}) among {df.columns}"
         )
     ids = ["yearweek", county] + (["data_source"] if ds else [])
     base = df.select(*ids, *[to_double(c).alias(c) for c in wide])

@@ -13,7 +13,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.operators.broadcast import broadcast_if_small
 from panelcast.sources.calendar import yearweek_of
 
 # Fixture parameters (FIXTURES.md): the EV role is return flag 'A', the COVID
@@ -45,11 +44,11 @@ def panel_a(t: Tables) -> DataFrame:
     li = t.lineitem.select(
         "l_suppkey", yearweek_of("l_shipdate").alias("yearweek"), F.col("l_returnflag").alias("disease")
     )
-    # nation has 25 rows by definition: broadcast; the supplier map grows with the data: size-checked
+    # nation has 25 rows by definition: broadcast; how the supplier map is joined is left to Spark's measured sizes
     sup = t.supplier.select("s_suppkey", "s_nationkey").join(
         F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("s_nationkey") == F.col("n_nationkey")
     )
-    j = li.join(broadcast_if_small(sup), F.col("l_suppkey") == F.col("s_suppkey"))
+    j = li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
     return j.groupBy("yearweek", F.col("n_name").alias("county"), "disease").agg(
         F.count(F.lit(1)).cast("double").alias("count")
     )
@@ -63,7 +62,7 @@ def panel_b(t: Tables) -> DataFrame:
         .join(t.region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     cust = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-    j = o.join(broadcast_if_small(cust), F.col("o_custkey") == F.col("c_custkey"))
+    j = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
     return j.groupBy("yearweek", F.col("r_name").alias("county"), "disease").agg(
         F.count(F.lit(1)).cast("double").alias("count")
     )
@@ -92,7 +91,7 @@ def weather_weekly(t: Tables) -> DataFrame:
     cust = t.customer.select("c_custkey", "c_nationkey").join(
         F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    j = o.join(broadcast_if_small(cust), F.col("o_custkey") == F.col("c_custkey"))
+    j = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
     return j.groupBy("yearweek", F.col("n_name").alias("city")).agg(
         F.avg("o_totalprice").alias("airtemperature_avg"), F.count(F.lit(1)).alias("rain_days")
     )
@@ -133,7 +132,9 @@ def dim_holiday(t: Tables) -> DataFrame:
 
 def dim_location(t: Tables) -> DataFrame:
     """Place -> region for every place that occurs in the source panel (nation x region, limited to the data)."""
-    places = panel_a(t).select(F.col("county").alias("n_name")).distinct()
+    shipped = t.lineitem.where(F.col("l_shipdate").isNotNull()).select("l_suppkey").distinct()
+    nations = t.supplier.join(shipped, F.col("s_suppkey") == F.col("l_suppkey"), "left_semi").select("s_nationkey").distinct()
+    places = t.nation.join(nations, F.col("n_nationkey") == F.col("s_nationkey"), "left_semi").select("n_name")
     geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
     return places.join(F.broadcast(geo), "n_name").select(
         F.col("n_name").alias("old_name"), F.col("n_name").alias("new_name"), F.col("r_name").alias("branch_t")

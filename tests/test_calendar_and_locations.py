@@ -54,5 +54,5 @@ def test_location_map_conflict_and_unmapped(spark):
     with pytest.raises(RuntimeError, match="桃園市"):
         map_county_to_branch(panel, m)
     bad = spark.createDataFrame([("甲", "甲", "北區"), ("甲", "甲", "南區")], "old_name string, new_name string, branch_t string")
-    with pytest.raises(RuntimeError, match="multiple branch_t"):
+    with pytest.raises(RuntimeError, match="more than one branch"):
         build_location_map(bad)
