@@ -883,6 +883,70 @@ def q_agg_14(spark, sf):
     return round_doubles(constant_targets(history_a(spark, sf), "count", C.KEY_COLS))
 
 
+# ---------------------------------------------------------------------------
+# Fitted parts with a closed form (MOD-1, MOD-2, MOD-3, COM-10)
+# ---------------------------------------------------------------------------
+def _sql_imputed(c: str) -> str:
+    return f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM trb), 0.0)"
+
+
+@register("mod_01_preprocess_statistics", _ft_sql(" UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, round((SELECT median(CAST({c} AS DOUBLE)) FROM trb), 6) AS median, round(avg(x), 6) AS mean,
+               round(CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1.0 END, 6) AS scale
+        FROM (SELECT {_sql_imputed(c)} AS x FROM trb)""" for c in PROFILE_COLS), _sql_train_base()))
+def q_mod_01(spark, sf):
+    from panelcast.operators.models import fit_preprocess
+
+    pre = fit_preprocess(train_a(spark, sf), PROFILE_COLS, [])
+    rows = [(c, pre.medians[c], pre.means[c], pre.scales[c]) for c in PROFILE_COLS]
+    return round_doubles(spark.createDataFrame(rows, "feature string, median double, mean double, scale double"))
+
+
+#: One-feature fits: the coefficient on the standardised feature has a closed form.
+LINEAR_FITS = {"ridge": (1.0, 0.0), "elasticnet": (0.02, 0.15), "lasso": (0.5, 1.0)}
+
+
+def _sql_linear_fits() -> str:
+    z = "(lag_1 - (SELECT avg(lag_1) FROM trb)) / (SELECT stddev_pop(lag_1) FROM trb)"
+    parts = []
+    for name, (alpha, l1) in LINEAR_FITS.items():
+        if l1 == 0:
+            slope = f"sum(z * yc) / (count(*) + {alpha})"
+        else:
+            c = "sum(z * yc) / count(*)"
+            slope = f"sign({c}) * greatest(abs({c}) - {alpha * l1}, 0.0) / (1 + {alpha * (1 - l1)})"
+        parts.append(f"SELECT '{name}' AS model, count(*) AS n, round({slope}, 4) AS slope, round(any_value(my), 4) AS intercept FROM zy")
+    return f"""WITH zy AS (SELECT {z} AS z, count - (SELECT avg(count) FROM trb) AS yc, (SELECT avg(count) FROM trb) AS my FROM trb)
+               {' UNION ALL '.join(parts)}"""
+
+
+@register("mod_02_03_linear_fits_one_feature", _ft_sql(f"SELECT * FROM ({_sql_linear_fits()})", _sql_train_base()))
+def q_mod_02(spark, sf):
+    from panelcast.operators.models import fit_linear
+
+    train = train_a(spark, sf)
+    n = train.count()
+    rows = []
+    for name, (alpha, l1) in LINEAR_FITS.items():
+        m = fit_linear(train, ["lag_1"], [], "count", alpha, l1).model
+        rows.append((name, n, float(m.coefficients[0]), float(m.intercept)))
+    return round_doubles(spark.createDataFrame(rows, "model string, n long, slope double, intercept double"), 4)
+
+
+@register("com_10_nnls_one_model", _ft_sql(" UNION ALL ".join(
+    f"""SELECT '{m}' AS base_model, round(greatest(covar_pop(y_true, {m}) / var_pop({m}), 0.0), 6) AS weight,
+               round(avg(y_true) - greatest(covar_pop(y_true, {m}) / var_pop({m}), 0.0) * avg({m}), 6) AS intercept FROM sv"""
+    for m in BASE_MODELS), _sql_metric_table()))
+def q_com_10(spark, sf):
+    from panelcast.operators.combine import complete_cases
+    from panelcast.operators.stacking import fit_nnls
+
+    valid = complete_cases(oof_matrix_a(spark, sf), BASE_MODELS)
+    fits = [(m, fit_nnls(valid, [m])) for m in BASE_MODELS]
+    rows = [(m, float(f.coef[0]), f.intercept) for m, f in fits]
+    return round_doubles(spark.createDataFrame(rows, "base_model string, weight double, intercept double"))
+
+
 @register("agg_17_feature_table_summary", _ft_sql(
     """SELECT data_source, count(DISTINCT disease) AS n_diseases, count(DISTINCT county) AS county_count,
               array_to_string(list_slice(list_sort(list(DISTINCT county)), 1, 30), ',') AS counties
