@@ -98,69 +98,59 @@ def feature_columns(df: DataFrame, exog_cols) -> tuple[list[str], list[str], lis
 # ---------------------------------------------------------------------------
 # WIN-10 / WIN-11: features of the future rows.
 # ---------------------------------------------------------------------------
-def _future_measure_features(history: DataFrame, measure: str, prefix: str, cfg: dict, horizon: int,
-                             key_cols, zero_std: bool = True) -> DataFrame:
-    """Features of steps h = 1..horizon for one measure.
-
-    The history of the measure is compacted (NULLs removed), then extended by
-    ``horizon - 1`` rows carrying its last value; the feature of step h is the
-    trailing-frame value at position n + h - 1. Equal to extending the list one
-    step at a time, without a loop.
+def future_features(history: DataFrame, future: DataFrame, feature_set: str, horizon: int,
+                    key_cols=C.KEY_COLS, zero_std: bool = True) -> DataFrame:
+    """WIN-10: features of the first ``horizon`` future rows of each series with history.
+
+    ``future`` must carry ``lead_week`` (1..horizon, see ``complete_horizon``).
+    The count history is never empty here (training rows have a count); total
+    and rate features are NULL when their history is empty.
+
+    The measures are melted, so one pass serves all of them: each measure's
+    history is compacted (NULLs removed), its last value carried ``horizon - 1``
+    rows on, and the feature of step h is the trailing-frame value at position
+    n + h - 1. Equal to extending the list one step at a time, without a loop.
+    Rows are dealt by series once; windows and the way back to one row per step
+    reuse that.
     """
+    cfg = _cfg(feature_set)
+    keys = list(key_cols)
+    measures = [(m, p) for m, p in MEASURES if m in history.columns]
     need = max(cfg["lags"] + cfg["rolling_windows"] + [k + 1 for k in cfg["diff_lags"] + cfg["growth_lags"]] + [1])
-    wk = Window.partitionBy(*key_cols)
+    long = history.select(*keys, "yearweek", *[F.col(m).cast("double").alias(m) for m, _ in measures]).unpivot(
+        [*keys, "yearweek"], [m for m, _ in measures], "_m", "_v").where(F.col("_v").isNotNull()).repartition(*keys)
+    series = Window.partitionBy(*keys, "_m")
     seq = (
-        history.where(F.col(measure).isNotNull())
-        .select(*key_cols, "yearweek", F.col(measure).cast("double").alias("_v"))
-        .withColumn("_pos", F.row_number().over(wk.orderBy("yearweek")))
-        .withColumn("_n", F.count(F.lit(1)).over(wk))
+        long.withColumn("_pos", F.row_number().over(series.orderBy("yearweek")))
+        .withColumn("_n", F.count(F.lit(1)).over(series))
         .where(F.col("_pos") > F.col("_n") - need)
     )
-    last = seq.where(F.col("_pos") == F.col("_n"))
-    carried = (
-        last.select(*key_cols, "_v", "_n", F.explode(F.sequence(F.lit(1), F.lit(max(horizon - 1, 1)))).alias("_step"))
-        .select(*key_cols, F.lit(None).cast("int").alias("yearweek"), "_v", (F.col("_n") + F.col("_step")).alias("_pos"), "_n")
-        .where(F.col("_pos") <= F.col("_n") + horizon - 1)
-    )
-    ext = seq.unionByName(carried)
-    w = wk.orderBy("_pos")
+    places = F.when(F.col("_pos") == F.col("_n"), F.sequence(F.col("_n"), F.col("_n") + horizon - 1)).otherwise(
+        F.array(F.col("_pos").cast("long")))
+    ext = seq.select(*keys, "_m", "_v", "_n", F.explode(places).alias("_pos"))
+    w = series.orderBy("_pos")
     v = F.col("_v")
-    exprs = [(F.col("_pos") - F.col("_n") + 1).alias("_h")]
-    for k in cfg["lags"]:
-        exprs.append(F.lag(v, k - 1).over(w).alias(f"{prefix}lag_{k}") if k > 1 else v.alias(f"{prefix}lag_{k}"))
+    made = {f"lag_{k}": F.lag(v, k - 1).over(w) if k > 1 else v for k in cfg["lags"]}
     for win in cfg["rolling_windows"]:
         frame = w.rowsBetween(-(win - 1), 0)
-        exprs.append(F.avg(v).over(frame).alias(f"{prefix}roll{win}_mean"))
         std = F.stddev_samp(v).over(frame)
-        exprs.append((F.coalesce(std, F.lit(0.0)) if zero_std else std).alias(f"{prefix}roll{win}_std"))
-    if measure == "count":
-        for k in cfg["diff_lags"]:
-            exprs.append((v - F.lag(v, k).over(w)).alias(f"diff_{k}"))
-        for k in cfg["growth_lags"]:
-            exprs.append(_ratio_change(v, F.lag(v, k).over(w)).alias(f"growth_{k}"))
-    out = ext.select(*key_cols, "_pos", "_n", *exprs)
-    return out.where(F.col("_pos") >= F.col("_n")).drop("_pos", "_n")
-
-
-def future_features(history: DataFrame, future: DataFrame, feature_set: str, horizon: int,
-                    key_cols=C.KEY_COLS) -> DataFrame:
-    """WIN-10: features of the first ``horizon`` future rows of each series with history.
-
-    ``future`` must carry ``lead_week`` (1..horizon, see ``complete_horizon``).
-    The count history is never empty here (training rows have a count); total
-    and rate features are NULL when their history is empty.
-    """
-    cfg = _cfg(feature_set)
-    out = future
-    eng = set()
-    for measure, prefix in MEASURES:
-        if measure not in history.columns:
-            continue
-        feats = _future_measure_features(history, measure, prefix, cfg, horizon, key_cols)
-        eng |= set(feats.columns) - set(key_cols) - {"_h"}
-        out = out.drop(*[c for c in feats.columns if c in out.columns and c not in key_cols])
-        how = "inner" if measure == "count" else "left"
-        out = out.join(feats.withColumnRenamed("_h", "lead_week"), [*key_cols, "lead_week"], how)
+        made[f"roll{win}_mean"] = F.avg(v).over(frame)
+        made[f"roll{win}_std"] = F.coalesce(std, F.lit(0.0)) if zero_std else std
+    for k in cfg["diff_lags"]:
+        made[f"diff_{k}"] = v - F.lag(v, k).over(w)
+    for k in cfg["growth_lags"]:
+        made[f"growth_{k}"] = _ratio_change(v, F.lag(v, k).over(w))
+    steps = ext.select(*keys, "_m", "_n", "_pos", *[e.alias(f"_f_{n}") for n, e in made.items()]).where(
+        F.col("_pos") >= F.col("_n")).withColumn("lead_week", (F.col("_pos") - F.col("_n") + 1).cast("int"))
+    names = {}
+    for m, prefix in measures:
+        for n in made:
+            if m == "count" or not n.startswith(("diff_", "growth_")):
+                names[f"{prefix}{n}"] = F.max(F.when(F.col("_m") == m, F.col(f"_f_{n}")))
+    feats = steps.groupBy(*keys, "lead_week").agg(
+        F.max(F.col("_m") == "count").alias("_counted"), *[e.alias(n) for n, e in names.items()]
+    ).where("_counted").drop("_counted")
+    out = future.drop(*[c for c in names if c in future.columns]).join(feats, [*keys, "lead_week"])
     season = season_columns(out)
     if season:
         out = out.select("*", *season)
