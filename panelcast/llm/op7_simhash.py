@@ -169,7 +169,8 @@ def groups(fingerprints: DataFrame, max_distance: int = 3, id_col: str = "doc_id
 def link(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row."""
     fps = store(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"), "fingerprints")
-    label = groups(fps, max_distance).select("fp", "component_id")
+    # stored, so that both sides of the join are dealt anew and a hot fingerprint's rows can be split
+    label = store(groups(fps, max_distance).select("fp", "component_id"), "groups")
     return fps.join(label, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
