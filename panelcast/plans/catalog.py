@@ -75,10 +75,14 @@ def target_a(spark: SparkSession, sf: str) -> DataFrame:
     return materialized(spark, sf, "target_a", build)
 
 
+def orders_weekly(spark: SparkSession, sf: str) -> DataFrame:
+    return materialized(spark, sf, "orders_weekly", lambda: TV.orders_weekly(TV.Tables(spark, sf)))
+
+
 def target_b(spark: SparkSession, sf: str) -> DataFrame:
     def build():
         t = TV.Tables(spark, sf)
-        return SC.normalize_target(SC.load_source_weekly(TV.panel_b(t), TV.SRC_B, check_empty=False))
+        return SC.normalize_target(SC.load_source_weekly(TV.panel_b(t, orders_weekly(spark, sf)), TV.SRC_B, check_empty=False))
 
     return materialized(spark, sf, "target_b", build)
 
@@ -153,7 +157,7 @@ def q_flagship(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT * FROM ({SQL_TARGET_A}) WHERE yearweek >= 199601 AND yearweek <= 200052", "panel_a"))
 def q_src_01(spark, sf):
     t = TV.Tables(spark, sf)
-    return SC.normalize_target(SC.load_source_weekly(TV.panel_a(t), TV.SRC_A, 199601, 200052, check_empty=False))
+    return SC.normalize_target(SC.load_source_weekly(TV.panel_a(t, 199601, 200052), TV.SRC_A, 199601, 200052, check_empty=False))
 
 
 SQL_SOURCE_TOTAL_A = f"""SELECT data_source, yearweek, county, min(CAST(total_count AS DOUBLE)) AS source_total_count
@@ -194,7 +198,7 @@ SQL_WEATHER = "SELECT yearweek, city AS county, airtemperature_avg, rain_days FR
 
 
 def weather(spark, sf):
-    return materialized(spark, sf, "weather", lambda: SC.load_weather(TV.weather_weekly(TV.Tables(spark, sf))))
+    return materialized(spark, sf, "weather", lambda: SC.load_weather(TV.weather_weekly(TV.Tables(spark, sf), orders_weekly(spark, sf))))
 
 
 @register("col_06_weather_normalized", TV.with_views(
@@ -762,21 +766,99 @@ def run_options(**kw):
     return RunOptions(**base)
 
 
-@register("pan_07_forecast_run")
-def q_pan_07(spark, sf):
+RUN_TASK = "nhi_non_ev_county"
+HOLDOUT_N = 8
+
+
+def forecast_run_a(spark, sf) -> dict[str, DataFrame]:
+    """One forecast run per session; the queries below read its outputs."""
     from panelcast.plans.forecast import run_forecast
 
-    out = run_forecast(task_inputs(spark, sf), TV.SRC_A, "nhi_non_ev_county", BASE, run_options())
-    return out["forecast"]
+    return materialized(spark, sf, "forecast_run", lambda: run_forecast(
+        task_inputs(spark, sf), TV.SRC_A, RUN_TASK, BASE, run_options()))
+
+
+def holdout_run_a(spark, sf) -> dict:
+    from panelcast.plans.forecast import run_holdout
+
+    return materialized(spark, sf, "holdout_run", lambda: run_holdout(
+        task_inputs(spark, sf), TV.SRC_A, RUN_TASK, BASE, train_cut(spark, sf), HOLDOUT_N,
+        run_options(meta_model="weighted_average")))
+
+
+@register("pan_07_forecast_run")
+def q_pan_07(spark, sf):
+    return forecast_run_a(spark, sf)["forecast"]
 
 
 @register("cv_08_holdout_run")
 def q_cv_08(spark, sf):
-    from panelcast.plans.forecast import run_holdout
+    return holdout_run_a(spark, sf)["metric"]
+
+
+#: The panel of the run's task: offshore places collapsed, EV rows left out.
+SQL_TASK_HIST = {
+    "cut": SQL_CUT,
+    "off": _collapse_sql(f"ft WHERE disease <> '{TV.TEST_EV_DISEASE}'",
+                         f"CASE WHEN trim(county) IN ({_OFFSHORE_SQL}) THEN '{C.OFFSHORE_LABEL}' ELSE trim(county) END",
+                         rounded=False),
+    "th": "SELECT * FROM off WHERE NOT is_future AND count IS NOT NULL AND yearweek <= (SELECT train_cut_week FROM cut)",
+}
+SQL_TASK_FUTURE = {
+    "fr": SQL_FUTURE["fr"].replace("FROM ft ", "FROM off "),
+    "frk": SQL_FUTURE["frk"],
+    "trn": f"""SELECT * FROM (SELECT *, lag(count, 1) OVER (PARTITION BY {Q.KEY} ORDER BY yearweek) AS lag_1 FROM th)
+               WHERE lag_1 IS NOT NULL AND count IS NOT NULL""",
+}
+_RUN_FLAGS = f"'{RUN_TASK}' AS model_task, 'county' AS model_scope, false AS is_rods_ev_national, true AS is_offshore_collapsed, false AS weather_removed"
+_RUN_SETTINGS = ("'smoke' AS run_mode, 'base' AS feature_set, 'filter' AS feature_select, CAST(NULL AS INTEGER) AS top_k, "
+                 "'include' AS covid_policy, false AS enable_grid_search")
+
+
+@register("rep_03_forecast_rows", _ft_sql(
+    f"SELECT {Q.KEY}, yearweek, lead_week, {_RUN_FLAGS}, {_RUN_SETTINGS} FROM frk", {**SQL_TASK_HIST, **SQL_TASK_FUTURE}))
+def q_rep_03(spark, sf):
+    """Rows, flags and settings of the run's forecast: all that does not hang on a fitted model."""
+    return forecast_run_a(spark, sf)["forecast"].drop("forecast_count", "forecast_count_rounded", "model_name", "model_layer")
+
+
+@register("rep_04_base_prediction_rows", _ft_sql(
+    f"""SELECT {Q.KEY}, yearweek, lead_week, m.base_model, {_RUN_FLAGS}, 'smoke' AS run_mode, 'base' AS feature_set
+        FROM frk, (VALUES ('seasonal_naive'), ('ridge'), ('elasticnet')) m(base_model)""", {**SQL_TASK_HIST, **SQL_TASK_FUTURE}))
+def q_rep_04(spark, sf):
+    return forecast_run_a(spark, sf)["base_prediction"].drop("forecast_count")
+
+
+@register("mod_10_naive_final_predictions", _ft_sql(
+    f"""SELECT {Q.KEY}, yearweek, h AS lead_week, 'seasonal_naive' AS base_model,
+               CAST(greatest(round_even(coalesce(seasonal_naive, 0.0), 0), 0) AS BIGINT) AS forecast_count,
+               {_RUN_FLAGS}, 'smoke' AS run_mode, 'base' AS feature_set FROM sn_pred""", {
+        **SQL_TASK_HIST, **SQL_TASK_FUTURE, "tg": f"SELECT {Q.KEY}, yearweek, lead_week AS h FROM frk",
+        **Q.seasonal_naive_sql("trn", "tg", Q.KEY)}))
+def q_mod_10(spark, sf):
+    """The run's refitted naive model: its published base predictions."""
+    return forecast_run_a(spark, sf)["base_prediction"].where("base_model = 'seasonal_naive'")
 
-    out = run_holdout(task_inputs(spark, sf), TV.SRC_A, "nhi_non_ev_county", BASE, train_cut(spark, sf), 8,
-                      run_options(meta_model="weighted_average"))
-    return out["metric"]
+
+def _run_metric_sql() -> str:
+    group = ["data_source", "model_task", "model_scope", "prediction_type", "model_layer", "model_name"]
+    d = {**SQL_TASK_HIST, "trn": SQL_TASK_FUTURE["trn"], **_sql_cut_folds("trn")}
+    d["trv"] = "SELECT t.data_source, t.disease, t.county, f.fold, t.yearweek, t.count FROM trn t JOIN folds f USING (yearweek) WHERE f.role = 'train'"
+    d["va"] = """SELECT t.data_source, t.disease, t.county, f.fold, t.yearweek, t.count AS y_true,
+                        row_number() OVER (PARTITION BY t.data_source, t.disease, t.county, f.fold ORDER BY t.yearweek) AS h
+                 FROM trn t JOIN folds f USING (yearweek) WHERE f.role = 'valid'"""
+    d.update(Q.seasonal_naive_sql("trv", "va", "data_source, disease, county, fold"))
+    d["long"] = f"""SELECT {Q.KEY}, yearweek, y_true, seasonal_naive AS y_pred, '{RUN_TASK}' AS model_task, 'county' AS model_scope,
+                           'oof' AS prediction_type, 'base' AS model_layer, 'seasonal_naive' AS model_name FROM sn_pred"""
+    d["hit"] = Q.hit_cte("long", ["model_name"])
+    d["met"] = Q.metric_select(group, "hit")
+    return _ft_sql(f"SELECT *, 'ridge' AS meta_model, 'rolling_meta_oof' AS meta_eval_type, {_RUN_SETTINGS} FROM met", d)
+
+
+@register("rep_02_run_naive_metrics", _run_metric_sql())
+def q_rep_02(spark, sf):
+    """Metric rows of the run's naive model: folds, prediction matrix, levels and settings as the run made them."""
+    return round_doubles(forecast_run_a(spark, sf)["metric"].where("model_name = 'seasonal_naive'"))
 
 
 # ---------------------------------------------------------------------------
@@ -960,16 +1042,13 @@ def q_agg_17(spark, sf):
 # ---------------------------------------------------------------------------
 # Seasonal-naive holdout back-test (FIL-8, FIL-9, WIN-11, JOI-10, JOI-14, AGG-6, REP-8..10, COL-16)
 # ---------------------------------------------------------------------------
-HOLDOUT_N = 8
-
-
 def naive_holdout_a(spark, sf, panel: str = "county"):
     """Hold out the last 8 weeks up to the training cut; seasonal naive predicts them from the rest.
 
     ``panel`` = ``county`` uses the source panel as is, ``branch`` the EV rows collapsed to branches (PAN-3).
     """
-    from panelcast.operators.panel import complete_horizon, prepare_task, training_rows
-    from panelcast.plans.forecast import holdout_weeks
+    from panelcast.operators.panel import prepare_task, training_rows
+    from panelcast.plans.forecast import split_holdout
 
     def build():
         if panel == "branch":
@@ -978,19 +1057,13 @@ def naive_holdout_a(spark, sf, panel: str = "county"):
             hist = training_rows(ev, train_cut(spark, sf))
         else:
             hist = history_a(spark, sf)
-        hw = holdout_weeks(hist, train_cut(spark, sf), HOLDOUT_N)
-        base_train = hist.where(~F.col("yearweek").isin(*hw))
-        raw = hist.where(F.col("yearweek").isin(*hw))
-        hidden = raw.withColumn("count", F.lit(None).cast("double")).withColumn("disease_rate", F.lit(None).cast("double"))
-        kept, _ = complete_horizon(hidden, HOLDOUT_N)
-        train = FE.lag_rolling_features(base_train, "base").where(F.col("lag_1").isNotNull() & F.col("count").isNotNull())
-        pred = OO.final_seasonal_naive(train, kept, out_col="y_pred")
-        lead = F.create_map(*[x for i, w in enumerate(hw) for x in (F.lit(w), F.lit(i + 1))])
-        actual = raw.select(*C.KEY_COLS, "yearweek", F.col("count").alias("y_true"))
-        long = pred.join(actual, [*C.KEY_COLS, "yearweek"], "left").select(
-            *C.KEY_COLS, "yearweek", lead[F.col("yearweek")].alias("lead_week"), "y_true", "y_pred",
+        split = split_holdout(hist, train_cut(spark, sf), HOLDOUT_N)
+        train = FE.lag_rolling_features(split.base_train, "base").where(F.col("lag_1").isNotNull() & F.col("count").isNotNull())
+        pred = OO.final_seasonal_naive(train, split.kept, out_col="y_pred")
+        long = pred.join(split.actual("y_true"), [*C.KEY_COLS, "yearweek"], "left").select(
+            *C.KEY_COLS, "yearweek", split.lead().alias("lead_week"), "y_true", "y_pred",
             F.lit("seasonal_naive").alias("model_name"), F.lit("holdout").alias("prediction_type"))
-        return long, base_train, kept, raw, hw
+        return long, split
 
     return materialized(spark, sf, f"naive_holdout_{panel}", build)
 
@@ -1036,23 +1109,54 @@ def naive_holdout_metric(spark, sf):
 
 @register("fil_08_holdout_weeks", _ft_sql("SELECT * FROM hw", _sql_naive_holdout()))
 def q_fil_08(spark, sf):
-    hw = naive_holdout_a(spark, sf)[4]
-    lead = F.create_map(*[x for i, w in enumerate(hw) for x in (F.lit(w), F.lit(i + 1))])
-    return history_a(spark, sf).select("yearweek").where(F.col("yearweek").isin(*hw)).distinct().select(
-        "yearweek", lead[F.col("yearweek")].alias("lead_week"))
+    split = naive_holdout_a(spark, sf)[1]
+    return split.raw.select("yearweek", split.lead().alias("lead_week")).distinct()
 
 
 @register("fil_09_holdout_train_split", _ft_sql(
     "SELECT 'train' AS part, count(*) AS n_rows, min(yearweek) AS min_week, max(yearweek) AS max_week FROM bt "
     "UNION ALL SELECT 'holdout', count(*), min(yearweek), max(yearweek) FROM hr", _sql_naive_holdout()))
 def q_fil_09(spark, sf):
-    _, bt, _, raw, _ = naive_holdout_a(spark, sf)
+    split = naive_holdout_a(spark, sf)[1]
 
     def prof(df, name):
         return df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n_rows"), F.min("yearweek").alias("min_week"),
                       F.max("yearweek").alias("max_week"))
 
-    return prof(bt, "train").unionByName(prof(raw, "holdout"))
+    return prof(split.base_train, "train").unionByName(prof(split.raw, "holdout"))
+
+
+@register("fil_10_rejected_series", _ft_sql(
+    f"SELECT {Q.KEY}, count(*) AS rows FROM hr GROUP BY ALL HAVING count(*) <> {HOLDOUT_N}", _sql_naive_holdout()))
+def q_fil_10_rejected(spark, sf):
+    """Series without a row in every held-out week, which a back-test reports."""
+    return naive_holdout_a(spark, sf)[1].rejected
+
+
+def _holdout_run_sql(body: str) -> str:
+    group = ["data_source", "model_task", "model_scope", "prediction_type", "model_layer", "model_name"]
+    d = _sql_naive_holdout(SQL_TASK_HIST)
+    d["rlong"] = f"SELECT *, '{RUN_TASK}' AS model_task, 'county' AS model_scope, 'base' AS model_layer FROM hlong"
+    d["rhit"] = Q.hit_cte("rlong", ["model_name"])
+    d["rmet"] = Q.metric_select(group, "rhit", by_lead_week=True)
+    return _ft_sql(body, d)
+
+
+@register("cv_08_run_naive_metrics", _holdout_run_sql(
+    f"""SELECT *, 'weighted_average' AS meta_model, {_RUN_SETTINGS}, 'holdout_backtest' AS meta_eval_type,
+               {HOLDOUT_N} AS holdout_weeks, (SELECT min(yearweek) FROM hw) AS holdout_start, (SELECT max(yearweek) FROM hw) AS holdout_end
+        FROM rmet"""))
+def q_cv_08_naive(spark, sf):
+    """Metric rows of the back-test's naive model, as the run made them."""
+    return round_doubles(holdout_run_a(spark, sf)["metric"].where("model_name = 'seasonal_naive'"))
+
+
+@register("cv_08_holdout_rows", _holdout_run_sql(
+    f"""SELECT {Q.KEY}, yearweek, lead_week, y_true AS actual_count, 'ensemble_weighted_average' AS model_name, 'ensemble' AS model_layer,
+               '{RUN_TASK}' AS model_task, 'county' AS model_scope, {_RUN_SETTINGS} FROM hlong"""))
+def q_cv_08_rows(spark, sf):
+    """Rows, truth and settings of the back-test's predictions: all that does not hang on a fitted model."""
+    return holdout_run_a(spark, sf)["predictions"].drop("forecast_count", "forecast_count_rounded")
 
 
 def _holdout_feature_sql() -> str:
@@ -1071,10 +1175,9 @@ def _holdout_feature_sql() -> str:
 
 @register("win_11_holdout_features", _holdout_feature_sql())
 def q_win_11(spark, sf):
-    _, bt, kept, raw, _ = naive_holdout_a(spark, sf)
-    feats = FE.future_features(bt, kept, "base", HOLDOUT_N)
-    actual = raw.select(*C.KEY_COLS, "yearweek", F.col("count").alias("actual_count"))
-    return round_doubles(feats.join(actual, [*C.KEY_COLS, "yearweek"], "left"))
+    split = naive_holdout_a(spark, sf)[1]
+    feats = FE.future_features(split.base_train, split.kept, "base", HOLDOUT_N)
+    return round_doubles(feats.join(split.actual("actual_count"), [*C.KEY_COLS, "yearweek"], "left"))
 
 
 @register("agg_06_holdout_metric_levels", _ft_sql("SELECT * FROM hmet", _sql_naive_holdout()))
@@ -1117,9 +1220,9 @@ PLOT_WEEKS = 26
 def q_rep_09(spark, sf):
     from panelcast.operators.reports import chart_series
 
-    long, _, _, _, hw = naive_holdout_a(spark, sf)
+    long, split = naive_holdout_a(spark, sf)
     pred = long.select(*C.KEY_COLS, "yearweek", F.col("y_pred").alias("forecast_count"))
-    return round_doubles(chart_series(history_a(spark, sf), pred, PLOT_WEEKS, C.KEY_COLS, hw[0]))
+    return round_doubles(chart_series(history_a(spark, sf), pred, PLOT_WEEKS, C.KEY_COLS, split.weeks[0]))
 
 
 @register("col_16_compact_predictions", _ft_sql(
@@ -1148,40 +1251,54 @@ def q_set_06(spark, sf):
 # ---------------------------------------------------------------------------
 # Location dimension (SRC-6, SET-5, AGG-3)
 # ---------------------------------------------------------------------------
-_LOC_EXPANDED = """SELECT DISTINCT replace(replace(replace(trim(old_name), '臺', '台'), ' ', ''), '　', '') AS county_key,
-                          trim(new_name) AS new_name, trim(branch_t) AS branch_t FROM dim_location WHERE branch_t IS NOT NULL
-                   UNION
-                   SELECT replace(replace(replace(trim(new_name), '臺', '台'), ' ', ''), '　', ''), trim(new_name), trim(branch_t)
-                   FROM dim_location WHERE branch_t IS NOT NULL"""
+def _sql_strip(c: str) -> str:
+    return rf"regexp_replace({c}, '^[\s　]+|[\s　]+$', '', 'g')"
+
+
+def _sql_place_key(c: str) -> str:
+    return f"replace(replace(replace({_sql_strip(c)}, '臺', '台'), ' ', ''), '　', '')"
+
 
+SQL_LOC_SCAN = "SELECT DISTINCT old_name, new_name, branch_t FROM dim_location_raw WHERE branch_t IS NOT NULL"
+SQL_LOC_EXPANDED = " UNION ALL ".join(
+    f"""SELECT {_sql_place_key(c)} AS county_key, coalesce({_sql_strip("new_name")}, 'None') AS new_name, {_sql_strip("branch_t")} AS branch_t
+        FROM ({SQL_LOC_SCAN}) WHERE {_sql_strip(c)} <> ''""" for c in ("old_name", "new_name"))
 
-def _expanded_locations(spark, sf):
-    from panelcast.operators.locations import location_key, strip_ws
 
-    d = TV.dim_location(TV.Tables(spark, sf)).select("old_name", "new_name", "branch_t").where(F.col("branch_t").isNotNull()).distinct()
-    new = F.coalesce(strip_ws(F.col("new_name")), F.lit("None"))
-    return (d.select(location_key("old_name").alias("county_key"), new.alias("new_name"), strip_ws("branch_t").alias("branch_t"))
-            .unionByName(d.select(location_key("new_name").alias("county_key"), new.alias("new_name"), strip_ws("branch_t").alias("branch_t")))
-            .distinct())
+def expanded_locations(spark, sf):
+    from panelcast.operators.locations import expand_locations, scan_locations
 
+    return expand_locations(scan_locations(TV.dim_location_raw(TV.Tables(spark, sf))))
 
-@register("set_05_location_expansion", TV.with_views(_LOC_EXPANDED, "dim_location"))
+
+@register("set_05_location_expansion", TV.with_views(SQL_LOC_EXPANDED, "dim_location_raw"))
 def q_set_05(spark, sf):
-    return _expanded_locations(spark, sf)
+    return expanded_locations(spark, sf)
 
 
 @register("agg_03_location_conflicts", TV.with_views(
-    f"SELECT county_key, count(DISTINCT branch_t) AS n_branch FROM ({_LOC_EXPANDED}) GROUP BY county_key HAVING count(DISTINCT branch_t) > 1",
-    "dim_location"))
+    f"SELECT county_key, count(DISTINCT branch_t) AS n_branch FROM ({SQL_LOC_EXPANDED}) GROUP BY county_key HAVING count(DISTINCT branch_t) > 1",
+    "dim_location_raw"))
 def q_agg_03(spark, sf):
-    e = _expanded_locations(spark, sf)
-    return e.groupBy("county_key").agg(F.count_distinct("branch_t").alias("n_branch")).where(F.col("n_branch") > 1)
+    from panelcast.operators.locations import location_conflicts
+
+    return location_conflicts(expanded_locations(spark, sf))
 
 
-@register("src_06_location_scan", TV.with_views(
-    "SELECT DISTINCT old_name, new_name, branch_t FROM dim_location WHERE branch_t IS NOT NULL", "dim_location"))
+@register("src_06_location_scan", TV.with_views(SQL_LOC_SCAN, "dim_location_raw"))
 def q_src_06(spark, sf):
-    return TV.dim_location(TV.Tables(spark, sf)).select("old_name", "new_name", "branch_t").where(F.col("branch_t").isNotNull()).distinct()
+    from panelcast.operators.locations import scan_locations
+
+    return scan_locations(TV.dim_location_raw(TV.Tables(spark, sf)))
+
+
+@register("joi_08_unmapped_places", TV.with_views(
+    f"SELECT DISTINCT county FROM ({SQL_TARGET_A}) WHERE ends_with(county, '1')", "panel_a"))
+def q_joi_08(spark, sf):
+    """Places that a location map without them does not know."""
+    from panelcast.operators.locations import unmapped_places
+
+    return unmapped_places(target_a(spark, sf), location_map(spark, sf).where(~F.col("county_key").endswith("1")))
 
 
 # ---------------------------------------------------------------------------
@@ -1261,3 +1378,136 @@ def q_agg_06_branch(spark, sf):
     """PAN-3 then CV-8 with the seasonal naive: back-test metrics of the branch-level EV panel."""
     long = naive_holdout_a(spark, sf, "branch")[0]
     return round_doubles(EV.metric_levels(long, ["data_source", "model_name", "prediction_type"], by_lead_week=True))
+
+
+# ---------------------------------------------------------------------------
+# Missing predictions, selection, folds, task routing (COM-5, MOD-11, SEL-2, CV-1, CV-2, PAN-6, COL-12, MOD-9)
+# ---------------------------------------------------------------------------
+def gappy_matrix_a(spark, sf) -> DataFrame:
+    """The prediction matrix with gaps: one model lacks every fifth week, one has no prediction at all."""
+    return oof_matrix_a(spark, sf).withColumns({
+        "lag_1": F.when(F.col("yearweek") % 5 != 0, F.col("lag_1")), "roll4_mean": F.lit(None).cast("double")})
+
+
+def _sql_gappy(method: str = META_METHOD) -> dict:
+    return {**_sql_metric_table(method),
+            "gap": "SELECT * REPLACE (CASE WHEN yearweek % 5 <> 0 THEN lag_1 END AS lag_1, CAST(NULL AS DOUBLE) AS roll4_mean) FROM mx"}
+
+
+def _sql_filled(c: str) -> str:
+    return f"coalesce({c}, (SELECT median({c}) FROM gap), 0.0)"
+
+
+@register("mod_11_imputed_predictions", _ft_sql(
+    f"SELECT {Q.KEY}, yearweek, y_true, {', '.join(f'round({_sql_filled(c)}, 6) AS {c}' for c in BASE_MODELS)} FROM gap", _sql_gappy()))
+def q_mod_11(spark, sf):
+    from panelcast.plans.forecast import impute_predictions
+
+    return round_doubles(impute_predictions(gappy_matrix_a(spark, sf), BASE_MODELS))
+
+
+def _sql_combined_with_gaps() -> str:
+    d = _sql_gappy()
+    d["afit"] = " UNION ALL ".join(
+        f"SELECT 0 AS fold, y_true, {m} AS y_pred, '{m}' AS model_name, {i} AS _model_pos FROM sv" for i, m in enumerate(BASE_MODELS))
+    d.update(Q.rule_weight_ctes("afit", META_METHOD, C.DEFAULT_ENSEMBLE_TOPK, "aw"))
+    total = " + ".join(f"(SELECT weight FROM aw WHERE model_name = '{m}') * {_sql_filled(m)}" for m in BASE_MODELS)
+    return _ft_sql(f"SELECT {Q.KEY}, yearweek, round(greatest({total}, 0.0), 6) AS y_pred FROM gap", d)
+
+
+@register("com_05_combined_with_gaps", _sql_combined_with_gaps())
+def q_com_05(spark, sf):
+    """COM-5 + COM-11: a weighted average over predictions with gaps, which take their column's median, then 0."""
+    from panelcast.operators.stacking import fit_combiner, predict_combiner
+
+    meta = fit_combiner(oof_matrix_a(spark, sf), BASE_MODELS, META_METHOD)
+    return round_doubles(predict_combiner(meta, gappy_matrix_a(spark, sf), [*C.KEY_COLS, "yearweek"]))
+
+
+@register("fil_12_models_with_predictions", _ft_sql(
+    " UNION ALL ".join(f"SELECT '{m}' AS model_name FROM gap HAVING count({m}) > 0" for m in BASE_MODELS), _sql_gappy()))
+def q_fil_12(spark, sf):
+    from panelcast.operators.combine import drop_empty_models
+
+    used = drop_empty_models(gappy_matrix_a(spark, sf), BASE_MODELS)
+    return spark.createDataFrame([(m,) for m in used], "model_name string")
+
+
+#: Features for the filter, with a linear twin of one and a constant among them.
+FILTER_COLS = [*PROFILE_COLS, "lag_8_twin", "flat"]
+
+
+def _sql_filter_decision() -> str:
+    d = _sql_train_base()
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PROFILE_COLS)
+    d["few"] = f"SELECT row_number() OVER () AS rid, {cols}, 2 * lag_8 + 1 AS lag_8_twin, CAST(1 AS DOUBLE) AS flat FROM trb"
+    ranked = [c for c in FILTER_COLS if c in C.MANDATORY_NUMERIC_FEATURES] + [c for c in FILTER_COLS if c not in C.MANDATORY_NUMERIC_FEATURES]
+    d["lng"] = " UNION ALL ".join(
+        f"SELECT rid, '{c}' AS feature, {ranked.index(c)} AS place, {str(c in C.MANDATORY_NUMERIC_FEATURES).lower()} AS must, {c} AS v FROM few" for c in FILTER_COLS)
+    d["prof"] = """SELECT feature, place, must, avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) AS missing, count(DISTINCT v) AS n_unique, median(v) AS med
+                   FROM lng GROUP BY ALL"""
+    d["full_"] = "SELECT l.rid, l.feature, p.place, coalesce(l.v, p.med) AS v FROM lng l JOIN prof p USING (feature) WHERE p.missing < 1"
+    d["cand"] = """SELECT p.* FROM prof p JOIN (SELECT feature, var_pop(v) AS spread FROM full_ GROUP BY feature) USING (feature)
+                   WHERE must OR (missing <= 0.9 AND n_unique > 1 AND spread > 0)"""
+    d["twin"] = """SELECT DISTINCT fb AS feature FROM (
+                     SELECT a.feature AS fa, b.feature AS fb, abs(corr(a.v, b.v)) AS r
+                     FROM full_ a JOIN full_ b ON a.rid = b.rid AND a.place < b.place
+                     WHERE a.feature IN (SELECT feature FROM cand) AND b.feature IN (SELECT feature FROM cand) GROUP BY ALL) WHERE r > 0.98"""
+    return _ft_sql("""SELECT feature, feature IN (SELECT feature FROM cand WHERE must OR feature NOT IN (SELECT feature FROM twin)) AS selected,
+                             'filter' AS selection_stage FROM prof""", d)
+
+
+@register("sel_02_filter_decision", _sql_filter_decision())
+def q_sel_02(spark, sf):
+    """SEL-1 + SEL-2: which features the filter keeps."""
+    from panelcast.operators.selection import select_features
+
+    train = train_a(spark, sf).withColumns({"lag_8_twin": 2 * F.col("lag_8") + 1, "flat": F.lit(1.0)})
+    return select_features(train, FILTER_COLS, "filter").report.select("feature", "selected", "selection_stage")
+
+
+# folds with too short a history are dropped, the others counted from 0
+@register("cv_01_rolling_folds", _ft_sql("SELECT CAST(fold - min(fold) OVER () AS INTEGER) AS fold, yearweek, role FROM folds", {
+    **_sql_oof_matrix(), **Q.rolling_fold_ctes("trn", C.RUN_MODES["full"].folds.n_splits, C.RUN_MODES["full"].folds.min_train_weeks, "folds")}))
+def q_cv_01(spark, sf):
+    """The folds of a full run."""
+    f = C.RUN_MODES["full"].folds
+    return SP.fold_table(spark, SP.rolling_splits(SP.distinct_weeks(train_a(spark, sf)), f.n_splits, f.min_train_weeks))
+
+
+@register("cv_02_tuning_folds", _ft_sql("SELECT CAST(fold AS INTEGER) AS fold, yearweek, role FROM folds", {
+    **_sql_oof_matrix(), **Q.rolling_fold_ctes("trn", 3, 52, "folds")}))
+def q_cv_02(spark, sf):
+    """The folds that grid search tunes on."""
+    return SP.fold_table(spark, SP.inner_splits(SP.distinct_weeks(train_a(spark, sf)), 3))
+
+
+#: The test panels as sources of known names.
+TASK_SOURCES = {TV.SRC_A: "nhi_er", TV.SRC_B: "rods"}
+
+
+@register("pan_06_task_models", TV.with_views(
+    f"""SELECT p.data_source, t.model_task, t.model_scope, t.is_rods_ev_national, t.is_offshore_collapsed, t.n_models, p.n_rows
+        FROM (SELECT 'nhi_er' AS data_source, count(*) AS n_rows FROM ({SQL_TARGET_A})
+              UNION ALL SELECT 'rods', count(*) FROM ({SQL_TARGET_B})) p
+        JOIN (VALUES ('nhi_er', 'nhi_ev_branch', 'branch', false, false, 7),
+                     ('nhi_er', 'nhi_non_ev_county', 'county', false, true, 6),
+                     ('rods', 'rods_ev_national', 'national', true, false, 4),
+                     ('rods', 'rods_non_ev', 'county', false, true, 6))
+             t(data_source, model_task, model_scope, is_rods_ev_national, is_offshore_collapsed, n_models) USING (data_source)""",
+    "panel_a", "panel_b"))
+def q_pan_06(spark, sf):
+    """PAN-6 + COL-12 + MOD-8/9: the tasks of each source in the data, their flags and how many models a full run fits."""
+    from panelcast.operators.models import resolve_allowed_registry
+
+    name = F.create_map(*[F.lit(x) for pair in TASK_SOURCES.items() for x in pair])
+    both = target_a(spark, sf).select("data_source").unionByName(target_b(spark, sf).select("data_source"))
+    found = both.groupBy(name[F.col("data_source")].alias("data_source")).agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = []
+    for t in C.expand_model_tasks([r.data_source for r in found.select("data_source").collect()]):
+        m = C.task_metadata(t["model_task"])
+        rows.append((t["data_source"], t["model_task"], m["model_scope"], m["is_rods_ev_national"], m["is_offshore_collapsed"],
+                     len(resolve_allowed_registry(t["model_task"], C.RUN_MODES["full"].models))))
+    tasks = spark.createDataFrame(rows, "data_source string, model_task string, model_scope string, is_rods_ev_national boolean, "
+                                        "is_offshore_collapsed boolean, n_models int")
+    return found.join(F.broadcast(tasks), "data_source")

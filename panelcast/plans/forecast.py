@@ -9,7 +9,8 @@ into ``spark.checkpoint.dir`` so a lost executor does not replay the whole plan.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import warnings
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from panelcast.operators.models import resolve_allowed_registry
 from panelcast.operators.selection import select_features
 from panelcast.session import reliable_checkpoint
 from panelcast.sources.calendar import forecast_yearweeks, latest_closed_yearweek
+from panelcast.sources.scans import week_range_filter
 
 ID = [*C.KEY_COLS, "yearweek"]
 
@@ -44,7 +46,8 @@ class TaskInputs:
 @dataclass
 class RunOptions:
     run_mode: str = "smoke"
-    forecast_period: int = C.DEFAULT_FORECAST_PERIOD
+    forecast_period: int = field(default_factory=lambda: C.RunDefaults.from_env().forecast_period)
+    train_start: int | None = field(default_factory=lambda: C.RunDefaults.from_env().train_start_yearweek)
     covid_policy: str = "include"
     covid_years: tuple = C.COVID_YEARS
     meta_model: str = "ridge"
@@ -69,7 +72,8 @@ def _persist(df: DataFrame) -> DataFrame:
 def prepare(inputs: TaskInputs, data_source: str, model_task: str, opts: RunOptions, weeks: list[int]):
     """Feature table, task geography, COVID policy and exogenous columns."""
     cfg = C.resolve_config(opts.run_mode, opts.recent_weeks, opts.feature_set, opts.feature_select, opts.top_k)
-    feature = PN.build_feature_table(inputs.target, inputs.source_total, inputs.weather, inputs.calendar, weeks)
+    target = week_range_filter(inputs.target, opts.train_start, None)
+    feature = PN.build_feature_table(target, inputs.source_total, inputs.weather, inputs.calendar, weeks)
     feature, removed = PN.prepare_task(feature, data_source, model_task, inputs.location_map, opts.ev_disease,
                                        opts.offshore, opts.source_kind)
     feature = PN.apply_covid_policy(feature, opts.covid_policy, opts.covid_years)
@@ -258,9 +262,39 @@ def holdout_weeks(hist: DataFrame, end_week: int, n: int) -> list[int]:
     weeks = SP.distinct_weeks(hist.where(F.col("yearweek") <= int(end_week)))
     if len(weeks) <= n:
         raise RuntimeError(f"{n} weeks cannot be held out of {len(weeks)}")
+    if len(weeks) < n + C.SEASON_LENGTH:
+        warnings.warn(f"{len(weeks)} weeks leave less than a season before the {n} that are held out", stacklevel=2)
     return weeks[-n:]
 
 
+@dataclass
+class HoldoutSplit:
+    """A panel cut for a back-test: the weeks held out, and the rows on both sides."""
+
+    weeks: list[int]
+    base_train: DataFrame
+    raw: DataFrame  # the held-out rows with their counts
+    kept: DataFrame  # those of series with a row in every held-out week, without their counts
+    rejected: DataFrame  # the other series and their number of rows
+
+    def lead(self, week="yearweek"):
+        """Place of a held-out week, from 1."""
+        return F.create_map(*[x for i, w in enumerate(self.weeks) for x in (F.lit(w), F.lit(i + 1))])[F.col(week)]
+
+    def actual(self, name: str) -> DataFrame:
+        return self.raw.select(*ID, F.col("count").alias(name))
+
+
+def split_holdout(hist: DataFrame, end_week: int, n: int, recent_weeks: int | None = None) -> HoldoutSplit:
+    """FIL-8..10: the last ``n`` weeks up to ``end_week`` are held out, with their counts and rates hidden."""
+    weeks = holdout_weeks(hist, end_week, n)
+    raw = hist.where(F.col("yearweek").isin(*weeks))
+    hidden = raw.withColumns({c: F.lit(None).cast("double") for c in ("count", "disease_rate")})
+    kept, rejected = PN.complete_horizon(hidden, n)
+    base_train = PN.apply_recent_weeks(hist.where(~F.col("yearweek").isin(*weeks)), recent_weeks)
+    return HoldoutSplit(weeks, base_train, raw, kept, rejected)
+
+
 def run_holdout(inputs: TaskInputs, data_source: str, model_task: str, base_date: dt.date, end_week: int,
                 n_holdout: int = 8, opts: RunOptions | None = None) -> dict[str, DataFrame]:
     """CV-8: back-test the last ``n_holdout`` weeks; the combiner's predictions are scored with lead-week metrics."""
@@ -268,17 +302,13 @@ def run_holdout(inputs: TaskInputs, data_source: str, model_task: str, base_date
     weeks = forecast_yearweeks(inputs.weekdate, opts.forecast_period, base_date)
     cfg, feature, removed, exog = prepare(inputs, data_source, model_task, opts, weeks)
     hist = _persist(feature.where((~F.col("is_future")) & F.col("count").isNotNull() & (F.col("yearweek") <= int(end_week))))
-    hw = holdout_weeks(hist, end_week, n_holdout)
-    lead = F.create_map(*[x for i, w in enumerate(hw) for x in (F.lit(w), F.lit(i + 1))])
-    base_train = _persist(PN.apply_recent_weeks(hist.where(~F.col("yearweek").isin(*hw)), cfg.recent_weeks))
-    raw = hist.where(F.col("yearweek").isin(*hw))
-    kept, rejected = PN.complete_horizon(raw.withColumn("count", F.lit(None).cast("double"))
-                                  .withColumn("disease_rate", F.lit(None).cast("double")), n_holdout)
-    actual = raw.select(*ID, F.col("count").alias("actual_count"))
+    split = split_holdout(hist, end_week, n_holdout, cfg.recent_weeks)
+    hw, kept, rejected, actual = split.weeks, split.kept, split.rejected, split.actual("actual_count")
+    base_train = _persist(split.base_train)
     train = _persist(FE.lag_rolling_features(base_train, cfg.features.name)
                      .where(F.col("lag_1").isNotNull() & F.col("count").isNotNull()))
     hf = FE.future_features(base_train, kept, cfg.features.name, n_holdout)
-    hf = _persist(hf.withColumnRenamed("lead_week", "_step").withColumn("lead_week", lead[F.col("yearweek")]))
+    hf = _persist(hf.withColumnRenamed("lead_week", "_step").withColumn("lead_week", split.lead()))
     _, numeric_all, categorical = FE.feature_columns(train, exog)
     sel = select_features(train, numeric_all, cfg.features.select, cfg.features.top_k)
     numeric = sel.numeric_cols

@@ -39,9 +39,17 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
-def panel_a(t: Tables) -> DataFrame:
-    """Weekly line counts per (ship week, supplier nation, return flag)."""
-    li = t.lineitem.select(
+def panel_a(t: Tables, start_week: int | None = None, end_week: int | None = None) -> DataFrame:
+    """Weekly line counts per (ship week, supplier nation, return flag).
+
+    Week bounds become bounds on the ship date, which reach the scan (whole ISO weeks, so counts stay whole).
+    """
+    lines = t.lineitem
+    if start_week is not None:
+        lines = lines.where(F.col("l_shipdate") >= F.lit(monday(start_week)))
+    if end_week is not None:
+        lines = lines.where(F.col("l_shipdate") < F.lit(monday(end_week) + dt.timedelta(days=7)))
+    li = lines.select(
         "l_suppkey", yearweek_of("l_shipdate").alias("yearweek"), F.col("l_returnflag").alias("disease")
     )
     # nation has 25 rows by definition: broadcast; how the supplier map is joined is left to Spark's measured sizes
@@ -54,17 +62,31 @@ def panel_a(t: Tables) -> DataFrame:
     )
 
 
-def panel_b(t: Tables) -> DataFrame:
+def monday(yearweek: int) -> dt.date:
+    """First day of an ISO week; a week beyond its year's last one runs on into the next year."""
+    return dt.date.fromisocalendar(yearweek // 100, 1, 1) + dt.timedelta(weeks=yearweek % 100 - 1)
+
+
+def orders_weekly(t: Tables) -> DataFrame:
+    """Orders and their total price per (order week, customer nation, priority): the one pass over orders and customers
+    that both the order panel and the weather table come from."""
+    o = t.orders.select("o_custkey", "o_totalprice", yearweek_of("o_orderdate").alias("yearweek"), "o_orderpriority")
+    j = o.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    return j.groupBy("yearweek", "c_nationkey", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"), F.count("o_totalprice").alias("priced"), F.sum("o_totalprice").alias("price")
+    )
+
+
+def panel_b(t: Tables, weekly: DataFrame | None = None) -> DataFrame:
     """Weekly order counts per (order week, customer region, order priority)."""
-    o = t.orders.select("o_custkey", yearweek_of("o_orderdate").alias("yearweek"), F.col("o_orderpriority").alias("disease"))
+    weekly = orders_weekly(t) if weekly is None else weekly
     geo = (
         t.nation.select("n_nationkey", "n_regionkey")
         .join(t.region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    cust = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-    j = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-    return j.groupBy("yearweek", F.col("r_name").alias("county"), "disease").agg(
-        F.count(F.lit(1)).cast("double").alias("count")
+    j = weekly.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.groupBy("yearweek", F.col("r_name").alias("county"), F.col("o_orderpriority").alias("disease")).agg(
+        F.sum("orders").cast("double").alias("count")
     )
 
 
@@ -86,14 +108,11 @@ def source_total_from(panel: DataFrame) -> DataFrame:
     return panel.groupBy(F.lit(SRC_A).alias("data_source"), "yearweek", "county").agg(F.sum("count").alias("total_count"))
 
 
-def weather_weekly(t: Tables) -> DataFrame:
-    o = t.orders.select("o_custkey", "o_totalprice", yearweek_of("o_orderdate").alias("yearweek"))
-    cust = t.customer.select("c_custkey", "c_nationkey").join(
-        F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    j = o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+def weather_weekly(t: Tables, weekly: DataFrame | None = None) -> DataFrame:
+    weekly = orders_weekly(t) if weekly is None else weekly
+    j = weekly.join(F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
     return j.groupBy("yearweek", F.col("n_name").alias("city")).agg(
-        F.avg("o_totalprice").alias("airtemperature_avg"), F.count(F.lit(1)).alias("rain_days")
+        F.try_divide(F.sum("price"), F.sum("priced")).alias("airtemperature_avg"), F.sum("orders").alias("rain_days")
     )
 
 
@@ -141,6 +160,26 @@ def dim_location(t: Tables) -> DataFrame:
     )
 
 
+def dim_location_raw(t: Tables) -> DataFrame:
+    """``dim_location`` as it may come: names with blanks around and inside, both spellings of one sign, repeated rows,
+    blank names, rows without a branch, and a second branch for the places whose name ends in 1."""
+    d = dim_location(t).withColumnsRenamed({"old_name": "n", "branch_t": "b"}).select("n", "b")
+    none = F.lit(None).cast("string")
+
+    def row(old, new, branch):
+        return F.struct(old.alias("old_name"), new.alias("new_name"), branch.alias("branch_t"))
+
+    n, b = F.col("n"), F.col("b")
+    rows = F.array(
+        row(n, n, b),
+        row(F.concat(F.lit("  "), n, F.lit("　")), n, F.concat(b, F.lit(" "))),
+        row(F.concat(F.lit("臺 "), n), F.concat(F.lit("台"), n), b),
+        row(F.lit(" "), n, b),
+        row(n, none, F.when(n.endswith("1"), F.lit("SECOND"))),
+    )
+    return d.select(F.inline(rows))
+
+
 # ---------------------------------------------------------------------------
 # DuckDB twins of the builders above (used by oracle_sql()).
 # ---------------------------------------------------------------------------
@@ -195,6 +234,12 @@ SQL_VIEWS = {
         SELECT n.n_name AS old_name, n.n_name AS new_name, r.r_name AS branch_t
         FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
         WHERE n.n_name IN (SELECT county FROM panel_a)""",
+    "dim_location_raw": """
+        SELECT old_name, new_name, branch_t FROM dim_location
+        UNION ALL SELECT '  ' || old_name || '　', old_name, branch_t || ' ' FROM dim_location
+        UNION ALL SELECT '臺 ' || old_name, '台' || old_name, branch_t FROM dim_location
+        UNION ALL SELECT ' ', old_name, branch_t FROM dim_location
+        UNION ALL SELECT old_name, NULL, CASE WHEN ends_with(old_name, '1') THEN 'SECOND' END FROM dim_location""",
     "dim_calendar": f"""
         SELECT yearweek, CAST(7 - sum(lv) AS INTEGER) AS cnt, CAST(max(voc) AS INTEGER) AS voc,
                CAST(sum(eve) AS INTEGER) AS eve, CAST(max(evp) AS INTEGER) AS ev_period,
@@ -216,6 +261,7 @@ _VIEW_DEPS = {
     "dim_holiday": ["dim_weekdate"],
     "dim_calendar": ["dim_holiday", "dim_weekdate"],
     "dim_location": ["panel_a"],
+    "dim_location_raw": ["dim_location"],
 }
 
 

@@ -118,3 +118,30 @@ def test_registry_source_load(spark):
         load_source(spark, reg, "rods")
     with pytest.raises(RuntimeError):
         load_source(spark, reg, "nhi_er", start_week=203001)
+
+
+def test_defaults_from_the_environment():
+    assert C.RunDefaults.from_env({}) == C.RunDefaults(8, None)
+    assert C.RunDefaults.from_env({"PANELCAST_FORECAST_PERIOD": "4", "PANELCAST_TRAIN_START_YEARWEEK": "202001"}) == C.RunDefaults(4, 202001)
+    reg = C.SourceRegistry.from_env({"PANELCAST_SOURCE_A": "t2", "PANELCAST_WEATHER": "w2"}, sources={"a": "t", "b": "u"}, dim_holiday="h")
+    assert (reg.table_for("a"), reg.table_for("b"), reg.weather, reg.dim_holiday) == ("t2", "u", "w2", "h")
+
+
+def test_short_history_warns(spark):
+    from panelcast.plans.forecast import holdout_weeks
+
+    def weeks(n):
+        return spark.createDataFrame([(202000 + i,) for i in range(1, n + 1)], "yearweek int")
+
+    with pytest.warns(UserWarning, match="less than a season"):
+        assert holdout_weeks(weeks(20), 202099, 8) == list(range(202013, 202021))
+    with pytest.raises(RuntimeError):
+        holdout_weeks(weeks(8), 202099, 8)
+
+
+def test_output_order(spark):
+    rows = [("s", "t", "m2", "overall", "A", "x", 1), ("s", "t", "m1", "overall", "B", "x", 2), ("s", "t", "m1", "by_county", "B", "y", 1),
+            ("r", "t", "m9", "overall", "A", "x", 3), ("s", "t", "m1", "overall", "B", "x", 1)]
+    df = spark.createDataFrame(rows, "data_source string, model_task string, model_name string, metric_level string, "
+                                     "disease string, county string, lead_week int").repartition(4)
+    assert [tuple(r) for r in sorted_for_output(df, "metrics").collect()] == sorted(rows)
