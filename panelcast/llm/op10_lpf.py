@@ -17,7 +17,7 @@ Matches never cross texts; bytes are UTF-8; strings are judged on the input.
 Defined results: a null or empty text has no bytes; a shorter text keeps all;
 repeated rows repeat each other (with ``keep_first`` rows equal in id and text
 count as one place and are cut alike); rows with a null id count like any other
-and come first; an empty table gives no rows; other columns are kept by
+and come before ids from 0 on; an empty table gives no rows; other columns are kept by
 ``dedup``. Where ``dedup`` returns text, characters cut in part stay whole.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import utf8
-from panelcast.llm.repeats import GROUP, Unit, covers, keyed, marked
+from panelcast.llm.repeats import GROUP, Unit, covers, keyed, marked, row_key
 
 #: With these an anchor has 128 windows at most: two longs of bits.
 LENGTH, GRAM = 200, 73
@@ -105,12 +105,12 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: boo
                 out.append((len(raw), int(covered.sum()), spans(covered), raw[~covered].tobytes()))
             n, gone, runs, kept = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(x, pa.int64()) for x in (n, gone, runs)), pa.array(kept, pa.binary())],
-                ["id", "n_bytes", "n_removed", "n_spans", "kept"],
+                [batch.column("id"), batch.column("none"), *(pa.array(x, pa.int64()) for x in (n, gone, runs)), pa.array(kept, pa.binary())],
+                ["id", "none", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    made = rows.select("id", "text", "runs").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return made.select(F.nullif("id", F.lit(-(1 << 63))).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+    made = rows.select("id", "none", "text", "runs").mapInArrow(run, "id long, none boolean, n_bytes long, n_removed long, n_spans long, kept binary")
+    return made.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def digests(made: DataFrame) -> DataFrame:
@@ -133,9 +133,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: b
     unit = Unit(False, length, gram)
     names = docs.columns
     rest = [c for c in names if c not in ("text", "n_chars")]
+    id_, tk, text_ = row_key(docs)
     rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.hash(F.coalesce("text", F.lit(""))).alias("tk"),
-        F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("none"), F.struct(*rest).alias("rest"),
+        id_.alias("id"), tk.alias("tk"), text_.alias("text"), F.col("text").isNull().alias("none"), F.struct(*rest).alias("rest"),
     )
     made = marked(rows, unit, shared_factors, keep_first=keep_first, group=group)
 
