@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import utf8
-from panelcast.llm.repeats import GROUP, Unit, covers, keyed, marked, row_key
+from panelcast.llm.repeats import GROUP, Unit, covers, given_id, keyed, marked, row_key
 
 #: With these an anchor has 128 windows at most: two longs of bits.
 LENGTH, GRAM = 200, 73
@@ -105,12 +105,12 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: boo
                 out.append((len(raw), int(covered.sum()), spans(covered), raw[~covered].tobytes()))
             n, gone, runs, kept = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("none"), *(pa.array(x, pa.int64()) for x in (n, gone, runs)), pa.array(kept, pa.binary())],
-                ["id", "none", "n_bytes", "n_removed", "n_spans", "kept"],
+                [batch.column("id"), *(pa.array(x, pa.int64()) for x in (n, gone, runs)), pa.array(kept, pa.binary())],
+                ["id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    made = rows.select("id", "none", "text", "runs").mapInArrow(run, "id long, none boolean, n_bytes long, n_removed long, n_spans long, kept binary")
-    return made.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+    made = rows.select(given_id(), "text", "runs").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return made.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def digests(made: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import utf8
-from panelcast.llm.repeats import GROUP, Text, Unit, covers, keyed, marked
+from panelcast.llm.repeats import GROUP, Text, Unit, covers, given_id, keyed, marked
 
 LENGTH, GRAM = 35, 12
 
@@ -65,11 +65,11 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: boo
                 out.append((text.size, int(covered.sum()), text.kept(covered)))
             n, gone, kept = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("none"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], ["id", "none", "n_words", "n_removed", "kept"]
+                [batch.column("id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], ["id", "n_words", "n_removed", "kept"]
             )
 
-    made = rows.select("id", "none", "text", "runs").mapInArrow(run, "id long, none boolean, n_words long, n_removed long, kept binary")
-    return made.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_words", "n_removed", "kept")
+    made = rows.select(given_id(), "text", "runs").mapInArrow(run, "id long, n_words long, n_removed long, kept binary")
+    return made.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept")
 
 
 def digests(made: DataFrame) -> DataFrame:

@@ -146,18 +146,26 @@ def occurrences(docs: DataFrame, unit: Unit) -> DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, tk, text, none``: rows are told apart by id and a hash of the text (rows equal in both are marked alike);
-    ``none`` says that the row has no id."""
+    """``id, tk, text``: rows are told apart by id and a hash of the text (rows equal in both are marked alike)."""
     id_, tk, text = row_key(docs, id_col, text_col)
-    return docs.select(id_.alias("id"), tk.alias("tk"), text.alias("text"), F.col(id_col).isNull().alias("none"))
+    return docs.select(id_.alias("id"), tk.alias("tk"), text.alias("text"))
+
+
+def unnamed(text: Column) -> Column:
+    """What stands for the id of a row that has none."""
+    return F.xxhash64(text).bitwiseOR(F.lit(-(1 << 63)))
 
 
 def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Column, Column, Column]:
     """Id, text hash and text of a row. A null id is replaced by a 64-bit hash of the text, made negative: any number of
     rows without id stay apart, and come before those with ids from 0 on."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    unnamed = F.xxhash64(text).bitwiseOR(F.lit(-(1 << 63)))
-    return F.coalesce(F.col(id_col).cast("long"), unnamed), F.hash(text), text
+    return F.coalesce(F.col(id_col).cast("long"), unnamed(text)), F.hash(text), text
+
+
+def given_id() -> Column:
+    """The id of a keyed row as it came, null where there was none."""
+    return F.nullif(F.col("id"), unnamed(F.col("text"))).alias("id")
 
 
 def _stretches(rows: DataFrame, asked: DataFrame, unit: Unit, *, windows: bool) -> DataFrame:
