@@ -758,7 +758,7 @@ def task_inputs(spark, sf):
 def run_options(**kw):
     from panelcast.plans.forecast import RunOptions
 
-    # all weeks of the panel; the pool is the models whose fit takes seconds
+    # all weeks of the panel; the pool is the one that the twins name (models=None: the run mode's own)
     base = dict(run_mode="smoke", recent_weeks=0, models=("seasonal_naive", "ridge", "elasticnet"), meta_model="ridge",
                 ev_disease=TV.TEST_EV_DISEASE,
                 offshore=TV.TEST_OFFSHORE, source_kind="nhi", covid_years=TV.TEST_COVID_YEARS)
@@ -771,7 +771,7 @@ HOLDOUT_N = 8
 
 
 def forecast_run_a(spark, sf) -> dict[str, DataFrame]:
-    """One forecast run per session; the queries below read its outputs."""
+    """One forecast run per session with the pool of the twins; the queries that have one read its outputs."""
     from panelcast.plans.forecast import run_forecast
 
     return materialized(spark, sf, "forecast_run", lambda: run_forecast(
@@ -788,12 +788,27 @@ def holdout_run_a(spark, sf) -> dict:
 
 @register("pan_07_forecast_run")
 def q_pan_07(spark, sf):
-    return forecast_run_a(spark, sf)["forecast"]
+    """The run mode's own pool; boosted models at the iterations of their presets."""
+    from panelcast.plans.forecast import run_forecast
+
+    return run_forecast(task_inputs(spark, sf), TV.SRC_A, RUN_TASK, BASE, run_options(models=None))["forecast"]
+
+
+#: The tasks of the back-test: the branch task takes the Poisson models and the importance selection.
+HOLDOUT_TASKS = {RUN_TASK: {}, "nhi_ev_branch": {"feature_select": "lgbm_topk", "top_k": 12}}
 
 
 @register("cv_08_holdout_run")
 def q_cv_08(spark, sf):
-    return holdout_run_a(spark, sf)["metric"]
+    """Metric rows of both tasks with the run mode's own pool; boosted models at the iterations of their presets."""
+    from panelcast.plans.forecast import run_holdout
+
+    out = None
+    for task, kw in HOLDOUT_TASKS.items():
+        metric = run_holdout(task_inputs(spark, sf), TV.SRC_A, task, BASE, train_cut(spark, sf), HOLDOUT_N,
+                             run_options(models=None, meta_model="weighted_average", **kw))["metric"]
+        out = metric if out is None else out.unionByName(metric)
+    return out
 
 
 #: The panel of the run's task: offshore places collapsed, EV rows left out.
