@@ -293,7 +293,7 @@ def marked(docs: DataFrame, unit: Unit, compare, *, keep_first: bool, group: int
     run = F.struct("first", "n", *(mask(k).alias(f"m{k}") for k in range(unit.longs)), "more")
     per_text = met.select("id", "tk", run.alias("run")).where(
         " OR ".join([*(f"run.m{k} <> 0" for k in range(unit.longs)), "run.more IS NOT NULL"])
-    ).groupBy("id", "tk").agg(F.collect_list("run").alias("runs"))
+    ).groupBy("id", "tk").agg(F.collect_set("run").alias("runs"))  # rows of equal id and text bring the same runs: each once
     return docs.join(per_text, ["id", "tk"], "left")
 
 

@@ -100,6 +100,17 @@ def test_dedup_returns_documents(make, texts):
     assert all(t == "" for i, t, _ in got if i == 6)
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_copies_of_a_row_bring_each_run_once(make, keep_first):
+    from panelcast.llm.repeats import keyed, marked, run_rows
+
+    unit = Unit(False, L.LENGTH, L.GRAM)
+    text = " ".join(f"w{i * i % 1009}" for i in range(300)) + " said again" * 60
+    rows = [(None, text)] * 40 + [(7, text)] * 40 + [(8, "x" + text)]
+    got = marked(keyed(make(rows)), unit, L.shared_factors, keep_first=keep_first).selectExpr("size(runs) AS n").collect()
+    assert len(got) == 81 and max(r.n for r in got) <= len(run_rows(("x" + text).encode(), unit))
+
+
 def test_suffix_ranks_order_suffixes():
     rng = np.random.default_rng(2)
     for length in (3, 8, 20, 200):
