@@ -15,8 +15,8 @@ such a stretch have an earlier copy and all of them have another one.
 Matches never cross texts; bytes are UTF-8; strings are judged on the input.
 
 Defined results: a null or empty text has no bytes; a shorter text keeps all;
-repeated rows repeat each other (with ``keep_first`` rows equal in id and text
-count as one place and are cut alike); rows with a null id count like any other
+repeated rows repeat each other (with ``keep_first`` one of the rows equal in id
+and text is the first, the others are later copies); rows with a null id count like any other
 and come before ids from 0 on; an empty table gives no rows; other columns are kept by
 ``dedup``. Where ``dedup`` returns text, characters cut in part stay whole.
 """
@@ -97,7 +97,7 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: boo
     def run(batches):
         for batch in batches:
             at, data = utf8(batch.column("text"))
-            cover = covers(batch.column("runs"), unit)
+            cover = covers(batch, unit)
             out = []
             for k in range(batch.num_rows):
                 raw = data[at[k] : at[k + 1]]
@@ -109,7 +109,7 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: boo
                 ["id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    made = rows.select(given_id(), "text", "runs").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    made = rows.select(given_id(), "text", "runs", "copy").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return made.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
 
@@ -142,7 +142,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: b
     def run(batches):
         for batch in batches:
             at, data = utf8(batch.column("text"))
-            cover = covers(batch.column("runs"), unit)
+            cover = covers(batch, unit)
             out = []
             for k in range(batch.num_rows):
                 raw = data[at[k] : at[k + 1]]
@@ -152,7 +152,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: b
     from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
     schema = StructType([StructField("rest", rows.schema["rest"].dataType), StructField("none", BooleanType()), StructField("text", StringType())])
-    cut_ = made.select("rest", "none", "text", "runs").mapInArrow(run, schema)
+    cut_ = made.select("rest", "none", "text", "runs", "copy").mapInArrow(run, schema)
     text = F.when(~F.col("none"), F.col("text"))
     return cut_.select(*(
         text.alias("text") if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("rest")[c].alias(c)

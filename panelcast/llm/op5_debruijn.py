@@ -57,7 +57,7 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: boo
     def run(batches):
         for batch in batches:
             at, data = utf8(batch.column("text"))
-            cover = covers(batch.column("runs"), unit)
+            cover = covers(batch, unit)
             out = []
             for k in range(batch.num_rows):
                 text = Text(data[at[k] : at[k + 1]].tobytes(), unit)
@@ -68,7 +68,7 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: boo
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], ["id", "n_words", "n_removed", "kept"]
             )
 
-    made = rows.select(given_id(), "text", "runs").mapInArrow(run, "id long, n_words long, n_removed long, kept binary")
+    made = rows.select(given_id(), "text", "runs", "copy").mapInArrow(run, "id long, n_words long, n_removed long, kept binary")
     return made.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept")
 
 

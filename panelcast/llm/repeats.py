@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm.anchors import runs, span_hashes
@@ -146,7 +146,7 @@ def occurrences(docs: DataFrame, unit: Unit) -> DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, tk, text``: rows are told apart by id and a hash of the text (rows equal in both are marked alike)."""
+    """``id, tk, text``: rows are told apart by id and a hash of the text (rows equal in both share their runs)."""
     id_, tk, text = row_key(docs, id_col, text_col)
     return docs.select(id_.alias("id"), tk.alias("tk"), text.alias("text"))
 
@@ -267,7 +267,8 @@ def _counted(windows: DataFrame, unit: Unit) -> DataFrame:
 def marked(docs: DataFrame, unit: Unit, compare, *, keep_first: bool, group: int = GROUP) -> DataFrame:
     """``docs`` (``id, tk, text``) with ``runs``: (first window, windows, masks, further first windows) of every run that
     holds windows to be marked: those that occur anywhere else, or with ``keep_first`` those that occur earlier
-    (order: id, text hash, position). Windows are judged on the input."""
+    (order: id, text hash, position). Windows are judged on the input. ``copy`` is 1, or with ``keep_first`` the ordinal
+    among rows equal in id and text: all windows of those after the first occur earlier."""
     found = store(occurrences(docs, unit), "runs")
     many = found.groupBy("h").agg(F.sum("times").alias("k")).where("k > 1").select("h")
     again = store(found.join(many, "h", "left_semi"), "repeated-runs")
@@ -294,11 +295,16 @@ def marked(docs: DataFrame, unit: Unit, compare, *, keep_first: bool, group: int
     per_text = met.select("id", "tk", run.alias("run")).where(
         " OR ".join([*(f"run.m{k} <> 0" for k in range(unit.longs)), "run.more IS NOT NULL"])
     ).groupBy("id", "tk").agg(F.collect_set("run").alias("runs"))  # rows of equal id and text bring the same runs: each once
-    return docs.join(per_text, ["id", "tk"], "left")
+    if not keep_first:
+        return docs.join(per_text, ["id", "tk"], "left").withColumn("copy", F.lit(1))
+    # before the join, whose exchange and order of the texts it shares; any order will do, as the texts are equal
+    copy = F.row_number().over(Window.partitionBy("id", "tk").orderBy("tk"))
+    return docs.withColumn("copy", copy).join(per_text, ["id", "tk"], "left")
 
 
-def covers(col: pa.Array, unit: Unit):
-    """Per row of a ``runs`` column a function from the size of the text to its covered units."""
+def covers(batch: pa.RecordBatch, unit: Unit):
+    """Per row of ``runs`` and ``copy`` columns a function from the size of the text to its covered units."""
+    col, later = batch.column("runs"), batch.column("copy").to_numpy() > 1
     flat, cut = col.flatten(), col.offsets.to_numpy()
     cut = cut - cut[0]
     firsts, n = flat.field(0).to_numpy().astype(np.int64), flat.field(1).to_numpy().astype(np.int64)
@@ -308,6 +314,8 @@ def covers(col: pa.Array, unit: Unit):
     valid = np.asarray(col.is_valid())
 
     def cover(k: int, size: int) -> np.ndarray:
+        if later[k]:
+            return np.full(size, size >= unit.length)
         edge = np.zeros(size + 1, np.int32)
         if valid[k]:
             s = slice(int(cut[k]), int(cut[k + 1]))

@@ -88,6 +88,16 @@ def test_keep_first_as_brute_force(make, group):
     assert got == want
 
 
+def test_keep_first_cuts_later_rows_of_equal_id_and_text(make):
+    long_ = "é🙂 " + " ".join(f"v{i * i % 997}" for i in range(200))
+    rows = [(None, long_)] * 3 + [(1, "other words " + long_)] * 2 + [(2, "short")] * 2 + [(3, long_[:300])]
+    want = [(i, int(c.sum())) for (i, _), c in zip(rows, covered([t.encode() for _, t in rows], 200, keep_first=True))]
+    got = [(r.doc_id, r.n_removed) for r in L.cut(make(rows), keep_first=True).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    kept = sorted(len(r.text) for r in L.dedup(make(rows)).collect() if r.doc_id is None)
+    assert kept == [0, 0, len(long_)]
+
+
 def test_dedup_returns_documents(make, texts):
     df = make(texts)
     out = L.dedup(df)
