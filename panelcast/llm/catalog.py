@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import op1_quality, op2_merkle, op3_licences, op4_decontaminate, op5_debruijn, op6_chat, op7_simhash, op8_bpe, op9_language, op10_lpf
+from panelcast.llm import op1_quality, op2_merkle, op3_licences, op4_decontaminate, op5_debruijn, op6_chat, op7_simhash, op8_bpe, op9_language, op10_lpf, op11_balltree, op12_manifest, op13_urls
 from panelcast.llm.common import table
 
 
@@ -53,6 +53,19 @@ def op10_suffix_lpf(spark: SparkSession, sf: str) -> DataFrame:
     return op10_lpf.digests(op10_lpf.cut(table(spark, sf, "documents"), length=200))
 
 
+def op11_ball_tree_search(spark: SparkSession, sf: str) -> DataFrame:
+    return op11_balltree.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return op12_manifest.manifest(table(spark, sf, "documents"))
+
+
+def op13_url_rules(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return op13_urls.judge(pages, op13_urls.learn(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_crf": op1_quality_crf,
     "op2_merkle_fingerprints": op2_merkle_fingerprints,
@@ -64,9 +77,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_language_centroids": op9_language_centroids,
     "op10_suffix_lpf": op10_suffix_lpf,
+    "op11_ball_tree_search": op11_ball_tree_search,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_url_rules": op13_url_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op2_merkle_fingerprints": op2_merkle.ORACLE,
     "op6_chat_formatting": op6_chat.ORACLE,
+    "op11_ball_tree_search": op11_balltree.ORACLE,
+    "op12_merkle_manifest": op12_manifest.ORACLE,
 }
