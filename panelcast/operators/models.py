@@ -9,16 +9,19 @@ unknown levels mapped to zeros) is fitted inside every fold.
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass, field
 from typing import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast import config as C
 from panelcast.functions.medians import exact_medians
 from panelcast.functions.metrics import finite
-from panelcast.session import reliable_checkpoint
+from panelcast.operators import boosting as BO
 
 
 # ---------------------------------------------------------------------------
@@ -51,6 +54,15 @@ class Preprocessor:
 
     modes: dict = field(default_factory=dict)
 
+    def filled_numbers(self) -> list:
+        """Numeric columns with their medians in the gaps."""
+        return [F.coalesce(finite(F.col(c).cast("double")), F.lit(float(self.medians.get(c) or 0.0))) for c in self.numeric]
+
+    def filled(self) -> tuple:
+        """Two array columns: numbers, and categories with their modes in the gaps."""
+        names = [F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c])) for c in self.categorical]
+        return F.array(*self.filled_numbers()).cast("array<double>"), F.array(*names).cast("array<string>")
+
 
 def fit_preprocess(train: DataFrame, numeric_cols, categorical_cols) -> Preprocessor:
     from pyspark.ml import Pipeline
@@ -102,7 +114,6 @@ def fit_preprocess(train: DataFrame, numeric_cols, categorical_cols) -> Preproce
 class SparkModel:
     pre: Preprocessor
     model: object
-    clip_exp: bool = False
 
     def predict(self, df: DataFrame, out: str = "y_pred") -> DataFrame:
         x = self.pre.transform(df)
@@ -122,25 +133,30 @@ class ConstantModel:
         return df.withColumn(out, F.lit(float(self.value)))
 
 
-#: Trees that one plan holds at most; a longer ensemble is cut by checkpoints.
-PLAN_TREES = 50
-
-
 @dataclass
-class PoissonBoostModel:
+class BoostedModel:
+    """A fitted ensemble of histogram trees; ``booster`` holds the trees."""
+
     pre: Preprocessor
-    f0: float
-    step: float
-    trees: list
+    booster: BO.Booster
+
+    def column(self):
+        """The prediction as a column (Arrow batches)."""
+        from pyspark.sql.functions import pandas_udf
+
+        booster, n_num, n_cat = self.booster, len(self.pre.numeric), len(self.pre.categorical)
+
+        @pandas_udf("double")
+        def run(numbers: pd.Series, names: pd.Series) -> pd.Series:
+            x = np.stack(numbers.to_numpy()) if n_num else np.zeros((len(numbers), 0))
+            c = np.stack(names.to_numpy()).T if n_cat else []
+            return pd.Series(booster.predict(x, list(c)))
+
+        numbers, names = self.pre.filled()
+        return run(numbers, names)
 
     def predict(self, df: DataFrame, out: str = "y_pred") -> DataFrame:
-        x = self.pre.transform(df).withColumn("_F", F.lit(self.f0))
-        for i, t in enumerate(self.trees, 1):
-            t.setFeaturesCol("_features").setPredictionCol("_t")
-            x = t.transform(x).withColumn("_F", F.col("_F") + F.lit(self.step) * F.col("_t")).drop("_t")
-            if i % PLAN_TREES == 0 and i < len(self.trees):
-                x = reliable_checkpoint(x)
-        return x.select(*df.columns, F.exp("_F").alias(out))
+        return df.select("*", self.column().alias(out))
 
 
 def constant_targets(train: DataFrame, y: str, group_cols=()) -> DataFrame:
@@ -198,69 +214,65 @@ def fit_linear(train: DataFrame, numeric, categorical, y: str = "count", alpha:
     return SparkModel(pre, model)
 
 
+#: Settings of the boosted models: trees, learning rate, how trees grow, shares of rows and columns per tree, and each
+#: kind's usual l2 penalty and leaf bounds.
 GBT_PRESETS = {
-    # name: (max_iter, max_depth, step, subsample, feature_fraction)
-    "xgboost": (350, 4, 0.04, 0.85, "0.85"),
-    "lightgbm": (450, 5, 0.04, 0.85, "0.85"),
-    "catboost": (350, 5, 0.04, 1.0, "all"),
+    "xgboost": BO.Params(350, 0.04, "depth", depth=4, l2=1.0, min_hessian=1.0, rows=0.85, columns=0.85),
+    "lightgbm": BO.Params(450, 0.04, "leaf", leaves=31, l2=0.0, min_rows=20, min_hessian=1e-3, rows=0.85, columns=0.85),
+    "catboost": BO.Params(350, 0.04, "symmetric", depth=5, l2=3.0),
 }
 POISSON_PRESETS = {
-    "xgboost_poisson": (500, 3, 0.03),
-    "lightgbm_poisson": (700, 5, 0.03),
-    "catboost_poisson": (500, 4, 0.03),
+    "xgboost_poisson": BO.Params(500, 0.03, "depth", depth=3, l2=1.0, min_hessian=1.0, rows=0.85, columns=0.85,
+                                 poisson=True, hessian_shift=0.7, max_value=0.7),
+    "lightgbm_poisson": BO.Params(700, 0.03, "leaf", leaves=31, l2=0.0, min_rows=20, min_hessian=1e-3, rows=0.85, columns=0.85,
+                                  poisson=True, hessian_shift=0.7),
+    "catboost_poisson": BO.Params(500, 0.03, "symmetric", depth=4, l2=3.0, poisson=True),
 }
 
 
-def fit_gbt(train: DataFrame, numeric, categorical, y: str = "count", preset: str = "lightgbm",
-            max_iter: int | None = None, seed: int = C.SEED, max_depth: int | None = None, step_size: float | None = None,
-            subsample: float | None = None, min_instances: int | None = None, pre: Preprocessor | None = None) -> SparkModel:
-    """MOD-4: gradient-boosted trees with squared loss (three presets; grid parameters override them)."""
-    from pyspark.ml.regression import GBTRegressor
+def boosting_params(preset: str, **given) -> BO.Params:
+    """A preset's settings, with grid parameters in place of its own."""
+    return BO.adjusted((POISSON_PRESETS if preset in POISSON_PRESETS else GBT_PRESETS)[preset], **given)
 
-    it, depth, step, sub, feat = GBT_PRESETS[preset]
-    data = train.where(F.col(y).isNotNull()).withColumn("_y", F.col(y).cast("double"))
-    pre = pre or fit_preprocess(data, numeric, categorical)
-    gbt = GBTRegressor(labelCol="_y", featuresCol="_features", maxIter=int(max_iter or it),
-                       maxDepth=int(max_depth or depth), stepSize=float(step_size or step),
-                       subsamplingRate=float(subsample or sub), featureSubsetStrategy=feat,
-                       minInstancesPerNode=int(min_instances or 1), seed=seed)
-    x = pre.transform(data).select("_features", "_y").persist()
-    model = gbt.fit(x)
-    x.unpersist()
-    return SparkModel(pre, model)
 
+def boosting_dataset(train: DataFrame, pre: Preprocessor, y: str = "count") -> BO.Dataset:
+    """Binned training rows: filled columns, target, and a hash of the row's key (of all columns where it has none)."""
+    key = [*C.KEY_COLS, "yearweek"]
+    key = key if set(key) <= set(train.columns) else train.columns
+    target = F.col(y).cast("double")
+    data = train.where(F.col(y).isNotNull())
+    numbers = pre.filled_numbers()
+    edges = BO.quantile_edges(data.select(*[x.alias(f"x{j}") for j, x in enumerate(numbers)]), [f"x{j}" for j in range(len(numbers))])
+    n, mean, positive = data.agg(F.count(F.lit(1)), F.avg(target), F.avg(F.greatest(target, F.lit(0.0)))).first()
+    levels = [list(v) for v in pre.cat_model.stages[0].labelsArray] if pre.categorical else []
+    rows = data.select(*(c.alias(n_) for c, n_ in zip(pre.filled(), ("_numbers", "_names"))), target.alias("_y"), F.xxhash64(*key).alias("_key"))
+    return BO.Dataset(rows, BO.Layout(edges, levels), n, mean or 0.0, positive or 0.0)
 
-def fit_poisson_boost(train: DataFrame, numeric, categorical, y: str = "count", preset: str = "lightgbm_poisson",
-                      max_iter: int | None = None, checkpoint_every: int = 10, seed: int = C.SEED,
-                      pre: Preprocessor | None = None) -> PoissonBoostModel:
-    """MOD-5: Newton boosting for the Poisson log-likelihood with Spark regression trees.
-
-    F0 = log(mean y); each step fits a weighted tree to (y - mu) / mu with
-    weight mu = exp(F) (its weighted leaf mean is the Newton step) and adds
-    ``step * tree``. The working frame is checkpointed to the shared
-    checkpoint folder every few steps to keep the lineage short.
+
+def fit_boosted(jobs: list[tuple], numeric, categorical, y: str = "count", seed: int = C.SEED) -> list[BoostedModel]:
+    """MOD-4 / MOD-5: ensembles in lock step, one per job (key, training rows, preprocessing or None, settings).
+
+    Jobs with the same key share their rows and bins.
     """
-    from pyspark.ml.regression import DecisionTreeRegressor
+    pres, datasets = {}, {}
+    for key, train, pre, _ in jobs:
+        if key not in datasets:
+            pres[key] = pre or fit_preprocess(train.where(F.col(y).isNotNull()), numeric, categorical)
+            datasets[key] = boosting_dataset(train, pres[key], y)
+    made = BO.fit_all(datasets, [(key, p) for key, _, _, p in jobs], seed)
+    return [BoostedModel(pres[key], m) for (key, *_), m in zip(jobs, made)]
+
+
+def fit_gbt(train: DataFrame, numeric, categorical, y: str = "count", preset: str = "lightgbm", seed: int = C.SEED,
+            pre: Preprocessor | None = None, **given) -> BoostedModel:
+    """MOD-4 / MOD-5: one boosted model by its preset (grid parameters override it)."""
+    return fit_boosted([(0, train, pre, boosting_params(preset, **given))], numeric, categorical, y, seed)[0]
 
-    it, depth, step = POISSON_PRESETS[preset]
-    it = int(max_iter or it)
-    data = train.where(F.col(y).isNotNull()).withColumn("_y", F.greatest(F.col(y).cast("double"), F.lit(0.0)))
-    pre = pre or fit_preprocess(data, numeric, categorical)
-    mean_y = data.agg(F.avg("_y")).first()[0] or 0.0
-    f0 = math.log(max(mean_y, 1e-9))
-    work = pre.transform(data).select("_features", "_y").withColumn("_F", F.lit(f0))
-    trees = []
-    for i in range(it):
-        mu = F.exp(F.col("_F"))
-        step_df = work.withColumn("_w", mu).withColumn("_z", (F.col("_y") - mu) / mu)
-        tree = DecisionTreeRegressor(featuresCol="_features", labelCol="_z", weightCol="_w", maxDepth=depth,
-                                     seed=seed + i).fit(step_df)
-        trees.append(tree)
-        tree.setPredictionCol("_t")
-        work = tree.transform(work).withColumn("_F", F.col("_F") + F.lit(step) * F.col("_t")).drop("_t")
-        if checkpoint_every and (i + 1) % checkpoint_every == 0:
-            work = reliable_checkpoint(work)
-    return PoissonBoostModel(pre, f0, step, trees)
+
+def fit_poisson_boost(train: DataFrame, numeric, categorical, y: str = "count", preset: str = "lightgbm_poisson",
+                      seed: int = C.SEED, pre: Preprocessor | None = None, **given) -> BoostedModel:
+    """MOD-5: second-order boosting of the Poisson log-likelihood; predictions are exp(score)."""
+    return fit_gbt(train, numeric, categorical, y, preset, seed, pre, **given)
 
 
 # ---------------------------------------------------------------------------
@@ -272,17 +284,15 @@ class ModelSpec:
     scope: str  # "naive" or "global_panel"
     fit: Callable | None  # fit(train, numeric, categorical, y) -> model with predict()
     enabled: bool = True
+    preset: str | None = None  # of a boosted model; these are fitted together
 
 
 def build_registry(model_task: str = "default") -> list[ModelSpec]:
     """MOD-8: the model pool of a task; iteration counts come from the presets and the grid alone."""
     ev = model_task in C.EV_TASKS
 
-    def gbt(preset):
-        return lambda tr, num, cat, y="count", **kw: fit_gbt(tr, num, cat, y, preset, **kw)
-
-    def pois(preset):
-        return lambda tr, num, cat, y="count", **kw: fit_poisson_boost(tr, num, cat, y, preset, **kw)
+    def boosted(preset):
+        return ModelSpec(preset, "global_panel", lambda tr, num, cat, y="count", **kw: fit_gbt(tr, num, cat, y, preset, **kw), preset=preset)
 
     reg = [
         ModelSpec("seasonal_naive", "naive", None),
@@ -290,12 +300,7 @@ def build_registry(model_task: str = "default") -> list[ModelSpec]:
         ModelSpec("elasticnet", "global_panel",
                   lambda tr, num, cat, y="count", alpha=0.02, l1_ratio=0.15, **kw: fit_linear(tr, num, cat, y, alpha, l1_ratio, **kw),
                   enabled=not ev),
-        ModelSpec("xgboost", "global_panel", gbt("xgboost")),
-        ModelSpec("lightgbm", "global_panel", gbt("lightgbm")),
-        ModelSpec("catboost", "global_panel", gbt("catboost")),
-        ModelSpec("xgboost_poisson", "global_panel", pois("xgboost_poisson")),
-        ModelSpec("lightgbm_poisson", "global_panel", pois("lightgbm_poisson")),
-        ModelSpec("catboost_poisson", "global_panel", pois("catboost_poisson")),
+        *(boosted(preset) for preset in (*GBT_PRESETS, *POISSON_PRESETS)),
     ]
     if model_task == "rods_ev_national":
         reg = [s for s in reg if s.name in ("seasonal_naive", "ridge") or s.name.endswith("_poisson")]
@@ -333,33 +338,74 @@ def grid_candidates(model_name: str) -> list[dict]:
     return combos if grid else []
 
 
+def _inner_folds(train: DataFrame, n_splits: int) -> list[tuple[DataFrame, DataFrame]]:
+    """CV-2: training and validation rows of the tuning folds."""
+    from panelcast.operators.splits import assign_folds, distinct_weeks, fold_table, inner_splits
+
+    splits = inner_splits(distinct_weeks(train), n_splits)
+    if not splits:
+        return []
+    folds = fold_table(train.sparkSession, splits)
+    return [tuple(assign_folds(train, folds.where(F.col("fold") == i), role).drop("fold") for role in ("train", "valid")) for i in range(len(splits))]
+
+
+def _best_candidate(cands: list[dict], folds, models: list[list], y: str) -> dict:
+    """The candidate with the least mean tuning WAPE (the first of equal ones); a fold's candidates are scored in one pass."""
+    from panelcast.functions.metrics import wape_tuning
+
+    scores = np.zeros(len(cands))
+    for (_, valid), fitted in zip(folds, models):
+        wide = valid
+        for k, m in enumerate(fitted):
+            wide = m.predict(wide, f"_p{k}")
+        scores += np.array(wide.agg(*[wape_tuning(y, f"_p{k}").alias(f"w{k}") for k in range(len(cands))]).first(), float)
+    return cands[int(np.argmin(scores))]
+
+
+def boosted_grid_search(train: DataFrame, specs, numeric, categorical, y: str = "count", n_splits: int = 3,
+                        candidates: dict | None = None) -> dict[str, dict]:
+    """CV-3 for boosted models: all candidates of all models on all tuning folds grow in lock step; best parameters per model.
+
+    Models without a grid are left out; without folds, or when the search fails, so are all (they are fitted as they are).
+    """
+    grids = {s.name: c for s in specs if (c := (candidates or {}).get(s.name) or grid_candidates(s.name))}
+    folds = _inner_folds(train, n_splits) if grids else []
+    if not folds:
+        return {}
+    presets = {s.name: s.preset for s in specs}
+    try:
+        jobs = [(i, tr, None, boosting_params(presets[name], **c)) for i, (tr, _) in enumerate(folds) for name, cands in grids.items() for c in cands]
+        made = iter(fit_boosted(jobs, numeric, categorical, y))
+        by_fold = [{name: [next(made) for _ in cands] for name, cands in grids.items()} for _ in folds]
+        return {name: _best_candidate(cands, folds, [f[name] for f in by_fold], y) for name, cands in grids.items()}
+    except Exception as e:  # noqa: BLE001
+        warnings.warn(f"grid search failed, the models keep their own settings: {type(e).__name__}: {e}", stacklevel=2)
+        return {}
+
+
 def fit_with_grid_search(spec: ModelSpec, train: DataFrame, numeric, categorical, y: str = "count",
                          n_splits: int = 3, candidates: list[dict] | None = None):
     """CV-3: score each candidate on inner time folds by sum|e|/sum|y| (0 when the denominator is 0), refit the best.
 
-    Falls back to a plain fit when there is no grid or no fold; a constant target gets a constant model.
+    A fold is preprocessed once for all candidates and scored in one pass. Falls
+    back to a plain fit without a grid or fold, or when the search fails (with a
+    warning); a constant target gets a constant model.
     """
-    from panelcast.functions.metrics import wape_tuning
-    from panelcast.operators.splits import assign_folds, distinct_weeks, fold_table, inner_splits
-
     const = constant_target(train, y)
     if const is not None:
         return ConstantModel(const), None
     cands = grid_candidates(spec.name) if candidates is None else candidates
-    splits = inner_splits(distinct_weeks(train), n_splits) if cands else []
-    if not cands or not splits:
-        return spec.fit(train, numeric, categorical, y), None
-    folds = fold_table(train.sparkSession, splits)
-    scores = []
-    for params in cands:
-        total = 0.0
-        for i in range(len(splits)):
-            f = folds.where(F.col("fold") == i)
-            tr = assign_folds(train, f, "train").drop("fold")
-            va = assign_folds(train, f, "valid").drop("fold")
-            m = spec.fit(tr, numeric, categorical, y, **params)
-            p = m.predict(va, "_pred")
-            total += p.agg(wape_tuning(y, "_pred")).first()[0]
-        scores.append((total / len(splits), params))
-    best = min(scores, key=lambda t: t[0])[1]
-    return spec.fit(train, numeric, categorical, y, **best), best
+    best = None
+    if spec.preset:
+        best = boosted_grid_search(train, [spec], numeric, categorical, y, n_splits, {spec.name: cands}).get(spec.name)
+    elif cands:
+        try:
+            folds = _inner_folds(train, n_splits)
+            models = []
+            for tr, _ in folds:
+                pre = fit_preprocess(tr.where(F.col(y).isNotNull()), numeric, categorical)
+                models.append([spec.fit(tr, numeric, categorical, y, pre=pre, **params) for params in cands])
+            best = _best_candidate(cands, folds, models, y) if folds else None
+        except Exception as e:  # noqa: BLE001
+            warnings.warn(f"grid search of {spec.name} failed, it keeps its own settings: {type(e).__name__}: {e}", stacklevel=2)
+    return spec.fit(train, numeric, categorical, y, **(best or {})), best

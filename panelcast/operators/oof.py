@@ -6,6 +6,8 @@ every (series, fold) at once, partitioned by series, with no Python loop.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,71 +38,95 @@ def final_seasonal_naive(train: DataFrame, future: DataFrame, key_cols=C.KEY_COL
     return pred.select(*key_cols, "yearweek", out_col)
 
 
-def global_oof(train: DataFrame, folds: DataFrame, specs, numeric, categorical, id_cols, y: str = "count",
-               grid_search: bool = False, grid_splits: int = 3, parallelism: int = 4) -> DataFrame:
-    """CV-4: for every global model and fold, fit on the fold's training rows and predict its validation rows.
+@dataclass
+class GlobalFits:
+    """Fitted global models: per fold its validation rows, and per (model name, fold) the model; the fold of the refit on
+    all training rows is ``FINAL``."""
+
+    valid: dict
+    models: dict
+
+    def predictions(self, frames: dict, id_cols) -> DataFrame | None:
+        """Long predictions (id_cols, ``model_name``, ``y_pred``) of each fold's models on its frame, all models of a fold in one pass."""
+        out = None
+        for fold, df in frames.items():
+            mine = {name: m for (name, f), m in self.models.items() if f == fold}
+            if not mine:
+                continue
+            wide = df
+            for name, m in mine.items():
+                wide = m.predict(wide, f"_p_{name}")
+            made = F.explode(F.array(*(F.struct(F.lit(n).alias("model_name"), F.col(f"_p_{n}").cast("double").alias("y_pred")) for n in mine)))
+            long = wide.select(*id_cols, made.alias("_p")).select(*id_cols, "_p.model_name", "_p.y_pred")
+            out = long if out is None else out.unionByName(long)
+        return out
+
 
-    The (model, fold) fits are independent distributed jobs; like Spark ML's
-    tuning classes, up to ``parallelism`` of them are submitted concurrently
-    from driver threads. The output is long: id_cols + model_name + y_pred.
-    ``train`` should be materialised by the caller.
+FINAL = "final"
+
+
+def fit_globals(train: DataFrame, folds: DataFrame | None, specs, numeric, categorical, y: str = "count", grid_search: bool = False,
+                grid_splits: int = 3, final: bool = True, parallelism: int = 4) -> GlobalFits:
+    """CV-4 + MOD-10: every global model on every fold's training rows and (``final``) on all of them.
+
+    The boosted models of all folds and of the refit grow in lock step; the others
+    are independent fits, up to ``parallelism`` of them submitted at once from
+    driver threads. Preprocessing is fitted once per fold. ``train`` should be
+    materialised by the caller.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from panelcast.operators.models import ConstantModel, constant_target, fit_preprocess, fit_with_grid_search
+    from panelcast.operators.models import (ConstantModel, boosting_params, constant_target, fit_boosted, fit_preprocess,
+                                            fit_with_grid_search)
 
-    n_folds = folds.agg(F.max("fold")).first()[0]
     todo = [s for s in specs if s.scope == "global_panel" and s.enabled]
-    sides = {}
-    for i in range(0 if n_folds is None or not todo else n_folds + 1):
+    n_folds = folds.agg(F.max("fold")).first()[0] if folds is not None and todo else None
+    rows, valid = {}, {}
+    for i in range(0 if n_folds is None else n_folds + 1):
         f = folds.where(F.col("fold") == i)
-        tr = assign_folds(train, f, "train").drop("fold")
-        # what all models of a fold share is computed once: constant or not, and the preprocessing
+        rows[i], valid[i] = (assign_folds(train, f, role).drop("fold") for role in ("train", "valid"))
+    if final and todo:
+        rows[FINAL] = train
+    models, pres = {}, {}
+    for i, tr in rows.items():
         const = constant_target(tr, y)
-        pre = None if grid_search or const is not None else fit_preprocess(tr.where(F.col(y).isNotNull()), numeric, categorical)
-        sides[i] = tr, assign_folds(train, f, "valid").drop("fold"), const, pre
+        if const is not None:
+            models |= {(s.name, i): ConstantModel(const) for s in todo}
+        else:
+            # what all models of a fold share is fitted once
+            pres[i] = fit_preprocess(tr.where(F.col(y).isNotNull()), numeric, categorical)
+    boosted = [(s, i) for s in todo if s.preset for i in pres]
+    if boosted:
+        chosen = {}
+        if grid_search:
+            from panelcast.operators.models import boosted_grid_search
+
+            for i in pres:
+                best = boosted_grid_search(rows[i], [s for s in todo if s.preset], numeric, categorical, y, grid_splits)
+                chosen |= {(name, i): params for name, params in best.items()}
+        jobs = [(i, rows[i], pres[i], boosting_params(s.preset, **chosen.get((s.name, i), {}))) for s, i in boosted]
+        models |= {(s.name, i): m for (s, i), m in zip(boosted, fit_boosted(jobs, numeric, categorical, y))}
 
     def run(task):
         spec, i = task
-        tr, va, const, pre = sides[i]
-        if const is not None:
-            model = ConstantModel(const)
-        elif grid_search:
-            model, _ = fit_with_grid_search(spec, tr, numeric, categorical, y, grid_splits)
-        else:
-            model = spec.fit(tr, numeric, categorical, y, pre=pre)
-        return model.predict(va, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred")
+        if grid_search:
+            return fit_with_grid_search(spec, rows[i], numeric, categorical, y, grid_splits)[0]
+        return spec.fit(rows[i], numeric, categorical, y, pre=pres[i])
 
+    others = [(s, i) for s in todo if not s.preset for i in pres]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(run, [(spec, i) for spec in todo for i in sides]))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        models |= {(s.name, i): m for (s, i), m in zip(others, pool.map(run, others))}
+    return GlobalFits(valid, models)
+
+
+def global_oof(train: DataFrame, folds: DataFrame, specs, numeric, categorical, id_cols, y: str = "count",
+               grid_search: bool = False, grid_splits: int = 3) -> DataFrame | None:
+    """CV-4: every fold's models on its validation rows (long: id_cols + model_name + y_pred)."""
+    fits = fit_globals(train, folds, specs, numeric, categorical, y, grid_search, grid_splits, final=False)
+    return fits.predictions(fits.valid, id_cols)
 
 
 def final_global_predictions(train: DataFrame, future: DataFrame, specs, numeric, categorical, id_cols,
                              y: str = "count") -> DataFrame | None:
     """MOD-10 for global models: refit on all training rows, predict the future rows (long output)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from panelcast.operators.models import ConstantModel, constant_target, fit_preprocess
-
-    todo = [s for s in specs if s.scope == "global_panel" and s.enabled]
-    const = constant_target(train, y) if todo else None
-    pre = fit_preprocess(train.where(F.col(y).isNotNull()), numeric, categorical) if todo and const is None else None
-
-    def run(spec):
-        model = ConstantModel(const) if const is not None else spec.fit(train, numeric, categorical, y, pre=pre)
-        return model.predict(future, "y_pred").select(*id_cols, F.lit(spec.name).alias("model_name"), "y_pred")
-
-    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
-        parts = list(pool.map(run, todo))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return fit_globals(train, None, specs, numeric, categorical, y).predictions({FINAL: future}, id_cols)

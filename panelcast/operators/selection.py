@@ -6,7 +6,7 @@ keep/drop decision over a few tens of column names runs on the driver.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from panelcast import config as C
 from panelcast.functions.medians import exact_medians
 from panelcast.functions.metrics import finite
+from panelcast.operators.boosting import Params, fit_all
 
 
 @dataclass(frozen=True)
@@ -117,29 +118,28 @@ def filter_numeric_features(train: DataFrame, numeric_cols, missing_threshold: f
     return SelectionResult(keep, report)
 
 
+#: The model whose split counts rank the features.
+RANKING = Params(250, 0.05, "leaf", leaves=31, l2=0.0, min_rows=20, min_hessian=1e-3, rows=0.85, columns=0.85)
+
+
 def importance_topk(train: DataFrame, numeric_cols, target_col: str = "count", top_k: int = 60,
-                    max_iter: int = 250, seed: int = C.SEED) -> SelectionResult:
-    """SEL-3: filter, then a small boosted-tree model's importances; top k ∪ mandatory (ties by name)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+                    max_iter: int | None = None, seed: int = C.SEED) -> SelectionResult:
+    """SEL-3: filter, then how often a boosted model splits on each feature; top k ∪ mandatory (ties by name)."""
+    from panelcast.operators.models import Preprocessor, boosting_dataset
 
     filtered = filter_numeric_features(train, numeric_cols)
     cand = filtered.numeric_cols
-    if not cand:
-        return filtered
     data = train.where(F.col(target_col).isNotNull())
-    x = impute(data.select(*cand, F.col(target_col).cast("double").alias("_y")), column_medians(data, cand))
-    vec = VectorAssembler(inputCols=cand, outputCol="_f").transform(x)
-    gbt = GBTRegressor(featuresCol="_f", labelCol="_y", maxIter=max_iter, maxDepth=5, stepSize=0.05,
-                       subsamplingRate=0.85, featureSubsetStrategy="0.85", seed=seed)
-    imp = gbt.fit(vec).featureImportances.toArray()
-    ranked = sorted(zip(cand, imp), key=lambda t: (-t[1], t[0]))
+    if not cand or data.isEmpty():
+        return filtered
+    pre = Preprocessor(cand, [], column_medians(data, cand), {}, {})
+    booster = fit_all({0: boosting_dataset(data, pre, target_col)}, [(0, replace(RANKING, iterations=max_iter or RANKING.iterations))], seed)[0]
+    ranked = sorted(zip(cand, booster.split_counts().tolist()), key=lambda t: (-t[1], t[0]))
     mandatory = [c for c in cand if c in C.MANDATORY_NUMERIC_FEATURES]
     selected = list(dict.fromkeys(mandatory + [c for c, _ in ranked[:top_k]]))
-    spark = train.sparkSession
-    imp_df = spark.createDataFrame([(c, float(v)) for c, v in ranked], "feature string, importance double")
-    prof = profile_features(train, numeric_cols)
-    report = prof.join(imp_df, "feature", "left").select(
+    imp_df = train.sparkSession.createDataFrame([(c, float(v)) for c, v in ranked], "feature string, importance double")
+    prof = filtered.report.drop("selected", "selection_stage", "importance")
+    report = prof.join(F.broadcast(imp_df), "feature", "left").select(
         *prof.columns, F.coalesce("importance", F.lit(0.0)).alias("importance"),
         F.col("feature").isin(*selected).alias("selected"), F.lit("lgbm_topk").alias("selection_stage"),
     )

@@ -80,36 +80,39 @@ def prepare(inputs: TaskInputs, data_source: str, model_task: str, opts: RunOpti
     return cfg, feature, removed, PN.model_exog_columns(feature)
 
 
-def fit_oof(train: DataFrame, cfg, specs, numeric, categorical, opts: RunOptions):
-    """Base OOF prediction matrix (global models + seasonal naive), wide, one column per model."""
+def fit_models(train: DataFrame, cfg, specs, numeric, categorical, opts: RunOptions):
+    """The folds of a run, and its global models fitted on each fold and on all training rows, together."""
     folds = SP.fold_table(train.sparkSession, SP.rolling_splits(SP.distinct_weeks(train), cfg.folds.n_splits, cfg.folds.min_train_weeks))
     feats = categorical + numeric
-    glob = OO.global_oof(train.select(*ID, "count", *[c for c in feats if c not in ID]), folds, specs, numeric,
-                         categorical, ID, grid_search=opts.enable_grid_search, grid_splits=opts.grid_cv_splits)
-    parts = [glob] if glob is not None else []
+    rows = _persist(train.select(*ID, "count", *[c for c in feats if c not in ID]))
+    return folds, OO.fit_globals(rows, folds, specs, numeric, categorical, grid_search=opts.enable_grid_search,
+                                 grid_splits=opts.grid_cv_splits)
+
+
+def _with_naive(long: DataFrame | None, naive, specs) -> DataFrame:
+    """Long predictions of the global models and, if the pool has it, of the naive one."""
+    parts = [] if long is None else [long]
     if any(s.scope == "naive" for s in specs):
-        sn = OO.local_oof_seasonal_naive(train, folds, out_col="y_pred")
-        parts.append(sn.select(*ID, F.lit("seasonal_naive").alias("model_name"), "y_pred"))
-    long = parts[0]
+        parts.append(naive().select(*ID, F.lit("seasonal_naive").alias("model_name"), "y_pred"))
+    out = parts[0]
     for p in parts[1:]:
-        long = long.unionByName(p)
+        out = out.unionByName(p)
+    return out
+
+
+def oof_matrix(train: DataFrame, folds: DataFrame, fits: OO.GlobalFits, specs):
+    """Base OOF prediction matrix (global models + seasonal naive), wide, one column per model."""
+    long = _with_naive(fits.predictions(fits.valid, ID), lambda: OO.local_oof_seasonal_naive(train, folds, out_col="y_pred"), specs)
     names = [s.name for s in specs if s.scope == "global_panel"] + [s.name for s in specs if s.scope == "naive"]
     wide = long.groupBy(*ID).pivot("model_name", names).agg(F.first("y_pred"))
     matrix = train.select(*ID, F.col("count").alias("y_true")).join(wide, ID, "left")
     return _persist(matrix), names
 
 
-def final_base(train: DataFrame, future: DataFrame, specs, numeric, categorical, names) -> DataFrame:
-    """MOD-10 + MOD-11: refit every model on all training rows and predict the future rows (wide)."""
-    long = OO.final_global_predictions(train, future, specs, numeric, categorical, ID)
-    parts = [long] if long is not None else []
-    if any(s.scope == "naive" for s in specs):
-        sn = OO.final_seasonal_naive(train, future, out_col="y_pred")
-        parts.append(sn.select(*ID, F.lit("seasonal_naive").alias("model_name"), "y_pred"))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    wide = allp.groupBy(*ID).pivot("model_name", names).agg(F.first("y_pred"))
+def final_base(train: DataFrame, future: DataFrame, fits: OO.GlobalFits, specs, names) -> DataFrame:
+    """MOD-10 + MOD-11: the models refitted on all training rows on the future rows (wide)."""
+    long = _with_naive(fits.predictions({OO.FINAL: future}, ID), lambda: OO.final_seasonal_naive(train, future, out_col="y_pred"), specs)
+    wide = long.groupBy(*ID).pivot("model_name", names).agg(F.first("y_pred"))
     return future.select(*ID, "lead_week").join(wide, ID, "left")
 
 
@@ -217,12 +220,13 @@ def run_forecast(inputs: TaskInputs, data_source: str, model_task: str, base_dat
     meta_info = C.task_metadata(model_task)
     context = {"data_source": data_source, "model_task": model_task, "model_scope": meta_info["model_scope"],
                "prediction_type": "oof"}
-    matrix, names = fit_oof(train, cfg, specs, numeric, categorical, opts)
+    folds, fits = fit_models(train, cfg, specs, numeric, categorical, opts)
+    matrix, names = oof_matrix(train, folds, fits, specs)
     settings = run_settings(opts, cfg)
     metric, eval_type, meta, used = evaluate(matrix, names, opts.meta_model, cfg.folds.n_splits, context, opts.topk)
     metric = _persist(with_settings(metric, settings))
     compared = compare_meta_models(matrix, names, opts.compare, cfg.folds.n_splits, context, opts.topk) if opts.compare else None
-    fb = final_base(train, future, specs, numeric, categorical, names).select(*ID, "lead_week", *used)
+    fb = final_base(train, future, fits, specs, names).select(*ID, "lead_week", *used)
     fb = _persist(impute_predictions(fb, used))
     stacked_future = ST.predict_combiner(meta, fb, ID).withColumnRenamed("y_pred", "_stack")
     choice = EV.select_final_model(metric, opts.meta_model, eval_type).first()
@@ -312,14 +316,15 @@ def run_holdout(inputs: TaskInputs, data_source: str, model_task: str, base_date
     _, numeric_all, categorical = FE.feature_columns(train, exog)
     sel = select_features(train, numeric_all, cfg.features.select, cfg.features.top_k)
     numeric = sel.numeric_cols
+    if not numeric:
+        raise RuntimeError("feature selection left no numeric feature")
     specs = resolve_allowed_registry(model_task, opts.models or cfg.models)
     meta_info = C.task_metadata(model_task)
-    matrix, names = fit_oof(train, cfg, specs, numeric, categorical, opts)
-    from panelcast.operators.combine import drop_empty_models
-
-    used = drop_empty_models(matrix, names)
+    folds, fits = fit_models(train, cfg, specs, numeric, categorical, opts)
+    matrix, names = oof_matrix(train, folds, fits, specs)
+    used = usable_models(matrix, names)
     meta = ST.fit_combiner(matrix, used, opts.meta_model, topk=opts.topk)
-    fb = final_base(train, hf.withColumn("lead_week", F.col("_step")), specs, numeric, categorical, names)
+    fb = final_base(train, hf.withColumn("lead_week", F.col("_step")), fits, specs, names)
     fb = fb.drop("lead_week").join(hf.select(*ID, "lead_week"), ID).select(*ID, "lead_week", *used)
     fb = _persist(impute_predictions(fb, used))
     pred = ST.predict_combiner(meta, fb, ID)

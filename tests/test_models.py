@@ -38,7 +38,7 @@ def test_gbt_and_poisson(spark):
     g = fit_gbt(df, ["x1", "x2"], [], "count", "xgboost", max_iter=5)
     assert all(np.isfinite(r.y_pred) for r in g.predict(df).collect())
     pos = df.withColumn("count", F.round(F.exp(F.col("x1") * 0.5 + 1)))
-    p = fit_poisson_boost(pos, ["x1", "x2"], [], "count", "xgboost_poisson", max_iter=15, checkpoint_every=5)
+    p = fit_poisson_boost(pos, ["x1", "x2"], [], "count", "xgboost_poisson", max_iter=15)
     pred = p.predict(pos).select("count", "y_pred").collect()
     y = np.array([r["count"] for r in pred])
     mu = np.array([r.y_pred for r in pred])

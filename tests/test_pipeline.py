@@ -1,5 +1,7 @@
 """End-to-end invariants of the forecast run on the smallest driver tables."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from panelcast import config as C
@@ -43,7 +45,7 @@ def test_holdout_run_invariants(spark, monkeypatch):
     from panelcast.plans.forecast import run_holdout
 
     # the branch task always takes the Poisson models: few trees here, all of the run's steps
-    monkeypatch.setattr(models, "POISSON_PRESETS", {k: (6, d, s) for k, (_, d, s) in models.POISSON_PRESETS.items()})
+    monkeypatch.setattr(models, "POISSON_PRESETS", {k: replace(p, iterations=6) for k, p in models.POISSON_PRESETS.items()})
 
     out = run_holdout(K.task_inputs(spark, SF), TV.SRC_A, "nhi_ev_branch", TV.TEST_BASE_DATE, K.train_cut(spark, SF), 8,
                       K.run_options(meta_model="weighted_average"))

@@ -4,7 +4,7 @@ import inspect
 
 from panelcast import config as C
 from panelcast.operators import models as M
-from panelcast.operators.selection import importance_topk
+from panelcast.operators.selection import RANKING, importance_topk
 from panelcast.plans import catalog as K
 from panelcast.plans import forecast as P
 
@@ -43,6 +43,6 @@ def test_holdout_query_fits_the_branch_task_too(spark, monkeypatch):
 
 
 def test_preset_iterations():
-    assert {k: v[0] for k, v in M.GBT_PRESETS.items()} == {"xgboost": 350, "lightgbm": 450, "catboost": 350}
-    assert {k: v[0] for k, v in M.POISSON_PRESETS.items()} == {"xgboost_poisson": 500, "lightgbm_poisson": 700, "catboost_poisson": 500}
-    assert inspect.signature(importance_topk).parameters["max_iter"].default == 250
+    assert {k: v.iterations for k, v in M.GBT_PRESETS.items()} == {"xgboost": 350, "lightgbm": 450, "catboost": 350}
+    assert {k: v.iterations for k, v in M.POISSON_PRESETS.items()} == {"xgboost_poisson": 500, "lightgbm_poisson": 700, "catboost_poisson": 500}
+    assert RANKING.iterations == 250 and inspect.signature(importance_topk).parameters["max_iter"].default is None
