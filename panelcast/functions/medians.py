@@ -1,4 +1,4 @@
-"""Exact medians of many columns without one task that holds a column (AGG-11)."""
+"""Exact medians of many columns, by group, without one task that holds a column (AGG-11)."""
 
 from __future__ import annotations
 
@@ -11,43 +11,50 @@ from panelcast.functions.metrics import finite
 RANGES = 64
 
 
-def exact_medians(df: DataFrame, cols) -> dict:
-    """Median per column (NaN and infinite values ignored); None for a column without values.
+def grouped_medians(df: DataFrame, cols, group: str) -> dict:
+    """Median per value of ``group`` and column (NaN and infinite values ignored): {group: {column: median or None}}.
 
-    Values are counted per (column, value), pre-aggregated, and cut into ranges
-    at approximate quantiles. The ranges' totals (columns x ranges numbers) show
-    which range holds the middle ranks; only that range is put in order.
+    Values are counted per (group, column, value), pre-aggregated, and cut into
+    ranges at approximate quantiles (a table of groups x columns x ranges
+    numbers). The ranges' totals show which range holds the middle ranks; only
+    that range is put in order.
     """
     cols = list(dict.fromkeys(cols))
     if not cols:
-        return {}
-    wide = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in cols])
+        return {r[0]: {} for r in df.select(group).distinct().collect()}
+    wide = df.select(F.col(group).alias("_g"), *[finite(F.col(c).cast("double")).alias(c) for c in cols])
+    long = wide.unpivot(["_g"], cols, "feature", "v")
+    key = ["_g", "feature"]
+    counted = long.groupBy(*key, "v").agg(F.count(F.lit(1)).alias("n"))
     points = [i / RANGES for i in range(1, RANGES)]
-    cuts = wide.agg(*[F.percentile_approx(c, points, 10 * RANGES).alias(c) for c in cols]).first()
-    known = [c for c in cols if cuts[c] is not None]
-    out = dict.fromkeys(cols)
-    if not known:
-        return out
-    edges = F.create_map(*[x for c in known for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in sorted(set(cuts[c]))]))])
-    counted = (
-        wide.select(*known).unpivot([], known, "feature", "v").where(F.col("v").isNotNull())
-        .groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("range", F.size(F.filter(edges[F.col("feature")], lambda x: x <= F.col("v"))))
-    )
-    # ranks of each range: columns x ranges rows
-    by_column = Window.partitionBy("feature")
-    totals = counted.groupBy("feature", "range").agg(F.sum("n").alias("k")).select(
-        "feature", "range", (F.sum("k").over(by_column.orderBy("range")) - F.col("k")).alias("below"), "k",
+    cuts = long.groupBy(*key).agg(F.array_distinct(F.percentile_approx("v", points, 10 * RANGES)).alias("cuts"))
+    # groups and columns are parameters of a run, so the cuts are few
+    ranged = counted.where(F.col("v").isNotNull()).join(F.broadcast(cuts), key).select(
+        *key, "v", "n", F.size(F.filter("cuts", lambda x: x <= F.col("v"))).alias("range"))
+    by_column = Window.partitionBy(*key)
+    totals = ranged.groupBy(*key, "range").agg(F.sum("n").alias("k")).select(
+        *key, "range", (F.sum("k").over(by_column.orderBy("range")) - F.col("k")).alias("below"), "k",
         F.sum("k").over(by_column).alias("all"))
     totals = totals.withColumn("lo", F.floor((F.col("all") + 1) / 2)).withColumn("hi", F.floor(F.col("all") / 2) + 1)
     holds = [(F.col("below") < F.col(r)) & (F.col(r) <= F.col("below") + F.col("k")) for r in ("lo", "hi")]
-    pick = totals.where(holds[0] | holds[1]).select("feature", "range", "below", "lo", "hi")
-    inside = counted.join(F.broadcast(pick), ["feature", "range"])  # two rows per column at most
-    last = F.col("below") + F.sum("n").over(Window.partitionBy("feature", "range").orderBy("v"))
+    pick = totals.where(holds[0] | holds[1]).select(*key, "range", "below", "lo", "hi")
+    inside = ranged.join(F.broadcast(pick), [*key, "range"])  # two rows per group and column at most
+    last = F.col("below") + F.sum("n").over(Window.partitionBy(*key, "range").orderBy("v"))
     placed = inside.withColumn("last", last).withColumn("first", F.col("last") - F.col("n") + 1)
-    rows = placed.select("feature", *[
+    found = placed.select(*key, *[
         F.when((F.col("first") <= F.col(r)) & (F.col(r) <= F.col("last")), F.col("v")).alias(r) for r in ("lo", "hi")
-    ]).groupBy("feature").agg(F.max("lo").alias("lo"), F.max("hi").alias("hi")).collect()
-    for r in rows:
-        out[r["feature"]] = (r["lo"] + r["hi"]) / 2
+    ]).groupBy(*key).agg(((F.max("lo") + F.max("hi")) / 2).alias("median"))
+    # a column without values keeps its row
+    out: dict = {}
+    for r in cuts.select(*key).join(found, key, "left").collect():
+        out.setdefault(r["_g"], {})[r["feature"]] = r["median"]
     return out
+
+
+def exact_medians(df: DataFrame, cols) -> dict:
+    """Median per column (NaN and infinite values ignored); None for a column without values."""
+    cols = list(dict.fromkeys(cols))
+    if not cols:
+        return {}
+    got = grouped_medians(df.select(F.lit(0).alias("_one"), *cols), cols, "_one").get(0, {})
+    return {c: got.get(c) for c in cols}

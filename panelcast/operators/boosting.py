@@ -78,6 +78,7 @@ class Layout:
     code: np.ndarray = field(init=False)  # bin or level of a cell
     level: np.ndarray = field(init=False)  # whether a cell is a level
     feature: np.ndarray = field(init=False)  # feature of a cell: a numeric column, or one level
+    open: np.ndarray = field(init=False)  # whether a split may follow a cell
 
     def __post_init__(self):
         # one more code for levels that the fit has not seen
@@ -86,9 +87,9 @@ class Layout:
         self.column = np.repeat(np.arange(len(self.widths)), self.widths)
         self.code = np.arange(self.widths.sum()) - self.start[self.column]
         self.level = self.column >= len(self.edges)
-        self.feature = np.where(self.level, len(self.edges) + np.cumsum(self.level) - 1, self.column)
         # the last bin of a column has nothing to its right, an unseen level has no rows
         self.open = self.code < self.widths[self.column] - 1
+        self.feature = np.where(self.level, len(self.edges) + np.cumsum(self.level & self.open) - 1, self.column)
 
     @property
     def dtype(self):

@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast import config as C
-from panelcast.functions.medians import exact_medians
+from panelcast.functions.medians import grouped_medians
 from panelcast.functions.metrics import finite
 from panelcast.operators import boosting as BO
+from panelcast.operators import linear as LN
 
 
 # ---------------------------------------------------------------------------
@@ -29,30 +30,15 @@ from panelcast.operators import boosting as BO
 # ---------------------------------------------------------------------------
 @dataclass
 class Preprocessor:
+    """What a model's columns need: medians for gaps, means and population deviations, modes and levels."""
+
     numeric: list
     categorical: list
     medians: dict
     means: dict
     scales: dict
-    cat_model: object = None
-
-    def transform(self, df: DataFrame, out: str = "_features") -> DataFrame:
-        from pyspark.ml.feature import VectorAssembler
-
-        cols = []
-        for c in self.numeric:
-            filled = F.coalesce(finite(F.col(c).cast("double")), F.lit(self.medians.get(c) or 0.0))
-            cols.append(((filled - F.lit(self.means[c])) / F.lit(self.scales[c])).alias(f"_n_{c}"))
-        cats = [F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c])).alias(c) for c in self.categorical] \
-            if self.categorical else []
-        base = df.select("*", *cols) if not cats else df.select(*[x for x in df.columns if x not in self.categorical], *cats, *cols)
-        inputs = [f"_n_{c}" for c in self.numeric]
-        if self.cat_model is not None:
-            base = self.cat_model.transform(base)
-            inputs += [f"_oh_{c}" for c in self.categorical]
-        return VectorAssembler(inputCols=inputs, outputCol=out).transform(base)
-
     modes: dict = field(default_factory=dict)
+    levels: dict = field(default_factory=dict)
 
     def filled_numbers(self) -> list:
         """Numeric columns with their medians in the gaps."""
@@ -63,48 +49,65 @@ class Preprocessor:
         names = [F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c])) for c in self.categorical]
         return F.array(*self.filled_numbers()).cast("array<double>"), F.array(*names).cast("array<string>")
 
+    def transform(self, df: DataFrame, out: str = "_features") -> DataFrame:
+        """``df`` with the vector of scaled numbers and level indicators (an unknown level has none)."""
+        from pyspark.ml.functions import array_to_vector
+
+        parts = [F.array(*[(x - F.lit(self.means[c])) / F.lit(self.scales[c]) for c, x in zip(self.numeric, self.filled_numbers())]).cast("array<double>")]
+        for c in self.categorical:
+            name = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
+            known = F.array(*[F.lit(v) for v in self.levels[c]]).cast("array<string>")
+            parts.append(F.transform(known, lambda v, name=name: (v == name).cast("double")))
+        return df.select("*", array_to_vector(F.concat(*parts)).alias(out))
 
-def fit_preprocess(train: DataFrame, numeric_cols, categorical_cols) -> Preprocessor:
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
 
+def fit_preprocess_groups(rows: DataFrame, numeric_cols, categorical_cols, group: str) -> dict:
+    """MOD-1 for several groups of rows (folds) in one pass each for moments, medians and levels: {group: Preprocessor}."""
     numeric, categorical = list(numeric_cols), list(categorical_cols)
-    medians, means, scales = {}, {}, {}
-    if numeric:
-        # exact medians, and one pass for the moments of the present values; those of the
-        # imputed column follow from them (missing values sit at the median)
-        xs = [finite(F.col(c).cast("double")) for c in numeric]
-        row = train.agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.count(x).alias(f"k{i}") for i, x in enumerate(xs)],
-            *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
-            *[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(xs)],
-        ).first()
-        n = row["_n"] or 1
-        found = exact_medians(train, numeric)
+    xs = [finite(F.col(c).cast("double")) for c in numeric]
+    # moments of the present values; those of the filled column follow from them (gaps sit at the median)
+    moments = rows.groupBy(F.col(group).alias("_g")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count(x).alias(f"k{i}") for i, x in enumerate(xs)],
+        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
+        *[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(xs)],
+    ).collect()
+    found = grouped_medians(rows.select(group, *numeric), numeric, group) if numeric else {}
+    seen: dict = {}
+    if categorical:
+        names = rows.select(F.col(group).alias("_g"), *[F.col(c).cast("string").alias(c) for c in categorical])
+        for r in names.unpivot(["_g"], categorical, "column", "level").groupBy("_g", "column", "level").count().collect():
+            seen.setdefault((r["_g"], r["column"]), {})[r["level"]] = r["count"]
+    out = {}
+    for row in moments:
+        g, n = row["_g"], row["_n"] or 1
+        medians, means, scales, modes, levels = {}, {}, {}, {}, {}
         for i, c in enumerate(numeric):
-            med = found[c] if found[c] is not None else 0.0
+            med = found.get(g, {}).get(c)
+            med = 0.0 if med is None else med
             k, m, v = row[f"k{i}"], row[f"m{i}"] or 0.0, row[f"v{i}"] or 0.0
             mean = (k * m + (n - k) * med) / n
             # total variance = within present values + between present mean / median groups
             var = (k * (v + (m - mean) ** 2) + (n - k) * (med - mean) ** 2) / n
             medians[c], means[c] = med, mean
             scales[c] = math.sqrt(var) if var > 1e-24 else 1.0
-    modes, cat_model = {}, None
-    if categorical:
-        nulls = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in categorical]).first()
         for c in categorical:
-            modes[c] = ""
-            if nulls[c]:
-                # most frequent level (ties by value) fills missing categories
-                top = train.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), F.col(c)).first()
-                modes[c] = str(top[0]) if top else ""
-        filled_cat = train.select(*[F.coalesce(F.col(c).cast("string"), F.lit(modes[c])).alias(c) for c in categorical])
-        idx = StringIndexer(inputCols=categorical, outputCols=[f"_ix_{c}" for c in categorical], handleInvalid="keep")
-        ohe = OneHotEncoder(inputCols=[f"_ix_{c}" for c in categorical], outputCols=[f"_oh_{c}" for c in categorical],
-                            dropLast=True, handleInvalid="keep")
-        cat_model = Pipeline(stages=[idx, ohe]).fit(filled_cat)
-    return Preprocessor(numeric, categorical, medians, means, scales, cat_model, modes)
+            # most frequent first, ties by value; the first fills missing categories
+            count = seen.get((g, c), {})
+            levels[c] = sorted((v for v in count if v is not None), key=lambda v: (-count[v], v))
+            modes[c] = levels[c][0] if levels[c] else ""
+        out[g] = Preprocessor(numeric, categorical, medians, means, scales, modes, levels)
+    return out
+
+
+def fit_preprocess(train: DataFrame, numeric_cols, categorical_cols) -> Preprocessor:
+    """MOD-1: medians, moments, modes and levels of the training rows."""
+    numeric, categorical = list(numeric_cols), list(categorical_cols)
+    got = fit_preprocess_groups(train.select(F.lit(0).alias("_one"), *dict.fromkeys([*numeric, *categorical])), numeric, categorical, "_one")
+    if got:
+        return got[0]
+    zero, one = dict.fromkeys(numeric, 0.0), dict.fromkeys(numeric, 1.0)
+    return Preprocessor(numeric, categorical, zero, dict(zero), one, dict.fromkeys(categorical, ""), {c: [] for c in categorical})
 
 
 # ---------------------------------------------------------------------------
@@ -179,36 +182,77 @@ def constant_target(train: DataFrame, y: str) -> float | None:
 # ---------------------------------------------------------------------------
 # MOD-2..5: estimators
 # ---------------------------------------------------------------------------
-def _label_stats(train: DataFrame, y: str):
-    r = train.agg(F.count(F.col(y)).alias("n"), F.stddev_pop(F.col(y)).alias("s")).first()
-    return int(r["n"]), float(r["s"] or 0.0)
+def normal_equations(rows: DataFrame, pres: dict, members: dict, y: str, segment: str) -> dict:
+    """Normal equations of several groups of rows from one aggregation.
+
+    ``segment`` is a column of ``rows``; ``members`` tells which segments each group takes in.
+    """
+    first = next(iter(pres.values()))
+    levels = {c: sorted({v for p in pres.values() for v in p.levels[c]}) for c in first.categorical}
+    centre = rows.agg(F.avg(F.col(y).cast("double"))).first()[0] or 0.0
+    cols = LN.Columns(first.numeric, first.means, levels, centre)
+    sums = LN.sums_of_products(rows, cols, y, segment)
+    out = {}
+    for g, pre in pres.items():
+        mine = [sums[s] for s in members[g] if s in sums]
+        if mine:
+            out[g] = LN.equations(sum(mine), cols, pre)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# several groups of weeks (folds, the refit on all rows) at once
+# ---------------------------------------------------------------------------
+def _week_table(train: DataFrame, rows: list[tuple[int, int]], name: str) -> DataFrame:
+    """Training rows with the labels of their week (weeks x labels rows are broadcast, both bounded by the calendar)."""
+    return train.join(F.broadcast(train.sparkSession.createDataFrame(rows, f"yearweek int, {name} int")), "yearweek")
+
+
+def group_preprocess(train: DataFrame, groups: dict, numeric, categorical, y: str = "count") -> tuple[dict, dict]:
+    """Per group of weeks ({group number: weeks}): its preprocessing, and the value of a constant target (these two cover all groups)."""
+    rows = _week_table(train, [(int(w), g) for g, weeks in groups.items() for w in weeks], "_group")
+    fixed = {r["_group"]: r["value"] for r in constant_targets(rows, y, ["_group"]).where("is_constant").collect()}
+    fixed |= {g: 0.0 for g in groups if not groups[g]}
+    varying = [g for g in groups if g not in fixed]
+    if not varying:
+        return {}, fixed
+    wanted = rows.where(F.col(y).isNotNull() & F.col("_group").isin(*varying))
+    return fit_preprocess_groups(wanted, numeric, categorical, "_group"), fixed
+
+
+def group_equations(train: DataFrame, groups: dict, pres: dict, y: str = "count") -> dict:
+    """Normal equations of every group of weeks from one pass over the rows.
+
+    Weeks that the same groups take in are one segment: a group's sums are the sum of its segments'.
+    """
+    taken: dict = {}
+    for g in pres:
+        for w in groups[g]:
+            taken.setdefault(int(w), []).append(g)
+    kinds = {pattern: i for i, pattern in enumerate(sorted({tuple(v) for v in taken.values()}))}
+    rows = _week_table(train, [(w, kinds[tuple(v)]) for w, v in taken.items()], "_segment")
+    return normal_equations(rows, pres, {g: [i for pattern, i in kinds.items() if g in pattern] for g in pres}, y, "_segment")
 
 
 def fit_linear(train: DataFrame, numeric, categorical, y: str = "count", alpha: float = 1.0, l1_ratio: float = 0.0,
-               loss: str = "squaredError", epsilon: float = 1.35, pre: Preprocessor | None = None) -> SparkModel:
+               loss: str = "squaredError", epsilon: float = 1.35, pre: Preprocessor | None = None):
     """MOD-2 / MOD-3 (and the stacking estimators): penalised least squares on the preprocessed features.
 
-    The penalty is rescaled so Spark's objective (which scales the L2 part by
-    the label's std) matches ``||y - Xw||^2 / (2n) + a*l1*|w| + a*(1-l1)/2*|w|^2``
-    for elastic net and ``||y - Xw||^2 + a*|w|^2`` for ridge. The solver is Spark's choice: one pass for
-    the normal equations while the features allow it, iterations beyond.
+    Ridge minimises ``|y - Xw|^2 + alpha |w|^2``, elastic net (``l1_ratio`` above 0)
+    ``|y - Xw|^2 / 2n + alpha l1 |w|_1 + alpha (1 - l1) / 2 |w|^2``, both from one
+    aggregation of the sums of products (see ``operators.linear``) at every size;
+    Huber regression is Spark ML's.
     """
-    from pyspark.ml.regression import LinearRegression
-
     data = train.where(F.col(y).isNotNull()).withColumn("_y", F.col(y).cast("double"))
     pre = pre or fit_preprocess(data, numeric, categorical)
+    if loss != "huber":
+        eq = normal_equations(data.withColumn("_segment", F.lit(0)), {0: pre}, {0: [0]}, "_y", "_segment")[0]
+        return LN.LinearModel.of(pre, eq, eq.solve(alpha, l1_ratio))
+    from pyspark.ml.regression import LinearRegression
+
     x = pre.transform(data).select("_features", "_y").persist()
-    n, sd = _label_stats(x, "_y")
-    if loss == "huber":
-        lr = LinearRegression(loss="huber", epsilon=epsilon, regParam=alpha / max(n, 1), elasticNetParam=0.0,
-                              standardization=False, labelCol="_y", featuresCol="_features")
-    elif l1_ratio == 0.0:
-        lr = LinearRegression(regParam=alpha * sd / max(n, 1), elasticNetParam=0.0, standardization=False,
-                              solver="auto", maxIter=500, tol=1e-10, labelCol="_y", featuresCol="_features")
-    else:
-        lam = alpha * l1_ratio + alpha * (1 - l1_ratio) * sd
-        lr = LinearRegression(regParam=lam, elasticNetParam=(alpha * l1_ratio / lam) if lam > 0 else 0.0,
-                              standardization=False, solver="auto", maxIter=500, tol=1e-9, labelCol="_y", featuresCol="_features")
+    lr = LinearRegression(loss="huber", epsilon=epsilon, regParam=alpha / max(x.count(), 1), elasticNetParam=0.0,
+                          standardization=False, labelCol="_y", featuresCol="_features")
     model = lr.fit(x)
     x.unpersist()
     return SparkModel(pre, model)
@@ -244,7 +288,7 @@ def boosting_dataset(train: DataFrame, pre: Preprocessor, y: str = "count") -> B
     numbers = pre.filled_numbers()
     edges = BO.quantile_edges(data.select(*[x.alias(f"x{j}") for j, x in enumerate(numbers)]), [f"x{j}" for j in range(len(numbers))])
     n, mean, positive = data.agg(F.count(F.lit(1)), F.avg(target), F.avg(F.greatest(target, F.lit(0.0)))).first()
-    levels = [list(v) for v in pre.cat_model.stages[0].labelsArray] if pre.categorical else []
+    levels = [pre.levels[c] for c in pre.categorical]
     rows = data.select(*(c.alias(n_) for c, n_ in zip(pre.filled(), ("_numbers", "_names"))), target.alias("_y"), F.xxhash64(*key).alias("_key"))
     return BO.Dataset(rows, BO.Layout(edges, levels), n, mean or 0.0, positive or 0.0)
 
@@ -285,21 +329,24 @@ class ModelSpec:
     fit: Callable | None  # fit(train, numeric, categorical, y) -> model with predict()
     enabled: bool = True
     preset: str | None = None  # of a boosted model; these are fitted together
+    linear: dict | None = None  # penalties of a linear model; these come from the same sums
 
 
 def build_registry(model_task: str = "default") -> list[ModelSpec]:
     """MOD-8: the model pool of a task; iteration counts come from the presets and the grid alone."""
     ev = model_task in C.EV_TASKS
 
+    def linear(name, enabled=True, **penalty):
+        return ModelSpec(name, "global_panel", lambda tr, num, cat, y="count", **kw: fit_linear(tr, num, cat, y, **{**penalty, **kw}),
+                         enabled, linear=penalty)
+
     def boosted(preset):
         return ModelSpec(preset, "global_panel", lambda tr, num, cat, y="count", **kw: fit_gbt(tr, num, cat, y, preset, **kw), preset=preset)
 
     reg = [
         ModelSpec("seasonal_naive", "naive", None),
-        ModelSpec("ridge", "global_panel", lambda tr, num, cat, y="count", alpha=1.0, **kw: fit_linear(tr, num, cat, y, alpha, **kw)),
-        ModelSpec("elasticnet", "global_panel",
-                  lambda tr, num, cat, y="count", alpha=0.02, l1_ratio=0.15, **kw: fit_linear(tr, num, cat, y, alpha, l1_ratio, **kw),
-                  enabled=not ev),
+        linear("ridge", alpha=1.0),
+        linear("elasticnet", enabled=not ev, alpha=0.02, l1_ratio=0.15),
         *(boosted(preset) for preset in (*GBT_PRESETS, *POISSON_PRESETS)),
     ]
     if model_task == "rods_ev_national":
@@ -338,15 +385,11 @@ def grid_candidates(model_name: str) -> list[dict]:
     return combos if grid else []
 
 
-def _inner_folds(train: DataFrame, n_splits: int) -> list[tuple[DataFrame, DataFrame]]:
-    """CV-2: training and validation rows of the tuning folds."""
-    from panelcast.operators.splits import assign_folds, distinct_weeks, fold_table, inner_splits
+def _inner_folds(train: DataFrame, n_splits: int) -> list[tuple[list[int], DataFrame]]:
+    """CV-2: training weeks and validation rows of the tuning folds."""
+    from panelcast.operators.splits import distinct_weeks, inner_splits
 
-    splits = inner_splits(distinct_weeks(train), n_splits)
-    if not splits:
-        return []
-    folds = fold_table(train.sparkSession, splits)
-    return [tuple(assign_folds(train, folds.where(F.col("fold") == i), role).drop("fold") for role in ("train", "valid")) for i in range(len(splits))]
+    return [(tr, train.where(F.col("yearweek").isin(*va))) for tr, va in inner_splits(distinct_weeks(train), n_splits)]
 
 
 def _best_candidate(cands: list[dict], folds, models: list[list], y: str) -> dict:
@@ -362,22 +405,45 @@ def _best_candidate(cands: list[dict], folds, models: list[list], y: str) -> dic
     return cands[int(np.argmin(scores))]
 
 
-def boosted_grid_search(train: DataFrame, specs, numeric, categorical, y: str = "count", n_splits: int = 3,
-                        candidates: dict | None = None) -> dict[str, dict]:
-    """CV-3 for boosted models: all candidates of all models on all tuning folds grow in lock step; best parameters per model.
+def grid_search(train: DataFrame, specs, numeric, categorical, y: str = "count", n_splits: int = 3,
+                candidates: dict | None = None) -> dict[str, dict]:
+    """CV-3: best parameters per model, by sum|e|/sum|y| (0 when the denominator is 0) averaged over inner time folds.
 
-    Models without a grid are left out; without folds, or when the search fails, so are all (they are fitted as they are).
+    All candidates of all boosted models on all folds grow in lock step; those of
+    all linear models come from one aggregation of sums. Models without a grid are
+    left out; without folds, or when the search fails (a warning), so are all, and
+    they keep their own settings.
     """
-    grids = {s.name: c for s in specs if (c := (candidates or {}).get(s.name) or grid_candidates(s.name))}
-    folds = _inner_folds(train, n_splits) if grids else []
-    if not folds:
-        return {}
-    presets = {s.name: s.preset for s in specs}
+    grids = {s.name: c for s in specs if (s.preset or s.linear is not None) and (c := (candidates or {}).get(s.name) or grid_candidates(s.name))}
+    by_name = {s.name: s for s in specs}
     try:
-        jobs = [(i, tr, None, boosting_params(presets[name], **c)) for i, (tr, _) in enumerate(folds) for name, cands in grids.items() for c in cands]
-        made = iter(fit_boosted(jobs, numeric, categorical, y))
-        by_fold = [{name: [next(made) for _ in cands] for name, cands in grids.items()} for _ in folds]
-        return {name: _best_candidate(cands, folds, [f[name] for f in by_fold], y) for name, cands in grids.items()}
+        folds = _inner_folds(train, n_splits) if grids else []
+        if not folds:
+            return {}
+        groups = {i: weeks for i, (weeks, _) in enumerate(folds)}
+        pres, fixed = group_preprocess(train, groups, numeric, categorical, y)
+        made = {(name, i): [ConstantModel(v) for _ in grids[name]] for name in grids for i, v in fixed.items()}
+        jobs, owner = [], []
+        for i in pres:
+            rows = train.where(F.col("yearweek").isin(*groups[i]))
+            for name, cands in grids.items():
+                if by_name[name].preset:
+                    jobs += [(i, rows, pres[i], boosting_params(by_name[name].preset, **c)) for c in cands]
+                    owner += [(name, i)] * len(cands)
+        for key, m in zip(owner, fit_boosted(jobs, numeric, categorical, y)):
+            made.setdefault(key, []).append(m)
+        linear = [name for name in grids if not by_name[name].preset]
+        eqs = group_equations(train, groups, pres, y) if linear else {}
+        for i, eq in eqs.items():
+            for name in linear:
+                start, out = None, {}
+                # from the strongest penalty to the weakest, each from the solution before
+                penalties = [{**by_name[name].linear, **c} for c in grids[name]]
+                for k in sorted(range(len(penalties)), key=lambda k: (penalties[k].get("l1_ratio", 0.0), -penalties[k]["alpha"])):
+                    start = eq.solve(penalties[k]["alpha"], penalties[k].get("l1_ratio", 0.0), start)
+                    out[k] = LN.LinearModel.of(pres[i], eq, start)
+                made[name, i] = [out[k] for k in range(len(penalties))]
+        return {name: _best_candidate(cands, folds, [made[name, i] for i in range(len(folds))], y) for name, cands in grids.items()}
     except Exception as e:  # noqa: BLE001
         warnings.warn(f"grid search failed, the models keep their own settings: {type(e).__name__}: {e}", stacklevel=2)
         return {}
@@ -385,27 +451,10 @@ def boosted_grid_search(train: DataFrame, specs, numeric, categorical, y: str =
 
 def fit_with_grid_search(spec: ModelSpec, train: DataFrame, numeric, categorical, y: str = "count",
                          n_splits: int = 3, candidates: list[dict] | None = None):
-    """CV-3: score each candidate on inner time folds by sum|e|/sum|y| (0 when the denominator is 0), refit the best.
-
-    A fold is preprocessed once for all candidates and scored in one pass. Falls
-    back to a plain fit without a grid or fold, or when the search fails (with a
-    warning); a constant target gets a constant model.
-    """
+    """CV-3 + MOD-7 for one model: its best candidate (None: its own settings) fitted on all rows; a constant target gets a
+    constant model."""
     const = constant_target(train, y)
     if const is not None:
         return ConstantModel(const), None
-    cands = grid_candidates(spec.name) if candidates is None else candidates
-    best = None
-    if spec.preset:
-        best = boosted_grid_search(train, [spec], numeric, categorical, y, n_splits, {spec.name: cands}).get(spec.name)
-    elif cands:
-        try:
-            folds = _inner_folds(train, n_splits)
-            models = []
-            for tr, _ in folds:
-                pre = fit_preprocess(tr.where(F.col(y).isNotNull()), numeric, categorical)
-                models.append([spec.fit(tr, numeric, categorical, y, pre=pre, **params) for params in cands])
-            best = _best_candidate(cands, folds, models, y) if folds else None
-        except Exception as e:  # noqa: BLE001
-            warnings.warn(f"grid search of {spec.name} failed, it keeps its own settings: {type(e).__name__}: {e}", stacklevel=2)
+    best = grid_search(train, [spec], numeric, categorical, y, n_splits, {spec.name: candidates} if candidates else None).get(spec.name)
     return spec.fit(train, numeric, categorical, y, **(best or {})), best

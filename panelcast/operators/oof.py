@@ -62,60 +62,48 @@ class GlobalFits:
         return out
 
 
-FINAL = "final"
+#: The group of weeks that is all training rows.
+FINAL = -1
 
 
 def fit_globals(train: DataFrame, folds: DataFrame | None, specs, numeric, categorical, y: str = "count", grid_search: bool = False,
-                grid_splits: int = 3, final: bool = True, parallelism: int = 4) -> GlobalFits:
+                grid_splits: int = 3, final: bool = True) -> GlobalFits:
     """CV-4 + MOD-10: every global model on every fold's training rows and (``final``) on all of them.
 
-    The boosted models of all folds and of the refit grow in lock step; the others
-    are independent fits, up to ``parallelism`` of them submitted at once from
-    driver threads. Preprocessing is fitted once per fold. ``train`` should be
-    materialised by the caller.
+    Preprocessing of all folds takes one pass for moments, medians and levels each;
+    the boosted models of all folds and the refit grow in lock step; the linear ones
+    come from one aggregation. ``train`` should be materialised by the caller.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from panelcast.operators.models import (ConstantModel, boosting_params, constant_target, fit_boosted, fit_preprocess,
-                                            fit_with_grid_search)
+    from panelcast.operators import linear as LN
+    from panelcast.operators import models as MD
+    from panelcast.operators.splits import distinct_weeks
 
     todo = [s for s in specs if s.scope == "global_panel" and s.enabled]
-    n_folds = folds.agg(F.max("fold")).first()[0] if folds is not None and todo else None
-    rows, valid = {}, {}
-    for i in range(0 if n_folds is None else n_folds + 1):
-        f = folds.where(F.col("fold") == i)
-        rows[i], valid[i] = (assign_folds(train, f, role).drop("fold") for role in ("train", "valid"))
+    groups: dict = {}
+    weeks: dict = {}
+    for r in folds.collect() if folds is not None and todo else []:
+        (groups if r["role"] == "train" else weeks).setdefault(r["fold"], []).append(r["yearweek"])
+    valid = {i: train.where(F.col("yearweek").isin(*w)) for i, w in weeks.items()}
     if final and todo:
-        rows[FINAL] = train
-    models, pres = {}, {}
-    for i, tr in rows.items():
-        const = constant_target(tr, y)
-        if const is not None:
-            models |= {(s.name, i): ConstantModel(const) for s in todo}
-        else:
-            # what all models of a fold share is fitted once
-            pres[i] = fit_preprocess(tr.where(F.col(y).isNotNull()), numeric, categorical)
+        groups[FINAL] = distinct_weeks(train)
+    if not groups:
+        return GlobalFits(valid, {})
+    pres, fixed = MD.group_preprocess(train, groups, numeric, categorical, y)
+    models = {(s.name, i): MD.ConstantModel(v) for s in todo for i, v in fixed.items()}
+    rows = {i: train if i == FINAL else train.where(F.col("yearweek").isin(*groups[i])) for i in pres}
+    chosen = {(name, i): params for i in rows for name, params in MD.grid_search(rows[i], todo, numeric, categorical, y, grid_splits).items()} \
+        if grid_search else {}
     boosted = [(s, i) for s in todo if s.preset for i in pres]
-    if boosted:
-        chosen = {}
-        if grid_search:
-            from panelcast.operators.models import boosted_grid_search
-
-            for i in pres:
-                best = boosted_grid_search(rows[i], [s for s in todo if s.preset], numeric, categorical, y, grid_splits)
-                chosen |= {(name, i): params for name, params in best.items()}
-        jobs = [(i, rows[i], pres[i], boosting_params(s.preset, **chosen.get((s.name, i), {}))) for s, i in boosted]
-        models |= {(s.name, i): m for (s, i), m in zip(boosted, fit_boosted(jobs, numeric, categorical, y))}
-
-    def run(task):
-        spec, i = task
-        if grid_search:
-            return fit_with_grid_search(spec, rows[i], numeric, categorical, y, grid_splits)[0]
-        return spec.fit(rows[i], numeric, categorical, y, pre=pres[i])
-
-    others = [(s, i) for s in todo if not s.preset for i in pres]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        models |= {(s.name, i): m for (s, i), m in zip(others, pool.map(run, others))}
+    jobs = [(i, rows[i], pres[i], MD.boosting_params(s.preset, **chosen.get((s.name, i), {}))) for s, i in boosted]
+    models |= {(s.name, i): m for (s, i), m in zip(boosted, MD.fit_boosted(jobs, numeric, categorical, y))}
+    linear = [s for s in todo if s.linear is not None]
+    eqs = MD.group_equations(train, groups, pres, y) if linear and pres else {}
+    for s in linear:
+        for i, eq in eqs.items():
+            models[s.name, i] = LN.LinearModel.of(pres[i], eq, eq.solve(**{**s.linear, **chosen.get((s.name, i), {})}))
+    for s in todo:
+        for i in rows if not s.preset and s.linear is None else ():
+            models[s.name, i] = s.fit(rows[i], numeric, categorical, y, pre=pres[i])
     return GlobalFits(valid, models)
 
 

@@ -18,7 +18,12 @@ from panelcast.functions.medians import exact_medians
 from panelcast.functions.metrics import finite
 from panelcast.operators import combine as CB
 from panelcast.operators import splits as SP
-from panelcast.operators.models import fit_linear
+from panelcast.operators.linear import LinearModel
+from panelcast.operators.models import ConstantModel, fit_linear, group_equations, group_preprocess
+
+
+#: Penalties of the combiners that are solved from sums of products.
+PENALTIES = {"ridge": {"alpha": 1.0}, "elasticnet": {"alpha": 0.01, "l1_ratio": 0.25}, "lasso": {"alpha": 0.01, "l1_ratio": 1.0}}
 
 
 @dataclass
@@ -88,12 +93,8 @@ def fit_combiner(matrix: DataFrame, model_cols, method: str, y: str = "y_true",
         long = CB.melt(fit, [y], model_cols).withColumnRenamed(y, "y_true")
         return MetaModel(m, list(model_cols), CB.rule_weights(long, m, topk))
     data = fit.select(*[finite(c).alias(c) for c in model_cols], F.col(y).cast("double").alias("_y"))
-    if m == "ridge":
-        model = fit_linear(data, model_cols, [], "_y", alpha=1.0)
-    elif m == "elasticnet":
-        model = fit_linear(data, model_cols, [], "_y", alpha=0.01, l1_ratio=0.25)
-    elif m == "lasso":
-        model = fit_linear(data, model_cols, [], "_y", alpha=0.01, l1_ratio=1.0)
+    if m in PENALTIES:
+        model = fit_linear(data, model_cols, [], "_y", **PENALTIES[m])
     elif m == "huber":
         model = fit_linear(data, model_cols, [], "_y", alpha=1e-4, loss="huber", epsilon=1.35)
     elif m == "nonnegative_linear":
@@ -103,6 +104,14 @@ def fit_combiner(matrix: DataFrame, model_cols, method: str, y: str = "y_true",
     return MetaModel(m, list(model_cols), model)
 
 
+def gap_medians(df: DataFrame, cols) -> dict:
+    """Medians of the columns with gaps (None for the others, which need none); one count finds the gaps."""
+    cols = list(cols)
+    gaps = df.agg(*[F.count_if(finite(F.col(c).cast("double")).isNull()).alias(c) for c in cols]).first() if cols else {}
+    missing = [c for c in cols if gaps[c]]
+    return dict.fromkeys(cols) | exact_medians(df, missing)
+
+
 def predict_combiner(meta: MetaModel, matrix: DataFrame, id_cols) -> DataFrame:
     """COM-5 / COM-11: align columns, impute median then 0 over the predicted batch, predict, clip at 0."""
     for c in meta.cols:
@@ -110,12 +119,22 @@ def predict_combiner(meta: MetaModel, matrix: DataFrame, id_cols) -> DataFrame:
             matrix = matrix.withColumn(c, F.lit(None).cast("double"))
     if isinstance(meta.model, DataFrame):
         return CB.apply_weights(matrix, meta.model, meta.cols, id_cols)
-    med = exact_medians(matrix, meta.cols)
+    med = gap_medians(matrix, meta.cols)
     filled = matrix.select(*id_cols, *[F.coalesce(finite(c), F.lit(med[c]), F.lit(0.0)).alias(c) for c in meta.cols])
     out = meta.model.predict(filled, "y_pred")
     return out.select(*id_cols, F.greatest(F.col("y_pred"), F.lit(0.0)).alias("y_pred"))
 
 
+def _fold_metas(valid: DataFrame, model_cols, method: str, y: str, weeks: list[list[int]]) -> dict:
+    """Regression combiners of all folds from one aggregation: {fold: MetaModel}."""
+    data = valid.select("yearweek", *[finite(c).alias(c) for c in model_cols], F.col(y).cast("double").alias("_y"))
+    groups = dict(enumerate(weeks))
+    pres, fixed = group_preprocess(data, groups, model_cols, [], "_y")
+    eqs = group_equations(data, groups, pres, "_y")
+    out = {i: MetaModel(method, list(model_cols), LinearModel.of(pres[i], eq, eq.solve(**PENALTIES[method]))) for i, eq in eqs.items()}
+    return out | {i: MetaModel(method, list(model_cols), ConstantModel(v)) for i, v in fixed.items() if weeks[i]}
+
+
 def meta_oof(matrix: DataFrame, model_cols, method: str, id_cols, n_splits: int, y: str = "y_true",
              topk: int | None = None) -> tuple[DataFrame, str]:
     """CV-6 / CV-7: honest rolling OOF of a combiner over the stack-valid rows; falls back to in-sample."""
@@ -128,14 +147,12 @@ def meta_oof(matrix: DataFrame, model_cols, method: str, id_cols, n_splits: int,
     except RuntimeError:
         splits = []
     parts, failed = [], []
-    folds = SP.fold_table(matrix.sparkSession, splits) if splits else None
-    for i in range(len(splits)):
-        f = folds.where(F.col("fold") == i)
-        tr = SP.assign_folds(valid, f, "train").drop("fold")
-        va = SP.assign_folds(valid, f, "valid").drop("fold")
+    fitted = _fold_metas(valid, model_cols, m, y, [tr for tr, _ in splits]) if splits and m in PENALTIES else {}
+    for i, (tr, va) in enumerate(splits):
         try:
-            parts.append(predict_combiner(fit_combiner(tr, model_cols, m, y, topk), va, id_cols))
-        except (RuntimeError, ValueError):
+            meta = fitted[i] if m in PENALTIES else fit_combiner(valid.where(F.col("yearweek").isin(*tr)), model_cols, m, y, topk)
+            parts.append(predict_combiner(meta, valid.where(F.col("yearweek").isin(*va)), id_cols))
+        except (RuntimeError, ValueError, KeyError):
             failed.append(i)  # stays without prediction; the evaluation's name says so
     if parts:
         out = parts[0]
@@ -154,6 +171,8 @@ def combiner_weights(meta: MetaModel) -> DataFrame | None:
         return CB.extract_weights(meta.model, meta.method)
     if isinstance(meta.model, NNLSModel):
         coef = [float(w) for w in meta.model.coef]
+    elif isinstance(meta.model, LinearModel):
+        coef = [float(w) for w in meta.model.coef]
     elif hasattr(meta.model, "model"):
         coef = [float(w) for w in meta.model.model.coefficients.toArray()]
     else:

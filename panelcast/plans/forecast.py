@@ -118,10 +118,9 @@ def final_base(train: DataFrame, future: DataFrame, fits: OO.GlobalFits, specs,
 
 def impute_predictions(df: DataFrame, model_cols) -> DataFrame:
     """MOD-11: a missing base prediction takes its column's median over the batch, then 0."""
-    from panelcast.functions.medians import exact_medians
     from panelcast.functions.metrics import finite
 
-    med = exact_medians(df, model_cols)
+    med = ST.gap_medians(df, model_cols)
     return df.select(*[F.coalesce(finite(c), F.lit(med[c]), F.lit(0.0)).alias(c) if c in model_cols else F.col(c)
                        for c in df.columns])
 
