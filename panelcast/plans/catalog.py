@@ -786,12 +786,17 @@ def holdout_run_a(spark, sf) -> dict:
         run_options(meta_model="weighted_average")))
 
 
-@register("pan_07_forecast_run")
-def q_pan_07(spark, sf):
-    """The run mode's own pool; boosted models at the iterations of their presets."""
+def full_run_a(spark, sf) -> dict[str, DataFrame]:
+    """One forecast run per session with the run mode's own pool; boosted models at the iterations of their presets."""
     from panelcast.plans.forecast import run_forecast
 
-    return run_forecast(task_inputs(spark, sf), TV.SRC_A, RUN_TASK, BASE, run_options(models=None))["forecast"]
+    return materialized(spark, sf, "full_run", lambda: run_forecast(
+        task_inputs(spark, sf), TV.SRC_A, RUN_TASK, BASE, run_options(models=None)))
+
+
+@register("pan_07_forecast_run")
+def q_pan_07(spark, sf):
+    return full_run_a(spark, sf)["forecast"]
 
 
 #: The tasks of the back-test: the branch task takes the Poisson models and the importance selection.
@@ -837,6 +842,41 @@ def q_rep_03(spark, sf):
     return forecast_run_a(spark, sf)["forecast"].drop("forecast_count", "forecast_count_rounded", "model_name", "model_layer")
 
 
+@register("pan_07_base_prediction_rows", _ft_sql(
+    f"""SELECT {Q.KEY}, yearweek, lead_week, m.base_model, {_RUN_FLAGS}, 'smoke' AS run_mode, 'base' AS feature_set
+        FROM frk, (VALUES ('seasonal_naive'), ('ridge'), ('lightgbm')) m(base_model)""", {**SQL_TASK_HIST, **SQL_TASK_FUTURE}))
+def q_pan_07_rows(spark, sf):
+    """Rows, flags and settings of the run with the run mode's own pool: one per future row and model of the pool."""
+    return full_run_a(spark, sf)["base_prediction"].drop("forecast_count")
+
+
+#: Features of the report whose profile the twin repeats; the run's report holds more.
+REPORT_COLS = ["lag_1", "lag_2", "lag_4", "lag_8", "roll4_mean", "roll8_mean", "roll4_std", "roll8_std", "source_total_count_lag_1",
+               "disease_rate_lag_1", "airtemperature_avg", "rain_days", "cnt", "voc"]
+
+
+def _sql_feature_report() -> str:
+    d = {**SQL_TASK_HIST}
+    d["trb"] = f"""SELECT * FROM (SELECT *, {', '.join(Q.feature_exprs('base'))} FROM th) WHERE lag_1 IS NOT NULL AND count IS NOT NULL"""
+    num = " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, 'numeric' AS feature_type, 'filter' AS selection_stage,
+                   round(avg(CASE WHEN {c} IS NULL OR isnan(CAST({c} AS DOUBLE)) THEN 1.0 ELSE 0.0 END), 5) AS missing_rate,
+                   round(avg(CAST({c} AS DOUBLE)), 5) AS mean, round(min(CAST({c} AS DOUBLE)), 5) AS min, round(max(CAST({c} AS DOUBLE)), 5) AS max
+            FROM trb""" for c in REPORT_COLS)
+    cat = " UNION ALL ".join(
+        f"""SELECT '{c}', 'categorical', 'categorical', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)"""
+        for c in C.CATEGORICAL_COLS)
+    return _ft_sql(f"SELECT *, '{TV.SRC_A}' AS data_source, '{RUN_TASK}' AS model_task FROM ({num} UNION ALL {cat})", d)
+
+
+@register("rep_04_feature_report", _sql_feature_report())
+def q_rep_04_report(spark, sf):
+    """SET-9: the run's feature report, numeric and categorical rows."""
+    report = forecast_run_a(spark, sf)["feature_report"]
+    rows = report.where((F.col("feature_type") == "categorical") | F.col("feature").isin(*REPORT_COLS))
+    return round_doubles(rows.select("feature", "feature_type", "selection_stage", "missing_rate", "mean", "min", "max", "data_source", "model_task"), 5)
+
+
 @register("rep_04_base_prediction_rows", _ft_sql(
     f"""SELECT {Q.KEY}, yearweek, lead_week, m.base_model, {_RUN_FLAGS}, 'smoke' AS run_mode, 'base' AS feature_set
         FROM frk, (VALUES ('seasonal_naive'), ('ridge'), ('elasticnet')) m(base_model)""", {**SQL_TASK_HIST, **SQL_TASK_FUTURE}))
@@ -970,6 +1010,29 @@ def q_agg_11(spark, sf):
     return round_doubles(row)
 
 
+STD_COLS = ["roll4_std", "roll8_std"]
+
+
+@register("agg_11_all_feature_medians", _ft_sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(median(CAST({c} AS DOUBLE)), 6) AS median FROM trb" for c in [*PROFILE_COLS, *STD_COLS]), _sql_train_base()))
+def q_agg_11_all(spark, sf):
+    from panelcast.operators.selection import column_medians
+
+    med = column_medians(train_a(spark, sf), [*PROFILE_COLS, *STD_COLS])
+    return round_doubles(spark.createDataFrame(list(med.items()), "feature string, median double"))
+
+
+@register("agg_09_rolling_std_profile", _ft_sql(" UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, 'double' AS dtype, round(avg(CASE WHEN {c} IS NULL OR isnan({c}) THEN 1.0 ELSE 0.0 END), 5) AS missing_rate,
+               round(avg({c}), 5) AS mean, round(stddev_samp({c}), 5) AS std, round(min({c}), 5) AS min, round(max({c}), 5) AS max FROM trb"""
+    for c in STD_COLS), _sql_train_base()))
+def q_agg_09_std(spark, sf):
+    """Without the two columns that count exact values, which differ by rounding between engines."""
+    from panelcast.operators.selection import profile_features
+
+    return round_doubles(profile_features(train_a(spark, sf), STD_COLS).drop("zero_rate", "n_unique"), 5)
+
+
 @register("agg_14_constant_series", _ft_sql(
     f"""SELECT {Q.KEY}, count(DISTINCT count) <= 1 AS is_constant,
                CASE WHEN count(DISTINCT count) <= 1 THEN round(coalesce(max(count), 0.0), 6) END AS value FROM th GROUP BY ALL""",
@@ -1025,11 +1088,121 @@ def q_mod_02(spark, sf):
     n = train.count()
     rows = []
     for name, (alpha, l1) in LINEAR_FITS.items():
-        m = fit_linear(train, ["lag_1"], [], "count", alpha, l1).model
-        rows.append((name, n, float(m.coefficients[0]), float(m.intercept)))
+        m = fit_linear(train, ["lag_1"], [], "count", alpha, l1)
+        rows.append((name, n, float(m.coef[0]), float(m.intercept)))
     return round_doubles(spark.createDataFrame(rows, "model string, n long, slope double, intercept double"), 4)
 
 
+def _ridge_two_sql(src: str, folds: str, y: str, alpha: float) -> dict:
+    """Ridge on lag_1 and roll4_mean per group of weeks in closed form: coefficients on the standardised columns."""
+    return {
+        "r2s": f"""SELECT f.fold, count(*) AS n, avg(lag_1) AS m1, stddev_pop(lag_1) AS s1, avg(roll4_mean) AS m2, stddev_pop(roll4_mean) AS s2,
+                          avg({y}) AS my FROM {src} t JOIN {folds} f ON f.yearweek = t.yearweek AND f.role = 'train' GROUP BY f.fold""",
+        "r2z": f"""SELECT f.fold, (lag_1 - m1) / s1 AS z1, (roll4_mean - m2) / s2 AS z2, {y} - my AS yc
+                   FROM {src} t JOIN {folds} f ON f.yearweek = t.yearweek AND f.role = 'train' JOIN r2s ON r2s.fold = f.fold""",
+        "r2g": f"""SELECT fold, sum(z1 * z1) + {alpha} AS a11, sum(z1 * z2) AS a12, sum(z2 * z2) + {alpha} AS a22, sum(z1 * yc) AS b1, sum(z2 * yc) AS b2
+                   FROM r2z GROUP BY fold""",
+        "r2w": """SELECT r2s.*, (b1 * a22 - b2 * a12) / (a11 * a22 - a12 * a12) AS w1, (b2 * a11 - b1 * a12) / (a11 * a22 - a12 * a12) AS w2
+                  FROM r2g JOIN r2s USING (fold)""",
+    }
+
+
+def _sql_ridge_groups() -> str:
+    d = _sql_train_base()
+    d.update(Q.rolling_fold_ctes("trb", OOF_SPLITS, OOF_MIN_TRAIN, "gcut"))
+    d["gfolds"] = "SELECT fold, yearweek, role FROM gcut UNION ALL SELECT DISTINCT -1, yearweek, 'train' FROM trb"
+    d["gfolds"] = "SELECT CAST(fold AS INTEGER) AS fold, yearweek, role FROM (" + d["gfolds"] + ")"
+    d.update(_ridge_two_sql("trb", "gfolds", "count", 1.0))
+    return _ft_sql("SELECT fold, n, round(w1, 4) AS lag_1, round(w2, 4) AS roll4_mean, round(my, 4) AS intercept FROM r2w", d)
+
+
+@register("mod_02_ridge_two_features_by_fold", _sql_ridge_groups())
+def q_mod_02_groups(spark, sf):
+    """Ridge of every fold and of all rows (fold -1) from one aggregation of sums per segment of weeks."""
+    from panelcast.operators.linear import LinearModel
+    from panelcast.operators.models import group_equations, group_preprocess
+
+    train = train_a(spark, sf)
+    weeks = SP.distinct_weeks(train)
+    groups = {i: tr for i, (tr, _) in enumerate(SP.rolling_splits(weeks, OOF_SPLITS, OOF_MIN_TRAIN))} | {-1: weeks}
+    pres, _ = group_preprocess(train, groups, ["lag_1", "roll4_mean"], [])
+    rows = []
+    for g, eq in group_equations(train, groups, pres).items():
+        m = LinearModel.of(pres[g], eq, eq.solve(1.0))
+        rows.append((g, int(eq.n), float(m.coef[0]), float(m.coef[1]), m.intercept))
+    return round_doubles(spark.createDataFrame(rows, "fold int, n long, lag_1 double, roll4_mean double, intercept double"), 4)
+
+
+def _sql_ridge_meta() -> str:
+    d = _sql_oof_matrix()
+    d["sv2"] = "SELECT * FROM mx WHERE y_true IS NOT NULL AND lag_1 IS NOT NULL AND roll4_mean IS NOT NULL"
+    d.update(Q.rolling_fold_ctes("sv2", 2, 12, "mf2"))
+    d.update(_ridge_two_sql("sv2", "mf2", "y_true", 1.0))
+    return _ft_sql(f"""SELECT data_source, disease, county, t.yearweek,
+                              round(greatest(my + w1 * (lag_1 - m1) / s1 + w2 * (roll4_mean - m2) / s2, 0.0), 4) AS y_pred
+                       FROM sv2 t JOIN mf2 f ON f.yearweek = t.yearweek AND f.role = 'valid' JOIN r2w ON r2w.fold = f.fold""", d)
+
+
+@register("cv_06_ridge_rolling_meta_oof", _sql_ridge_meta())
+def q_cv_06_ridge(spark, sf):
+    """Rolling evaluation of a regression combiner (COM-6): its out-of-fold predictions."""
+    from panelcast.operators.stacking import meta_oof
+
+    pred, kind = meta_oof(oof_matrix_a(spark, sf), ["lag_1", "roll4_mean"], "ridge", [*C.KEY_COLS, "yearweek"], OOF_SPLITS)
+    if kind != "rolling_meta_oof":
+        raise RuntimeError(kind)
+    return round_doubles(pred, 4)
+
+
+#: Pairs of columns for the non-negative fit; with the negated one the constraint is active.
+NNLS_PAIRS = (("lag_1", "roll4_mean"), ("seasonal_naive", "negated"), ("negated", "roll4_mean"))
+
+
+def _sql_nnls_pairs() -> str:
+    d = _sql_metric_table()
+    d["svn"] = "SELECT *, -lag_1 AS negated FROM sv"
+    parts = []
+    for a, b in NNLS_PAIRS:
+        parts.append(f"""SELECT '{a}' AS a, '{b}' AS b, var_pop({a}) AS a11, covar_pop({a}, {b}) AS a12, var_pop({b}) AS a22, covar_pop({a}, y_true) AS b1,
+                                covar_pop({b}, y_true) AS b2, avg({a}) AS m1, avg({b}) AS m2, avg(y_true) AS my FROM svn""")
+    d["nn"] = " UNION ALL ".join(parts)
+    d["nu"] = "SELECT *, (b1 * a22 - b2 * a12) / (a11 * a22 - a12 * a12) AS u1, (b2 * a11 - b1 * a12) / (a11 * a22 - a12 * a12) AS u2 FROM nn"
+    one = "greatest(b1, 0) * greatest(b1, 0) / a11 >= greatest(b2, 0) * greatest(b2, 0) / a22"
+    d["nw"] = f"""SELECT *, CASE WHEN u1 >= 0 AND u2 >= 0 THEN u1 WHEN {one} THEN greatest(b1 / a11, 0) ELSE 0 END AS w1,
+                         CASE WHEN u1 >= 0 AND u2 >= 0 THEN u2 WHEN {one} THEN 0 ELSE greatest(b2 / a22, 0) END AS w2 FROM nu"""
+    return _ft_sql("SELECT a, b, round(w1, 5) AS weight_a, round(w2, 5) AS weight_b, round(my - w1 * m1 - w2 * m2, 5) AS intercept FROM nw", d)
+
+
+@register("com_10_nnls_two_models", _sql_nnls_pairs())
+def q_com_10_pairs(spark, sf):
+    from panelcast.operators.combine import complete_cases
+    from panelcast.operators.stacking import fit_nnls
+
+    valid = complete_cases(oof_matrix_a(spark, sf), BASE_MODELS).withColumn("negated", -F.col("lag_1"))
+    fits = [(pair, fit_nnls(valid, list(pair))) for pair in NNLS_PAIRS]
+    rows = [(*pair, float(f.coef[0]), float(f.coef[1]), f.intercept) for pair, f in fits]
+    return round_doubles(spark.createDataFrame(rows, "a string, b string, weight_a double, weight_b double, intercept double"), 5)
+
+
+@register("mod_01_category_levels", _ft_sql(
+    """SELECT col AS feature, level, CAST(row_number() OVER (PARTITION BY col ORDER BY n DESC, level) AS INTEGER) AS place, n
+       FROM (SELECT 'county' AS col, county AS level, count(*) AS n FROM trb GROUP BY county
+             UNION ALL SELECT 'disease', disease, count(*) FROM trb GROUP BY disease)""", _sql_train_base()))
+def q_mod_01_levels(spark, sf):
+    """Levels of the categorical columns, most frequent (the mode) first, and the rows that their indicators mark."""
+    from panelcast.operators.models import fit_preprocess
+
+    train = train_a(spark, sf)
+    pre = fit_preprocess(train, [], ["county", "disease"])
+    names = pre.filled()[1]
+    count = {}
+    for i, c in enumerate(pre.categorical):
+        for r in train.select(names[i].alias("v")).groupBy("v").count().collect():
+            count[c, r["v"]] = r["count"]
+    rows = [(c, v, k + 1, count[c, v]) for c in pre.categorical for k, v in enumerate(pre.levels[c])]
+    return spark.createDataFrame(rows, "feature string, level string, place int, n long")
+
+
 @register("com_10_nnls_one_model", _ft_sql(" UNION ALL ".join(
     f"""SELECT '{m}' AS base_model, round(greatest(covar_pop(y_true, {m}) / var_pop({m}), 0.0), 6) AS weight,
                round(avg(y_true) - greatest(covar_pop(y_true, {m}) / var_pop({m}), 0.0) * avg({m}), 6) AS intercept FROM sv"""
