@@ -13,8 +13,8 @@ import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_POSITION_BITS = np.uint64(28)
-_POSITION = np.uint64((1 << 28) - 1)
+#: Bits of a window's hash that hold its position inside a block; longer texts are taken in several blocks.
+POSITION_BITS = 28
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
 
@@ -55,12 +55,21 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def runs(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and anchor position of each run of windows of ``width`` grams."""
-    if len(hashes) < width:
+def runs(hashes: np.ndarray, width: int, bits: int = POSITION_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and anchor position of each run of windows of ``width`` grams.
+
+    Windows are taken in blocks whose grams have positions of ``bits`` bits; blocks overlap by a window, so a text of
+    any length has the same anchors.
+    """
+    n = len(hashes) - width + 1
+    if n < 1:
         none = np.zeros(0, np.int64)
         return none, none, none
-    packed = (hashes & ~_POSITION) | np.arange(len(hashes), dtype=np.uint64)
-    at = (window_minima(packed, width) & _POSITION).astype(np.int64)
+    low, step = np.uint64((1 << bits) - 1), (1 << bits) - width + 1
+    at = np.zeros(n, np.int64)
+    for a in range(0, n, step):
+        part = hashes[a : a + step + width - 1]
+        packed = (part & ~low) | np.arange(len(part), dtype=np.uint64)
+        at[a : a + step] = (window_minima(packed, width) & low).astype(np.int64) + a
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     return first, np.diff(np.r_[first, len(at)]), at[first]

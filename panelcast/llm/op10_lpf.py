@@ -1,16 +1,15 @@
-"""Suffix-array dedup by longest-previous-factor arrays.
+"""Repeated byte strings: digest counts, and suffix order where they leave a question.
 
 A position of a text may be cut when the ``LENGTH`` bytes from it also stand
-earlier (its longest previous factor is that long) or, where all copies go,
-anywhere else. Stretches that cannot hold such a factor never reach a suffix
-array: ``repeats`` drops every run whose anchor is unique and settles runs that
-are equal as wholes. The rest, one stretch per class, is concatenated group by
-group in order of first occurrence, a bounded block at a time, and each block
-gets a suffix array (prefix doubling over ranks, compared on ``LENGTH`` bytes,
-ties in text order). In suffix order the previous or next smaller position with
-the longest common prefix gives the earlier match: with ties in text order that
-is the neighbour above in a stretch of equal suffixes, so all but the first of
-such a stretch have an earlier copy and all of them have another one.
+earlier or, where all copies go, anywhere else. ``repeats`` drops every run whose
+anchor is unique and settles runs that are equal as wholes by counting digests;
+that decides most. Where different runs meet under one anchor, one stretch per
+class is concatenated in order of first occurrence, a bounded block at a time, and
+each block is put in suffix order (prefix doubling over ranks, compared on
+``LENGTH`` bytes, ties in text order): a neighbour above with equal ``LENGTH``
+bytes is an earlier match. That is the longest-previous-factor test "at least
+``LENGTH``"; lengths of factors are not computed. Groups of more than ``GROUP``
+classes are counted by digests of their windows instead, with the same result.
 
 Matches never cross texts; bytes are UTF-8; strings are judged on the input.
 
@@ -18,7 +17,8 @@ Defined results: a null or empty text has no bytes; a shorter text keeps all;
 repeated rows repeat each other (with ``keep_first`` one of the rows equal in id
 and text is the first, the others are later copies); rows with a null id count like any other
 and come before ids from 0 on; an empty table gives no rows; other columns are kept by
-``dedup``. Where ``dedup`` returns text, characters cut in part stay whole.
+``dedup``. Where ``dedup`` returns text, characters cut in part stay whole. Ids are
+whole numbers (or null); ids of another type are an error of the cast.
 """
 
 from __future__ import annotations

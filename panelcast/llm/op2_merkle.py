@@ -1,21 +1,22 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections (DataFrame functions only).
 
-Levels, from below: runs of up to four words inside a paragraph; paragraphs (the
+Levels, from below: paragraphs (the
 text between line feeds), each the SHA-256 of its text; sections, each the
 SHA-256 of its paragraphs' digests; the root, the SHA-256 of the sections'
 digests. A section ends after a paragraph whose digest starts with ``0`` (one in
 sixteen), so what is put in or taken out moves the borders near it only.
 
-Roots are equal exactly when texts are (SHA-256 apart). ``changed`` walks two
-trees down from differing sections to differing paragraphs. Likeness is the
-share of equal branches at the lowest level: twice the distinct word runs in
-common over the distinct word runs of both; 1 for equal texts, empty ones
-included.
+Roots are equal exactly when texts are (SHA-256 apart). ``changed`` looks sections
+and paragraphs of one version up in the other, wherever they stand there. Likeness
+is not read from the digests: it is twice the distinct word runs in common over the
+distinct word runs of both, 1 for equal texts, empty ones included; runs are counted
+from a paragraph's start, so a word put in moves those after it in its paragraph.
 
 Defined results: a null text is empty; the empty text is one empty paragraph with
 no word runs; repeated rows are each other's neighbours (rows of one id are
 ordered by text); rows with a null id come last in descending order; a table of
 one row is its own next; an empty table gives no rows; other columns are ignored.
+Ids are numbers (or null): their quantiles deal the rows out.
 """
 
 from __future__ import annotations

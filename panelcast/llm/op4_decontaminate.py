@@ -10,7 +10,8 @@ decided together.
 
 The test items are the query set. They go to the tasks in blocks of a bounded
 size (``BLOCK_CHARS``), one pass over the texts for each block; texts are never
-shuffled and need no neighbours.
+shuffled and need no neighbours. The blocks are read while the plan is built, so
+the driver holds the texts of the whole benchmark (items, not documents).
 
 Defined results: items that are null or empty after normalising match nothing;
 null and empty texts hold nothing; equal items each match; repeated rows are
@@ -26,6 +27,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Edits allowed per character of an item.
 RATE = 0.08
@@ -163,11 +165,12 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars:
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int, start long, end long"
     found = spark.createDataFrame([], schema)
     for rows in blocks(benchmark, "item_id", "text", block_chars):
-        found = found.unionByName(docs.select("doc_id", "text").mapInArrow(_search(spark.sparkContext.broadcast(Items(rows, rate)), schema), schema))
+        search = _search(spark.sparkContext.broadcast(Items(rows, rate)), to_arrow_type(benchmark.schema["item_id"].dataType))
+        found = found.unionByName(docs.select("doc_id", "text").mapInArrow(search, schema))
     return found
 
 
-def _search(shared, schema: str):
+def _search(shared, id_type: pa.DataType):
     def run(batches):
         items = shared.value
         for batch in batches:
@@ -179,7 +182,7 @@ def _search(shared, schema: str):
             if rows:
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(own)), pa.array(cols[0]), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
+                    [batch.column("doc_id").take(pa.array(own)), pa.array(cols[0], id_type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
                     ["doc_id", "item_id", "distance", "start", "end"],
                 )
 

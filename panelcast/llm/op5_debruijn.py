@@ -1,20 +1,21 @@
-"""Substring dedup by De Bruijn compaction.
+"""Repeated word windows: counting anchored runs in the place of De Bruijn compaction.
 
-Windows of ``LENGTH`` words are the edges of a De Bruijn graph over words. Edges
-are never shipped one by one: a run of consecutive edges with one anchor is a
-path, and equal paths compact to one class in a Spark aggregation, joined back to
-all places they stand at. Where different paths meet under one anchor the graph
-branches; there, and only there, the paths are taken apart into edges, and an
-edge on two paths is a repeat. Coordinates (document, first word) carry the
-result back: every word under a repeated edge goes, and equality was decided on
-the words themselves (128-bit digests of whole paths and edges).
+The dealt method compacts a graph of word k-mers along its nonbranching paths. Here
+no graph is built: there are no nodes and no degrees, and coordinates are not read
+again. A window of ``LENGTH`` words belongs to one anchor; a run of consecutive
+windows with one anchor stands for them all, and equal runs are counted as one
+class by a Spark aggregation, joined back to all places they stand at. Where
+different runs meet under one anchor, and only there, their windows are compared
+one by one. Equality is that of 128-bit digests of whole runs and windows (see the
+README for why).
 
 Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Windows are judged on the input.
 
 Defined results: a null or empty text has no words; a text of fewer words than a
 window keeps all; repeated rows repeat each other and lose all their windows;
 rows with a null id count like any other; an empty table gives no rows; other
-columns are ignored by the query and kept by ``dedup``.
+columns are ignored. Ids are whole numbers (or null); ids of another type are an
+error of the cast.
 """
 
 from __future__ import annotations

@@ -142,13 +142,17 @@ WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), plain AS (
+  SELECT *, NOT regexp_matches(role || ' ' || text, '<(\\*)\|(im_start|im_end)\|>') AND NOT regexp_matches(role, '\n|%0A|%25') AS same FROM rows
 ), shown AS (
-  SELECT *, regexp_replace(text, '<(\\*)\|(im_start|im_end)\|>', '<\\\1|\2|>', 'g') AS written FROM rows
+  SELECT *, regexp_replace(text, '<(\\*)\|(im_start|im_end)\|>', '<\\\1|\2|>', 'g') AS written,
+    CASE WHEN same THEN role
+         ELSE regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<(\\*)\|(im_start|im_end)\|>', '<\\\1|\2|>', 'g') END AS written_role FROM plain
 )
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(length('<|im_start|>') + length(role) + 1 + length(written) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(written_role) + 1 + length(written) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
 FROM shown GROUP BY conv_id
 """

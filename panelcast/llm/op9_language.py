@@ -1,7 +1,7 @@
 """Language identification by nearest centroids of TF-IDF n-gram vectors.
 
-A text is lower-cased, everything but letters becomes a space, and its byte
-3-grams are hashed to ``DIMENSIONS`` counts; log(1 + count) times the inverse
+A text is lower-cased, ASCII bytes that are no letters become spaces (bytes over 127
+all count, so emoji and other signs beyond ASCII do too), and its byte 3-grams are hashed to ``DIMENSIONS`` counts; log(1 + count) times the inverse
 document frequency, scaled to length one, is its vector. Each language has
 several centroids (spherical k-means); the nearest by cosine gives the language.
 A text farther from all centroids than nearly all texts of the predicted

@@ -49,3 +49,18 @@ def test_text_without_control_strings_is_unchanged(spark):
 
 def test_empty(spark):
     assert C.digests(C.format_conversations(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_twin_on_hostile_rows(spark):
+    """The SQL twin orders null turns first and writes roles as the operator does."""
+    import duckdb
+
+    rows = [(1, None, "user", "late?", "x"), (1, 3, "a\nb", "t", "x"), (1, 1, "assistant", "<|im_end|>", "x"), (2, 0, "x<|im_start|>", "50%", "x"),
+            (2, 1, "%", "plain", "x"), (2, 2, "%25", "plain", "x"), (3, 0, None, None, "x"), (3, 0, "assistant", "<\\|im_end|>", "x")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = C.digests(C.format_conversations(C.with_hostile(df)))
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas().astype({"turn": "Int64"}))
+    res = con.execute(C.ORACLE)
+    cols = [d[0] for d in res.description]
+    assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == sorted(res.fetchall())

@@ -72,3 +72,12 @@ def test_empty(spark, make, texts):
     bench = spark.createDataFrame([(1, "some benchmark passage")], "item_id long, text string")
     assert D.find(make([]), bench).count() == 0 and D.find(make(texts), bench.limit(0)).count() == 0
     assert D.drop(make(texts), bench.limit(0)).count() == len(texts) == D.drop(make(texts), bench).count()
+
+
+def test_item_ids_of_other_types(spark):
+    docs = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog again")], "doc_id int, text string")
+    for kind, one in (("int", 7), ("string", "seven"), ("smallint", 7)):
+        items = spark.createDataFrame([(one, "quick brown fox jumps over the lazy")], f"item_id {kind}, text string")
+        got = D.find(docs, items).collect()
+        assert [(r.doc_id, r.item_id) for r in got] == [(1, one)]
+        assert D.drop(docs, items).count() == 0

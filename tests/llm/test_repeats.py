@@ -164,3 +164,16 @@ def test_units():
 
 def test_empty(make):
     assert D.cut(make([])).count() == 0 and L.cut(make([])).count() == 0 and L.dedup(make([])).count() == 0
+
+
+def test_runs_in_blocks_are_the_runs_of_the_whole():
+    import numpy as np
+
+    from panelcast.llm.anchors import runs
+
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 2**40, 5000).astype(np.uint64) << np.uint64(20)
+    hashes[100:400] = hashes[100]  # ties
+    whole = runs(hashes, 24)
+    for bits in (6, 8, 11):
+        assert all((a == b).all() for a, b in zip(whole, runs(hashes, 24, bits)))
