@@ -22,7 +22,7 @@ MEASURES = (("count", ""), ("source_total_count", "source_total_count_"), ("dise
 
 def _cfg(feature_set: str) -> dict:
     if feature_set not in C.FEATURE_SETS:
-        raise ValueError(f"Unknown feature_set={feature_set}")
+        raise ValueError(f"no feature set is called {feature_set!r}")
     return C.FEATURE_SETS[feature_set]
 
 

@@ -27,7 +27,7 @@ def scan_locations(dim_location: DataFrame) -> DataFrame:
     """SRC-6: distinct (old_name, new_name, branch_t) with a branch; an empty dimension is an error."""
     missing = {"old_name", "new_name", "branch_t"} - set(dim_location.columns)
     if missing:
-        raise RuntimeError(f"dim_location missing columns: {sorted(missing)}")
+        raise RuntimeError(f"the location table lacks {sorted(missing)}")
     if dim_location.isEmpty():
         raise RuntimeError("the location table has no rows")
     return dim_location.select("old_name", "new_name", "branch_t").where(F.col("branch_t").isNotNull()).distinct()

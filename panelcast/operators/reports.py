@@ -108,6 +108,10 @@ def lead_week_summary(metric: DataFrame) -> DataFrame:
     return lw.orderBy(*[c for c in ("data_source", "model_task", "model_name", "lead_week") if c in keep])
 
 
+#: Settings that are texts; one without a value is a null of its kind.
+TEXT_SETTINGS = ("task", "run_mode", "sources", "feature_set", "feature_select", "covid_policy", "meta_model", "compare_meta_models")
+
+
 def run_summary(metric: DataFrame, settings: dict) -> DataFrame:
     """AGG-15 (+ SRT-8): one row of run settings, row counts and the best leaderboard model."""
     overall = F.col("metric_level") == "overall"
@@ -119,7 +123,7 @@ def run_summary(metric: DataFrame, settings: dict) -> DataFrame:
         F.min_by(F.when(overall, mm), F.when(overall, order)).alias("best_model_by_wape"),
         F.min(F.when(overall, F.col("WAPE"))).alias("best_wape"),
     )
-    lits = [F.lit(v).alias(k) for k, v in settings.items()]
+    lits = [(F.lit(v) if v is not None else F.lit(None).cast("string" if k in TEXT_SETTINGS else "int")).alias(k) for k, v in settings.items()]
     return stats.select(*lits, "metric_rows", "leaderboard_rows", "best_model_by_wape", "best_wape")
 
 

@@ -158,4 +158,4 @@ def select_features(train: DataFrame, numeric_cols, method: str, top_k: int | No
         return filter_numeric_features(train, numeric_cols)
     if method == "lgbm_topk":
         return importance_topk(train, numeric_cols, top_k=top_k or 60, **kw)
-    raise ValueError(f"Unknown feature_select={method}")
+    raise ValueError(f"features cannot be selected by {method!r}")

@@ -88,7 +88,7 @@ def fit_combiner(matrix: DataFrame, model_cols, method: str, y: str = "y_true",
     m = str(method).lower().strip()
     fit = CB.complete_cases(matrix, model_cols, y)
     if fit.isEmpty():
-        raise RuntimeError(f"Cannot fit combiner method={m}: empty training data")
+        raise RuntimeError(f"{m}: no row has the target and every base prediction")
     if m in C.RULE_BASED_METHODS:
         long = CB.melt(fit, [y], model_cols).withColumnRenamed(y, "y_true")
         return MetaModel(m, list(model_cols), CB.rule_weights(long, m, topk))
@@ -100,7 +100,7 @@ def fit_combiner(matrix: DataFrame, model_cols, method: str, y: str = "y_true",
     elif m == "nonnegative_linear":
         model = fit_nnls(data, model_cols, "_y")
     else:
-        raise ValueError(f"Unknown combiner method={method}")
+        raise ValueError(f"no combiner is called {method!r}")
     return MetaModel(m, list(model_cols), model)
 
 

@@ -381,9 +381,28 @@ def run_holdout_all(inputs_by_source: dict, base_date: dt.date, end_week: int, n
     return out
 
 
+def summary_settings(task: str, sources, opts: RunOptions, end_week: int | None = None, n_holdout: int | None = None,
+                     plot_weeks: int | None = None) -> dict:
+    """AGG-15: what a run summary says about a run (``task``: forecast or holdout), from its options as they took effect."""
+    cfg = C.resolve_config(opts.run_mode, opts.recent_weeks, opts.feature_set, opts.feature_select, opts.top_k)
+    holdout = task == "holdout"
+    return {
+        "task": task, "run_mode": opts.run_mode, "sources": ",".join(sources),
+        "forecast_period": None if holdout else opts.forecast_period,
+        "end_week": end_week if holdout else None, "holdout_weeks": n_holdout if holdout else None, "plot_weeks": plot_weeks if holdout else None,
+        "start_week": opts.train_start, "recent_weeks": cfg.recent_weeks,
+        "feature_set": cfg.features.name, "feature_select": cfg.features.select, "top_k": cfg.features.top_k,
+        "covid_policy": opts.covid_policy, "enable_grid_search": opts.enable_grid_search, "grid_cv_splits": opts.grid_cv_splits,
+        "meta_model": opts.meta_model, "compare_meta_models": ",".join(opts.compare) or None,
+    }
+
+
 def publish_reports(outputs: dict[str, DataFrame], out_dir: str, settings: dict, fmt: str = "parquet",
                     top_n: int = 200) -> dict[str, str]:
-    """SNK-5 / SNK-6: derive the report frames from a run's outputs and write them (sorted at the sink)."""
+    """SNK-5 / SNK-6: derive the report frames from a run's outputs and write them (sorted at the sink).
+
+    ``settings`` go into the run summary (see ``summary_settings``).
+    """
     from panelcast.operators import reports as RP
     from panelcast.sources.sinks import write_outputs
 

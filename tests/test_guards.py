@@ -86,7 +86,7 @@ def test_compare_meta_models(spark):
 def test_publish_reports(spark):
     import tempfile
 
-    from panelcast.plans.forecast import publish_reports
+    from panelcast.plans.forecast import RunOptions, publish_reports, summary_settings
 
     rows = [("s", "default", "county", "base", "m1", "overall", "ALL", "ALL", None, 10, 0.5),
             ("s", "default", "county", "ensemble", "ensemble_simple_average", "overall", "ALL", "ALL", None, 10, 0.4),
@@ -95,10 +95,16 @@ def test_publish_reports(spark):
                                          "model_name string, metric_level string, disease string, county string, "
                                          "lead_week int, n_obs long, WAPE double")
     d = tempfile.mkdtemp(prefix="pc-rep-")
-    paths = publish_reports({"metric": metric}, d, {"task": "forecast"}, fmt="csv")
+    settings = summary_settings("holdout", ["s", "t"], RunOptions("fast", meta_model="ridge", compare=("lasso", "huber")), 202210, 8, 30)
+    assert settings["forecast_period"] is None and settings["feature_set"] == "medium" and settings["top_k"] == 60
+    paths = publish_reports({"metric": metric}, d, settings, fmt="csv")
     assert set(paths) == {"metric", "leaderboard", "breakdown", "meta_model_comparison", "lead_week_summary", "run_summary"}
     summary = spark.read.option("header", True).csv(paths["run_summary"]).first()
     assert summary.best_model_by_wape == "ensemble/ensemble_simple_average"
+    assert (summary.sources, summary.end_week, summary.recent_weeks, summary.compare_meta_models) == ("s,t", "202210", "260", "lasso,huber")
+    # SRT-1: the written metrics are in the output order
+    written = [(r.model_name, r.metric_level) for r in spark.read.option("header", True).csv(paths["metric"]).collect()]
+    assert written == [("ensemble_simple_average", "overall"), ("m1", "by_lead_week"), ("m1", "overall")]
     comp = spark.read.option("header", True).csv(paths["meta_model_comparison"]).first()
     assert comp.best_base_model == "m1" and comp.stacking_wins == "true"
 
