@@ -1,15 +1,17 @@
-"""Repeated byte strings: digest counts, and suffix order where they leave a question.
+"""Repeated byte strings: digest counts, and longest-previous-factor arrays where they leave a question.
 
 A position of a text may be cut when the ``LENGTH`` bytes from it also stand
 earlier or, where all copies go, anywhere else. ``repeats`` drops every run whose
 anchor is unique and settles runs that are equal as wholes by counting digests;
 that decides most. Where different runs meet under one anchor, one stretch per
 class is concatenated in order of first occurrence, a bounded block at a time, and
-each block is put in suffix order (prefix doubling over ranks, compared on
-``LENGTH`` bytes, ties in text order): a neighbour above with equal ``LENGTH``
-bytes is an earlier match. That is the longest-previous-factor test "at least
-``LENGTH``"; lengths of factors are not computed. Groups of more than ``GROUP``
-classes are counted by digests of their windows instead, with the same result.
+each block is put in suffix order (prefix doubling over ranks, ties in text order).
+The previous and the next smaller position in that order are the two candidates for
+the longest earlier match; the longer common prefix of the two is the entry of the
+longest-previous-factor array (lengths are counted up to ``LENGTH``). A window whose
+entry reaches ``LENGTH`` is a later copy. Where all copies go, the longest common
+prefix with a neighbour in suffix order takes the entry's place. Groups of more than
+``GROUP`` classes are counted by digests of their windows instead, with the same result.
 
 Matches never cross texts; bytes are UTF-8; strings are judged on the input.
 
@@ -44,43 +46,93 @@ def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, order
 
 
-def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """Rank of every suffix of ``data`` compared on its first ``length`` bytes (past the end counts as zeros), by prefix doubling."""
+def doubled_ranks(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """Ranks of all suffixes of ``data`` by their first 8, 16, 32, ... and last ``length`` bytes, by prefix doubling (past the end counts as zeros)."""
     have = min(8, length)
     padded = np.concatenate([data, np.zeros(have, np.uint8)])
     keys = np.zeros(len(data), np.uint64)
     for k in range(have):
         keys = keys << np.uint64(8) | padded[k : k + len(data)]
     ranks, _ = _dense(keys)
+    levels = [(have, ranks.astype(np.uint32))]
     while have < length:
         step = min(have, length - have)
         ahead = np.zeros(len(ranks), np.uint64)
         ahead[: max(0, len(ranks) - step)] = ranks[step:] + np.uint64(1)
         ranks, _ = _dense(ranks << np.uint64(32) | ahead)
         have += step
-    return ranks
+        levels.append((have, ranks.astype(np.uint32)))
+    return levels
 
 
-def previous_factors(starts: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per start (ascending positions) whether an equal factor starts elsewhere, and whether one starts earlier."""
-    own = ranks[starts]
-    order = np.lexsort((starts, own))  # suffix order, ties in text order
-    same = own[order][1:] == own[order][:-1]
-    earlier, other = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    earlier[order[1:][same]] = True  # the neighbour above is the previous smaller position
-    other[order[1:][same]] = other[order[:-1][same]] = True
+def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
+    """Rank of every suffix of ``data`` compared on its first ``length`` bytes."""
+    return doubled_ranks(data, length)[-1][1]
+
+
+def common_bytes(data: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the longest common prefix of the suffixes at ``a`` and ``b``, up to the length the ranks go to (which both must have)."""
+    length = levels[-1][0]
+    got = np.zeros(len(a), np.int64)
+    for have, ranks in reversed(levels):
+        go = np.flatnonzero(got + have <= length)
+        go = go[ranks[a[go] + got[go]] == ranks[b[go] + got[go]]]
+        got[go] += have
+    go = np.arange(len(a))
+    for _ in range(levels[0][0] - 1):  # less than the first level is left
+        go = go[got[go] < length]
+        go = go[data[a[go] + got[go]] == data[b[go] + got[go]]]
+        got[go] += 1
+    return got
+
+
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """Per entry the place of the nearest entry before it with a smaller value, -1 without one (descent over minima of 2^k entries)."""
+    minima = [values]  # minima[k][i]: least of the 2^k entries that end with the i-th
+    while 1 << len(minima) <= len(values):
+        step, last = 1 << (len(minima) - 1), minima[-1]
+        wide = last.copy()
+        wide[step:] = np.minimum(last[step:], last[:-step])
+        minima.append(wide)
+    at = np.arange(len(values)) - 1
+    for k in range(len(minima) - 1, -1, -1):
+        go = np.flatnonzero(at >= (1 << k) - 1)
+        go = go[minima[k][at[go]] > values[go]]
+        at[go] -= 1 << k
+    return at
+
+
+def previous_factors(data: np.ndarray, starts: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Per start (ascending positions) the length of its longest factor that starts at another start, and that of the longest
+    that starts at an earlier one (the array of longest previous factors), both up to the length the ranks go to.
+
+    In suffix order the earlier start with the longest common prefix is the nearest smaller position above or below; the start
+    with the longest common prefix at all is a neighbour.
+    """
+    order = np.lexsort((starts, levels[-1][1][starts]))  # suffix order, ties in text order
+    place = starts[order]
+    beside = common_bytes(data, levels, place[:-1], place[1:])
+    other = np.zeros(len(starts), np.int64)
+    other[order[1:]] = beside
+    other[order[:-1]] = np.maximum(other[order[:-1]], beside)
+    earlier = np.zeros(len(starts), np.int64)
+    n = len(place)
+    for near in (previous_smaller(place), n - 1 - previous_smaller(place[::-1])[::-1]):
+        has = np.flatnonzero((near >= 0) & (near < n))
+        earlier[order[has]] = np.maximum(earlier[order[has]], common_bytes(data, levels, place[has], place[near[has]]))
     return other, earlier
 
 
 def shared_factors(rows: list[tuple], unit: Unit):
-    """Per stretch (class) which of its windows also lie in another stretch, and which in an earlier one."""
+    """Per stretch (class) which of its windows also lie in another stretch, and which in an earlier one: those whose
+    longest (previous) factor has the length of a window."""
     n = np.array([r[3] for r in rows])
     size = np.array([len(r[4]) for r in rows])
     at = np.concatenate([[0], np.cumsum(size)[:-1]])
-    ranks = suffix_ranks(np.frombuffer(b"".join([r[4] for r in rows]), np.uint8), unit.length)
+    data = np.frombuffer(b"".join([r[4] for r in rows]), np.uint8)
     edge = np.concatenate([[0], np.cumsum(n)])
     starts = np.repeat(at - edge[:-1], n) + np.arange(edge[-1])
-    other, earlier = previous_factors(starts, ranks)
+    other, earlier = (x >= unit.length for x in previous_factors(data, starts, doubled_ranks(data, unit.length)))
     return [(r[:3], other[a:b], earlier[a:b]) for r, a, b in zip(rows, edge[:-1].tolist(), edge[1:].tolist())]
 
 

@@ -131,15 +131,32 @@ def test_suffix_ranks_order_suffixes():
         assert order == sorted(range(300), key=lambda i: (raw[i : i + length], i))
 
 
-def test_longest_previous_factor_by_brute_force():
-    data = np.frombuffer(b"abracadabra abracadabra cadabra abra", np.uint8)
-    raw, length = data.tobytes(), 5
-    starts = np.arange(len(raw) - length + 1)
-    other, earlier = L.previous_factors(starts, L.suffix_ranks(data, length))
-    for i in starts.tolist():
-        w = raw[i : i + length]
-        assert earlier[i] == (raw.find(w) < i)
-        assert other[i] == (sum(raw.startswith(w, k) for k in starts.tolist()) > 1)
+def test_previous_smaller_as_a_loop():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 7, 64, 301):
+        for values in (rng.permutation(n), np.arange(n), np.arange(n)[::-1].copy()):
+            want = [next((j for j in range(i - 1, -1, -1) if values[j] < values[i]), -1) for i in range(n)]
+            assert L.previous_smaller(values).tolist() == want
+
+
+@pytest.mark.parametrize("length", [1, 5, 8, 20, 37])
+def test_longest_previous_factors_by_brute_force(length):
+    rng = np.random.default_rng(length)
+    texts = [b"abracadabra abracadabra cadabra abra" * 2, b"a" * 90, bytes(rng.integers(97, 99, 200).astype(np.uint8)), bytes(200)]
+    passage = bytes(rng.integers(97, 123, 60).astype(np.uint8))
+    texts.append(passage + b"-" + passage[5:] + b"+" + passage)
+    for raw in texts:
+        data = np.frombuffer(raw, np.uint8)
+        every = np.arange(len(raw) - length + 1)
+        for starts in (every, every[rng.random(len(every)) < 0.4]):
+            other, earlier = L.previous_factors(data, starts, L.doubled_ranks(data, length))
+
+            def shared(i, j):
+                return next((k for k in range(length) if raw[i + k] != raw[j + k]), length)
+
+            at = starts.tolist()
+            assert earlier.tolist() == [max((shared(i, j) for j in at if j < i), default=0) for i in at]
+            assert other.tolist() == [max((shared(i, j) for j in at if j != i), default=0) for i in at]
 
 
 def test_runs_cover_every_window_with_its_smallest_gram():
