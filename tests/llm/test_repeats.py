@@ -48,20 +48,69 @@ def words(text):
     return tuple(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
 
 
-@pytest.mark.parametrize("group", [8192, 1])
+@pytest.mark.parametrize("keep_first", [False, True])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_words_as_brute_force(make, texts, group, seed):
-    rows = corpus(seed) + [(None if i is None else i + 1000, t) for i, t in texts]
+def test_words_as_brute_force(make, texts, keep_first, seed):
+    rows = sorted(corpus(seed), key=lambda r: r[0]) + [(None if i is None else i + 1000, t) for i, t in texts]
+    if keep_first:
+        rows = [r for r in rows if r[0] is not None and r[0] != 1002]  # an order that is plain: by id
     units = [words(t) for _, t in rows]
     want = [
         (i, len(u), int(c.sum()), hashlib.sha256(" ".join(w for w, x in zip(u, c) if not x).encode()).hexdigest())
-        for (i, _), u, c in zip(rows, units, covered(units, 35))
+        for (i, _), u, c in zip(rows, units, covered(units, 35, keep_first))
     ]
-    got = [tuple(r) for r in D.digests(D.cut(make(rows), group=group)).collect()]
+    got = [tuple(r)[:4] for r in D.digests(D.cut(make(rows), keep_first=keep_first)).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert sum(w[2] for w in want) > 500
 
 
+def compacted(units, length):
+    """Nonbranching paths of repeated windows, as sorted lists of windows, from dictionaries."""
+    count = collections.Counter(u[i : i + length] for u in units for i in range(len(u) - length + 1))
+    edges = {e for e, c in count.items() if c > 1}
+    outs, ins = collections.defaultdict(list), collections.defaultdict(list)
+    for e in edges:
+        outs[e[:-1]].append(e)
+        ins[e[1:]].append(e)
+    through = {v for v in outs if len(outs[v]) == 1 and len(ins[v]) == 1}
+    paths, left = [], set(edges)
+    for e in [x for x in edges if x[:-1] not in through] + sorted(edges):  # starts of paths, then circles
+        path = []
+        while e in left:
+            left.discard(e)
+            path.append(e)
+            if e[1:] not in through:
+                break
+            e = outs[e[1:]][0]
+        if path:
+            paths.append(path)
+    return paths
+
+
+@pytest.mark.parametrize("length,gram", [(35, 12), (9, 3)])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_paths_as_compacted_by_brute_force(make, seed, length, gram):
+    rows = corpus(seed, 30) + [(500, "a b c d e " * 30), (501, "p " * 50), (502, "x1 x2 " + "p " * 40)]
+    if seed == 3:  # few words: many branches and circles
+        rng = random.Random(9)
+        rows += [(600 + i, " ".join(rng.choice("abc") for _ in range(rng.choice((1, 30, 34, 35, 90))))) for i in range(40)]
+    units = {i: words(t) for i, t in rows}
+    want = compacted(list(units.values()), length)
+    got = collections.defaultdict(list)
+    for r in D.paths(make(rows), length, gram).collect():
+        u = units[r.doc_id][r.word : r.word + r.n_words]
+        got[tuple(r.path)].append((r.ordinal, [u[k : k + length] for k in range(r.n_words - length + 1)]))
+    paths = []
+    for parts in got.values():
+        parts.sort(key=lambda p: p[0])
+        assert [p[0] for p in parts] == list(range(len(parts)))
+        path = [e for _, es in parts for e in es]
+        assert all(a[1:] == b[:-1] for a, b in zip(path, path[1:]))
+        paths.append(path)
+    assert sorted(map(sorted, paths)) == sorted(map(sorted, want))
+    assert len(want) > 3
+
+
 def spans(c):
     return int(np.count_nonzero(np.diff(np.concatenate([[0], c.astype(int)])) == 1))
 
