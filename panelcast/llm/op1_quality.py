@@ -7,10 +7,14 @@ changing the label from line to line. Forward-backward gives each line's
 probability of being good; their mean weighted by line length is the document's
 score.
 
-Training labels only exist for documents, so each line of a labelled document
-bears its label. The field is fitted on a bounded sample of labelled rows
-(``SAMPLE``), by gradient ascent on the conditional likelihood with exact
-forward-backward expectations; every text is then scored whole.
+Training labels only exist for documents; line labels are hidden. A document is taken to
+be good when its score, the good share of its length, is above ``THRESHOLD``, with a
+logistic chance around it (``SHARP``): a rejected document may hold good lines and an
+accepted one bad lines. The field is fitted on a bounded sample of labelled rows
+(``SAMPLE``) by gradient ascent on the likelihood of the documents' labels. The slope of
+a score is the score times the difference of what is expected of a text of which a line
+drawn in proportion to length is good and of any text: forward-backward over labels and
+whether the line was drawn yet. Every text is then scored whole.
 
 Defined results: a null or empty text is one empty line and gets the score of
 one; rows with a null label or id teach nothing; with no label, or only one kind
@@ -34,6 +38,8 @@ SAMPLE = 4_000
 #: Scores from here on count as good.
 THRESHOLD = 0.3
 ITERATIONS, RATE, PENALTY = 200, 0.1, 1e-4
+#: How steeply the chance of a good document rises with its score at the threshold.
+SHARP = 10.0
 
 #: Classes of bytes: other, space, line end, lower case, upper case, digit, sentence mark, bar, exclamation, beyond ASCII.
 _CLASSES = 10
@@ -142,6 +148,45 @@ def forward_backward(odds: np.ndarray, change: np.ndarray, first: np.ndarray, pa
     return good, joint.sum(0), to
 
 
+def given_drawn(odds: np.ndarray, change: np.ndarray, first: np.ndarray, share: np.ndarray):
+    """Each text's chance that a line drawn with chance ``share`` (sums to 1 over a text) is good, which is its score; each
+    line's probability of being good given that and without it; the same two of each change from the line before (with
+    the lines ``to`` that have one). Chains are summed over without a drawn line so far (0) and with one (1)."""
+    p = np.empty((len(odds), 2))
+    p[:, 1] = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+    p[:, 0] = 1 - p[:, 1]
+    a = np.exp(change - change.max())
+    count = np.diff(first)
+    drawn = np.stack([np.zeros(len(odds)), share], 1)
+    order = np.argsort(-count, kind="stable")
+    start, count = first[:-1][order], count[order]
+    longest = int(count[0]) if len(count) else 0
+    active = np.searchsorted(-count, -np.arange(longest + 1), "left")  # texts with more than t lines
+    alpha = np.empty((2, len(odds), 2))
+    beta = np.stack([np.zeros_like(p), np.ones_like(p)])
+    scale = np.empty(len(p))
+    for t in range(longest):
+        at = start[: active[t]] + t
+        none, one = (p[at], 0.0) if t == 0 else ((alpha[0, at - 1] @ a) * p[at], (alpha[1, at - 1] @ a) * p[at])
+        scale[at] = none.sum(1)
+        alpha[0, at] = none / scale[at, None]
+        alpha[1, at] = (one + none * drawn[at]) / scale[at, None]
+    for t in range(longest - 2, -1, -1):
+        at = start[: active[t + 1]] + t + 1
+        to = p[at] / scale[at, None]
+        beta[1, at - 1] = (to * beta[1, at]) @ a.T
+        beta[0, at - 1] = (to * (beta[0, at] + drawn[at] * beta[1, at])) @ a.T
+    both, plain = (alpha * beta).sum(0), alpha[0] * beta[1]
+    chance = (both.sum(1) / plain.sum(1))[first[:-1]]
+    inner = np.ones(len(odds), bool)
+    inner[first[:-1]] = False
+    to = np.flatnonzero(inner)
+    none, one = alpha[0, to - 1][:, :, None] * a, alpha[1, to - 1][:, :, None] * a
+    ahead = (p[to] * beta[1, to])[:, None, :]
+    pairs = [none * (p[to] * (beta[0, to] + drawn[to] * beta[1, to]))[:, None, :] + one * ahead, none * ahead]
+    return chance, *(g[:, 1] / g.sum(1) for g in (both, plain)), *(j / j.sum((1, 2), keepdims=True) for j in pairs), to
+
+
 class Field:
     """A fitted field; without weights it says ``share`` for every line."""
 
@@ -161,8 +206,8 @@ class Field:
         return np.add.reduceat(good * weight, first[:-1]) / np.add.reduceat(weight, first[:-1])
 
 
-def fit(features: list[np.ndarray], labels: list[int]) -> Field:
-    """Field from the line features of labelled texts: maximum conditional likelihood, by Adam."""
+def fit(features: list[np.ndarray], lengths: list[np.ndarray], labels: list[int]) -> Field:
+    """Field from the line features and line lengths of labelled texts: maximum likelihood of the labels, by Adam."""
     share = float(np.mean(labels)) if labels else 0.5
     if len(set(labels)) < 2:
         return Field(share)
@@ -170,16 +215,15 @@ def fit(features: list[np.ndarray], labels: list[int]) -> Field:
     x = np.concatenate(features)
     mean, spread = x.mean(0), x.std(0) + 1e-3
     x = with_neighbours((x - mean) / spread, first)
-    y = np.repeat(np.asarray(labels, np.float64), np.diff(first))
+    drawn = np.concatenate([w / w.sum() for w in lengths])
+    y = np.asarray(labels, np.float64)
     weights, change = np.zeros(x.shape[1]), np.zeros((2, 2))
-    told = None
     moments = [np.zeros(len(weights) + 4), np.zeros(len(weights) + 4)]
-    texts = len(labels)
     for step in range(1, ITERATIONS + 1):
-        good, expected, to = forward_backward(x @ weights, change, first, pairs=True)
-        if told is None:
-            told = np.array([[np.sum((y[to] == 0)), 0], [0, np.sum(y[to] == 1)]], np.float64)
-        slope = np.concatenate([(y - good) @ x, (told - expected).ravel()]) / texts
+        score, given, any_, given_pairs, any_pairs, to = given_drawn(x @ weights, change, first, drawn)
+        pull = (y - 1 / (1 + np.exp(-SHARP * (score - THRESHOLD)))) * SHARP * score
+        pull = np.repeat(pull, np.diff(first))
+        slope = np.concatenate([((given - any_) * pull) @ x, np.tensordot(pull[to], given_pairs - any_pairs, 1).ravel()]) / len(labels)
         slope -= PENALTY * np.concatenate([weights, change.ravel()])
         moments[0] += 0.1 * (slope - moments[0])
         moments[1] += 0.01 * (slope**2 - moments[1])
@@ -196,7 +240,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     )
     n = usable.count()
     if not n:
-        return fit([], [])
+        return fit([], [], [])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / n))
     drawn = usable.where(draw).limit(2 * sample).select(F.col("doc_id").alias("__id"), F.col("quality").alias("__label"))
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "__label")
@@ -204,14 +248,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     def run(batches):
         for batch in batches:
             at, data = utf8(batch.column("text"))
-            x, _, first = line_features(at, data)
+            x, weight, first = line_features(at, data)
+            x = np.column_stack([x, weight]).astype(np.float32)
             rows = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__label"), pa.array(rows, pa.binary())], ["doc_id", "label", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = texts.mapInArrow(run, f"doc_id {kind}, label int, x binary").orderBy("doc_id", "label", "x").toArrow()
-    rows = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in got.column("x").to_pylist()]
-    return fit(rows, got.column("label").to_pylist())
+    rows = [np.frombuffer(b, np.float32).reshape(-1, FEATURES + 1) for b in got.column("x").to_pylist()]
+    return fit([x[:, :-1] for x in rows], [x[:, -1].astype(np.float64) for x in rows], got.column("label").to_pylist())
 
 
 def with_score(docs: DataFrame, field: Field, name: str = "score") -> DataFrame:

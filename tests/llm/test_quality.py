@@ -30,6 +30,59 @@ def test_forward_backward_by_enumeration():
     assert len(to) == sum(c - 1 for c in counts)
 
 
+def test_slope_of_the_score_by_enumeration():
+    rng = np.random.default_rng(1)
+    counts = [1, 4, 2, 6]
+    first = np.concatenate([[0], np.cumsum(counts)])
+    odds, change = rng.normal(size=first[-1]), rng.normal(size=(2, 2))
+    share = np.concatenate([w / w.sum() for w in (rng.random(c) for c in counts)])
+    chance, given, plain, given_pairs, plain_pairs, to = Q.given_drawn(odds, change, first, share)
+    place = {t: k for k, t in enumerate(to.tolist())}
+    for k, (a, b) in enumerate(zip(first[:-1], first[1:])):
+        any_ = {
+            y: np.exp(sum(odds[a + t] * y[t] for t in range(b - a)) + sum(change[y[t - 1], y[t]] for t in range(1, b - a)))
+            for y in itertools.product((0, 1), repeat=b - a)
+        }
+        told = {y: w * sum(share[a + t] for t in range(b - a) if y[t]) for y, w in any_.items()}
+        assert chance[k] == pytest.approx(sum(told.values()) / sum(any_.values()))
+        for weight, line, pairs in ((told, given, given_pairs), (any_, plain, plain_pairs)):
+            z = sum(weight.values())
+            for t in range(b - a):
+                assert line[a + t] == pytest.approx(sum(w for y, w in weight.items() if y[t]) / z)
+            for t in range(1, b - a):
+                want = np.zeros((2, 2))
+                for y, w in weight.items():
+                    want[y[t - 1], y[t]] += w / z
+                assert pairs[place[a + t]] == pytest.approx(want)
+    # the chance is the length-weighted mean of the marginals, and its slope is as said
+    score = lambda o: np.add.reduceat(Q.forward_backward(o, change, first) * share, first[:-1])
+    assert chance == pytest.approx(score(odds))
+    for i in range(len(odds)):
+        step = np.eye(len(odds))[i] * 1e-6
+        k = np.searchsorted(first, i, "right") - 1
+        assert (score(odds + step) - score(odds - step))[k] / 2e-6 == pytest.approx(chance[k] * (given[i] - plain[i]), abs=1e-6)
+
+
+def test_hidden_lines_are_told_apart():
+    """Rejected documents hold good lines too, of a small share of their length: those score above the bad ones beside them."""
+    rng = np.random.default_rng(2)
+    texts, labels, truth = [], [], []
+    for k in range(300):
+        bad = k % 2
+        lines = [bad and rng.random() < 0.6 for _ in range(8)]
+        texts.append("\n".join("BUY!!! NOW!!! 99 | " * 6 if b else "the river runs by the old mill" for b in lines))
+        labels.append(1 - bad)
+        truth.append([0 if b else 1 for b in lines])
+    x, weight, first = Q.line_features(*arrays(texts))
+    cut = list(zip(first[:-1], first[1:]))
+    field = Q.fit([x[a:b] for a, b in cut], [weight[a:b].astype(float) for a, b in cut], labels)
+    good, _, _ = field.line_probabilities(*arrays(texts))
+    found = [good[a:b] for a, b in cut]
+    inside = [(f[i], t[i]) for f, t, y in zip(found, truth, labels) if y == 0 for i in range(8) if 0 < sum(t) < 8]
+    assert np.mean([g for g, t in inside if t]) > np.mean([g for g, t in inside if not t]) + 0.1
+    assert np.mean((field.scores(*arrays(texts)) >= 0.5) == np.array(labels)) > 0.95
+
+
 def arrays(texts):
     raw = [t.encode() for t in texts]
     return np.concatenate([[0], np.cumsum([len(r) for r in raw])]), np.frombuffer(b"".join(raw), np.uint8)
