@@ -176,13 +176,13 @@ def link(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
     """The columns of ``docs``; of each group the row with the smallest ``doc_id`` (one of equal rows; nulls last)."""
-    marked = with_fingerprint(docs, shingle, name="__simhash")
-    fps = store(marked.select("doc_id", F.col("__simhash").alias("fp")), "fingerprints")
-    label = groups(fps, max_distance).where(F.col("rep").eqNullSafe(F.col("component_id")))
-    keeper = label.groupBy("root").agg(F.min("fp").alias("__simhash"), F.max("component_id").alias("__keep"))
-    return (
-        marked.join(keeper.select("__simhash", "__keep"), "__simhash")
-        .where(F.col("doc_id").eqNullSafe(F.col("__keep")))
-        .dropDuplicates(["__simhash"])
-        .select(*docs.columns)
-    )
+    # rows by two hashes of id and text: keepers are chosen without texts, which are shuffled once, no fingerprint as key
+    key = [F.xxhash64("doc_id", "text").alias("__k1"), F.hash("doc_id", "text").alias("__k2")]
+    marked = with_fingerprint(docs.select("doc_id", "text", *key), shingle, name="fp")
+    fps = store(marked.select("doc_id", "fp", "__k1", "__k2"), "fingerprints")
+    label = groups(fps.select("doc_id", "fp"), max_distance).where(F.col("rep").eqNullSafe(F.col("component_id")))
+    keeper = label.groupBy("root").agg(F.min("fp").alias("fp"), F.max("component_id").alias("__keep"))
+    one = F.min(F.struct("__k1", "__k2")).alias("key")
+    chosen = fps.join(keeper.select("fp", "__keep"), "fp").where(F.col("doc_id").eqNullSafe(F.col("__keep"))).groupBy("fp").agg(one)
+    kept = docs.select("*", *key).join(chosen.select("key.*"), ["__k1", "__k2"], "left_semi")
+    return kept.dropDuplicates(["__k1", "__k2"]).select(*docs.columns)
