@@ -5,11 +5,14 @@ Paragraphs (lines) are classified by softmax regression over hashed word
 templates below and variants of them (words lost, doubled or replaced, stretches
 cut out, words of the corpus around them) against a bounded sample of the
 corpus's paragraphs (``SAMPLE``). A temperature fitted on held-out variants
-calibrates the probabilities; a paragraph that is likely a licence but has no
-family above the calibrated bound is ``unknown``. A predicted family is confirmed
-by comparing the paragraph with the family's templates (share of a template's
+calibrates the probabilities. The unknown class is calibrated on families that a
+model has never seen: the regression is fitted again without each group of kin
+families (``KIN``), and what these models say of the variants left out, beside
+held-out variants of known families and paragraphs of the corpus, sets how unlikely
+none must be for a licence and how likely a family for a name. A predicted family is
+confirmed by comparing the paragraph with the family's templates (share of a template's
 word pairs that the paragraph has, or the other way round for a part of a
-template); without that it is ``unknown`` too.
+template); a licence without a sure and confirmed family is ``unknown``.
 
 Defined results: a null or empty text has one empty paragraph, which is none;
 repeated rows are scanned each; with an empty table the model is trained on the
@@ -39,13 +42,19 @@ TEMPLATES = {
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable patent license to make, have made, use, offer to sell, sell, import, and otherwise transfer the Work.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ],
+    "boost": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software.",
+    ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
         "Released under the BSD 3-Clause License.",
     ],
     "cc-by": [
@@ -60,11 +69,22 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Licensed under CC BY-SA 4.0.",
     ],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "The accompanying program is provided under the terms of this Eclipse Public License (\"Agreement\"). Any use, reproduction or distribution of the program constitutes recipient's acceptance of this Agreement.",
+    ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+        "You may copy and distribute verbatim copies of the Program's source code as you receive it, in any medium, provided that you conspicuously and appropriately publish on each copy an appropriate copyright notice and disclaimer of warranty.",
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     ],
+    "isc": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "The software is provided \"as is\" and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness.",
+    ],
     "lgpl": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
         "This work is licensed under the GNU Lesser General Public License, version 3.",
@@ -73,12 +93,19 @@ TEMPLATES = {
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
 }
+#: Families whose texts have much in common; a model that knows one of them does know the others.
+KIN = [("agpl", "gpl", "lgpl"), ("cc-by", "cc-by-nc", "cc-by-sa"), ("boost", "isc", "mit", "unlicense"), ("apache", "bsd"), ("epl", "mpl")]
 FAMILIES = sorted(TEMPLATES)
 NONE = len(FAMILIES)
 UNKNOWN = "unknown"
@@ -87,6 +114,10 @@ BUCKETS, SAMPLE, VARIANTS = 1 << 16, 6_000, 60
 EPOCHS, RATE, PENALTY = 12, 0.5, 1e-5
 #: Share of a template's word pairs that confirms a family.
 CONFIRMED = 0.6
+#: Share of the corpus's paragraphs that may pass for a licence; the most that none may have then.
+FALSE, MOST_NONE = 0.001, 0.98
+#: Lines of licence words in no order, which are none.
+LOOSE = 100
 
 _WORD = np.zeros(256, np.uint8)
 for _members in (range(48, 58), range(97, 123), range(128, 256)):
@@ -134,10 +165,11 @@ def softmax(scores: np.ndarray, temperature: float) -> np.ndarray:
 
 
 class Model:
-    """``weights`` (buckets x classes), ``bias``; the temperature and the bound of the unknown class."""
+    """``weights`` (buckets x classes), ``bias``; the temperature; a paragraph is a licence when none has less than ``none``,
+    and of a family when that has ``bound`` or more."""
 
-    def __init__(self, weights, bias, temperature=1.0, bound=0.5):
-        self.weights, self.bias, self.temperature, self.bound = weights, bias, temperature, bound
+    def __init__(self, weights, bias, temperature=1.0, bound=0.5, none=0.5):
+        self.weights, self.bias, self.temperature, self.bound, self.none = weights, bias, temperature, bound, none
         self.templates = [[word_pairs(t) for t in TEMPLATES[f]] for f in FAMILIES]
 
     def scores(self, bucket, line, n) -> np.ndarray:
@@ -162,7 +194,7 @@ class Model:
         """(text, line, label, probability) of every paragraph that is not none."""
         bucket, line, n, first = ngrams(at, data)
         p = self.probabilities(self.scores(bucket, line, n))
-        hits = np.flatnonzero(p[:, NONE] < 0.5)
+        hits = np.flatnonzero(p[:, NONE] < self.none)
         if not len(hits):
             return []
         starts, _ = lines_of(at, data)
@@ -172,7 +204,7 @@ class Model:
             family = int(p[k, :NONE].argmax())
             chance = float(p[k, family])
             paragraph = data[starts[k] : starts[k + 1]].tobytes().decode("utf-8", "replace")
-            sure = chance >= self.bound and self.confirm(family, paragraph)
+            sure = p[k, NONE] < 0.5 and chance >= self.bound and self.confirm(family, paragraph)
             out.append((text, k - int(first[text]), FAMILIES[family] if sure else UNKNOWN, chance if sure else 1 - float(p[k, NONE])))
         return out
 
@@ -203,14 +235,15 @@ def variants(rng: np.random.Generator, around: list[str]) -> tuple[list[str], li
 
 
 def fit(corpus: list[str], seed: int = 7) -> Model:
-    """Softmax regression by mini-batch gradient descent, then the temperature and the unknown bound on a held-out tenth."""
+    """Softmax regression by mini-batch gradient descent, then the temperature on a held-out tenth and the bounds
+    of the unknown class on families left out."""
     rng = np.random.default_rng(seed)
     licence = [word_pairs(t) for f in FAMILIES for t in TEMPLATES[f]]
     clean = [p for p in corpus if not any(len(t & word_pairs(p)) >= CONFIRMED * len(t) for t in licence)]
     texts, labels = variants(rng, clean)
     # the words of licences in no licence's order are none, as the corpus is
     soup = [w for f in FAMILIES for t in TEMPLATES[f] for w in t.split()]
-    loose = [" ".join(rng.choice(soup, size=int(rng.integers(1, 12)))) for _ in range(400)]
+    loose = [" ".join(rng.choice(soup, size=int(rng.integers(1, 12)))) for _ in range(LOOSE)]
     texts += clean + loose + [""]
     y = np.array(labels + [NONE] * (len(clean) + len(loose) + 1))
     raw = [" ".join(t.split("\n")).encode() for t in texts]
@@ -220,7 +253,36 @@ def fit(corpus: list[str], seed: int = 7) -> Model:
     bucket, line = bucket[order], line[order]
     cut = np.searchsorted(line, np.arange(n + 1))
     test = rng.random(n) < 0.1
-    train = np.flatnonzero(~test)
+    corpus = np.arange(n) >= len(labels)
+    corpus[len(labels) + len(clean) :] = False
+    group = np.array([next(i for i, kin in enumerate(KIN) if f in kin) for f in FAMILIES] + [-1])[y]
+    model = _trained(bucket, cut, y, np.flatnonzero(~test), rng)
+    held = np.flatnonzero(test)
+    scores = model.scores(bucket, line, n)[held]
+    truth = y[held]
+
+    def loss(temperature: float) -> float:
+        return -float(np.mean(np.log(np.maximum(1e-12, softmax(scores, temperature)[np.arange(len(held)), truth]))))
+
+    model.temperature = min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0), key=loss)
+    # what models that never saw a group of families say of it, of held-out variants of the others and of the corpus
+    unseen, known, clean_none = [], [], []
+    for g in range(len(KIN)):
+        other = _trained(bucket, cut, y, np.flatnonzero(~test & (group != g)), rng)
+        p = softmax(other.scores(bucket, line, n), model.temperature)
+        best = p[:, :NONE].max(1)
+        unseen.append(best[group == g])
+        known.append(best[test & (group >= 0) & (group != g) & (p.argmax(1) == y)])
+        clean_none.append(p[corpus & test, NONE])
+    unseen, known, clean_none = map(np.concatenate, (unseen, known, clean_none))
+    model.none = float(np.clip(np.quantile(clean_none, FALSE), 0.5, MOST_NONE)) if len(clean_none) else 0.5
+    steps = np.linspace(0.3, 0.95, 66)
+    model.bound = float(max(steps, key=lambda b: (known >= b).mean() + (unseen < b).mean())) if len(known) else 0.5
+    return model
+
+
+def _trained(bucket: np.ndarray, cut: np.ndarray, y: np.ndarray, train: np.ndarray, rng: np.random.Generator) -> Model:
+    """Weights from the rows ``train``, whose n-grams are ``bucket[cut[row]:cut[row + 1]]``."""
     model = Model(np.zeros((BUCKETS, NONE + 1), np.float32), np.zeros(NONE + 1, np.float32))
     for epoch in range(EPOCHS):
         rate = RATE / (1 + epoch / 10)
@@ -232,25 +294,20 @@ def fit(corpus: list[str], seed: int = 7) -> Model:
             own = np.repeat(np.arange(len(rows)), count)
             b, scale = bucket[pick], 1 / np.sqrt(np.maximum(1, count))
             z = np.zeros((len(rows), NONE + 1), np.float32)
-            np.add.at(z, own, model.weights[b] * scale[own, None])
+            some = count > 0
+            if len(b):
+                z[some] = np.add.reduceat(model.weights[b], (np.cumsum(count) - count)[some]) * scale[some, None]
             z += model.bias
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             p[np.arange(len(rows)), y[rows]] -= 1
-            np.add.at(model.weights, b, -rate * (p[own] * scale[own, None] + PENALTY * model.weights[b]))
+            if len(b):
+                order = np.argsort(b, kind="stable")
+                each, at = np.unique(b[order], return_index=True)
+                step = np.add.reduceat((p * scale[:, None])[own[order]], at) + PENALTY * model.weights[each] * np.diff(np.append(at, len(b)))[:, None]
+                model.weights[each] -= rate * step
             model.bias -= rate * p.mean(0)
     model.weights[np.abs(model.weights).max(1) < 1e-3] = 0
-    held = np.flatnonzero(test)
-    scores = model.scores(bucket, line, n)[held]
-    truth = y[held]
-
-    def loss(temperature: float) -> float:
-        return -float(np.mean(np.log(np.maximum(1e-12, softmax(scores, temperature)[np.arange(len(held)), truth]))))
-
-    model.temperature = min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0), key=loss)
-    p = model.probabilities(scores)
-    right = (truth != NONE) & (p[:, :NONE].argmax(1) == truth)
-    model.bound = float(np.quantile(p[right, :NONE].max(1), 0.01)) if right.any() else 0.5
     return model
 
 

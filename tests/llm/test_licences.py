@@ -42,12 +42,46 @@ def test_variants_and_unknown(make, model):
     ]
     got = {r.doc_id: r for r in L.scan(make(rows), model).collect()}
     assert got[1].families == "mit" and got[4].families == "mit" and got[2].families == "" and got[3].families == ""
+    assert got[3].n_unknown == 1 and got[2].n_unknown == 0
 
 
-def test_awkward_rows(make, texts, model):
-    got = L.scan(make(texts), model).collect()
-    assert sorted((r.doc_id for r in got), key=str) == sorted((i for i, _ in texts), key=str)
-    assert all(r.families == "" for r in got)
-    assert L.scan(make([]), model).count() == 0 and L.learn(make([])).weights.any()
-    lines = L.paragraphs(make([(5, "x\n" + LINES["gpl"]), (5, "x\n" + LINES["gpl"])]), model).collect()
-    assert [(r.doc_id, r.line, r.family) for r in lines] == [(5, 1, "gpl")] * 2
+def found(model, text):
+    raw = text.encode()
+    return [f[2] for f in model.scan(np.array([0, len(raw)]), np.frombuffer(raw, np.uint8))]
+
+
+def test_families_left_out_are_unknown(spark, monkeypatch):
+    """A model that never saw a family calls its texts unknown (or none where they say nothing of a licence), not by another's name."""
+    lines = [line for r in spark.read.parquet(f"{SF}/documents.parquet").limit(1500).collect() for line in r.text.split("\n")][:3000]
+    left = {f: L.TEMPLATES[f] for f in ("epl", "mpl")}
+    monkeypatch.setattr(L, "TEMPLATES", {f: t for f, t in L.TEMPLATES.items() if f not in left})
+    monkeypatch.setattr(L, "FAMILIES", sorted(L.TEMPLATES))
+    monkeypatch.setattr(L, "NONE", len(L.TEMPLATES))
+    model = L.fit(lines)
+    got = [found(model, t) for texts in left.values() for t in texts]
+    assert all(g in ([], [L.UNKNOWN]) for g in got) and sum(g == [L.UNKNOWN] for g in got) >= len(got) / 2
+    assert found(model, LINES["mit"]) == ["mit"]
+
+
+def test_scores_as_by_hand(model):
+    """Scores of paragraphs from loops over their words, one n-gram at a time."""
+    texts = ["Released under the MIT License.", "a", "", "this Work is licensed, or not\nunder the GNU", LINES["gpl"]]
+    raw = [t.encode() for t in texts]
+    at, data = np.concatenate([[0], np.cumsum([len(r) for r in raw])]), np.frombuffer(b"".join(raw), np.uint8)
+    got = model.scores(*L.ngrams(at, data)[:3])
+    k = 0
+    for text in texts:
+        for line in text.split("\n"):
+            h = [L.span_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0]), np.array([len(x)])) for x in L.words(line)]
+            total, n = np.zeros(len(model.bias)), 0
+            for size in (1, 2, 3):
+                for i in range(len(h) - size + 1):
+                    gram = h[i].copy()
+                    for x in h[i + 1 : i + size]:
+                        gram = L.mixed(gram * np.uint64(0x9E3779B97F4A7C15) + x)
+                    row = model.weights[int(gram[0] >> np.uint64(48))].astype(float)
+                    n += bool(row.any())
+                    total += row
+            assert got[k] == pytest.approx(total / np.sqrt(max(1, n)) + model.bias, abs=1e-3)
+            k += 1
+    assert k == len(got)
