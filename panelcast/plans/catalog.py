@@ -211,9 +211,12 @@ def q_col_06(spark, sf):
 def calendar(spark, sf):
     from panelcast.sources.calendar import calendar_features
 
-    t = TV.Tables(spark, sf)
-    return materialized(spark, sf, "calendar",
-                        lambda: calendar_features(TV.dim_holiday(t), weekdate(spark, sf), TV.TEST_COVID_YEARS))
+    def build():
+        # both sides from the one week-date table: its dates cost a pass over orders and lines
+        days = weekdate(spark, sf)
+        return calendar_features(TV.dim_holiday(TV.Tables(spark, sf), days), days, TV.TEST_COVID_YEARS)
+
+    return materialized(spark, sf, "calendar", build)
 
 
 def weekdate(spark, sf):
@@ -333,10 +336,15 @@ SQL_LOCMAP = """SELECT county_key, min(new_name) AS new_name, min(branch_t) AS b
                 GROUP BY county_key"""
 
 
+def dim_location(spark, sf) -> DataFrame:
+    return materialized(spark, sf, "dim_location", lambda: TV.dim_location(TV.Tables(spark, sf)))
+
+
 def location_map(spark, sf):
     from panelcast.operators.locations import build_location_map
 
-    return materialized(spark, sf, "location_map", lambda: build_location_map(TV.dim_location(TV.Tables(spark, sf))))
+    # its checks and its rows are several jobs over the places: these are looked up in the lines once
+    return materialized(spark, sf, "location_map", lambda: build_location_map(dim_location(spark, sf)))
 
 
 @register("pan_02_location_map", TV.with_views(SQL_LOCMAP, "dim_location"))

@@ -128,9 +128,9 @@ def dim_weekdate(t: Tables) -> DataFrame:
     return days.select("date", yearweek_of("date").alias("yearweek"))
 
 
-def dim_holiday(t: Tables) -> DataFrame:
+def dim_holiday(t: Tables, weekdate: DataFrame | None = None) -> DataFrame:
     """Holiday rows by month-day rule over the week-date dates."""
-    d = dim_weekdate(t)
+    d = dim_weekdate(t) if weekdate is None else weekdate
     md = F.date_format("date", "MM-dd")
     lunar = F.create_map(
         F.lit("01-28"), F.lit("小年夜"), F.lit("01-29"), F.lit("除夕"), F.lit("01-30"), F.lit("初一"),
